@@ -35,7 +35,8 @@ def known_states(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
         F.col("ocorrido_em").alias("desde"), "vistoria_id",
     )
     chunked = ordered.with_chunks(slim, ["co_entidade"], hot, by_day(F.col("desde")))
-    return chunked.repartition(*ordered.part(["co_entidade"], hot is not None))
+    laid_out = chunked.repartition(*ordered.part(["co_entidade"], hot is not None))
+    return ordered.settle(laid_out, hot is not None)
 
 
 def state_runs(known: DataFrame, hot: bool = False) -> DataFrame:
@@ -90,8 +91,10 @@ def validity(changes: DataFrame, hot: bool = False) -> DataFrame:
 def item_change(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Compressed state history of each (entity, item) with validity intervals."""
     is_hot = hot is not None
-    rows = quantity_in_force(state_runs(known_states(events, hot), is_hot), is_hot)
-    return validity(changes_only(rows, is_hot), is_hot)
+    runs = ordered.settle(state_runs(known_states(events, hot), is_hot), is_hot)
+    rows = ordered.settle(quantity_in_force(runs, is_hot), is_hot)
+    changes = ordered.settle(changes_only(rows, is_hot), is_hot)
+    return ordered.settle(validity(changes, is_hot), is_hot)
 
 
 def profile_starts(changes: DataFrame) -> DataFrame:
@@ -119,6 +122,7 @@ def profile_states(changes: DataFrame, catalog: Sequence[str], hot: bool = False
         ],
     )
     held = {f"_v{i}": f"_{i}" for i in range(len(catalog))}
+    at_instant = ordered.settle(at_instant, hot)
     return ordered.carry_last(at_instant, ["co_entidade"], ["valid_from"], held, hot).drop(*held.values())
 
 
@@ -133,7 +137,7 @@ def _profile_map(catalog: Sequence[str], part: str) -> Column:
 def dim_profile(changes: DataFrame, catalog: Sequence[str], hot: bool = False) -> DataFrame:
     """Type-2 profile dimension: one version per instant at which the entity's profile changes."""
     codes = sorted(catalog)
-    states = profile_states(changes, codes, hot)
+    states = ordered.settle(profile_states(changes, codes, hot), hot)
     counted = states.select(
         *ordered.part(["co_entidade"], hot), "valid_from", "vistoria_origem_id",
         *[

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerlake.session import work_dir
+
 HOT_ROWS = 1_000_000
 CHUNK = "_chunk"
 
@@ -49,6 +51,20 @@ def _order(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
+def settle(df: DataFrame, hot: bool) -> DataFrame:
+    """Cut the lineage of a chunked scan with a reliable checkpoint.
+
+    Every chunked step reads its input twice (rows and chunk summaries); without a cut the reads
+    would double at each step. The plain path has no second read and is left alone.
+    """
+    if not hot:
+        return df
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(work_dir(spark))
+    return df.checkpoint()
+
+
 def _attach(df: DataFrame, keys: Sequence[str], edges: DataFrame) -> DataFrame:
     """Give every row of a hot chunk the state carried into that chunk."""
     return df.join(edges, [*keys, CHUNK], "left")

@@ -16,7 +16,7 @@ from ledgerlake.contracts import (
     ABSENT, EVENT_CONTENT, ORIGIN_CENSUS, ORIGIN_ON_SITE, ORIGIN_SELF, PRESENT, UNDER_WORK, UNKNOWN, UNUSABLE,
 )
 from ledgerlake.functions.columns import month_of
-from ledgerlake.operators import exams, facts, history, ordered
+from ledgerlake.operators import dashboard, exams, facts, history, ordered
 
 CATALOG = [f"item_{n}" for n in range(1, 8)]
 AS_OF = "2001-08-02 00:00:00"
@@ -180,6 +180,29 @@ class Lake:
     def performance(self) -> DataFrame:
         return facts.fact_performance(self.exam_input, self.census_for_exam, self.profile, EXAM_REFERENCE, self.hot)
 
+    @cached_property
+    def latest(self) -> DataFrame:
+        return history.latest_state(self.event)
+
+    @cached_property
+    def wide(self) -> DataFrame:
+        """Wide analytic table over the current state of every known item."""
+        return facts.wide_table(self.latest, self.school, self.municipality)
+
+    @cached_property
+    def census_at(self) -> DataFrame:
+        return dashboard.census_base(
+            self.dim_school, self.municipality, history.profile_at(self.profile, EXAM_REFERENCE)
+        )
+
+    @cached_property
+    def exam_at(self) -> DataFrame:
+        return dashboard.exam_base(self.performance, self.dim_school, self.profile)
+
+    @cached_property
+    def exam_slice(self) -> DataFrame:
+        return dashboard.exam_slice(self.exam_at, self.census_at)
+
     @cached_property
     def target(self) -> DataFrame:
         """The event table with planted losses, differences and extra rows."""
@@ -213,6 +236,25 @@ class Lake:
             (F.col("ts") - F.make_dt_interval((k % 12).cast("int"))).alias("event_ts"),
         )
 
+    @cached_property
+    def changes(self) -> DataFrame:
+        """The stream as an envelope: captured values in one map."""
+        s = self.stream
+        names = ("vistoria_id", "item_codigo", "situacao", "quantidade")
+        values = F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))])
+        return s.select("lsn", F.col("lsn").alias("seq"), "commit_ts", "tabela", "op", values.alias("valores"))
+
+    @cached_property
+    def deliveries(self) -> DataFrame:
+        """Telemetry-like rows with planted re-deliveries, inversions and unknown instants."""
+        lsn = F.col("lsn")
+        known = lsn % 29 != 0
+        return self.stream.select(
+            F.lit("principal").alias("fluxo"), F.col("commit_ts").alias("passada_em"), lsn.alias("posicao_na_passada"),
+            F.when(lsn % 17 == 0, lsn - 25).otherwise(lsn).alias("lsn_fim"),
+            F.when(known, F.col("record_ts")).alias("registrado_em"), F.when(known, F.col("event_ts")).alias("ocorrido_em"),
+        )
+
     @cached_property
     def stream_headers(self) -> DataFrame:
         """Readable inspection headers for the stream: every user but multiples of 50."""
@@ -354,10 +396,43 @@ VIEWS: dict[str, str] = {
         CASE WHEN k % 25 = 0 THEN 'many' ELSE k::VARCHAR END AS quantidade,
         ts - to_seconds(k) AS record_ts, ts - to_days(k % 12) AS event_ts
         FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)""",
+    "deliveries": """SELECT 'principal' AS fluxo, commit_ts AS passada_em, lsn AS posicao_na_passada,
+        CASE WHEN lsn % 17 = 0 THEN lsn - 25 ELSE lsn END AS lsn_fim,
+        CASE WHEN lsn % 29 <> 0 THEN record_ts END AS registrado_em, CASE WHEN lsn % 29 <> 0 THEN event_ts END AS ocorrido_em
+        FROM stream""",
     "stream_headers": f"""SELECT user_id AS vistoria_id, user_id*7 AS co_entidade, 'U'||(user_id % 5) AS sg_uf,
         '{ORIGIN_ON_SITE}' AS origem, TIMESTAMP '2024-01-01' + to_days(CAST(user_id % 90 AS INT)) AS ocorrido_em,
         TIMESTAMP '2024-01-03' + to_days(CAST(user_id % 90 + user_id % 15 AS INT)) AS registrado_em
         FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 50 <> 0)""",
+    "checked": """SELECT s.*, h.co_entidade, h.sg_uf, h.origem, h.ocorrido_em, h.registrado_em,
+        CASE WHEN h.vistoria_id IS NULL THEN 'KeyError: '||s.vistoria_id
+          WHEN TRY_CAST(s.quantidade AS BIGINT) IS NULL THEN 'ValueError: quantidade '||s.quantidade
+          WHEN s.situacao IS NULL THEN 'ValueError: coluna obrigatória nula: situacao' END AS motivo
+        FROM stream s LEFT JOIN stream_headers h ON h.vistoria_id = CAST(s.vistoria_id AS BIGINT) WHERE s.op = 'insert'""",
+    "delivered": """SELECT CAST(vistoria_id AS BIGINT) AS vistoria_id, item_codigo, co_entidade, sg_uf, origem, ocorrido_em, registrado_em,
+        situacao, CAST(quantidade AS INT) AS quantidade, strftime(ocorrido_em, '%Y-%m') AS mes_ocorrencia, lsn AS lsn_origem
+        FROM checked WHERE motivo IS NULL""",
+    "stored": """SELECT * FROM delivered QUALIFY row_number() OVER (PARTITION BY vistoria_id, item_codigo ORDER BY lsn_origem) = 1""",
+    "queue": """SELECT lsn AS lsn_origem, 'vistoria_item/insert/'||vistoria_id||'/'||item_codigo AS chave, commit_ts AS confirmada_em,
+        tabela, op AS operacao, CAST(vistoria_id AS BIGINT) AS vistoria_id, item_codigo, substr(motivo, 1, 200) AS motivo
+        FROM checked WHERE motivo IS NOT NULL
+        UNION ALL SELECT lsn, 'vistoria_item/'||op||'/'||vistoria_id||'/'||item_codigo, commit_ts, tabela, op,
+        CAST(vistoria_id AS BIGINT), item_codigo, 'violacao_insert_only' FROM stream WHERE op <> 'insert'""",
+    "compared": """SELECT coalesce(o.vistoria_id, t.vistoria_id) AS vistoria_id, coalesce(o.item_codigo, t.item_codigo) AS item_codigo,
+        CAST(coalesce(o.registrado_em, t.registrado_em) AS DATE) AS dia, t.lsn_origem IS NOT NULL AS veio_do_cdc,
+        CASE WHEN o.vistoria_id IS NULL THEN 'so_no_destino' WHEN t.vistoria_id IS NULL THEN 'so_na_origem'
+          WHEN o.quantidade IS NOT DISTINCT FROM t.quantidade THEN 'iguais' ELSE 'diferentes' END AS situacao
+        FROM event o FULL JOIN target t ON t.vistoria_id = o.vistoria_id AND t.item_codigo = o.item_codigo""",
+    "wide": """SELECT ano_censo_referencia AS ano_censo, sg_uf, co_municipio, no_municipio, co_entidade, tp_dependencia, tp_localizacao,
+        item_codigo, situacao FROM latest JOIN school USING (co_entidade) JOIN municipality USING (co_municipio)""",
+    "census_at": f"""SELECT s.co_entidade, s.tp_dependencia, s.localizacao, s.co_municipio, m.no_municipio, m.sg_uf,
+        p.escola_infra_sk AS perfil, p.m FROM dim_school s LEFT JOIN municipality m USING (co_municipio) LEFT JOIN profile p
+        ON p.co_entidade = s.co_entidade AND TIMESTAMP '{EXAM_REFERENCE}' >= p.valid_from AND TIMESTAMP '{EXAM_REFERENCE}' < p.valid_to""",
+    "exam_at": """SELECT e.*, e.escola_infra_sk AS perfil, p.m FROM performance e LEFT JOIN profile p
+        ON p.escola_infra_sk = e.escola_infra_sk AND p.co_entidade = e.co_escola""",
+    "exam_slice": """SELECT e.*, s.tp_dependencia, s.localizacao, s.sg_uf,
+        ['Federal','Estadual','Municipal','Privada'][s.tp_dependencia] AS rede
+        FROM exam_at e JOIN census_at s ON s.co_entidade = e.co_escola""",
 }
 
 
