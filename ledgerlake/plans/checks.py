@@ -293,7 +293,7 @@ def confirmed_extras(lake):
 @query("STR-25_gold_freshness", """SELECT TIMESTAMP '2001-08-25 12:00:00' AS medido_em, 'medir-frescor' AS comando, 'fato_infra_escola_ano' AS tabela,
     true AS gold_construida, count(*) AS vistorias_pendentes, min(registrado_em) AS pendente_desde,
     round(greatest(epoch_us(TIMESTAMP '2001-08-25 12:00:00') - epoch_us(min(registrado_em)), 0) / 1e6, 3) AS frescor_s, 90000.0::DOUBLE AS sla_s,
-    epoch_us(TIMESTAMP '2001-08-25 12:00:00') - epoch_us(min(registrado_em)) <= 90000 * 1000000 AS dentro_do_sla
+    epoch_us(TIMESTAMP '2001-08-25 12:00:00') - epoch_us(min(registrado_em)) <= 90000000000 AS dentro_do_sla
     FROM inspection WHERE vistoria_id IN (SELECT vistoria_id FROM item WHERE vistoria_id % 101 = 0)""")
 def gold_freshness(lake):
     pending = reconcile.pending_headers(lake.inspection, lake.item, lake.target)

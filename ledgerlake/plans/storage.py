@@ -70,12 +70,13 @@ def origin_events(lake):
     return facts.canonical_events(headers, lake.item, lake.school, lake.municipality).drop("lsn_origem")
 
 
-@query("SRC-07_pinned_version", "SELECT * FROM event WHERE vistoria_id % 2 = 1 AND mes_ocorrencia = '1999-05'")
+@query("SRC-07_pinned_version", "SELECT * FROM event WHERE origem = 'censo_escolar'")
 def pinned_version(lake):
+    """The census baseline is version 1; reading that version ignores what came later."""
     table = events_table(lake)
-    first = table.insert_if_absent(lake.event.where(F.col("vistoria_id") % 2 == 1)).version
+    first = table.insert_if_absent(lake.event.where(F.col("origem") == "censo_escolar")).version
     table.insert_if_absent(lake.event)
-    return table.read(first).where(F.col("mes_ocorrencia") == "1999-05")
+    return table.read(first)
 
 
 @query("SRC-08_file_hashes")

@@ -324,11 +324,11 @@ def _balance_inputs(lake):
     return telemetry.transaction_rows(lake.changes, events, rejected, _CLOCK), events, left, pending, treated
 
 
-_BALANCE = """SELECT o.op AS operacao, count(*) AS lidas_do_wal,
+_BALANCE = """SELECT *, lidas_do_wal - aplicadas - na_fila - tratadas AS ja_estavam FROM (SELECT o.op AS operacao, count(*) AS lidas_do_wal,
     CASE WHEN o.op = 'insert' THEN (SELECT count(*) FROM delivered) ELSE 0 END AS aplicadas,
     CASE WHEN o.op = 'insert' THEN (SELECT count(*) FROM queue WHERE operacao = 'insert') ELSE count(*) FILTER (lsn % 3 <> 0) END AS na_fila,
-    count(*) FILTER (lsn % 500 = 0) AS pendentes, CASE WHEN o.op = 'insert' THEN 0 ELSE count(*) FILTER (lsn % 3 = 0) END AS tratadas,
-    lidas_do_wal - aplicadas - na_fila - tratadas AS ja_estavam FROM stream o GROUP BY o.op"""
+    count(*) FILTER (lsn % 500 = 0) AS pendentes, CASE WHEN o.op = 'insert' THEN 0 ELSE count(*) FILTER (lsn % 3 = 0) END AS tratadas
+    FROM stream o GROUP BY o.op)"""
 
 
 @query("AGG-27_operation_balance", _BALANCE)
