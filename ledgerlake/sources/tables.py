@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 LOG_SCHEMA = "version int, commit string, base boolean, received long, inserted long"
 ATTEMPTS = 5
 BROADCAST_ROWS = 1_000_000
+COPIES = "_copies"
 
 
 @dataclass(frozen=True)
@@ -55,46 +56,50 @@ class VersionedTable:
         except AnalysisException:
             return self.spark.createDataFrame([], LOG_SCHEMA)
 
+    def _entries(self, version: int | None = None) -> list:
+        """Log entries that make up a version: those since its last full rewrite."""
+        rows = sorted(self.log().collect(), key=lambda r: r["version"])
+        rows = [r for r in rows if version is None or r["version"] <= version]
+        start = max((i for i, r in enumerate(rows) if r["base"]), default=0)
+        return rows[start:]
+
     def version(self) -> int:
-        return self.log().agg(F.max("version")).first()[0] or 0
+        return max((r["version"] for r in self._entries()), default=0)
 
-    def _commits(self, version: int | None) -> list[str]:
-        """Commit folders that make up a version: those since its last full rewrite."""
-        entries = self.log()
-        if version is not None:
-            entries = entries.where(F.col("version") <= version)
-        base = entries.where("base").agg(F.coalesce(F.max("version"), F.lit(0))).scalar()
-        return [r[0] for r in entries.where(F.col("version") >= base).select("commit").collect()]
+    def is_empty(self) -> bool:
+        return not self._entries()
 
     def read(self, version: int | None = None) -> DataFrame:
         """The latest version, or one fixed version; later commits do not change the result."""
-        commits = self._commits(version)
+        return self._load([r["commit"] for r in self._entries(version)])
+
+    def _load(self, commits: Sequence[str]) -> DataFrame:
         if not commits:
             return self.spark.createDataFrame([], self.schema)
-        paths = [f"{self.root}/data/commit={c}" for c in commits]
         return (
-            self.spark.read.schema(self.schema).option("basePath", f"{self.root}/data").parquet(*paths)
-            .select(*self.schema.names)
+            self.spark.read.schema(self.schema).option("basePath", f"{self.root}/data")
+            .parquet(*[self._folder(c) for c in commits]).select(*self.schema.names)
         )
 
-    def is_empty(self) -> bool:
-        return not self._commits(None)
+    def _folder(self, commit: str) -> str:
+        return f"{self.root}/data/commit={commit}"
 
     # -- writes -----------------------------------------------------------------------------
 
-    def _write_files(self, df: DataFrame) -> tuple[str, int]:
+    def _write_files(self, df: DataFrame) -> str:
         commit = uuid.uuid4().hex
-        path = f"{self.root}/data/commit={commit}"
-        out = df.select(*self.schema.names)
         if self.partition:
             # Few files per partition value, yet a hot value is split over several writer tasks.
-            out = out.hint("rebalance", self.partition)
-        writer = out.write.option("compression", "zstd")
+            df = df.hint("rebalance", self.partition)
+        writer = df.write.option("compression", "zstd")
         if self.partition:
             writer = writer.partitionBy(self.partition)
-        writer.parquet(path)
-        # Row count comes from the file footers.
-        return commit, self.spark.read.schema(self.schema).parquet(path).count()
+        writer.parquet(self._folder(commit))
+        return commit
+
+    def _rows(self, commit: str) -> int:
+        """Row count of a commit, from its file footers."""
+        return self._load([commit]).count()
 
     def _log_commit(self, version: int, commit: str, base: bool, received: int, inserted: int) -> bool:
         entry = self.spark.createDataFrame([(version, commit, base, received, inserted)], LOG_SCHEMA)
@@ -105,66 +110,93 @@ class VersionedTable:
         return True
 
     def append(self, df: DataFrame) -> Written:
-        commit, rows = self._write_files(df)
-        return self._publish(commit, rows, rows, base=False)
+        return self._publish(self._write_files(df.select(*self.schema.names)), base=False)
 
     def replace(self, df: DataFrame) -> Written:
         """Publish a whole new content as one unit; a build that fails leaves the old one in place."""
-        commit, rows = self._write_files(df)
-        return self._publish(commit, rows, rows, base=True)
+        return self._publish(self._write_files(df.select(*self.schema.names)), base=True)
 
     def compact(self) -> Written:
         return self.replace(self.read())
 
-    def _publish(self, commit: str, received: int, rows: int, base: bool) -> Written:
+    def _publish(self, commit: str, base: bool) -> Written:
+        rows = self._rows(commit)
         for _ in range(ATTEMPTS):
             version = self.version() + 1
-            if self._log_commit(version, commit, base, received, rows):
-                return Written(received, rows, version)
+            if self._log_commit(version, commit, base, rows, rows):
+                return Written(rows, rows, version)
         raise RuntimeError(f"{self.root}: another writer kept committing")
 
     def insert_if_absent(self, batch: DataFrame, prune: bool = True) -> Written:
         """Insert the rows whose key is not stored yet; the first writer of a key wins.
 
-        With ``prune`` only the partitions that occur in the batch are searched, so a key stored
-        under another partition value is inserted again. An empty batch makes no version.
+        The batch is computed once: its unique rows are staged as a commit folder, with the number
+        of copies each stands for. Into an empty table that folder is published as it is; otherwise
+        only the absent rows are written again. With ``prune`` only the partitions that occur in the
+        batch are searched, so a key stored under another partition value is inserted again. An
+        empty batch makes no version.
         """
+        unique = first_per_key(batch.select(*self.schema.names), self.keys, self.first, COPIES)
+        staged = self._write_files(unique)
+        rows, received, values = self._profile(staged)
         for _ in range(ATTEMPTS):
-            seen = self.version()
-            values, received = self._batch_profile(batch)
-            if received == 0:
-                return Written(0, 0, seen)
-            fresh = self.absent(batch, self.read(seen), values if prune else None, received)
-            commit, inserted = self._write_files(fresh)
+            entries = self._entries()
+            seen = max((r["version"] for r in entries), default=0)
+            commit, inserted = staged, rows
+            if rows and entries:
+                stored = self._load([r["commit"] for r in entries])
+                commit = self._write_files(self.absent(self._load([staged]), stored, values if prune else None, rows))
+                inserted = self._rows(commit)
             if inserted == 0:
                 return Written(received, 0, seen)
             if self._log_commit(seen + 1, commit, False, received, inserted):
                 return Written(received, inserted, seen + 1)
         raise RuntimeError(f"{self.root}: another writer kept committing")
 
-    def _batch_profile(self, batch: DataFrame) -> tuple[list, int]:
-        """Partition values in the batch (calendar months: few) and its size, in one pass."""
-        if not self.partition:
-            return [], batch.count()
-        counts = batch.groupBy(self.partition).count().collect()
-        return [r[0] for r in counts], sum(r[1] for r in counts)
-
-    def absent(self, batch: DataFrame, stored: DataFrame, values: list | None, received: int) -> DataFrame:
+    def _profile(self, staged: str) -> tuple[int, int, list]:
+        """Rows, copies and partition values (calendar months: few) of a staged batch."""
+        by = [self.partition] if self.partition else []
+        columns = ", ".join([*(f"{c} string" for c in by), f"{COPIES} long"])
+        files = self.spark.read.schema(columns).option("basePath", f"{self.root}/data").parquet(self._folder(staged))
+        counts = files.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(COPIES).alias("copies")).collect()
+        found = [r for r in counts if r["rows"]]
+        return sum(r["rows"] for r in found), sum(r["copies"] for r in found), [r[c] for r in found for c in by]
+
+    def absent(self, batch: DataFrame, stored: DataFrame, values: list | None, rows: int) -> DataFrame:
+        """Rows of a batch of unique keys that are not stored."""
         if values is not None and self.partition:
             stored = stored.where(F.col(self.partition).isin(values))
-        unique = first_per_key(batch.select(*self.schema.names), self.keys, self.first)
-        wanted = batch.select(*self.keys).distinct()
-        if received <= BROADCAST_ROWS:
-            # A small batch is sent to the stored keys, which then are not shuffled.
+        wanted = batch.select(*self.keys)
+        if rows <= BROADCAST_ROWS:
+            # The counted, small batch goes to the stored keys, which then are not shuffled.
             wanted = F.broadcast(wanted)
         found = stored.select(*self.keys).join(wanted, self.keys, "left_semi")
-        return unique.join(found, self.keys, "left_anti")
-
-
-def first_per_key(df: DataFrame, keys: Sequence[str], first: Sequence[str] = ()) -> DataFrame:
-    """One row per key, chosen by ``first`` and then by the remaining values; reduced map-side."""
+        return batch.join(found, self.keys, "left_anti")
+
+    def vacuum(self) -> int:
+        """Delete the commit folders that no log entry names (failed or superseded writes)."""
+        jvm = self.spark.sparkContext._jvm
+        data = jvm.org.apache.hadoop.fs.Path(f"{self.root}/data")
+        fs = data.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(data):
+            return 0
+        named = {f"commit={r['commit']}" for r in self.log().collect()}
+        stale = [f.getPath() for f in fs.listStatus(data) if f.getPath().getName() not in named]
+        for path in stale:
+            fs.delete(path, True)
+        return len(stale)
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], first: Sequence[str] = (), copies: str | None = None) -> DataFrame:
+    """One row per key, chosen by ``first`` and then by the remaining values; reduced map-side.
+
+    ``copies`` names an extra column with the number of rows each kept row stands for.
+    """
     rest = [*first, *[c for c in df.columns if c not in keys and c not in first]]
+    counted = [F.count("*").alias(copies)] if copies else []
     if not rest:
-        return df.distinct()
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r"))
-    return kept.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
+        return df.groupBy(*keys).agg(F.count("*").alias(copies or "_n")).select(*keys, *([copies] if copies else []))
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r"), *counted)
+    return kept.select(
+        *[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns], *([copies] if copies else [])
+    )

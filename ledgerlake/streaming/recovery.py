@@ -89,7 +89,7 @@ def replay(
     waiting = todo.count()
     read = todo.join(origin.select(*EVENT_KEY), list(EVENT_KEY), "left_semi").count()
     good = replay_candidates(queue, known, origin).persist()
-    events.insert_if_absent(good.withColumn("lsn_origem", F.col("lsn_origem")), prune=False)
+    events.insert_if_absent(good, prune=False)
     done = verified(good, events.read())
     number = hash_number(row_text(EVENT_CONTENT))
     new = done.select(
