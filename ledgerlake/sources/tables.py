@@ -102,7 +102,8 @@ class VersionedTable:
         return self._load([commit]).count()
 
     def _log_commit(self, version: int, commit: str, base: bool, received: int, inserted: int) -> bool:
-        entry = self.spark.createDataFrame([(version, commit, base, received, inserted)], LOG_SCHEMA)
+        values = {"version": version, "commit": commit, "base": base, "received": received, "inserted": inserted}
+        entry = self.spark.range(1).select(*[F.lit(v).alias(c) for c, v in values.items()])
         try:
             entry.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_log/{version:010d}")
         except AnalysisException:
