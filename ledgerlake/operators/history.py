@@ -138,16 +138,17 @@ def dim_profile(changes: DataFrame, catalog: Sequence[str], hot: bool = False) -
     """Type-2 profile dimension: one version per instant at which the entity's profile changes."""
     codes = sorted(catalog)
     states = ordered.settle(profile_states(changes, codes, hot), hot)
-    counted = states.select(
+    mapped = states.select(
         *ordered.part(["co_entidade"], hot), "valid_from", "vistoria_origem_id",
-        *[
-            sum((F.coalesce(F.col(f"_v{i}.situacao") == state, F.lit(False)).cast("bigint")
-                 for i in range(len(codes))), F.lit(0).cast("bigint")).alias(name)
+        _profile_map(codes, "situacao").alias("itens"), _profile_map(codes, "quantidade").alias("quantidades"),
+    )
+    counted = mapped.withColumns({
+        "n_itens_conhecidos": F.size("itens").cast("bigint"),
+        **{
+            name: F.expr(f"cast(size(filter(map_values(itens), s -> s = '{state}')) as bigint)")
             for name, state in COUNTERS.items()
-        ],
-        _profile_map(codes, "situacao").alias("itens"),
-        _profile_map(codes, "quantidade").alias("quantidades"),
-    ).withColumn("n_itens_conhecidos", F.size("itens").cast("bigint"))
+        },
+    })
     dated = ordered.neighbour(counted, ["co_entidade"], ["valid_from"], {"_next": "valid_from"}, 1, hot)
     return dated.select(
         profile_key("co_entidade", "valid_from").alias("escola_infra_sk"),

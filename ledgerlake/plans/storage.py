@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlake.contracts import CENSUS_COLUMNS, EVENT_KEY, EVENT_SCHEMA, EXAM_COLUMNS
-from ledgerlake.operators import census, facts, quality
-from ledgerlake.plans.adapter import CATALOG
+from ledgerlake.operators import census, facts, metrics, quality
+from ledgerlake.plans.adapter import AS_OF, CATALOG, EXAM_REFERENCE, LAST_YEAR
 from ledgerlake.plans.analytics import census_raw
 from ledgerlake.plans.registry import query
 from ledgerlake.session import work_dir
 from ledgerlake.sources import ingest, layouts, readers
+from ledgerlake.sources.star import TABLES, Inputs, Star
 from ledgerlake.sources.tables import VersionedTable
 
 
@@ -307,6 +308,34 @@ def baseline_inspections(lake):
     return ingest.baseline_inspections(_staged(lake)[0]["school"], _REFERENCE)
 
 
+def build_star(lake) -> Star:
+    star = Star(lake.spark, work_dir(lake.spark))
+    inputs = Inputs(lake.event, lake.school, lake.municipality, lake.catalog, lake.exam_input)
+    star.build(inputs, AS_OF, EXAM_REFERENCE, lake.hot)
+    return star
+
+
+@query("DQ-11_star_build", """SELECT 'dim_escola' AS tabela, count(*) AS linhas FROM school UNION ALL SELECT 'dim_escola_infraestrutura', count(*) FROM profile
+    UNION ALL SELECT 'fato_vistoria_item', count(*) FROM fact_item UNION ALL SELECT 'fato_infra_escola_ano', count(*) FROM fact_year
+    UNION ALL SELECT 'fato_desempenho_escola_ano', count(*) FROM exam_school UNION ALL SELECT 'dim_item', count(*) FROM catalog
+    UNION ALL SELECT 'dim_municipio', count(*) FROM municipality""")
+def star_build(lake):
+    """The whole star schema built, checked and published; rows per stored table."""
+    star = build_star(lake)
+    return quality.run_checks({t: star.read(t) for t in TABLES}).withColumnsRenamed({"teste": "tabela", "falhas": "linhas"})
+
+
+@query("DQ-11_stored_wide_grain_share", f"""SELECT m.sg_uf, e.rede, count(*) AS escolas,
+    round(100.0::DOUBLE * count(*) FILTER (item_3) / count(*), 1) AS pct_com_item FROM fact_year JOIN dim_school e USING (co_entidade)
+    JOIN municipality m USING (co_municipio) WHERE ano = {LAST_YEAR} AND item_3 IS NOT NULL GROUP BY m.sg_uf, e.rede""")
+def stored_wide_grain_share(lake):
+    """A question answered from the stored tables instead of from the events."""
+    star = build_star(lake)
+    return metrics.wide_grain_share(
+        star.read("fato_infra_escola_ano"), star.read("dim_escola"), star.read("dim_municipio"), "item_3", LAST_YEAR
+    )
+
+
 @query("DQ-11_failed_build_leaves_table", "SELECT mes_ocorrencia, count(*) AS linhas FROM event GROUP BY 1")
 def failed_build(lake):
     """A replacement that fails on the way is never visible."""

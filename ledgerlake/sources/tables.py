@@ -34,6 +34,46 @@ class Written:
         return self.received - self.inserted
 
 
+class CommitLog:
+    """Ordered list of published folders under a root; only what it names is ever read."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def frame(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/_log/*")
+        except AnalysisException:
+            return self.spark.createDataFrame([], LOG_SCHEMA)
+
+    def entries(self, version: int | None = None) -> list:
+        """Entries that make up a version: those since its last full rewrite."""
+        rows = sorted(self.frame().collect(), key=lambda r: r["version"])
+        rows = [r for r in rows if version is None or r["version"] <= version]
+        start = max((i for i, r in enumerate(rows) if r["base"]), default=0)
+        return rows[start:]
+
+    def version(self) -> int:
+        return max((r["version"] for r in self.entries()), default=0)
+
+    def add(self, version: int, commit: str, base: bool, received: int, inserted: int) -> bool:
+        """False when another writer took the version number first."""
+        values = {"version": version, "commit": commit, "base": base, "received": received, "inserted": inserted}
+        entry = self.spark.range(1).select(*[F.lit(v).alias(c) for c, v in values.items()])
+        try:
+            entry.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_log/{version:010d}")
+        except AnalysisException:
+            return False
+        return True
+
+    def publish(self, commit: str, base: bool, rows: int) -> int:
+        for _ in range(ATTEMPTS):
+            version = self.version() + 1
+            if self.add(version, commit, base, rows, rows):
+                return version
+        raise RuntimeError(f"{self.root}: another writer kept committing")
+
+
 class VersionedTable:
     def __init__(
         self,
@@ -47,31 +87,22 @@ class VersionedTable:
         """``first``: columns that decide which of two equal keys inside one batch is kept."""
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.keys, self.partition, self.first = list(keys), partition, list(first)
+        self.commits = CommitLog(spark, self.root)
 
     # -- versions ---------------------------------------------------------------------------
 
     def log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/_log/*")
-        except AnalysisException:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-
-    def _entries(self, version: int | None = None) -> list:
-        """Log entries that make up a version: those since its last full rewrite."""
-        rows = sorted(self.log().collect(), key=lambda r: r["version"])
-        rows = [r for r in rows if version is None or r["version"] <= version]
-        start = max((i for i, r in enumerate(rows) if r["base"]), default=0)
-        return rows[start:]
+        return self.commits.frame()
 
     def version(self) -> int:
-        return max((r["version"] for r in self._entries()), default=0)
+        return self.commits.version()
 
     def is_empty(self) -> bool:
-        return not self._entries()
+        return not self.commits.entries()
 
     def read(self, version: int | None = None) -> DataFrame:
         """The latest version, or one fixed version; later commits do not change the result."""
-        return self._load([r["commit"] for r in self._entries(version)])
+        return self._load([r["commit"] for r in self.commits.entries(version)])
 
     def _load(self, commits: Sequence[str]) -> DataFrame:
         if not commits:
@@ -101,15 +132,6 @@ class VersionedTable:
         """Row count of a commit, from its file footers."""
         return self._load([commit]).count()
 
-    def _log_commit(self, version: int, commit: str, base: bool, received: int, inserted: int) -> bool:
-        values = {"version": version, "commit": commit, "base": base, "received": received, "inserted": inserted}
-        entry = self.spark.range(1).select(*[F.lit(v).alias(c) for c, v in values.items()])
-        try:
-            entry.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_log/{version:010d}")
-        except AnalysisException:
-            return False
-        return True
-
     def append(self, df: DataFrame) -> Written:
         return self._publish(self._write_files(df.select(*self.schema.names)), base=False)
 
@@ -122,11 +144,7 @@ class VersionedTable:
 
     def _publish(self, commit: str, base: bool) -> Written:
         rows = self._rows(commit)
-        for _ in range(ATTEMPTS):
-            version = self.version() + 1
-            if self._log_commit(version, commit, base, rows, rows):
-                return Written(rows, rows, version)
-        raise RuntimeError(f"{self.root}: another writer kept committing")
+        return Written(rows, rows, self.commits.publish(commit, base, rows))
 
     def insert_if_absent(self, batch: DataFrame, prune: bool = True) -> Written:
         """Insert the rows whose key is not stored yet; the first writer of a key wins.
@@ -141,7 +159,7 @@ class VersionedTable:
         staged = self._write_files(unique)
         rows, received, values = self._profile(staged)
         for _ in range(ATTEMPTS):
-            entries = self._entries()
+            entries = self.commits.entries()
             seen = max((r["version"] for r in entries), default=0)
             commit, inserted = staged, rows
             if rows and entries:
@@ -150,7 +168,7 @@ class VersionedTable:
                 inserted = self._rows(commit)
             if inserted == 0:
                 return Written(received, 0, seen)
-            if self._log_commit(seen + 1, commit, False, received, inserted):
+            if self.commits.add(seen + 1, commit, False, received, inserted):
                 return Written(received, inserted, seen + 1)
         raise RuntimeError(f"{self.root}: another writer kept committing")
 
