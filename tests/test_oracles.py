@@ -2,6 +2,7 @@
 
 import decimal
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import duckdb
 import pytest
@@ -32,10 +33,23 @@ def norm(v):
     return v
 
 
+@pytest.fixture(scope="module")
+def answers(spark, request):
+    """Answers of the selected queries; they are independent, so a few run at a time."""
+    names = [i.callspec.params["name"] for i in request.session.items if i.originalname == "test_query"]
+
+    def ask(name):
+        df = entry_module.queries()[name](spark, FOLDER)
+        return df, df.collect()
+
+    pool = ThreadPoolExecutor(6)
+    yield {name: pool.submit(ask, name) for name in names}
+    pool.shutdown(cancel_futures=True)
+
+
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
-def test_query(spark, duck, name):
-    df = entry_module.queries()[name](spark, FOLDER)
-    rows = df.collect()
+def test_query(answers, duck, name):
+    df, rows = answers[name].result()
     sql = entry_module.oracle_sql().get(name)
     if sql is None:
         assert rows
