@@ -55,7 +55,9 @@ def stored_reads(spark, folder: str) -> dict[str, float]:
         times[name] = round(time.perf_counter() - began, 3)
         return out
 
-    star = timed("star_build", lambda: storage.build_star(Lake(spark, folder)))
+    lake = Lake(spark, folder)
+    timed("events_prepared", lambda: lake.stored("event") and None)
+    star = timed("star_build", lambda: storage.build_star(lake))
     fine, wide = star.read("fato_vistoria_item"), star.read("fato_infra_escola_ano")
     schools, places = star.read("dim_escola"), star.read("dim_municipio")
     timed("stored_lacking_now", lambda: metrics.lacking_now(history.latest_state(fine), schools, "item_2"))

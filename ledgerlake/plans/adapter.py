@@ -17,6 +17,7 @@ from ledgerlake.contracts import (
 )
 from ledgerlake.functions.columns import month_of
 from ledgerlake.operators import dashboard, exams, facts, history, ordered
+from ledgerlake.session import work_dir
 
 CATALOG = [f"item_{n}" for n in range(1, 8)]
 AS_OF = "2001-08-02 00:00:00"
@@ -30,6 +31,15 @@ class Lake:
 
     def __init__(self, spark: SparkSession, folder: str, hot_rows: int = ordered.HOT_ROWS):
         self.spark, self.folder, self.hot_rows = spark, folder, hot_rows
+        self._stored: dict[str, DataFrame] = {}
+
+    def stored(self, view: str) -> DataFrame:
+        """A view written once to the shared folder and read back, for queries that use it often."""
+        if view not in self._stored:
+            path = f"{work_dir(self.spark)}/{view}"
+            getattr(self, view).write.parquet(path)
+            self._stored[view] = self.spark.read.parquet(path)
+        return self._stored[view]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

@@ -75,8 +75,8 @@ def origin_events(lake):
 def pinned_version(lake):
     """The census baseline is version 1; reading that version ignores what came later."""
     table = events_table(lake)
-    first = table.insert_if_absent(lake.event.where(F.col("origem") == "censo_escolar")).version
-    table.insert_if_absent(lake.event)
+    first = table.insert_if_absent(lake.stored("event").where(F.col("origem") == "censo_escolar")).version
+    table.insert_if_absent(lake.stored("event"))
     return table.read(first)
 
 
@@ -139,7 +139,7 @@ def manifest_append(lake):
 # -- sinks ---------------------------------------------------------------------------------------
 
 def _wide(lake):
-    return lake.wide
+    return lake.stored("wide")
 
 
 @query("SNK-01_zstd_parquet", "SELECT co_entidade, item_codigo, situacao FROM latest")
@@ -172,18 +172,18 @@ def publish_year(lake):
 def insert_if_absent(lake):
     """A first batch, the same batch again, then everything."""
     table = events_table(lake)
-    first = lake.event.where(F.col("vistoria_id") % 3 == 0)
+    first = lake.stored("event").where(F.col("vistoria_id") % 3 == 0)
     table.insert_if_absent(first)
     table.insert_if_absent(first)
-    table.insert_if_absent(lake.event)
+    table.insert_if_absent(lake.stored("event"))
     return table.read()
 
 
 @query("SNK-04_first_writer_wins", "SELECT vistoria_id, item_codigo, CASE WHEN vistoria_id % 3 = 0 THEN 7::BIGINT ELSE lsn_origem END AS lsn_origem FROM event")
 def first_writer_wins(lake):
     table = events_table(lake)
-    table.insert_if_absent(lake.event.where(F.col("vistoria_id") % 3 == 0).withColumn("lsn_origem", F.lit(7).cast("bigint")))
-    table.insert_if_absent(lake.event)
+    table.insert_if_absent(lake.stored("event").where(F.col("vistoria_id") % 3 == 0).withColumn("lsn_origem", F.lit(7).cast("bigint")))
+    table.insert_if_absent(lake.stored("event"))
     return table.read().select(*EVENT_KEY, "lsn_origem")
 
 
@@ -191,9 +191,9 @@ def first_writer_wins(lake):
     UNION ALL SELECT 2, count(*), count(*) FILTER (vistoria_id % 3 <> 0) FROM event""")
 def commit_counts(lake):
     table = events_table(lake)
-    table.insert_if_absent(lake.event.where(F.col("vistoria_id") % 3 == 0))
-    table.insert_if_absent(lake.event.where(F.col("vistoria_id") < 0))
-    table.insert_if_absent(lake.event)
+    table.insert_if_absent(lake.stored("event").where(F.col("vistoria_id") % 3 == 0))
+    table.insert_if_absent(lake.stored("event").where(F.col("vistoria_id") < 0))
+    table.insert_if_absent(lake.stored("event"))
     return table.log().select("version", "received", "inserted")
 
 
@@ -224,7 +224,7 @@ def compaction(lake):
 def table_compaction(lake):
     table = events_table(lake)
     for batch in range(3):
-        table.append(lake.event.where(F.col("vistoria_id") % 3 == batch))
+        table.append(lake.stored("event").where(F.col("vistoria_id") % 3 == batch))
     table.compact()
     return table.read().groupBy("mes_ocorrencia").agg(F.count("*").alias("linhas"))
 
@@ -309,8 +309,9 @@ def baseline_inspections(lake):
 
 
 def build_star(lake) -> Star:
+    """Build from the stored events; exam results and registrations come from their own files."""
     star = Star(lake.spark, work_dir(lake.spark))
-    inputs = Inputs(lake.event, lake.school, lake.municipality, lake.catalog, lake.exam_input)
+    inputs = Inputs(lake.stored("event"), lake.school, lake.municipality, lake.catalog, lake.exam_input)
     star.build(inputs, AS_OF, EXAM_REFERENCE, lake.hot)
     return star
 
@@ -340,8 +341,8 @@ def stored_wide_grain_share(lake):
 def failed_build(lake):
     """A replacement that fails on the way is never visible."""
     table = events_table(lake)
-    table.insert_if_absent(lake.event)
-    broken = lake.event.withColumn("situacao", F.when(F.col("vistoria_id") > 0, F.raise_error(F.lit("planted"))).otherwise(F.col("situacao")))
+    table.insert_if_absent(lake.stored("event"))
+    broken = lake.stored("event").withColumn("situacao", F.when(F.col("vistoria_id") > 0, F.raise_error(F.lit("planted"))).otherwise(F.col("situacao")))
     try:
         table.replace(broken)
     except Exception:  # noqa: BLE001 - the planted failure

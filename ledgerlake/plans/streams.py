@@ -214,17 +214,17 @@ def _table(lake, rows=None):
 @query("STR-14_reconciled_months", _WHOLE)
 def reconciled_months(lake):
     """A table that lost rows is completed month by month and agrees with the origin again."""
-    stored = _table(lake, lake.event.where(F.col("vistoria_id") % 101 != 0)).events
-    months = [r[0] for r in lake.event.select("mes_ocorrencia").distinct().collect()]
-    repaired, _ = windows.reconcile(lake.event, stored, months)
+    stored = _table(lake, lake.stored("event").where(F.col("vistoria_id") % 101 != 0)).events
+    months = [r[0] for r in lake.stored("event").select("mes_ocorrencia").distinct().collect()]
+    repaired, _ = windows.reconcile(lake.stored("event"), stored, months)
     return repaired.withColumn("impressao", F.col("impressao").cast("string"))
 
 
 @query("STR-15_reprocessed_months", _WHOLE + " HAVING mes_ocorrencia IN ('1999-03', '2000-11')")
 def reprocessed_months(lake):
-    stored = _table(lake, lake.event.where(F.col("vistoria_id") % 5 != 0)).events
-    windows.reprocess(lake.event, stored, ["1999-03", "2000-11"])
-    again, _ = windows.reprocess(lake.event, stored, ["1999-03", "2000-11"])
+    stored = _table(lake, lake.stored("event").where(F.col("vistoria_id") % 5 != 0)).events
+    windows.reprocess(lake.stored("event"), stored, ["1999-03", "2000-11"])
+    again, _ = windows.reprocess(lake.stored("event"), stored, ["1999-03", "2000-11"])
     return again.withColumn("impressao", F.col("impressao").cast("string"))
 
 
@@ -238,8 +238,8 @@ def control_state(lake):
     stored = _table(lake)
     monthly = windows.MonthlyWindows(lake.spark, stored.events, work_dir(lake.spark))
     cut = F.col("registrado_em") <= F.lit("2001-01-01").cast("timestamp_ntz")
-    monthly.run(lake.inspection.where(cut), lake.item, lake.event.where(cut))
-    monthly.run(lake.inspection, lake.item, lake.event)
+    monthly.run(lake.inspection.where(cut), lake.item, lake.stored("event").where(cut))
+    monthly.run(lake.inspection, lake.item, lake.stored("event"))
     rows = monthly.control.read()
     ids = F.when(F.col("kind") == "waiting", F.col("hi") - F.col("lo") + 1).otherwise(F.lit(1).cast("bigint"))
     return rows.where(F.col("kind") != "seen").groupBy("kind").agg(F.sum(ids).alias("linhas"))
@@ -370,30 +370,30 @@ def _lost_queue(lake):
 @query("STR-21_selective_replay", """SELECT vistoria_id, item_codigo, situacao, quantidade FROM event WHERE vistoria_id % 103 <> 0 OR vistoria_id % 101 = 0
     UNION ALL SELECT vistoria_id, item_codigo, situacao, quantidade + 1 FROM event WHERE vistoria_id % 103 = 0 AND vistoria_id % 101 <> 0""")
 def selective_replay(lake):
-    tables = _table(lake, lake.target.where(F.col("vistoria_id") < 10_000_000))
-    recovery.replay(_lost_queue(lake), tables.receipts, lake.event, tables.events, "operador-01", "origem_corrigida", "2002-02-01 00:00:00")
-    recovery.replay(_lost_queue(lake), tables.receipts, lake.event, tables.events, "operador-02", "origem_corrigida", "2002-03-01 00:00:00")
+    tables = _table(lake, lake.stored("target").where(F.col("vistoria_id") < 10_000_000))
+    recovery.replay(_lost_queue(lake), tables.receipts, lake.stored("event"), tables.events, "operador-01", "origem_corrigida", "2002-02-01 00:00:00")
+    recovery.replay(_lost_queue(lake), tables.receipts, lake.stored("event"), tables.events, "operador-02", "origem_corrigida", "2002-03-01 00:00:00")
     return tables.events.read().select("vistoria_id", "item_codigo", "situacao", "quantidade")
 
 
 @query("STR-21_replay_receipts", """SELECT vistoria_id AS lsn_origem, 'vistoria_item/insert/'||vistoria_id||'/'||item_codigo AS chave, 'operador-01' AS responsavel
     FROM item WHERE vistoria_id % 101 = 0 OR (vistoria_id % 103 = 1)""")
 def replay_receipts(lake):
-    tables = _table(lake, lake.target.where(F.col("vistoria_id") < 10_000_000))
-    recovery.replay(_lost_queue(lake), tables.receipts, lake.event, tables.events, "operador-01", "origem_corrigida", "2002-02-01 00:00:00")
-    recovery.replay(_lost_queue(lake), tables.receipts, lake.event, tables.events, "operador-02", "origem_corrigida", "2002-03-01 00:00:00")
+    tables = _table(lake, lake.stored("target").where(F.col("vistoria_id") < 10_000_000))
+    recovery.replay(_lost_queue(lake), tables.receipts, lake.stored("event"), tables.events, "operador-01", "origem_corrigida", "2002-02-01 00:00:00")
+    recovery.replay(_lost_queue(lake), tables.receipts, lake.stored("event"), tables.events, "operador-02", "origem_corrigida", "2002-03-01 00:00:00")
     return tables.receipts.read().select("lsn_origem", "chave", "responsavel")
 
 
 def _accepted(lake):
     """A truncate accepted over the whole table, and a header deletion accepted on one inspection."""
-    tables = _table(lake, lake.target)
+    tables = _table(lake, lake.stored("target"))
     entries = [
         {"lsn_origem": 1, "chave": "vistoria_item/truncate/None/None", "tabela": "vistoria_item", "operacao": "truncate", "vistoria_id": None, "item_codigo": None},
         {"lsn_origem": 2, "chave": "vistoria/delete/103/None", "tabela": "vistoria", "operacao": "delete", "vistoria_id": 103, "item_codigo": None},
     ]
     for entry in entries:
-        recovery.accept(entry, tables.receipts, tables.reviewed, lake.event, tables.events.read(), "operador-01", "desvio_aceito", "2002-02-01 00:00:00")
+        recovery.accept(entry, tables.receipts, tables.reviewed, lake.stored("event"), tables.events.read(), "operador-01", "desvio_aceito", "2002-02-01 00:00:00")
     queue = lake.spark.createDataFrame([
         (e["lsn_origem"], e["chave"], e["tabela"], e["operacao"]) for e in entries], "lsn_origem long, chave string, tabela string, operacao string")
     return tables, queue
@@ -414,5 +414,5 @@ def accepted_deviation(lake):
 def active_treatments(lake):
     """Both sides change after the review: only the untouched header keeps its exemption."""
     tables, queue = _accepted(lake)
-    changed = lake.event.withColumn("quantidade", F.when(F.col("vistoria_id") == 104, -1).otherwise(F.col("quantidade")))
+    changed = lake.stored("event").withColumn("quantidade", F.when(F.col("vistoria_id") == 104, -1).otherwise(F.col("quantidade")))
     return recovery.accepted_keys(queue, tables.receipts.read(), tables.reviewed.read(), changed, tables.events.read())
