@@ -107,23 +107,27 @@ def profile_starts(changes: DataFrame) -> DataFrame:
 def profile_states(changes: DataFrame, catalog: Sequence[str], hot: bool = False) -> DataFrame:
     """State of every item at every profile start, without joining starts to intervals.
 
-    One row per (entity, instant) holds what each item changed to at that instant; carrying each
-    item's last value forward gives the whole profile. Work grows with changes x catalog size,
-    never with starts x changes.
+    Each change sets one item; carrying every item's last value forward in time order makes each
+    row hold the whole profile after that change, and the last row of an instant is the profile
+    that starts there. One sort of the changes; work grows with changes x catalog size, never with
+    starts x changes.
     """
-    at_instant = changes.groupBy(*ordered.part(["co_entidade"], hot), F.col("desde").alias("valid_from")).agg(
-        F.max("vistoria_id").alias("vistoria_origem_id"),
+    keys, order = ["co_entidade"], ["desde", "vistoria_id", "item_codigo"]
+    spread = changes.select(
+        *ordered.part(keys, hot), *order,
         *[
-            F.max_by(
-                F.struct("situacao", "quantidade"),
-                F.when(F.col("item_codigo") == code, F.col("vistoria_id")),
-            ).alias(f"_{i}")
+            F.when(F.col("item_codigo") == code, F.struct("situacao", "quantidade")).alias(f"_{i}")
             for i, code in enumerate(catalog)
         ],
     )
-    held = {f"_v{i}": f"_{i}" for i in range(len(catalog))}
-    at_instant = ordered.settle(at_instant, hot)
-    return ordered.carry_last(at_instant, ["co_entidade"], ["valid_from"], held, hot).drop(*held.values())
+    values = {f"_v{i}": f"_{i}" for i in range(len(catalog))}
+    held = ordered.settle(ordered.carry_last(spread, keys, order, values, hot).drop(*values.values()), hot)
+    seen = ordered.neighbour(held, keys, order, {"_next": "desde"}, 1, hot)
+    closes_instant = F.col("_next").isNull() | (F.col("_next") > F.col("desde"))
+    return seen.where(closes_instant).select(
+        "co_entidade", F.col("desde").alias("valid_from"), F.col("vistoria_id").alias("vistoria_origem_id"),
+        "_next", *values,
+    )
 
 
 def _profile_map(catalog: Sequence[str], part: str) -> Column:
@@ -137,20 +141,17 @@ def _profile_map(catalog: Sequence[str], part: str) -> Column:
 def dim_profile(changes: DataFrame, catalog: Sequence[str], hot: bool = False) -> DataFrame:
     """Type-2 profile dimension: one version per instant at which the entity's profile changes."""
     codes = sorted(catalog)
-    states = ordered.settle(profile_states(changes, codes, hot), hot)
-    mapped = states.select(
-        *ordered.part(["co_entidade"], hot), "valid_from", "vistoria_origem_id",
+    def count_of(state: str) -> Column:
+        # One SQL text per counter: compiled, and far fewer calls than one column object per item.
+        return F.expr("cast(" + " + ".join(
+            f"if(_v{i}.situacao <=> '{state}', 1, 0)" for i in range(len(codes))) + " as bigint)")
+
+    counted = profile_states(changes, codes, hot).select(
+        "co_entidade", "valid_from", "vistoria_origem_id", "_next",
+        *[count_of(state).alias(name) for name, state in COUNTERS.items()],
         _profile_map(codes, "situacao").alias("itens"), _profile_map(codes, "quantidade").alias("quantidades"),
-    )
-    counted = mapped.withColumns({
-        "n_itens_conhecidos": F.size("itens").cast("bigint"),
-        **{
-            name: F.expr(f"cast(size(filter(map_values(itens), s -> s = '{state}')) as bigint)")
-            for name, state in COUNTERS.items()
-        },
-    })
-    dated = ordered.neighbour(counted, ["co_entidade"], ["valid_from"], {"_next": "valid_from"}, 1, hot)
-    return dated.select(
+    ).withColumn("n_itens_conhecidos", F.size("itens").cast("bigint"))
+    return counted.select(
         profile_key("co_entidade", "valid_from").alias("escola_infra_sk"),
         "co_entidade",
         "valid_from",
