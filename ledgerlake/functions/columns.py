@@ -107,6 +107,20 @@ def entries_text(mapping: str | Column) -> Column:
     )
 
 
+def stable_json(mapping: str | Column) -> Column:
+    """JSON object with its keys in order: equal maps give equal text."""
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(col(mapping)))))
+
+
+def truncated(text: str | Column, limit: int) -> Column:
+    return F.substring(col(text), 1, limit)
+
+
+def valid_operator(operator: str | Column) -> Column:
+    """Operational ids name no person: the word operador, a dash and two to six digits."""
+    return col(operator).rlike("^operador-[0-9]{2,6}$")
+
+
 def encode_items(mapping: str | Column, catalog: Sequence[str]) -> Column:
     """One digit per catalog item, in catalog order."""
     digits = F.create_map(*[F.lit(x) for pair in STATE_DIGITS.items() for x in pair])

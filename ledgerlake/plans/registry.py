@@ -26,4 +26,4 @@ def query(name: str, oracle: str | None = None):
 
 def load() -> None:
     """Import every module that registers queries."""
-    from ledgerlake.plans import analytics, checks, dashboards, histories, storage, streams  # noqa: F401
+    from ledgerlake.plans import analytics, checks, dashboards, histories, scalars, storage, streams  # noqa: F401

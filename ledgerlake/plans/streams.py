@@ -263,6 +263,42 @@ def streamed_events(lake):
     return tables.events.read()
 
 
+def _files_by_position(lake, parts: int = 4) -> str:
+    """The envelope as successive files of rising position, as a capture would drop them."""
+    path = f"{work_dir(lake.spark)}/envelope"
+    top = lake.changes.agg(F.max("lsn")).first()[0] + 1
+    for part in range(parts):
+        low, high = part * top // parts, (part + 1) * top // parts
+        lake.changes.where((F.col("lsn") >= low) & (F.col("lsn") < high)).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@query("STR-02_continuous_follow", "SELECT * FROM stored")
+def continuous_follow(lake):
+    """A query that keeps polling, stopped once it has delivered everything that was there."""
+    tables, headers = _table(lake), lake.stream_headers
+    followed = run.start(
+        run.source(lake.spark, _files_by_position(lake)), lambda: headers, tables, work_dir(lake.spark), every="1 second"
+    )
+    try:
+        followed.processAllAvailable()
+    finally:
+        followed.stop()
+    return tables.events.read()
+
+
+@query("STR-04_rate_limited_passes", """SELECT 4::BIGINT AS passadas, (SELECT count(*) FROM stored) AS eventos,
+    (SELECT count(*) FROM stream) AS transacoes""")
+def rate_limited(lake):
+    """One file per micro-batch: four passes, nothing lost and nothing doubled."""
+    tables, headers = _table(lake), lake.stream_headers
+    run.run_once(lake.spark, _files_by_position(lake), lambda: headers, tables, work_dir(lake.spark), max_files=1)
+    passes = tables.telemetry.read().agg(
+        F.countDistinct("passada_em").alias("passadas"), F.countDistinct("lsn_fim").alias("transacoes")
+    )
+    return passes.withColumn("eventos", tables.events.read().agg(F.count("*")).scalar())
+
+
 @query("STR-07_streamed_queue", "SELECT * FROM queue QUALIFY row_number() OVER (PARTITION BY lsn_origem, chave ORDER BY motivo) = 1")
 def streamed_queue(lake):
     tables = _table(lake)
