@@ -61,7 +61,7 @@ def stored_reads(spark, folder: str) -> dict[str, float]:
     fine, wide = star.read("fato_vistoria_item"), star.read("fato_infra_escola_ano")
     schools, places = star.read("dim_escola"), star.read("dim_municipio")
     timed("stored_lacking_now", lambda: metrics.lacking_now(history.latest_state(fine), schools, "item_2"))
-    timed("stored_lacking_last_year", lambda: metrics.lacking_last_year(facts.last_year_rows(wide), schools, "item_2"))
+    timed("stored_lacking_last_year", lambda: metrics.lacking_last_year(facts.last_year_rows(wide, ["item_2"]), schools, "item_2"))
     timed("stored_lacking_fixed_year", lambda: metrics.lacking_in_year(wide, schools, "item_2", LAST_YEAR))
     timed("stored_fine_grain_share", lambda: metrics.fine_grain_share(fine, schools, places, "item_3", LAST_YEAR))
     timed("stored_wide_grain_share", lambda: metrics.wide_grain_share(wide, schools, places, "item_3", LAST_YEAR))

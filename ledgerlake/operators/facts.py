@@ -126,11 +126,14 @@ def fact_performance(
     return history.as_of(asked, profiles, "co_entidade", "_at_ref", ["escola_infra_sk"], hot).drop("_at_ref")
 
 
-def last_year_rows(facts: DataFrame) -> DataFrame:
-    """Rows with no later year for the same school, as an aggregate instead of a self anti-join."""
-    others = [c for c in facts.columns if c != "co_entidade"]
-    newest = F.max_by(F.struct(*others), "ano").alias("_f")
-    return facts.groupBy("co_entidade").agg(newest).select("co_entidade", *[f"_f.{c}" for c in others])
+def last_year_rows(facts: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows with no later year for the same school, as an aggregate instead of a self anti-join.
+
+    Name the ``columns`` a question needs: only those are read.
+    """
+    wanted = [c for c in (columns or facts.columns) if c not in ("co_entidade", "ano")]
+    newest = [F.max_by(c, "ano").alias(c) for c in wanted]
+    return facts.groupBy("co_entidade").agg(F.max("ano").alias("ano"), *newest).select("co_entidade", "ano", *wanted)
 
 
 def with_profile(facts: DataFrame, profiles: DataFrame) -> DataFrame:

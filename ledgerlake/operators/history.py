@@ -184,18 +184,14 @@ def as_of(
         key, F.col("valid_from").alias("_at"), F.lit(0).alias("_kind"),
         F.struct("valid_to", *take).alias("_version"),
     )
-    fact_rows = facts.select(
-        key, F.col(at).alias("_at"), F.lit(1).alias("_kind"),
-        F.struct(*[F.col(c) for c in facts.columns if c != key]).alias("_fact"),
-    )
-    lined_up = version_rows.unionByName(fact_rows, allowMissingColumns=True)
+    # Fact columns stay top-level, so those nobody asks for are pruned from the scan.
+    fact_rows = facts.withColumns({"_at": F.col(at), "_kind": F.lit(1)})
+    lined_up = fact_rows.unionByName(version_rows, allowMissingColumns=True)
     chunked = ordered.with_chunks(lined_up, [key], hot, chunk(F.col("_at")))
     carried = ordered.carry_last(chunked, [key], ["_at", "_kind"], {"_seen": "_version"}, hot is not None)
     valid = F.col("_at") < F.col("_seen.valid_to")
     return carried.where(F.col("_kind") == 1).select(
-        key,
-        *[F.col(f"_fact.{c}").alias(c) for c in facts.columns if c != key],
-        *[F.when(valid, F.col(f"_seen.{c}")).alias(c) for c in take],
+        *facts.columns, *[F.when(valid, F.col(f"_seen.{c}")).alias(c) for c in take]
     )
 
 

@@ -26,10 +26,14 @@ class Metric:
     minimum: int
     compute: Callable[..., DataFrame]
     group_sizes: tuple[str, ...] = ()
+    # True where small groups must be gone before something else is computed from the rest.
+    suppresses_inside: bool = False
 
     def __call__(self, *frames: DataFrame, **params) -> DataFrame:
         """Compute, then drop every group whose size columns are under the minimum."""
         minimum = params.pop("minimum", self.minimum)
+        if self.suppresses_inside:
+            params["minimum"] = minimum
         out = self.compute(*frames, **params)
         for size in self.group_sizes:
             out = out.where(F.col(size) >= minimum)
@@ -40,22 +44,28 @@ def item_state(item: str) -> Column:
     return F.coalesce(F.try_element_at("itens", F.lit(item)), F.lit(UNKNOWN))
 
 
+def sliced(schools: DataFrame, where: Column | None) -> DataFrame:
+    """Schools of a slice; the condition may use any column of the given school frame."""
+    return schools if where is None else schools.where(where)
+
+
 def score_mean(performance: DataFrame, schools: DataFrame, area: str = "media_geral", where: Column | None = None) -> DataFrame:
-    rows = performance.join(schools, "co_entidade").where(F.col(area).isNotNull())
-    if where is not None:
-        rows = rows.where(where)
+    rows = performance.where(F.col(area).isNotNull()).join(
+        sliced(schools, where).select("co_entidade"), "co_entidade", "left_semi"
+    )
     return rows.agg(
         F.count(area).alias("n_escolas"), F.avg(area).alias("media"), F.stddev_samp(area).alias("desvio_padrao")
     )
 
 
 def with_without(
-    performance: DataFrame, schools: DataFrame, profiles: DataFrame, item: str, area: str = "media_geral"
+    performance: DataFrame, schools: DataFrame, profiles: DataFrame, item: str, area: str = "media_geral",
+    where: Column | None = None,
 ) -> DataFrame:
     """Mean score of schools with the item minus mean of schools without it, per network."""
     rows = (
         performance.where(F.col(area).isNotNull())
-        .join(schools.select("co_entidade", "rede"), "co_entidade")
+        .join(sliced(schools, where).select("co_entidade", "rede"), "co_entidade")
         .join(profiles.select("escola_infra_sk", "itens"), "escola_infra_sk")
     )
     has = F.when(item_state(item) == PRESENT, F.col(area))
@@ -67,14 +77,16 @@ def with_without(
     )
 
 
-def state_share(schools: DataFrame, performance: DataFrame, profiles: DataFrame, item: str) -> DataFrame:
+def state_share(
+    schools: DataFrame, performance: DataFrame, profiles: DataFrame, item: str, where: Column | None = None
+) -> DataFrame:
     """Share of schools per state of the item at the reference date; unknown counts too.
 
     The profiles are filtered to the one reference instant first, so the join is one row per school.
     """
     reference = performance.agg(F.max("data_referencia_infraestrutura").cast(NTZ).alias("em")).scalar()
     at_reference = profiles.where((F.col("valid_from") <= reference) & (reference < F.col("valid_to")))
-    states = schools.join(at_reference.select("co_entidade", "itens"), "co_entidade", "left")
+    states = sliced(schools, where).join(at_reference.select("co_entidade", "itens"), "co_entidade", "left")
     counted = states.groupBy(item_state(item).alias("situacao")).agg(F.count("*").alias("n_escolas"))
     return ratio_to_total(counted, "n_escolas", "percentual", 1)
 
@@ -85,8 +97,9 @@ def ratio_to_total(grouped: DataFrame, count: str, name: str, digits: int) -> Da
     return grouped.withColumn(name, pct(F.col(count), total, digits))
 
 
-def exam_coverage(exam: DataFrame, schools: DataFrame) -> DataFrame:
-    rows = exam.join(schools.select("co_entidade", F.lit(True).alias("_known")), "co_entidade", "left")
+def exam_coverage(exam: DataFrame, schools: DataFrame, year: int | None = None) -> DataFrame:
+    asked = exam if year is None else exam.where(F.col("ano") == year)
+    rows = asked.join(schools.select("co_entidade", F.lit(True).alias("_known")), "co_entidade", "left")
     known = F.coalesce("_known", F.lit(False))
     return rows.agg(
         F.count("*").alias("escolas_enem"),
@@ -164,7 +177,7 @@ METRICS: dict[str, Metric] = {
         Metric("pct_escolas_por_situacao_do_item", "school", ("item", "uf", "municipality", "network", "location"),
                0, state_share),
         Metric("cobertura_enem_censo", "exam school and year", ("year",), 0, exam_coverage),
-        Metric("prioridade_vistoria", "school", ("uf",), MIN_GROUP, inspection_priority),
+        Metric("prioridade_vistoria", "school", ("uf",), MIN_GROUP, inspection_priority, suppresses_inside=True),
     )
 }
 

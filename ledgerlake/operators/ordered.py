@@ -30,7 +30,8 @@ def by_day(ts: Column) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame | None:
     """Keys with more than ``limit`` rows, or None when there are none (the usual case)."""
     hot = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit).select(*keys)
-    return None if hot.isEmpty() else hot
+    # Fixed once, so that every step of a plan splits the same keys.
+    return None if hot.isEmpty() else settle(hot, True)
 
 
 def with_chunks(df: DataFrame, keys: Sequence[str], hot: DataFrame | None, chunk: Column) -> DataFrame:

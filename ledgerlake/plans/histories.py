@@ -341,7 +341,7 @@ _LAST = "(SELECT * FROM fact_year QUALIFY ano = max(ano) OVER (PARTITION BY co_e
 
 @query("AGG-16_lacking_last_year", f"SELECT tp_dependencia, count(*) AS escolas FROM {_LAST} JOIN school USING (co_entidade) WHERE item_2 = false GROUP BY tp_dependencia")
 def lacking_last_year(lake):
-    return metrics.lacking_last_year(facts.last_year_rows(lake.fact_year), lake.school, "item_2")
+    return metrics.lacking_last_year(facts.last_year_rows(lake.fact_year, ["item_2"]), lake.school, "item_2")
 
 
 @query("AGG-16_lacking_fixed_year", f"SELECT tp_dependencia, count(*) AS escolas FROM fact_year JOIN school USING (co_entidade) WHERE ano = {LAST_YEAR} AND item_2 = false GROUP BY tp_dependencia")
@@ -351,7 +351,7 @@ def lacking_fixed_year(lake):
 
 @query("AGG-16b_lacking_with_zero_groups", f"SELECT tp_dependencia, count(*) FILTER (item_2 = false) AS escolas FROM {_LAST} JOIN school USING (co_entidade) GROUP BY tp_dependencia")
 def lacking_zero_groups(lake):
-    return metrics.lacking_with_zero_groups(facts.last_year_rows(lake.fact_year), lake.school, "item_2")
+    return metrics.lacking_with_zero_groups(facts.last_year_rows(lake.fact_year, ["item_2"]), lake.school, "item_2")
 
 
 @query("JOIN-11_scalar_reference", f"""SELECT d.co_entidade, r.em, d.itens FROM profile d,

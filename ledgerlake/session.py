@@ -26,6 +26,15 @@ def build_session(app: str = "ledgerlake", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def shuffle_partitions(input_bytes: int, task_bytes: int = 256 << 20, least: int = 200, most: int = 100_000) -> int:
+    """Partitions a shuffle of ``input_bytes`` should start with so that each fits a task.
+
+    Give it to ``spark.sql.shuffle.partitions`` for the job: adaptive execution merges small
+    partitions afterwards but never splits one that an explicit layout by key made too large.
+    """
+    return max(least, min(most, -(-input_bytes // task_bytes)))
+
+
 def work_dir(spark: SparkSession) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 

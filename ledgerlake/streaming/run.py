@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -74,8 +75,13 @@ def deliver(
         read_end = utc_now()
         events, rejected = envelope.events_of(enriched), envelope.rejections(enriched)
         converted = utc_now()
-        written = tables.events.insert_if_absent(events)
-        tables.queue.insert_if_absent(rejected.unionByName(envelope.insert_only_violations(changes)))
+        letters = rejected.unionByName(envelope.insert_only_violations(changes))
+        # Two independent tables: their jobs run side by side, and both must be done to go on.
+        with ThreadPoolExecutor(2) as pool:
+            inserting = pool.submit(tables.events.insert_if_absent, events)
+            queueing = pool.submit(tables.queue.insert_if_absent, letters)
+            written = inserting.result()
+            queueing.result()
         clock = telemetry.Clock(start, read_end, converted, utc_now())
         _log_pass(changes, events, rejected, clock, tables, drifts)
         enriched.unpersist()

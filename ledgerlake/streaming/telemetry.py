@@ -96,11 +96,12 @@ def read_range(telemetry: DataFrame, above: int = -1, upto: int | None = None) -
     return rows.orderBy("passada_em", "posicao_na_passada")
 
 
-def _centi(value: Column) -> Column:
-    return F.floor(value * 100)
+def _second(value: Column) -> Column:
+    """Whole seconds: at most a million distinct microsecond values fall into one bucket."""
+    return F.floor(value)
 
 
-def latency_summary(times: DataFrame, groups: list[str], value: str, minimum: int = 2, bucket=_centi) -> DataFrame:
+def latency_summary(times: DataFrame, groups: list[str], value: str, minimum: int = 2, bucket=_second) -> DataFrame:
     """n, median, interpolated p95, min and max per group; groups under ``minimum`` are left out."""
     spots = ordered.exact_quantiles(times, groups, value, {"mediana_s": 0.5, "p95_s": 0.95}, bucket)
     plain = times.where(F.col(value).isNotNull()).groupBy(*groups).agg(

@@ -97,3 +97,20 @@ def test_checks(spark):
     assert [r.regras for r in quality.violations(df, rules).collect()] == ["positive"]
     batches = workload.batch_number(df, "k", 2).groupBy("lote").count().count()
     assert batches == 2
+
+
+def test_metric_slices_and_minimum(spark, census, exam):
+    from ledgerlake.operators.metrics import METRICS
+
+    schools = census.withColumn("rede", F.lit("estadual"))
+    mean = METRICS["media_enem_escolas"]
+    assert mean(exam, schools, where=F.col("sg_uf") == "DF").first().media == 505.5
+    assert mean(exam, schools, where=F.col("co_entidade") < 5).isEmpty()
+    assert mean(exam, schools, where=F.col("co_entidade") < 5, minimum=2).first().n_escolas == 4
+
+
+def test_partitions_grow_with_the_input():
+    from ledgerlake.session import shuffle_partitions
+
+    assert shuffle_partitions(1) == 200
+    assert shuffle_partitions(10 << 40) == 40_960
