@@ -375,6 +375,7 @@ def operation_balance(lake):
 
 @query("STR-19_audit_report", """SELECT 'conteudo_diferente' AS violacao, count(*) AS quantidade FROM compared WHERE situacao = 'diferentes'
     UNION ALL SELECT 'sem_explicacao', count(*) FROM compared WHERE situacao = 'so_na_origem' AND vistoria_id % 2 <> 0
+      AND (vistoria_id, item_codigo) NOT IN (SELECT vistoria_id, item_codigo FROM queue WHERE operacao = 'insert')
     UNION ALL SELECT 'so_no_destino', count(*) FROM compared WHERE situacao = 'so_no_destino'
     UNION ALL SELECT 'pendencias_na_fila', count(*) FROM queue WHERE lsn_origem % 3 <> 0 OR operacao = 'insert'
     UNION ALL SELECT 'desvios_do_insert_only', count(*) FILTER (lsn % 3 <> 0) + count(*) FILTER (lsn % 500 = 0) FROM stream WHERE op <> 'insert'
