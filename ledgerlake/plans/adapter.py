@@ -260,7 +260,7 @@ class Lake:
         lsn = F.col("lsn")
         known = lsn % 29 != 0
         return self.stream.select(
-            F.lit("principal").alias("fluxo"), F.col("commit_ts").alias("passada_em"), lsn.alias("posicao_na_passada"),
+            F.when(lsn >= 0, "principal").otherwise("outro").alias("fluxo"), F.col("commit_ts").alias("passada_em"), lsn.alias("posicao_na_passada"),
             F.when(lsn % 17 == 0, lsn - 25).otherwise(lsn).alias("lsn_fim"),
             F.when(known, F.col("record_ts")).alias("registrado_em"), F.when(known, F.col("event_ts")).alias("ocorrido_em"),
         )
@@ -406,7 +406,7 @@ VIEWS: dict[str, str] = {
         CASE WHEN k % 25 = 0 THEN 'many' ELSE k::VARCHAR END AS quantidade,
         ts - to_seconds(k) AS record_ts, ts - to_days(k % 12) AS event_ts
         FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)""",
-    "deliveries": """SELECT 'principal' AS fluxo, commit_ts AS passada_em, lsn AS posicao_na_passada,
+    "deliveries": """SELECT CASE WHEN lsn >= 0 THEN 'principal' ELSE 'outro' END AS fluxo, commit_ts AS passada_em, lsn AS posicao_na_passada,
         CASE WHEN lsn % 17 = 0 THEN lsn - 25 ELSE lsn END AS lsn_fim,
         CASE WHEN lsn % 29 <> 0 THEN record_ts END AS registrado_em, CASE WHEN lsn % 29 <> 0 THEN event_ts END AS ocorrido_em
         FROM stream""",

@@ -78,8 +78,8 @@ def transaction_telemetry(lake):
 def latency_summary(lake):
     rows = lake.stream.select(F.greatest(
         F.lit(0.0), telemetry.seconds_between("commit_ts", F.lit(_CLOCK.read_start).cast("timestamp_ntz")).cast("double")
-    ).alias("s"), F.lit("espera_s").alias("medida"))
-    out = telemetry.latency_summary(rows, ["medida"], "s")
+    ).alias("s"))
+    out = telemetry.latency_summary(rows, [], "s").withColumn("medida", F.lit("espera_s"))
     return out.withColumns({c: F.round(c, 4) for c in ("mediana_s", "p95_s")})
 
 
@@ -137,7 +137,8 @@ def _announced(lake):
         F.struct(F.lit("situacao").alias("coluna"), F.concat(F.lit("enum_"), F.col("event_id") % 3).alias("tipo")),
         F.struct(F.when(kind == "error", "qtd").otherwise("quantidade").alias("coluna"), F.when(kind == "view", "text").otherwise("int").alias("tipo")),
     )
-    rows = lake.table("events").select(F.col("event_id").alias("anuncio"), F.lit("vistoria_item").alias("tabela"), F.explode(columns).alias("c"))
+    table = F.when(kind != "", "vistoria_item").otherwise("fora_do_contrato").alias("tabela")
+    rows = lake.table("events").select(F.col("event_id").alias("anuncio"), table, F.explode(columns).alias("c"))
     return rows.where(F.col("c.coluna").isNotNull()).select("anuncio", "tabela", "c.coluna", "c.tipo")
 
 

@@ -15,6 +15,7 @@ def spark():
     session = build_session(
         "tests", "local[8]",
         **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
+           "spark.sql.maxMetadataStringLength": "5000",
            # Tiny inputs: compiling generated code would cost more than running the queries.
            "spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN",
            # A zone with daylight saving: no result may depend on it.

@@ -50,6 +50,9 @@ def answers(spark, request):
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_query(answers, duck, name):
     df, rows = answers[name].result()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
+        assert banned not in plan
     sql = entry_module.oracle_sql().get(name)
     if sql is None:
         assert rows
