@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,19 +70,23 @@ class Star:
         profiles = self._write(
             build, "dim_escola_infraestrutura", history.dim_profile(changes, codes, hot is not None), ["co_entidade"]
         )
-        fine = self._write(
-            build, "fato_vistoria_item", facts.fact_item(inputs.events, profiles, hot), ["item_codigo", "ocorrido_em"]
-        )
-        wide = self._write(
-            build, "fato_infra_escola_ano", facts.fact_year(inputs.events, profiles, codes, as_of, hot),
-            ["co_entidade"], ["ano"],
-        )
-        checks = self.checks(schools, places, profiles, fine, wide)
-        if inputs.exam is not None and exam_reference is not None:
-            self._write(
-                build, "fato_desempenho_escola_ano",
-                facts.fact_performance(inputs.exam, inputs.schools, profiles, exam_reference, hot),
+        # The facts need nothing from each other, so their jobs run side by side.
+        with ThreadPoolExecutor(3) as pool:
+            fine_job = pool.submit(
+                self._write, build, "fato_vistoria_item", facts.fact_item(inputs.events, profiles, hot),
+                ["item_codigo", "ocorrido_em"],
             )
+            wide_job = pool.submit(
+                self._write, build, "fato_infra_escola_ano", facts.fact_year(inputs.events, profiles, codes, as_of, hot),
+                ["co_entidade"], ["ano"],
+            )
+            if inputs.exam is not None and exam_reference is not None:
+                pool.submit(
+                    self._write, build, "fato_desempenho_escola_ano",
+                    facts.fact_performance(inputs.exam, inputs.schools, profiles, exam_reference, hot),
+                ).result()
+            fine, wide = fine_job.result(), wide_job.result()
+        checks = self.checks(schools, places, profiles, fine, wide)
         failed = quality.run_checks(checks).where(F.col("falhas") > 0).collect()  # one row per check
         if failed:
             raise ValueError("build not published: " + ", ".join(f"{r['teste']} ({r['falhas']})" for r in failed))
