@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.contracts import AREAS, MIN_GROUP, STATES, UNKNOWN
+from ledgerlake.contracts import AREAS, MIN_GROUP, STATES
 from ledgerlake.functions.columns import encode_items, finite
 from ledgerlake.operators import metrics, ordered
 
@@ -200,7 +200,3 @@ def exam_rows(exam: DataFrame, school_positions: DataFrame, catalog: Sequence[st
         "escola", encode_items("itens", sorted(catalog)).alias("itens"),
         *[finite(s).alias(s) for s in SCORES], "n_participantes", F.col("perfil").isNotNull().alias("tem_perfil"),
     )
-
-
-def known_states_only(state: Column) -> Column:
-    return F.coalesce(state, F.lit(UNKNOWN))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.contracts import EVENT_CONTENT, PRESENT
 from ledgerlake.functions.columns import NTZ, month_of, pct, year_of
-from ledgerlake.operators import history, ordered
+from ledgerlake.operators import history
 from ledgerlake.operators.history import COUNTERS
 
 

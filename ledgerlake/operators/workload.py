@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.contracts import ABSENT, PRESENT, UNKNOWN
@@ -102,6 +102,6 @@ def school_history(events: DataFrame, school: int, item: str) -> DataFrame:
     ).orderBy("ocorrido_em", "vistoria_id")
 
 
-def inspection_events(events: DataFrame, inspection: int, month: str) -> DataFrame:
+def inspection_events(events: DataFrame, inspection: int, month: str | Column) -> DataFrame:
     """Events of one inspection, pruned to its month partition."""
     return events.where((F.col("mes_ocorrencia") == month) & (F.col("vistoria_id") == inspection))

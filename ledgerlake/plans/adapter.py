@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ledgerlake.contracts import (
     ABSENT, EVENT_CONTENT, ORIGIN_CENSUS, ORIGIN_ON_SITE, ORIGIN_SELF, PRESENT, UNDER_WORK, UNKNOWN, UNUSABLE,
 )
-from ledgerlake.functions.columns import month_of
 from ledgerlake.operators import dashboard, exams, facts, history, ordered
 from ledgerlake.session import work_dir
 

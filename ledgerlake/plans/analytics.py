@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.contracts import AREAS
 from ledgerlake.operators import census, exams, metrics, ordered, quality, workload
-from ledgerlake.plans.adapter import CATALOG, EXAM_REFERENCE, EXAM_YEAR
+from ledgerlake.plans.adapter import CATALOG, EXAM_REFERENCE
 from ledgerlake.plans.registry import query
 
 _MEANS = [f"media_{a}" for a in AREAS] + ["media_geral"]

@@ -294,7 +294,7 @@ def current_state(lake):
 def inspection_events(lake):
     header = lake.inspection.where(F.col("vistoria_id") == 1000)
     month = header.select(month_of("ocorrido_em").alias("m")).scalar()
-    return lake.event.where((F.col("mes_ocorrencia") == month) & (F.col("vistoria_id") == 1000))
+    return workload.inspection_events(lake.event, 1000, month)
 
 
 @query("SNK-13_current_state_update", """SELECT co_entidade, item_codigo, CASE WHEN co_entidade % 3 = 0 AND item_codigo = 'item_4'
