@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import packing, pii, token_counts, vectors
+from ledgerlake.llm import packing, pii, quality, token_counts, toxicity, vectors
 from ledgerlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,17 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 def _top_k(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     return vectors.top_k(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5, scale=256)
+
+
+def _scored(scored: DataFrame) -> DataFrame:
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op4_toxicity")
+def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(toxicity.toxic_scores(table(spark, folder, "documents"), table(spark, folder, "labels")))
+
+
+@query("op9_quality")
+def _quality(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels")))
