@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ _LONG = np.iinfo(np.int64)
 def quantised(b: pa.RecordBatch, scale: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(ids, floored components) of the usable rows of a batch, by vector length."""
     ids, vectors = b.column(0), b.column(1)
-    lengths = np.asarray(pa.compute.list_value_length(vectors).fill_null(-1)) if len(b) else np.zeros(0, int)
+    lengths = np.asarray(pc.list_value_length(vectors).fill_null(-1)) if len(b) else np.zeros(0, int)
     known = np.asarray(ids.is_valid())
     for dim in np.unique(lengths[known]):
         if dim < 0:
