@@ -37,7 +37,7 @@ FREQUENT = 1 << 17
 #: Entries of a worker's own cache; once it is full, what it lacks is encoded each time.
 CACHE = 1 << 18
 #: Summaries merged by one task.
-FAN_IN = 32
+FAN_IN = 8
 _PIECE = 1 << 16
 #: Longer pre-tokens are encoded whenever they occur.
 LONGEST = 64
