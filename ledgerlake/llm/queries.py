@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import packing, pii, quality, token_counts, toxicity, vectors
+from ledgerlake.llm import decontamination, packing, pii, quality, token_counts, toxicity, vectors
 from ledgerlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,9 @@ def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_quality")
 def _quality(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels")))
+
+
+@query("op7_decontamination")
+def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """One row a contaminated pair; clean documents have none."""
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
