@@ -33,6 +33,10 @@ def _joined(spans: F.Column) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _of_kind(kind: str) -> F.Column:
+    return F.size(F.filter("plain", lambda s: s["kind"] == kind)).cast("long")
+
+
 @query("op2_personal_data")
 def _personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """The counts and the hash are those of the plain spans; ``spans`` lists plain and added ones."""
@@ -42,7 +46,7 @@ def _personal_data(spark: SparkSession, folder: str) -> DataFrame:
         F.concat("plain", "added"),
         lambda s: F.struct(F.array_position(order, s["kind"]).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
     )
-    counts = [F.size(F.filter("plain", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    counts = [_of_kind(k).alias(f"n_{k}") for k in pii.KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(_joined(F.col("plain")), 256).alias("base_sha256"),
         _joined(F.array_sort(ranked)).alias("spans"), F.size("added").cast("long").alias("n_added"),
