@@ -182,3 +182,14 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
     )
+
+
+def rolled(hashes: np.ndarray, k: int, salt: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` consecutive words, from prefix sums."""
+    n = len(hashes)
+    if n < k:
+        return np.zeros(0, np.uint64)
+    up, down = _powers(n + 1)
+    prefix = np.zeros(n + 1, np.uint64)
+    np.cumsum(mix(hashes ^ np.uint64(salt)) * up[:n], out=prefix[1:])
+    return mix((prefix[k:] - prefix[: n - k + 1]) * down[: n - k + 1])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontamination, packing, pii, quality, token_counts, toxicity, vectors
+from ledgerlake.llm import decontamination, packing, pii, quality, substrings, token_counts, toxicity, vectors
 from ledgerlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,9 @@ def _quality(spark: SparkSession, folder: str) -> DataFrame:
 def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """One row a contaminated pair; clean documents have none."""
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op8_substring_dedup")
+def _substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = substrings.remove_repeats(table(spark, folder, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
