@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontamination, packing, pii, quality, substrings, token_counts, toxicity, vectors
+from ledgerlake.llm import decontamination, neardup, packing, pii, quality, substrings, token_counts, toxicity, vectors
 from ledgerlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,9 @@ def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def _substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     left = substrings.remove_repeats(table(spark, folder, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_near_duplicates")
+def _near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, folder, "documents"), percent=85)
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
