@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -240,3 +241,28 @@ def contaminated(
         part = docs.select(F.col(key), F.col(text).cast("string").alias("text")).mapInArrow(run, shape)
         found = part if found is None else found.union(part)
     return found
+
+
+def without_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text",
+    seed: int = SEED, coverage: float = COVERAGE, block: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that no benchmark item contaminates."""
+    prepare(docs.sparkSession)
+    for rows in _blocks(benchmark, item_key, item_text, block):
+        column = rows["text"].combine_chunks() if rows.num_rows else pa.array([], pa.string())
+        docs = _without(docs, index_items(rows["item_id"].to_pylist(), column, seed), text, seed, coverage)
+    return docs
+
+
+def _without(docs: DataFrame, items: Items, text: str, seed: int, coverage: float) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(items)
+
+    @F.pandas_udf("boolean")
+    def leaks(texts: pd.Series) -> pd.Series:
+        found = np.zeros(len(texts), bool)
+        for w in words(pa.array(texts, pa.string(), from_pandas=True), lower=True, plain=True):
+            found[[w.first + row for row, _, _ in _pairs(w, shared.value, seed, coverage)]] = True
+        return pd.Series(found)
+
+    return docs.filter(~leaks(F.col(text).cast("string")))

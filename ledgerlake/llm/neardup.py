@@ -255,3 +255,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
     final = components(first.union(second).union(same))
     found = placed.join(final, "node", "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "node", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text", k: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of one document a group: that of the smallest id.
+
+    Of rows that repeat a kept id one stays; rows without an id all stay.
+    """
+    found = stored(near_duplicates(docs, percent, key, text, k).select("doc_id", "component_id"), "groups")
+    name = "_gone_id"
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    repeated = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(name)).agg(F.count("*").alias("_times")).filter("_times > 1").select(name)
+    kept = docs.join(gone, docs[key] == gone[name], "left_anti")
+    if not repeated.limit(1).count():
+        return kept
+    again = kept.join(repeated, kept[key] == repeated[name], "left_semi").groupBy(key).agg(F.first(F.struct(*docs.columns)).alias("_row"))
+    return kept.join(repeated, kept[key] == repeated[name], "left_anti").union(again.select("_row.*"))

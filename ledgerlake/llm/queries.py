@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontamination, neardup, packing, pii, quality, substrings, token_counts, toxicity, vectors
+from ledgerlake.llm import chat, decontamination, neardup, packing, pii, quality, substrings, token_counts, toxicity, vectors
 from ledgerlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,33 @@ def _substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def _near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, folder, "documents"), percent=85)
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+ASK = {
+    "ask": {
+        "type": "object",
+        "required": ["text", "words"],
+        "additionalProperties": False,
+        "properties": {"text": {"type": "string", "minLength": 1}, "words": {"type": "integer", "minimum": 1, "maximum": 120}},
+    }
+}
+
+
+def asked_as_calls(turns: DataFrame) -> DataFrame:
+    """Conversations as tool use: a user's turn calls ``ask``, the turn after it is the result."""
+    words = F.size(F.filter(F.split("text", "[ \\t\\n]+"), lambda w: w != ""))
+    call = F.struct(
+        F.concat(F.lit("t"), F.col("turn")).alias("id"), F.lit("ask").alias("name"), F.struct("text", words.alias("words")).alias("arguments"),
+        F.array(F.concat(F.lit("t"), F.col("turn") - 2)).alias("after"),
+    )
+    result = F.struct(F.concat(F.lit("t"), F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content"))
+    return turns.select(
+        "conv_id", "turn",
+        F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("role") == "user", F.to_json(F.struct(F.array(call).alias("tool_calls")))).when(F.col("role") == "assistant", F.to_json(result)).otherwise(F.col("text")).alias("text"),
+    )
+
+
+@query("op5_chat_calls")
+def _chat_calls(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_calls(asked_as_calls(table(spark, folder, "conversations")), ASK)

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -241,6 +242,20 @@ PASSAGES = "array<struct<start: int, end: int, z: double>>"
 _PASSAGES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("z", pa.float64())]))
 
 
+def _scored(text: pa.Array, model: Model) -> tuple[np.ndarray, list[list[dict]]]:
+    """Scores and significant passages of some texts."""
+    xs, passages = [], []
+    for w, word, beginning in _buckets(text):
+        weights = model.weights(w.row, word, beginning)
+        for i in range(w.rows):
+            best, total, found = evidence(weights[w.of_row(i)], model)
+            xs.append((best, total))
+            passages.append([{"start": s, "end": e, "z": z} for s, e, z in found])
+    x = _squeezed(*np.array(xs, float).reshape(-1, 2).T)
+    scores = 1 / (1 + np.exp(-np.clip(model.bias + x @ np.array(model.gain), -30, 30))) if model.known else np.zeros(len(x))
+    return scores, passages
+
+
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``score`` and the significant ``passages`` (word ranges) of every whole text."""
     spark = docs.sparkSession
@@ -248,23 +263,26 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        m = shared.value
         for b in batches:
-            xs, passages = [], []
-            for w, word, beginning in _buckets(b.column(1)):
-                weights = m.weights(w.row, word, beginning)
-                for i in range(w.rows):
-                    best, total, found = evidence(weights[w.of_row(i)], m)
-                    xs.append((best, total))
-                    passages.append([{"start": s, "end": e, "z": z} for s, e, z in found])
-            x = _squeezed(*np.array(xs, float).reshape(-1, 2).T)
-            scores = 1 / (1 + np.exp(-np.clip(m.bias + x @ np.array(m.gain), -30, 30))) if m.known else np.zeros(len(x))
+            scores, passages = _scored(b.column(1), shared.value)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(passages, _PASSAGES)], names=[key, "score", "passages"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, F.col(text).cast("string").alias("text")).mapInArrow(run, f"`{key}` {kind}, score double, passages {PASSAGES}")
 
 
+def without_toxic(docs: DataFrame, model: Model, limit: float = 0.7, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text scores below ``limit``."""
+    prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        return pd.Series(_scored(pa.array(texts, pa.string(), from_pandas=True), shared.value)[0])
+
+    return docs.filter(scored(F.col(text).cast("string")) < limit)
+
+
 def toxic_scores(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, rows: int = labelled.SAMPLE) -> DataFrame:
     """``doc_id, held_out, score, passages``; labels of held-out ids are not learnt from."""
     fold = labelled.remainder(F.col("doc_id"), modulus)
