@@ -2,7 +2,7 @@
 
 Model. Words, and word beginnings, are hashed to a fixed number of buckets. A bucket's weight is the
 log-odds of toxic over clean labelled text under an informative Dirichlet prior: the word counts of
-*all* documents, worth as many words as the smaller class has. Weights that the counts don't support
+*all* documents, worth a share of each class. Weights that the counts don't support
 (in standard errors) shrink towards zero, and every word pays a small drift, so clean text scores below
 zero on average. A word that the labelled texts hardly show has the weight of its beginning.
 
@@ -36,6 +36,8 @@ from ledgerlake.llm.common import Words, batch, mix, prepare, words
 BUCKETS = 1 << 20
 #: Bytes of a word's beginning.
 BEGINNING = 4
+#: Worth of the prior, as a share of a class.
+PRIOR = 0.1
 #: Occurrences in labelled texts from which a word has a weight of its own.
 SHOWN = 3
 #: The cost of each word of a segment.
@@ -153,9 +155,12 @@ def _counts(docs: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFram
 
 
 def weights_of(clean: np.ndarray, toxic: np.ndarray, every: np.ndarray) -> np.ndarray:
-    """Log-odds with a Dirichlet prior in proportion to ``every``, shrunk by its standard error, less the drift."""
-    prior = min(clean.sum(), toxic.sum()) * (every + 0.5) / (every.sum() + 0.5 * len(every))
-    p, q = toxic + prior + 1e-9, clean + prior + 1e-9
+    """Log-odds with a Dirichlet prior in proportion to ``every``, shrunk by its standard error, less the drift.
+
+    Each class gets the prior in proportion to its own size, so a word that neither shows weighs nothing.
+    """
+    share = (every + 0.5) / (every.sum() + 0.5 * len(every))
+    p, q = (counts + PRIOR * counts.sum() * share + 1e-9 for counts in (toxic, clean))
     odds = np.log(p / (p.sum() - p)) - np.log(q / (q.sum() - q))
     support = np.abs(odds) / np.sqrt(1 / p + 1 / q)
     return (odds * np.minimum(1.0, (support / SUPPORT) ** 2) - DRIFT).astype(np.float32)
