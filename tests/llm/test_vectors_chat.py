@@ -28,8 +28,9 @@ def brute(rows, asked, k):
     out = []
     for q, v in smallest.items():
         a = [math.floor(256 * x) for x in v]
-        scored = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in usable if i != q and len(b) == len(a))
-        out += [(q, n + 1, i, max(min(-s, 2**63 - 1), -(2**63))) for n, (s, i) in enumerate(scored[:k])]
+        score = lambda b: max(min(sum(x * y for x, y in zip(a, b, strict=True)), 2**63 - 1), -(2**63))  # noqa: E731, B023
+        scored = sorted((-score(b), i) for i, b in usable if i != q and len(b) == len(a))
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
 
