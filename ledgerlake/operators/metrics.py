@@ -49,44 +49,52 @@ def sliced(schools: DataFrame, where: Column | None) -> DataFrame:
     return schools if where is None else schools.where(where)
 
 
-def score_mean(performance: DataFrame, schools: DataFrame, area: str = "media_geral", where: Column | None = None) -> DataFrame:
-    rows = performance.where(F.col(area).isNotNull()).join(
-        sliced(schools, where).select("co_entidade"), "co_entidade", "left_semi"
-    )
+def of_year(performance: DataFrame, schools: DataFrame, year: int, where: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Results of one year and the schools registered for it: a metric never mixes years."""
+    return performance.where(F.col("ano") == year), sliced(schools.where(F.col("ano_censo_referencia") == year), where)
+
+
+def score_mean(
+    performance: DataFrame, schools: DataFrame, year: int, area: str = "media_geral", where: Column | None = None
+) -> DataFrame:
+    """Mean score of a year's schools; the group size is the number of different schools."""
+    results, known = of_year(performance, schools, year, where)
+    rows = results.where(F.col(area).isNotNull()).join(known.select("co_entidade"), "co_entidade", "left_semi")
     return rows.agg(
-        F.count(area).alias("n_escolas"), F.avg(area).alias("media"), F.stddev_samp(area).alias("desvio_padrao")
+        F.count_distinct("co_entidade").alias("n_escolas"), F.avg(area).alias("media"), F.stddev_samp(area).alias("desvio_padrao")
     )
 
 
 def with_without(
-    performance: DataFrame, schools: DataFrame, profiles: DataFrame, item: str, area: str = "media_geral",
+    performance: DataFrame, schools: DataFrame, profiles: DataFrame, item: str, year: int, area: str = "media_geral",
     where: Column | None = None,
 ) -> DataFrame:
-    """Mean score of schools with the item minus mean of schools without it, per network."""
+    """Mean score of a year's schools with the item minus mean of those without it, per network."""
+    results, known = of_year(performance, schools, year, where)
     rows = (
-        performance.where(F.col(area).isNotNull())
-        .join(sliced(schools, where).select("co_entidade", "rede"), "co_entidade")
-        .join(profiles.select("escola_infra_sk", "itens"), "escola_infra_sk")
+        results.where(F.col(area).isNotNull())
+        .join(known.select("co_entidade", "rede"), "co_entidade")
+        .join(profiles.select("escola_infra_sk", "co_entidade", "itens"), ["escola_infra_sk", "co_entidade"])
     )
-    has = F.when(item_state(item) == PRESENT, F.col(area))
-    lacks = F.when(item_state(item) == ABSENT, F.col(area))
+    present, absent = item_state(item) == PRESENT, item_state(item) == ABSENT
     return rows.groupBy("rede").agg(
-        (F.avg(has) - F.avg(lacks)).alias("diferenca"),
-        F.count(has).alias("n_com"),
-        F.count(lacks).alias("n_sem"),
+        (F.avg(F.when(present, F.col(area))) - F.avg(F.when(absent, F.col(area)))).alias("diferenca"),
+        F.count_distinct(F.when(present, F.col("co_entidade"))).alias("n_com"),
+        F.count_distinct(F.when(absent, F.col("co_entidade"))).alias("n_sem"),
     )
 
 
 def state_share(
-    schools: DataFrame, performance: DataFrame, profiles: DataFrame, item: str, where: Column | None = None
+    schools: DataFrame, performance: DataFrame, profiles: DataFrame, item: str, year: int, where: Column | None = None
 ) -> DataFrame:
-    """Share of schools per state of the item at the reference date; unknown counts too.
+    """Share of a year's schools per state of the item at that year's reference date; unknown counts too.
 
     The profiles are filtered to the one reference instant first, so the join is one row per school.
     """
-    reference = performance.agg(F.max("data_referencia_infraestrutura").cast(NTZ).alias("em")).scalar()
+    results, known = of_year(performance, schools, year, where)
+    reference = results.agg(F.max("data_referencia_infraestrutura").cast(NTZ).alias("em")).scalar()
     at_reference = profiles.where((F.col("valid_from") <= reference) & (reference < F.col("valid_to")))
-    states = sliced(schools, where).join(at_reference.select("co_entidade", "itens"), "co_entidade", "left")
+    states = known.join(at_reference.select("co_entidade", "itens"), "co_entidade", "left")
     counted = states.groupBy(item_state(item).alias("situacao")).agg(F.count("*").alias("n_escolas"))
     return ratio_to_total(counted, "n_escolas", "percentual", 1)
 
@@ -120,7 +128,7 @@ def percent_ranks(rows: DataFrame, groups: list[str], value: str, bucket=unit_bu
         F.when(F.col("total") > 1, F.col("before") / (F.col("total") - 1)).otherwise(F.lit(0.0)).alias("percentil"),
         F.col("total").alias("n_grupo"),
     )
-    return rows.join(ranks, [*groups, value])
+    return ordered.null_safe_join(rows, ranks, [*groups, value])
 
 
 def inspection_priority(
@@ -130,17 +138,23 @@ def inspection_priority(
     profiles: DataFrame,
     fact_item: DataFrame,
     item: str,
+    year: int,
     as_of: str,
     share: float = 0.2,
     days: int = 365,
     minimum: int = MIN_GROUP,
 ) -> DataFrame:
-    """Public schools to inspect first, numbered within each state."""
-    base = (
-        performance.where(F.col("media_geral").isNotNull())
-        .join(schools.where(F.col("rede").isin(*PUBLIC)).select("co_entidade", "rede", "co_municipio"), "co_entidade")
+    """Public schools of a year to inspect first, numbered within each state.
+
+    The ranked schools and the few that are kept are written once: ranks read their input again.
+    """
+    results, known = of_year(performance, schools, year, F.col("rede").isin(*PUBLIC))
+    base = ordered.settle(
+        results.where(F.col("media_geral").isNotNull())
+        .join(known.select("co_entidade", "rede", "co_municipio"), "co_entidade")
         .join(municipalities.select("co_municipio", "sg_uf"), "co_municipio")
-        .select("co_entidade", "rede", "sg_uf", "media_geral")
+        .select("co_entidade", "rede", "sg_uf", "media_geral"),
+        True,
     )
     ranked = percent_ranks(base, ["rede", "sg_uf"], "media_geral")
     current = profiles.where("is_current").select("co_entidade", "itens")
@@ -151,12 +165,12 @@ def inspection_priority(
         .drop("itens")
     )
     recent = recently_inspected(fact_item, as_of, days)
-    kept = low.join(recent, "co_entidade", "left_anti")
+    kept = ordered.settle(low.join(recent, "co_entidade", "left_anti"), True)
     keyed = kept.withColumn("_place", F.struct("media_geral", "co_entidade"))
     places = ordered.value_ranks(keyed, ["sg_uf"], "_place", lambda c: F.floor(c["media_geral"])).select(
         "sg_uf", F.col("_place.co_entidade").alias("co_entidade"), (F.col("before") + 1).alias("posicao_na_uf")
     )
-    return kept.join(places, ["sg_uf", "co_entidade"]).select(
+    return ordered.null_safe_join(kept, places, ["sg_uf", "co_entidade"]).select(
         "co_entidade", "rede", "sg_uf", "media_geral", "percentil", "n_grupo", "posicao_na_uf"
     )
 
@@ -170,14 +184,14 @@ def recently_inspected(fact_item: DataFrame, as_of: str, days: int) -> DataFrame
 METRICS: dict[str, Metric] = {
     m.name: m
     for m in (
-        Metric("media_enem_escolas", "school and year", ("area", "uf", "municipality", "network", "location", "item state"),
+        Metric("media_enem_escolas", "school and year", ("year", "area", "uf", "municipality", "network", "location", "item state"),
                MIN_GROUP, score_mean, ("n_escolas",)),
-        Metric("diferenca_media_com_sem_item", "school and year", ("area", "item", "uf", "municipality", "location"),
+        Metric("diferenca_media_com_sem_item", "school and year", ("year", "area", "item", "uf", "municipality", "location"),
                MIN_GROUP, with_without, ("n_com", "n_sem")),
-        Metric("pct_escolas_por_situacao_do_item", "school", ("item", "uf", "municipality", "network", "location"),
+        Metric("pct_escolas_por_situacao_do_item", "school and year", ("year", "item", "uf", "municipality", "network", "location"),
                0, state_share),
         Metric("cobertura_enem_censo", "exam school and year", ("year",), 0, exam_coverage),
-        Metric("prioridade_vistoria", "school", ("uf",), MIN_GROUP, inspection_priority, suppresses_inside=True),
+        Metric("prioridade_vistoria", "school and year", ("year", "uf"), MIN_GROUP, inspection_priority, suppresses_inside=True),
     )
 }
 

@@ -146,10 +146,8 @@ def value_ranks(df: DataFrame, groups: Sequence[str], value: str, bucket: Callab
     counted = df.groupBy(*groups, value).agg(F.count("*").alias("n")).withColumn("_bucket", bucket(F.col(value)))
     inside = W.partitionBy(*groups, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     local = counted.withColumn("_local", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    sizes = (
-        df.select(*groups, bucket(F.col(value)).alias("_bucket")).groupBy(*groups, "_bucket")
-        .agg(F.count("*").alias("_size"))
-    )
+    # The input is read once: bucket sizes come from the counted values.
+    sizes = counted.groupBy(*groups, "_bucket").agg(F.sum("n").alias("_size"))
     # One row per (group, bucket): the ordered part of the work is this small table.
     across = W.partitionBy(*groups).orderBy("_bucket")
     offsets = sizes.select(
@@ -158,11 +156,21 @@ def value_ranks(df: DataFrame, groups: Sequence[str], value: str, bucket: Callab
         F.coalesce(F.sum("_size").over(across.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
         F.sum("_size").over(W.partitionBy(*groups)).alias("total"),
     )
-    return local.join(offsets, [*groups, "_bucket"]).select(
+    return null_safe_join(local, offsets, [*groups, "_bucket"]).select(
         *groups, value, "n", (F.col("_local") + F.col("_offset")).alias("before"), "total"
     )
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join in which NULL is a key value like any other, as it is for GROUP BY and PARTITION BY."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    condition = same[0]
+    for part_of in same[1:]:
+        condition = condition & part_of
+    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def exact_quantiles(
     df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float], bucket: Callable[[Column], Column]
 ) -> DataFrame:

@@ -145,7 +145,7 @@ class Lake:
     @cached_property
     def exam_raw(self) -> DataFrame:
         """Exam rows as the raw text file would hold them."""
-        rows = self.lines.join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        rows = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         k, flag, status = F.col("o_custkey"), F.col("l_returnflag"), F.col("l_linestatus")
         has_school = F.col("o_orderkey") % 10 != 0
         first = F.when(flag == "R", "0").otherwise("1")
@@ -189,6 +189,22 @@ class Lake:
     def performance(self) -> DataFrame:
         return facts.fact_performance(self.exam_input, self.census_for_exam, self.profile, EXAM_REFERENCE, self.hot)
 
+    @cached_property
+    def performance_years(self) -> DataFrame:
+        """Results of two years: the year before has other scores and half of the schools twice as good."""
+        lower = F.when(F.col("co_entidade") % 2 == 0, F.col("media_geral") / 2).otherwise(F.col("media_geral") + 3)
+        before = self.performance.withColumns({
+            "ano": (F.col("ano") - 1).cast("smallint"), "media_geral": lower, "media_cn": F.col("media_cn") + 1,
+            "data_referencia_infraestrutura": F.date_sub("data_referencia_infraestrutura", 400),
+        })
+        return self.performance.unionByName(before)
+
+    @cached_property
+    def school_years(self) -> DataFrame:
+        """Registrations of two years; the year before, every school was in the state network."""
+        before = self.dim_school.withColumns({"ano_censo_referencia": F.col("ano_censo_referencia") - 1, "rede": F.lit("estadual")})
+        return self.dim_school.unionByName(before)
+
     @cached_property
     def latest(self) -> DataFrame:
         return history.latest_state(self.event)
@@ -219,7 +235,7 @@ class Lake:
         kept = self.event.where(k % 101 != 0).withColumn(
             "quantidade", F.when(k % 103 == 0, F.col("quantidade") + 1).otherwise(F.col("quantidade"))
         )
-        extra = self.event.where(k % 107 == 0).withColumn("vistoria_id", k + 10_000_000)
+        extra = self.event.where(k % 107 == 0).withColumn("vistoria_id", -k - 1)
         return kept.unionByName(extra)
 
     @cached_property
@@ -291,16 +307,12 @@ HASH64 = "('0x'||substr(md5({0}),17,16))::UBIGINT::DECIMAL(28,0)"
 MAX = "TIMESTAMP '9999-12-31 23:59:59.999999'"
 CONTENT_TEXT = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR),'nulo')" for c in EVENT_CONTENT) + ")"
 _NOTES = ("cn", "ch", "lc", "mt", "redacao")
-_ALL = " AND ".join(f"nota_{a} IS NOT NULL" for a in _NOTES)
-_NONE = " AND ".join(f"nota_{a} IS NULL" for a in _NOTES)
 
 def _mean(x: str) -> str:
     """Mean over exact decimals: the same whatever the order of the rows."""
     return f"sum({x}::DECIMAL(18,6))::DOUBLE / nullif(count({x}), 0)"
 
 
-_SUM5 = "+".join(f"nota_{a}::DECIMAL(18,6)" for a in _NOTES)
-
 VIEWS: dict[str, str] = {
     "li": """SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
         l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) = 1""",
@@ -328,6 +340,8 @@ VIEWS: dict[str, str] = {
         FROM item JOIN inspection USING (vistoria_id) JOIN school USING (co_entidade) JOIN municipality USING (co_municipio)""",
     "known": f"""SELECT co_entidade, item_codigo, situacao, quantidade, ocorrido_em AS desde, vistoria_id
         FROM event WHERE situacao <> '{UNKNOWN}'""",
+    "known_in_year": f"""SELECT co_entidade, item_codigo, situacao, ocorrido_em, vistoria_id, date_part('year', ocorrido_em) AS ano
+        FROM event WHERE situacao <> '{UNKNOWN}'""",
     "runs": """SELECT *, CAST(sum(inicia_trecho) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS trecho FROM (
         SELECT *, CAST(situacao IS DISTINCT FROM lag(situacao) OVER (PARTITION BY co_entidade, item_codigo
         ORDER BY desde, vistoria_id) AS INT) AS inicia_trecho FROM known)
@@ -339,61 +353,80 @@ VIEWS: dict[str, str] = {
         FROM in_force) WHERE inicia_trecho = 1 OR quantidade_vigente IS DISTINCT FROM antes""",
     "item_change": f"""SELECT *, coalesce(lead(desde) OVER (PARTITION BY co_entidade, item_codigo ORDER BY desde, vistoria_id),
         {MAX}) AS ate FROM change_rows""",
-    "starts": """SELECT co_entidade, desde AS valid_from, max(vistoria_id) AS vistoria_origem_id FROM item_change GROUP BY ALL""",
-    "states_at": """SELECT s.co_entidade, s.valid_from, s.vistoria_origem_id, c.item_codigo, c.situacao, c.quantidade
-        FROM starts s JOIN item_change c ON c.co_entidade = s.co_entidade AND s.valid_from >= c.desde AND s.valid_from < c.ate""",
-    "profile": f"""SELECT {_KEY.format("co_entidade::VARCHAR||'|'||strftime(valid_from,'%Y-%m-%dT%H:%M:%S.%f')")} AS escola_infra_sk,
-        co_entidade, valid_from, coalesce(lead(valid_from) OVER w, {MAX}) AS valid_to, lead(valid_from) OVER w IS NULL AS is_current,
-        vistoria_origem_id, n_itens_conhecidos, n_existentes, n_inexistentes, n_em_obra, n_inutilizaveis, m, itens, quantidades
-        FROM (SELECT co_entidade, valid_from, vistoria_origem_id, count(*) AS n_itens_conhecidos,
-          count(*) FILTER (situacao = '{PRESENT}') AS n_existentes, count(*) FILTER (situacao = '{ABSENT}') AS n_inexistentes,
-          count(*) FILTER (situacao = '{UNDER_WORK}') AS n_em_obra, count(*) FILTER (situacao = '{UNUSABLE}') AS n_inutilizaveis,
-          map_from_entries(list((item_codigo, situacao))) AS m,
-          string_agg(item_codigo||'='||situacao, ',' ORDER BY item_codigo) AS itens,
-          coalesce(string_agg(item_codigo||'='||quantidade, ',' ORDER BY item_codigo) FILTER (quantidade IS NOT NULL), '') AS quantidades
-          FROM states_at GROUP BY ALL)
-        WINDOW w AS (PARTITION BY co_entidade ORDER BY valid_from)""",
+    # A version begins wherever something changed; its states are folded from all changes up to then.
+    "version": """SELECT co_entidade, desde AS em, max(vistoria_id) AS vistoria_origem_id FROM change_rows GROUP BY co_entidade, desde""",
+    "folded": """SELECT v.co_entidade, v.em, c.item_codigo, arg_max(c.situacao, (c.desde, c.vistoria_id)) AS situacao,
+        arg_max(struct_pack(q := c.quantidade), (c.desde, c.vistoria_id)).q AS quantidade
+        FROM version v JOIN change_rows c ON c.co_entidade = v.co_entidade AND c.desde <= v.em GROUP BY v.co_entidade, v.em, c.item_codigo""",
+    "tally": """SELECT co_entidade, em, CAST(count(*) AS BIGINT) AS n, histogram(situacao) AS h, map_from_entries(list((item_codigo, situacao))) AS m,
+        list_sort(list(item_codigo||'='||situacao)) AS i,
+        list_sort(list(item_codigo||'='||quantidade) FILTER (quantidade IS NOT NULL)) AS q FROM folded GROUP BY co_entidade, em""",
+    "profile": f"""SELECT {_KEY.format("t.co_entidade::VARCHAR||'|'||strftime(t.em,'%Y-%m-%dT%H:%M:%S.%f')")} AS escola_infra_sk,
+        t.co_entidade, t.em AS valid_from, coalesce(n.em, {MAX}) AS valid_to, n.em IS NULL AS is_current, v.vistoria_origem_id,
+        t.n AS n_itens_conhecidos, """
+    + ", ".join(
+        f"CAST(coalesce(t.h['{state}'], 0) AS BIGINT) AS {name}"
+        for state, name in ((PRESENT, "n_existentes"), (ABSENT, "n_inexistentes"), (UNDER_WORK, "n_em_obra"), (UNUSABLE, "n_inutilizaveis"))
+    )
+    + """, t.m, array_to_string(t.i, ',') AS itens, coalesce(array_to_string(t.q, ','), '') AS quantidades
+        FROM tally t JOIN version v USING (co_entidade, em) ASOF LEFT JOIN version n ON n.co_entidade = t.co_entidade AND t.em < n.em""",
     "fact_item": """SELECT e.vistoria_id, e.item_codigo, e.co_entidade, e.ocorrido_em, CAST(e.ocorrido_em AS DATE) AS data_ocorrencia,
         e.origem, p.escola_infra_sk, e.situacao, e.quantidade FROM event e LEFT JOIN profile p
         ON p.co_entidade = e.co_entidade AND e.ocorrido_em >= p.valid_from AND e.ocorrido_em < p.valid_to""",
-    "fact_year": f"""SELECT r.co_entidade, r.ano, p.escola_infra_sk, coalesce(p.n_itens_conhecidos,0) AS n_itens_conhecidos,
-        coalesce(p.n_existentes,0) AS n_existentes, coalesce(p.n_inexistentes,0) AS n_inexistentes,
-        coalesce(p.n_em_obra,0) AS n_em_obra, coalesce(p.n_inutilizaveis,0) AS n_inutilizaveis,
-        round(100.0::DOUBLE * p.n_existentes / nullif(p.n_itens_conhecidos,0), 2) AS pct_existentes, """
+    "year_end": f"""SELECT DISTINCT co_entidade, CAST(date_part('year', ocorrido_em) AS INT) AS ano,
+        least(make_timestamp(CAST(date_part('year', ocorrido_em) AS BIGINT) + 1, 1, 1, 0, 0, 0) - INTERVAL 1 MILLISECOND, TIMESTAMP '{AS_OF}') AS em FROM event""",
+    "fact_year": """SELECT y.co_entidade, y.ano, p.escola_infra_sk, coalesce(p.n_itens_conhecidos, 0) AS n_itens_conhecidos,
+        coalesce(p.n_existentes, 0) AS n_existentes, coalesce(p.n_inexistentes, 0) AS n_inexistentes, coalesce(p.n_em_obra, 0) AS n_em_obra,
+        coalesce(p.n_inutilizaveis, 0) AS n_inutilizaveis, round(100.0::DOUBLE * p.n_existentes / p.n_itens_conhecidos, 2) AS pct_existentes, """
     + ", ".join(f"p.m['{c}'] = '{PRESENT}' AS {c}" for c in CATALOG)
-    + f""" FROM (SELECT co_entidade, ano, least(make_timestamp(ano,12,31,23,59,59.999), TIMESTAMP '{AS_OF}') AS em FROM
-        (SELECT DISTINCT co_entidade, year(ocorrido_em)::INT AS ano FROM event)) r LEFT JOIN profile p
-        ON p.co_entidade = r.co_entidade AND r.em >= p.valid_from AND r.em < p.valid_to""",
+    + """ FROM year_end y ASOF LEFT JOIN profile p ON p.co_entidade = y.co_entidade AND y.em >= p.valid_from""",
     "exam_row": """SELECT CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS co_escola,
         CASE l_returnflag WHEN 'R' THEN '0' ELSE '1' END AS p1,
         CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN '2' ELSE '1' END AS p2,
         l_quantity*20 AS s_cn, round(l_extendedprice/110, 1) AS s_ch, (l_partkey % 1000)::DOUBLE AS s_lc,
         CASE WHEN l_tax <> 0 THEN round(l_tax*10000) END AS s_mt, round(l_discount*10000) AS s_re
-        FROM li JOIN orders ON o_orderkey = l_orderkey""",
-    "participant": f"""SELECT {EXAM_YEAR}::SMALLINT AS ano, co_escola, CAST(co_escola % 25 AS INT) AS co_municipio_esc,
-        'U'||(co_escola % 5) AS sg_uf_esc, CAST(co_escola % 4 + 1 AS SMALLINT) AS tp_dependencia_adm_esc,
-        CAST(co_escola % 2 + 1 AS SMALLINT) AS tp_localizacao_esc, CASE WHEN co_escola IS NOT NULL THEN 1::SMALLINT END AS tp_sit_func_esc,
-        CASE p1 WHEN '1' THEN s_cn END AS nota_cn, false AS faltante_cn,
-        CASE p2 WHEN '1' THEN s_ch END AS nota_ch, false AS faltante_ch,
-        CASE p2 WHEN '1' THEN s_lc END AS nota_lc, false AS faltante_lc,
-        CASE p1 WHEN '1' THEN s_mt END AS nota_mt, p1 = '1' AND s_mt IS NULL AS faltante_mt,
-        CASE p1 WHEN '1' THEN s_re END AS nota_redacao FROM exam_row""",
-    "exam_school": f"""SELECT any_value(ano) AS ano, co_escola, any_value(co_municipio_esc) AS co_municipio_esc,
-        any_value(sg_uf_esc) AS sg_uf_esc, any_value(tp_dependencia_adm_esc) AS tp_dependencia_adm_esc,
-        any_value(tp_localizacao_esc) AS tp_localizacao_esc, any_value(tp_sit_func_esc) AS tp_sit_func_esc,
-        count(*) AS participantes, count(*) FILTER ({_ALL}) AS participantes_com_todas_as_notas,
-        count(*) FILTER ({_NONE}) AS participantes_sem_nota_valida, """
-    + ", ".join(f"count(nota_{a}) AS notas_validas_{a}, {_mean(f'nota_{a}')} AS media_{a}" for a in _NOTES)
-    + f""", count(*) FILTER (nota_redacao = 0) AS redacoes_nota_zero,
-        (sum({_SUM5}) FILTER ({_ALL}))::DOUBLE / nullif(5 * count(*) FILTER ({_ALL}), 0) AS media_geral,
-        count(*) < 10 AS poucos_participantes FROM participant WHERE co_escola IS NOT NULL GROUP BY co_escola""",
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
+    "sitting": "SELECT row_number() OVER () AS pessoa, * FROM exam_row",
+    # One row per person and area; a score of a day the person missed does not count.
+    "mark": " UNION ALL ".join(
+        f"SELECT pessoa, co_escola, '{a}' AS area, CASE WHEN {day} = '1' THEN s_{'re' if a == 'redacao' else a} END AS nota, {day} = '1' AS veio FROM sitting"
+        for a, day in (("cn", "p1"), ("ch", "p2"), ("lc", "p2"), ("mt", "p1"), ("redacao", "p1"))
+    ),
+    "person": f"""SELECT pessoa, any_value(co_escola) AS co_escola, count(nota) AS validas, sum(nota::DECIMAL(18,6)) AS soma,
+        count(*) FILTER (area <> 'redacao' AND veio AND nota IS NULL) AS faltantes,
+        count(*) FILTER (area <> 'redacao' AND nota = 0) AS zeros, count(*) FILTER (area = 'redacao' AND nota = 0) AS redacao_zero
+        FROM mark GROUP BY pessoa""",
+    "participant": f"""SELECT {EXAM_YEAR}::SMALLINT AS ano, any_value(co_escola) AS co_escola, CAST(any_value(co_escola) % 25 AS INT) AS co_municipio_esc,
+        'U'||(any_value(co_escola) % 5) AS sg_uf_esc, CAST(any_value(co_escola) % 4 + 1 AS SMALLINT) AS tp_dependencia_adm_esc,
+        CAST(any_value(co_escola) % 2 + 1 AS SMALLINT) AS tp_localizacao_esc,
+        CASE WHEN any_value(co_escola) IS NOT NULL THEN 1::SMALLINT END AS tp_sit_func_esc, """
+    + ", ".join(f"max(nota) FILTER (area = '{a}') AS nota_{a}" + ("" if a == "redacao" else f", bool_or(area = '{a}' AND veio AND nota IS NULL) AS faltante_{a}") for a in _NOTES)
+    + " FROM mark GROUP BY pessoa",
+    "school_area": f"SELECT co_escola, area, count(nota) AS validas, {_mean('nota')} AS media FROM mark GROUP BY co_escola, area",
+    "school_people": """SELECT co_escola, count(*) AS participantes, count(*) FILTER (validas = 5) AS completas, count(*) FILTER (validas = 0) AS vazias,
+        (sum(soma) FILTER (validas = 5))::DOUBLE / nullif(5 * count(*) FILTER (validas = 5), 0) AS media_geral,
+        CAST(sum(redacao_zero) AS BIGINT) AS redacoes_nota_zero FROM person GROUP BY co_escola""",
+    "exam_school": f"""SELECT {EXAM_YEAR}::SMALLINT AS ano, g.co_escola, CAST(g.co_escola % 25 AS INT) AS co_municipio_esc, 'U'||(g.co_escola % 5) AS sg_uf_esc,
+        CAST(g.co_escola % 4 + 1 AS SMALLINT) AS tp_dependencia_adm_esc, CAST(g.co_escola % 2 + 1 AS SMALLINT) AS tp_localizacao_esc,
+        1::SMALLINT AS tp_sit_func_esc, g.participantes, g.completas AS participantes_com_todas_as_notas, g.vazias AS participantes_sem_nota_valida, """
+    + ", ".join(f"a_{a}.validas AS notas_validas_{a}, a_{a}.media AS media_{a}" for a in _NOTES)
+    + """, g.redacoes_nota_zero, g.media_geral, g.participantes < 10 AS poucos_participantes FROM school_people g """
+    + " ".join(f"JOIN school_area a_{a} ON a_{a}.co_escola = g.co_escola AND a_{a}.area = '{a}'" for a in _NOTES),
     "census_for_exam": "SELECT * FROM school WHERE co_entidade % 7 <> 0",
     "performance": f"""SELECT e.*, p.escola_infra_sk FROM (SELECT * FROM exam_school
           WHERE co_escola IN (SELECT co_entidade FROM census_for_exam)) e LEFT JOIN profile p
         ON p.co_entidade = e.co_escola AND TIMESTAMP '{EXAM_REFERENCE}' >= p.valid_from AND TIMESTAMP '{EXAM_REFERENCE}' < p.valid_to""",
+    "performance_years": """SELECT ano, co_escola, media_geral, media_cn, escola_infra_sk FROM performance
+        UNION ALL SELECT ano - 1, co_escola, CASE co_escola % 2 WHEN 0 THEN media_geral / 2 ELSE media_geral + 3 END, media_cn + 1,
+        escola_infra_sk FROM performance""",
+    "school_years": """SELECT ano_censo_referencia AS ano, co_entidade, co_municipio, rede FROM dim_school
+        UNION ALL SELECT ano_censo_referencia - 1, co_entidade, co_municipio, 'estadual' FROM dim_school""",
+    "priority_base": f"""SELECT r.co_escola AS co_entidade, s.rede, m.sg_uf, r.media_geral FROM performance_years r
+        JOIN school_years s ON s.co_entidade = r.co_escola AND s.ano = r.ano AND s.rede <> 'privada' JOIN municipality m USING (co_municipio)
+        WHERE r.ano = {EXAM_YEAR} AND r.media_geral IS NOT NULL""",
     "target": """SELECT * REPLACE (CASE WHEN vistoria_id % 103 = 0 THEN quantidade + 1 ELSE quantidade END AS quantidade)
         FROM event WHERE vistoria_id % 101 <> 0
-        UNION ALL SELECT * REPLACE (vistoria_id + 10000000 AS vistoria_id) FROM event WHERE vistoria_id % 107 = 0""",
+        UNION ALL SELECT * REPLACE (-vistoria_id - 1 AS vistoria_id) FROM event WHERE vistoria_id % 107 = 0""",
     "latest": f"""SELECT co_entidade, item_codigo, situacao, quantidade, ocorrido_em AS vigente_desde, vistoria_id FROM event
         WHERE situacao <> '{UNKNOWN}' QUALIFY row_number() OVER (PARTITION BY co_entidade, item_codigo
         ORDER BY ocorrido_em DESC, vistoria_id DESC) = 1""",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.contracts import AREAS
 from ledgerlake.operators import census, exams, metrics, ordered, quality, workload
-from ledgerlake.plans.adapter import CATALOG, EXAM_REFERENCE
+from ledgerlake.plans.adapter import CATALOG, EXAM_REFERENCE, EXAM_YEAR
 from ledgerlake.plans.registry import query
 
 _MEANS = [f"media_{a}" for a in AREAS] + ["media_geral"]
@@ -99,13 +99,10 @@ def exam_by_school(lake):
     return rounded(lake.exam_school)
 
 
-@query("AGG-02_exam_summary", """SELECT any_value(ano) AS ano, count(*) AS participantes, count(co_escola) AS participantes_com_escola,
-    count(DISTINCT co_escola) AS escolas, count(*) FILTER (nota_cn IS NOT NULL AND nota_ch IS NOT NULL AND nota_lc IS NOT NULL
-    AND nota_mt IS NOT NULL AND nota_redacao IS NOT NULL) AS participantes_com_todas_as_notas,
-    count(*) FILTER (coalesce(nota_cn, nota_ch, nota_lc, nota_mt, nota_redacao) IS NULL) AS participantes_sem_nota_valida,
-    count(*) FILTER (faltante_mt) AS notas_objetivas_faltantes,
-    count(*) FILTER (nota_cn = 0) + count(*) FILTER (nota_ch = 0) + count(*) FILTER (nota_lc = 0) + count(*) FILTER (nota_mt = 0) AS notas_objetivas_zero,
-    count(*) FILTER (nota_redacao = 0) AS redacoes_nota_zero FROM participant""")
+@query("AGG-02_exam_summary", f"""SELECT {EXAM_YEAR}::SMALLINT AS ano, count(*) AS participantes, count(co_escola) AS participantes_com_escola,
+    count(DISTINCT co_escola) AS escolas, count(*) FILTER (validas = 5) AS participantes_com_todas_as_notas,
+    count(*) FILTER (validas = 0) AS participantes_sem_nota_valida, CAST(sum(faltantes) AS BIGINT) AS notas_objetivas_faltantes,
+    CAST(sum(zeros) AS BIGINT) AS notas_objetivas_zero, CAST(sum(redacao_zero) AS BIGINT) AS redacoes_nota_zero FROM person""")
 def exam_summary(lake):
     return exams.file_summary(lake.participant)
 
@@ -128,27 +125,37 @@ def census_match(lake):
     )
 
 
-@query("AGG-07_join_coverage", f"""SELECT *, round(100.0::DOUBLE * participantes_com_escola / participantes, 1) AS pct_com_escola,
-    round(100.0::DOUBLE * escolas_mascaradas / escolas, 1) AS pct_mascaradas,
-    round(100.0::DOUBLE * escolas_no_censo / escolas, 1) AS pct_no_censo,
-    round(100.0::DOUBLE * escolas_no_censo / (escolas - escolas_mascaradas), 1) AS pct_no_censo_reais,
-    round(100.0::DOUBLE * participantes_no_censo / participantes_com_escola, 1) AS pct_participantes,
-    round(100.0::DOUBLE * participantes_no_censo / (participantes_com_escola - participantes_em_mascaradas), 1) AS pct_participantes_reais
-    FROM (SELECT count(*) AS escolas, count(*) FILTER (poucos_participantes) AS escolas_mascaradas,
-      CAST(coalesce(sum(participantes) FILTER (poucos_participantes), 0) AS BIGINT) AS participantes_em_mascaradas,
-      count(*) FILTER (no_censo) AS escolas_no_censo,
-      CAST(coalesce(sum(participantes) FILTER (no_censo), 0) AS BIGINT) AS participantes_no_censo,
-      (SELECT count(*) FROM participant) AS participantes, (SELECT count(co_escola) FROM participant) AS participantes_com_escola
-      FROM {_MATCH})""")
+def _share(part: str, whole: str, name: str) -> str:
+    return f"round({part} * 100.0::DOUBLE / nullif({whole}, 0), 1) AS {name}"
+
+
+# Sums by kind of school (masked or not, in the census or not), then shares of those sums.
+_KINDS = f"SELECT poucos_participantes AS m, no_censo AS c, count(*) AS e, CAST(sum(participantes) AS BIGINT) AS p FROM {_MATCH} GROUP BY m, c"
+_TOTALS = f"""SELECT CAST(sum(e) AS BIGINT) AS escolas, CAST(sum(if(m, e, 0)) AS BIGINT) AS escolas_mascaradas,
+    CAST(sum(if(m, p, 0)) AS BIGINT) AS participantes_em_mascaradas, CAST(sum(if(c, e, 0)) AS BIGINT) AS escolas_no_censo,
+    CAST(sum(if(c, p, 0)) AS BIGINT) AS participantes_no_censo, (SELECT count(*) FROM person) AS participantes,
+    CAST(sum(p) AS BIGINT) AS participantes_com_escola FROM ({_KINDS})"""
+
+
+@query("AGG-07_join_coverage", "SELECT *, " + ", ".join((
+    _share("participantes_com_escola", "participantes", "pct_com_escola"),
+    _share("escolas_mascaradas", "escolas", "pct_mascaradas"),
+    _share("escolas_no_censo", "escolas", "pct_no_censo"),
+    _share("escolas_no_censo", "(escolas - escolas_mascaradas)", "pct_no_censo_reais"),
+    _share("participantes_no_censo", "participantes_com_escola", "pct_participantes"),
+    _share("participantes_no_censo", "(participantes_com_escola - participantes_em_mascaradas)", "pct_participantes_reais"),
+)) + f" FROM ({_TOTALS})")
 def join_coverage(lake):
     matched = exams.census_match(lake.exam_school, lake.census_for_exam)
     return exams.coverage(matched, exams.file_summary(lake.participant))
 
 
-@query("AGG-08_participant_bands", f"""SELECT CASE WHEN p < 2 THEN 0 WHEN p < 5 THEN 1 WHEN p < 10 THEN 2 WHEN p < 30 THEN 3 WHEN p < 100 THEN 4 ELSE 5 END AS faixa,
-    ['1', '2 a 4', '5 a 9', '10 a 29', '30 a 99', '100 ou mais'][faixa + 1] AS rotulo, count(*) AS escolas,
-    CAST(sum(p) AS BIGINT) AS participantes, count(*) FILTER (no_censo) AS no_censo
-    FROM (SELECT participantes AS p, no_censo FROM {_MATCH}) GROUP BY faixa""")
+# The lower ends of the bands and their labels.
+_BANDS = "(VALUES (0, 0, '1'), (1, 2, '2 a 4'), (2, 5, '5 a 9'), (3, 10, '10 a 29'), (4, 30, '30 a 99'), (5, 100, '100 ou mais'))"
+
+
+@query("AGG-08_participant_bands", f"""SELECT b.faixa, b.rotulo, count(*) AS escolas, CAST(sum(s.participantes) AS BIGINT) AS participantes,
+    count(*) FILTER (s.no_censo) AS no_censo FROM {_MATCH} s ASOF JOIN {_BANDS} AS b(faixa, de, rotulo) ON s.participantes >= b.de GROUP BY ALL""")
 def participant_bands(lake):
     return exams.bands(exams.census_match(lake.exam_school, lake.census_for_exam))
 
@@ -161,8 +168,9 @@ def prepared_coverage(lake):
     return exams.prepared_coverage(lake.exam_input, lake.census_for_exam)
 
 
-@query("JOIN-09_semi_join_on_safe_cast", f"""SELECT count(*) AS escolas FROM {_MATCH} WHERE NOT no_censo AND NOT poucos_participantes
-    AND co_escola IN (SELECT TRY_CAST(CASE WHEN c_custkey % 5 = 0 THEN 'x'||c_custkey ELSE c_custkey::VARCHAR END AS BIGINT) FROM customer)""")
+# A raw code is unreadable for every fifth customer, so those can't be found by it.
+@query("JOIN-09_semi_join_on_safe_cast", f"""SELECT count(*) AS escolas FROM (SELECT co_escola FROM {_MATCH} WHERE NOT (no_censo OR poucos_participantes))
+    SEMI JOIN (SELECT c_custkey AS co_escola FROM customer WHERE c_custkey % 5 <> 0) USING (co_escola)""")
 def semi_join_safe_cast(lake):
     key = F.col("c_custkey").cast("string")
     raw = lake.table("customer").select(F.when(F.col("c_custkey") % 5 == 0, F.concat(F.lit("x"), key)).otherwise(key).alias("CO_ENTIDADE"))
@@ -171,28 +179,42 @@ def semi_join_safe_cast(lake):
 
 # -- metrics -------------------------------------------------------------------------------------
 
-@query("AGG-10_score_mean", """SELECT count(media_geral) AS n_escolas, round(avg(media_geral), 6) AS media,
-    round(stddev_samp(media_geral), 6) AS desvio_padrao FROM performance JOIN dim_school ON co_entidade = co_escola
-    WHERE media_geral IS NOT NULL AND rede = 'estadual' HAVING count(media_geral) >= 10""")
+_THAT_YEAR = "performance_years r JOIN school_years s ON s.co_entidade = r.co_escola AND s.ano = r.ano"
+
+
+def _sides(item: str, area: str, year: int, minimum: int) -> str:
+    """Means and numbers of schools per network and state of an item, then both sides next to each other."""
+    by_state = f"""SELECT s.rede, d.m['{item}'] AS lado, avg(r.{area}) AS media, count(DISTINCT r.co_escola) AS n FROM {_THAT_YEAR}
+        JOIN profile d ON d.escola_infra_sk = r.escola_infra_sk AND d.co_entidade = r.co_escola
+        WHERE r.ano = {year} AND r.{area} IS NOT NULL GROUP BY ALL"""
+    return f"""SELECT com.rede, round(com.media - sem.media, 6) AS diferenca, com.n AS n_com, sem.n AS n_sem
+        FROM (SELECT * FROM ({by_state}) WHERE lado = 'existente') com JOIN (SELECT * FROM ({by_state}) WHERE lado = 'inexistente') sem
+        USING (rede) WHERE least(com.n, sem.n) >= {minimum}"""
+
+
+@query("AGG-10_score_mean", f"""SELECT count(DISTINCT r.co_escola) AS n_escolas, round(avg(r.media_geral), 6) AS media,
+    round(stddev_samp(r.media_geral), 6) AS desvio_padrao FROM {_THAT_YEAR} WHERE r.ano = {EXAM_YEAR} AND s.rede = 'estadual'
+    AND r.media_geral IS NOT NULL HAVING count(DISTINCT r.co_escola) >= 10""")
 def score_mean(lake):
-    out = metrics.METRICS["media_enem_escolas"](lake.performance, lake.dim_school, where=F.col("rede") == "estadual")
+    metric = metrics.METRICS["media_enem_escolas"]
+    out = metric(lake.performance_years, lake.school_years, year=EXAM_YEAR, where=F.col("rede") == "estadual")
     return out.withColumns({c: F.round(c, 6) for c in ("media", "desvio_padrao")})
 
 
-@query("AGG-11_with_without_item", """SELECT * FROM (SELECT e.rede,
-    round(avg(f.media_geral) FILTER (d.m['item_2'] = 'existente') - avg(f.media_geral) FILTER (d.m['item_2'] = 'inexistente'), 6) AS diferenca,
-    count(*) FILTER (d.m['item_2'] = 'existente') AS n_com, count(*) FILTER (d.m['item_2'] = 'inexistente') AS n_sem
-    FROM performance f JOIN dim_school e ON e.co_entidade = f.co_escola JOIN profile d ON d.escola_infra_sk = f.escola_infra_sk
-    WHERE f.media_geral IS NOT NULL GROUP BY e.rede) WHERE n_com >= 10 AND n_sem >= 10""")
+@query("AGG-11_with_without_item", _sides("item_2", "media_geral", EXAM_YEAR, 10))
 def with_without_item(lake):
-    out = metrics.METRICS["diferenca_media_com_sem_item"](lake.performance, lake.dim_school, lake.profile, item="item_2")
+    metric = metrics.METRICS["diferenca_media_com_sem_item"]
+    out = metric(lake.performance_years, lake.school_years, lake.profile, item="item_2", year=EXAM_YEAR)
     return out.withColumn("diferenca", F.round("diferenca", 6))
 
 
-@query("AGG-12_state_share", """SELECT coalesce(m['item_2'], 'nao_informado') AS situacao, count(*) AS n_escolas,
-    round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS percentual FROM census_at GROUP BY ALL""")
+@query("AGG-12_state_share", f"""SELECT situacao, n_escolas, round(100.0::DOUBLE * n_escolas / (SELECT count(*) FROM school_years WHERE ano = {EXAM_YEAR}), 1)
+    AS percentual FROM (SELECT coalesce(p.m['item_2'], 'nao_informado') AS situacao, count(*) AS n_escolas FROM
+      (SELECT *, TIMESTAMP '{EXAM_REFERENCE}' AS em FROM school_years WHERE ano = {EXAM_YEAR}) s
+      ASOF LEFT JOIN profile p ON p.co_entidade = s.co_entidade AND s.em >= p.valid_from GROUP BY ALL)""")
 def state_share(lake):
-    return metrics.METRICS["pct_escolas_por_situacao_do_item"](lake.dim_school, lake.performance, lake.profile, item="item_2")
+    metric = metrics.METRICS["pct_escolas_por_situacao_do_item"]
+    return metric(lake.school_years, lake.performance_years, lake.profile, item="item_2", year=EXAM_YEAR)
 
 
 @query("AGG-13_exam_coverage", """SELECT count(*) AS escolas_enem, count(c.co_entidade) AS encontradas,
@@ -203,14 +225,11 @@ def exam_coverage(lake):
     return metrics.METRICS["cobertura_enem_censo"](lake.exam_input, lake.census_for_exam)
 
 
-@query("MET-01_metric_registry", """SELECT n_com + n_sem AS n, rede FROM (SELECT e.rede,
-    count(*) FILTER (d.m['item_1'] = 'existente') AS n_com, count(*) FILTER (d.m['item_1'] = 'inexistente') AS n_sem
-    FROM performance f JOIN dim_school e ON e.co_entidade = f.co_escola JOIN profile d ON d.escola_infra_sk = f.escola_infra_sk
-    WHERE f.media_cn IS NOT NULL GROUP BY e.rede) WHERE n_com >= 50 AND n_sem >= 50""")
+@query("MET-01_metric_registry", f"SELECT n_com + n_sem AS n, rede FROM ({_sides('item_1', 'media_cn', EXAM_YEAR - 1, 50)})")
 def metric_registry(lake):
-    """Another item, another area and another minimum through the same registry entry."""
+    """Another item, area, year and minimum through the same registry entry."""
     metric = metrics.METRICS["diferenca_media_com_sem_item"]
-    out = metric(lake.performance, lake.dim_school, lake.profile, item="item_1", area="media_cn", minimum=50)
+    out = metric(lake.performance_years, lake.school_years, lake.profile, item="item_1", year=EXAM_YEAR - 1, area="media_cn", minimum=50)
     return out.select((F.col("n_com") + F.col("n_sem")).alias("n"), "rede")
 
 
@@ -225,19 +244,19 @@ def percent_rank(lake):
 
 @query("AGG-24_exact_quantiles", """SELECT origem, count(*) AS amostras, round(median(l_extendedprice), 6) AS mediana_s,
     round(quantile_cont(l_extendedprice, 0.95), 6) AS p95_s, min(l_extendedprice) AS minimo_s, max(l_extendedprice) AS maximo_s
-    FROM li JOIN inspection ON vistoria_id = l_orderkey GROUP BY origem""")
+    FROM lineitem JOIN inspection ON vistoria_id = l_orderkey GROUP BY origem""")
 def exact_quantiles(lake):
     from ledgerlake.streaming import telemetry
 
-    rows = lake.lines.join(lake.inspection, F.col("l_orderkey") == F.col("vistoria_id")).select("origem", "l_extendedprice")
+    rows = lake.table("lineitem").join(lake.inspection, F.col("l_orderkey") == F.col("vistoria_id")).select("origem", "l_extendedprice")
     out = telemetry.latency_summary(rows, ["origem"], "l_extendedprice", bucket=lambda v: F.floor(v / 100))
     return out.withColumns({c: F.round(c, 6) for c in ("mediana_s", "p95_s")})
 
 
 @query("AGG-25_nearest_rank", """SELECT origem, list_sort(list(l_quantity))[greatest(CAST(floor(count(*) * 0.95) AS INT), 1)] AS p95
-    FROM li JOIN inspection ON vistoria_id = l_orderkey GROUP BY origem""")
+    FROM lineitem JOIN inspection ON vistoria_id = l_orderkey GROUP BY origem""")
 def nearest_rank(lake):
-    rows = lake.lines.join(lake.inspection, F.col("l_orderkey") == F.col("vistoria_id")).select("origem", "l_quantity")
+    rows = lake.table("lineitem").join(lake.inspection, F.col("l_orderkey") == F.col("vistoria_id")).select("origem", "l_quantity")
     return ordered.nearest_rank(rows, ["origem"], "l_quantity", 0.95, "p95", lambda v: F.floor(v))
 
 

@@ -282,10 +282,10 @@ def explain_missing(lake):
     return reconcile.explain_missing(reconcile.compare(lake.event, lake.target), pending, queued)
 
 
-@query("STR-20_confirmed_extras", "SELECT vistoria_id, item_codigo FROM compared WHERE situacao = 'so_no_destino' AND (vistoria_id - 10000000) % 2 <> 0")
+@query("STR-20_confirmed_extras", "SELECT vistoria_id, item_codigo FROM compared WHERE situacao = 'so_no_destino' AND (vistoria_id + 1) % 2 <> 0")
 def confirmed_extras(lake):
     """A later read of the origin knows half of the rows that looked extra."""
-    late = lake.target.where((F.col("vistoria_id") >= 10_000_000) & (F.col("vistoria_id") % 2 == 0))
+    late = lake.target.where((F.col("vistoria_id") < 0) & ((F.col("vistoria_id") + 1) % 2 == 0))
     later = lake.event.select(*EVENT_KEY).unionByName(late.select(*EVENT_KEY))
     return reconcile.confirm_extras(reconcile.compare(lake.event, lake.target), later)
 

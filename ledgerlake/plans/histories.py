@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlake.contracts import MAX_TS
 from ledgerlake.functions.columns import encode_items, entries_text, month_of, pct
 from ledgerlake.operators import facts, history, metrics, ordered, quality, workload
-from ledgerlake.plans.adapter import AS_OF, CATALOG, EXAM_REFERENCE, LAST_YEAR
+from ledgerlake.plans.adapter import AS_OF, CATALOG, EXAM_REFERENCE, EXAM_YEAR, LAST_YEAR
 from ledgerlake.plans.registry import query
 
 
@@ -103,19 +103,24 @@ def registration_conflicts(lake):
     return history.registration_conflicts(lake.school_files.unionByName(clash))
 
 
-@query("WIN-09_inspection_priority", f"""SELECT b.*, row_number() OVER (PARTITION BY sg_uf ORDER BY b.media_geral, b.co_entidade) AS posicao_na_uf FROM
-    (SELECT f.co_escola AS co_entidade, e.rede, m.sg_uf, f.media_geral,
-      percent_rank() OVER (PARTITION BY e.rede, m.sg_uf ORDER BY f.media_geral) AS percentil,
-      count(*) OVER (PARTITION BY e.rede, m.sg_uf) AS n_grupo
-     FROM performance f JOIN dim_school e ON e.co_entidade = f.co_escola JOIN municipality m USING (co_municipio)
-     WHERE e.rede IN ('federal','estadual','municipal') AND f.media_geral IS NOT NULL) b
-    JOIN profile d ON d.co_entidade = b.co_entidade AND d.is_current
-    WHERE n_grupo >= 10 AND percentil < 0.2 AND coalesce(d.m['item_3'], 'nao_informado') <> 'existente'
-      AND b.co_entidade NOT IN (SELECT co_entidade FROM event WHERE origem = 'vistoria_presencial'
-        AND ocorrido_em >= TIMESTAMP '{AS_OF}' - INTERVAL 365 DAY)""".replace("SELECT b.*", "SELECT b.co_entidade, b.rede, b.sg_uf, round(b.media_geral, 6) AS media_geral, round(b.percentil, 6) AS percentil, b.n_grupo"))
+# Percent rank by its definition: schools of the group with a lower score, over the others of the group.
+_PLACED = """SELECT a.co_entidade, a.rede, a.sg_uf, a.media_geral, count(o.co_entidade) + 1 AS n_grupo,
+    coalesce(count(*) FILTER (o.media_geral < a.media_geral) / nullif(count(o.co_entidade), 0)::DOUBLE, 0) AS percentil
+    FROM priority_base a LEFT JOIN priority_base o ON o.rede = a.rede AND o.sg_uf = a.sg_uf AND o.co_entidade <> a.co_entidade
+    GROUP BY a.co_entidade, a.rede, a.sg_uf, a.media_geral"""
+_CHOSEN = f"""SELECT p.* FROM ({_PLACED}) p SEMI JOIN (SELECT co_entidade FROM profile WHERE is_current
+      AND NOT coalesce(m['item_3'] = 'existente', false)) c USING (co_entidade)
+    ANTI JOIN (SELECT co_entidade FROM event WHERE origem = 'vistoria_presencial' AND ocorrido_em + INTERVAL 365 DAY >= TIMESTAMP '{AS_OF}') v
+    USING (co_entidade) WHERE p.n_grupo >= 10 AND p.percentil < 0.2"""
+
+
+@query("WIN-09_inspection_priority", f"""SELECT c.co_entidade, c.rede, c.sg_uf, round(c.media_geral, 6) AS media_geral, round(c.percentil, 6) AS percentil,
+    c.n_grupo, 1 + count(b.co_entidade) AS posicao_na_uf FROM ({_CHOSEN}) c LEFT JOIN ({_CHOSEN}) b
+    ON b.sg_uf = c.sg_uf AND (b.media_geral, b.co_entidade) < (c.media_geral, c.co_entidade) GROUP BY ALL""")
 def inspection_priority(lake):
+    """Two years of results and registrations go in; only the asked year may count."""
     out = metrics.METRICS["prioridade_vistoria"](
-        lake.performance, lake.dim_school, lake.municipality, lake.profile, lake.event, item="item_3", as_of=AS_OF
+        lake.performance_years, lake.school_years, lake.municipality, lake.profile, lake.event, item="item_3", year=EXAM_YEAR, as_of=AS_OF
     )
     return out.withColumns({"media_geral": F.round("media_geral", 6), "percentil": F.round("percentil", 6)})
 
@@ -186,7 +191,8 @@ def fact_performance(lake):
     )
 
 
-@query("JOIN-04_states_at_starts", "SELECT * FROM states_at")
+@query("JOIN-04_states_at_starts", """SELECT co_entidade, em AS valid_from, vistoria_origem_id, item_codigo, situacao, quantidade
+    FROM folded JOIN version USING (co_entidade, em)""")
 def states_at_starts(lake):
     held = history.profile_states(lake.item_change, CATALOG, lake.hot is not None)
     pairs = F.explode(F.array(*[
@@ -226,7 +232,7 @@ def profile_counters(lake):
     )
 
 
-@query("AGG-05_profile_starts", "SELECT * FROM starts")
+@query("AGG-05_profile_starts", "SELECT co_entidade, em AS valid_from, vistoria_origem_id FROM version")
 def profile_starts(lake):
     return history.profile_starts(lake.item_change)
 
@@ -309,18 +315,19 @@ def current_state_update(lake):
     return history.apply_revisit(state, visited).drop("vistoria_id")
 
 
-@query("AGG-14_fine_grain_share", f"""SELECT m.sg_uf, e.rede, count(*) AS escolas,
-    round(100.0::DOUBLE * count(*) FILTER (u.situacao = 'existente') / count(*), 1) AS pct_com_item FROM (
-      SELECT co_entidade, situacao FROM fact_item WHERE item_codigo = 'item_3' AND situacao <> 'nao_informado' AND year(ocorrido_em) = {LAST_YEAR}
-      QUALIFY row_number() OVER (PARTITION BY co_entidade ORDER BY ocorrido_em DESC, vistoria_id DESC) = 1) u
-    JOIN dim_school e USING (co_entidade) JOIN municipality m USING (co_municipio) GROUP BY m.sg_uf, e.rede""")
+_BY_PLACE = """SELECT sg_uf, rede, count(*) AS escolas, round(avg(CASE WHEN tem THEN 100.0::DOUBLE ELSE 0 END), 1) AS pct_com_item
+    FROM ({0}) JOIN dim_school USING (co_entidade) JOIN municipality USING (co_municipio) GROUP BY sg_uf, rede"""
+
+
+@query("AGG-14_fine_grain_share", _BY_PLACE.format(f"""SELECT co_entidade, arg_max(situacao, (ocorrido_em, vistoria_id)) = 'existente' AS tem
+    FROM known_in_year WHERE item_codigo = 'item_3' AND ano = {LAST_YEAR} GROUP BY co_entidade"""))
 def fine_grain_share(lake):
     return metrics.fine_grain_share(lake.fact_item, lake.dim_school, lake.municipality, "item_3", LAST_YEAR)
 
 
-@query("AGG-14_wide_grain_share", f"""SELECT m.sg_uf, e.rede, count(*) AS escolas,
-    round(100.0::DOUBLE * count(*) FILTER (item_3) / count(*), 1) AS pct_com_item FROM fact_year JOIN dim_school e USING (co_entidade)
-    JOIN municipality m USING (co_municipio) WHERE ano = {LAST_YEAR} AND item_3 IS NOT NULL GROUP BY m.sg_uf, e.rede""")
+@query("AGG-14_wide_grain_share", _BY_PLACE.format(f"""SELECT y.co_entidade, arg_max(c.situacao, (c.desde, c.vistoria_id)) = 'existente' AS tem
+    FROM year_end y JOIN change_rows c ON c.co_entidade = y.co_entidade AND c.item_codigo = 'item_3' AND c.desde <= y.em
+    WHERE y.ano = {LAST_YEAR} GROUP BY y.co_entidade"""))
 def wide_grain_share(lake):
     return metrics.wide_grain_share(lake.fact_year, lake.dim_school, lake.municipality, "item_3", LAST_YEAR)
 

@@ -408,7 +408,7 @@ def _lost_queue(lake):
 @query("STR-21_selective_replay", """SELECT vistoria_id, item_codigo, situacao, quantidade FROM event WHERE vistoria_id % 103 <> 0 OR vistoria_id % 101 = 0
     UNION ALL SELECT vistoria_id, item_codigo, situacao, quantidade + 1 FROM event WHERE vistoria_id % 103 = 0 AND vistoria_id % 101 <> 0""")
 def selective_replay(lake):
-    tables = _table(lake, lake.stored("target").where(F.col("vistoria_id") < 10_000_000))
+    tables = _table(lake, lake.stored("target").where(F.col("vistoria_id") >= 0))
     recovery.replay(_lost_queue(lake), tables.receipts, lake.stored("event"), tables.events, "operador-01", "origem_corrigida", "2002-02-01 00:00:00")
     recovery.replay(_lost_queue(lake), tables.receipts, lake.stored("event"), tables.events, "operador-02", "origem_corrigida", "2002-03-01 00:00:00")
     return tables.events.read().select("vistoria_id", "item_codigo", "situacao", "quantidade")
@@ -417,7 +417,7 @@ def selective_replay(lake):
 @query("STR-21_replay_receipts", """SELECT vistoria_id AS lsn_origem, 'vistoria_item/insert/'||vistoria_id||'/'||item_codigo AS chave, 'operador-01' AS responsavel
     FROM item WHERE vistoria_id % 101 = 0 OR (vistoria_id % 103 = 1)""")
 def replay_receipts(lake):
-    tables = _table(lake, lake.stored("target").where(F.col("vistoria_id") < 10_000_000))
+    tables = _table(lake, lake.stored("target").where(F.col("vistoria_id") >= 0))
     recovery.replay(_lost_queue(lake), tables.receipts, lake.stored("event"), tables.events, "operador-01", "origem_corrigida", "2002-02-01 00:00:00")
     recovery.replay(_lost_queue(lake), tables.receipts, lake.stored("event"), tables.events, "operador-02", "origem_corrigida", "2002-03-01 00:00:00")
     return tables.receipts.read().select("lsn_origem", "chave", "responsavel")

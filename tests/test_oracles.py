@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from ledgerlake.plans import registry
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -39,7 +40,7 @@ def answers(spark, request):
     names = [i.callspec.params["name"] for i in request.session.items if i.originalname == "test_query"]
 
     def ask(name):
-        df = entry_module.queries()[name](spark, FOLDER)
+        df = registry.QUERIES[name](spark, FOLDER)
         return df, df.collect()
 
     pool = ThreadPoolExecutor(6)
@@ -47,13 +48,13 @@ def answers(spark, request):
     pool.shutdown(cancel_futures=True)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(answers, duck, name):
     df, rows = answers[name].result()
     plan = df._jdf.queryExecution().executedPlan().toString()
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
         assert banned not in plan
-    sql = entry_module.oracle_sql().get(name)
+    sql = registry.ORACLES.get(name)
     if sql is None:
         assert rows
         return
