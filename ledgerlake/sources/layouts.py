@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,10 +45,23 @@ def clustered(df: DataFrame, by: Sequence[str], sort: Sequence[str]) -> DataFram
 
 
 def publish_year(df: DataFrame, path: str) -> int:
-    """Wide analytic table: replace one census year, partitioned by (year, state)."""
+    """Wide analytic table: replace one census year as a whole, partitioned by (year, state).
+
+    The year is written aside (a folder that readers skip) and then takes the old one's place, so a
+    failed write changes nothing and states that are gone leave no partition behind.
+    """
     year = require_one_year(df)
+    spark = df.sparkSession
     by, sort = ("ano_censo", "sg_uf"), ("co_municipio", "co_entidade", "item_codigo")
-    replace_partitions(clustered(df, by, sort), path, by)
+    aside = f"{path}/_aside-{uuid.uuid4().hex}"
+    clustered(df, by, sort).write.option("compression", "zstd").partitionBy(*by).parquet(aside)
+    jvm = spark.sparkContext._jvm
+    new, old = (jvm.org.apache.hadoop.fs.Path(f"{at}/ano_censo={year}") for at in (aside, path))
+    fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise RuntimeError(f"the new year stays in {new}")
+    fs.delete(new.getParent(), True)
     return year
 
 

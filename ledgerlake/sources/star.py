@@ -86,18 +86,21 @@ class Star:
                     facts.fact_performance(inputs.exam, inputs.schools, profiles, exam_reference, hot),
                 ).result()
             fine, wide = fine_job.result(), wide_job.result()
-        checks = self.checks(schools, places, profiles, fine, wide)
+        checks = self.checks(schools, places, profiles, fine, wide, hot)
         failed = quality.run_checks(checks).where(F.col("falhas") > 0).collect()  # one row per check
         if failed:
             raise ValueError("build not published: " + ", ".join(f"{r['teste']} ({r['falhas']})" for r in failed))
         return self.commits.publish(build, True, fine.count())
 
     @staticmethod
-    def checks(schools: DataFrame, places: DataFrame, profiles: DataFrame, fine: DataFrame, wide: DataFrame) -> dict:
+    def checks(
+        schools: DataFrame, places: DataFrame, profiles: DataFrame, fine: DataFrame, wide: DataFrame, hot: DataFrame | None = None
+    ) -> dict:
         return {
             "escola_unica": quality.unique(schools, ["co_entidade"]),
             "municipio_conhecido": quality.orphans(schools, "co_municipio", places, "co_municipio"),
-            "perfil_unico": quality.unique(profiles, ["escola_infra_sk"]),
+            "perfil_unico": quality.unique(profiles, ["co_entidade", "escola_infra_sk"]),
+            "versoes_sem_sobreposicao": quality.overlaps(profiles, "co_entidade", hot),
             "uma_versao_atual": quality.current_count(profiles, "co_entidade"),
             "fato_fino_unico": quality.unique(fine, EVENT_KEY),
             "escola_do_fato_conhecida": quality.orphans(fine, "co_entidade", schools, "co_entidade"),

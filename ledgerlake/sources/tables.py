@@ -2,23 +2,30 @@
 
 A commit writes its files to a folder of its own and then one small log entry; only logged folders
 are ever read. So a reader sees whole commits, a failed write leaves nothing visible, and any past
-version can be pinned. One writer at a time is the rule; a lost race on the log entry is retried.
+version can be pinned. Several writers may commit: each version number is taken by one of them, and the
+others look again at what is stored.
 Where a Delta catalog is configured, ``DataFrame.mergeInto`` does the same work.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOG_SCHEMA = "version int, commit string, base boolean, received long, inserted long"
-ATTEMPTS = 5
+ATTEMPTS = 20
+#: Versions after which the live entries are written together.
+SNAPSHOT = 20
+RETAIN_SECONDS = 7 * 24 * 3600.0
 BROADCAST_ROWS = 1_000_000
 COPIES = "_copies"
 
@@ -35,35 +42,90 @@ class Written:
 
 
 class CommitLog:
-    """Ordered list of published folders under a root; only what it names is ever read."""
+    """Ordered list of published folders under a root; only what it names is ever read.
+
+    Each version is one small file that is created whole or not at all, and never over another one:
+    prepared aside, then linked (local files) or renamed without overwriting (other file systems). Every
+    ``SNAPSHOT`` versions the live entries are also written together, so a read lists the log, takes the
+    newest such file and the few entries after it, however long the history is.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_log")
+        self._fs = self._folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def frame(self) -> DataFrame:
+    # -- files --------------------------------------------------------------------------------
+
+    def _files(self, suffix: str) -> dict[int, object]:
+        """Status of the log's files by version; a log that was never written has none."""
+        if not self._fs.exists(self._folder):
+            return {}
+        found = {s.getPath().getName(): s for s in self._fs.listStatus(self._folder)}
+        return {int(name.split(".")[0]): s for name, s in found.items() if name.endswith(suffix) and name[0].isdigit()}
+
+    def _text(self, status) -> str:
+        stream = self._fs.open(status.getPath())
         try:
-            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/_log/*")
-        except AnalysisException:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _create(self, name: str, text: str) -> bool:
+        """Make a file appear with its whole content; False if one of that name exists."""
+        jvm = self.spark.sparkContext._jvm
+        aside, final = jvm.org.apache.hadoop.fs.Path(self._folder, f"_{uuid.uuid4().hex}"), jvm.org.apache.hadoop.fs.Path(self._folder, name)
+        stream = self._fs.create(aside, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        try:
+            if self._fs.getUri().getScheme() == "file":
+                place = lambda path: jvm.java.nio.file.Paths.get(path.toUri().getPath(), self.spark.sparkContext._gateway.new_array(jvm.String, 0))
+                jvm.java.nio.file.Files.createLink(place(final), place(aside))
+            else:
+                context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+                never = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+                never[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+                context.rename(aside, final, never)
+            return True
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        finally:
+            self._fs.delete(aside, False)
+
+    # -- entries ------------------------------------------------------------------------------
+
+    def history(self, after: int = 0, until: int | None = None) -> list[Row]:
+        """Entries of the versions after one and up to another."""
+        wanted = {v: s for v, s in self._files(".json").items() if v > after and (until is None or v <= until)}
+        return [Row(**json.loads(self._text(s))) for _, s in sorted(wanted.items())]
+
+    def frame(self) -> DataFrame:
+        return self.spark.createDataFrame(self.history(), LOG_SCHEMA)
 
-    def entries(self, version: int | None = None) -> list:
+    def entries(self, version: int | None = None) -> list[Row]:
         """Entries that make up a version: those since its last full rewrite."""
-        rows = sorted(self.frame().collect(), key=lambda r: r["version"])
-        rows = [r for r in rows if version is None or r["version"] <= version]
+        shots = {v: s for v, s in self._files(".live").items() if version is None or v <= version}
+        last = max(shots, default=0)
+        rows = [Row(**x) for x in json.loads(self._text(shots[last]))] if shots else []
+        rows += self.history(last, version)
         start = max((i for i, r in enumerate(rows) if r["base"]), default=0)
         return rows[start:]
 
     def version(self) -> int:
-        return max((r["version"] for r in self.entries()), default=0)
+        return max(self._files(".json"), default=0)
 
     def add(self, version: int, commit: str, base: bool, received: int, inserted: int) -> bool:
         """False when another writer took the version number first."""
         values = {"version": version, "commit": commit, "base": base, "received": received, "inserted": inserted}
-        entry = self.spark.range(1).select(*[F.lit(v).alias(c) for c, v in values.items()])
-        try:
-            entry.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_log/{version:010d}")
-        except AnalysisException:
+        if not self._create(f"{version:010d}.json", json.dumps(values)):
             return False
+        if version % SNAPSHOT == 0:
+            # A helper for readers only: without it they read the single entries.
+            self._create(f"{version:010d}.live", json.dumps([r.asDict() for r in self.entries(version)]))
         return True
 
     def publish(self, commit: str, base: bool, rows: int) -> int:
@@ -73,6 +135,22 @@ class CommitLog:
                 return version
         raise RuntimeError(f"{self.root}: another writer kept committing")
 
+    def forget(self, retain_seconds: float) -> set[str]:
+        """Drop entries that no retained version needs; returns the commits that are still named.
+
+        Retained are the current version and those published in the last ``retain_seconds``.
+        """
+        files = self._files(".json")
+        recent = [v for v, s in files.items() if s.getModificationTime() >= (time.time() - retain_seconds) * 1000]
+        oldest = min([*recent, max(files, default=0)])
+        needed = {r["version"]: r["commit"] for r in [*self.entries(oldest), *self.history(oldest)]}
+        first = min(needed, default=0)
+        shots = self._files(".live")
+        for v, status in [*files.items(), *((v, s) for v, s in shots.items() if v < oldest)]:
+            if v < first or (v < oldest and status.getPath().getName().endswith(".live") and v != max((x for x in shots if x <= oldest), default=0)):
+                self._fs.delete(status.getPath(), False)
+        return set(needed.values())
+
 
 class VersionedTable:
     def __init__(
@@ -149,38 +227,44 @@ class VersionedTable:
     def insert_if_absent(self, batch: DataFrame, prune: bool = True) -> Written:
         """Insert the rows whose key is not stored yet; the first writer of a key wins.
 
-        The batch is computed once: its unique rows are staged as a commit folder, with the number
-        of copies each stands for. Into an empty table that folder is published as it is; otherwise
-        only the absent rows are written again. With ``prune`` only the partitions that occur in the
-        batch are searched, so a key stored under another partition value is inserted again. An
-        empty batch makes no version.
+        Only absent rows are written, so a repeated batch writes nothing. With ``prune`` only the partitions
+        that occur in the batch are searched, so a key stored under another partition value is inserted
+        again. If another writer commits meanwhile, what it wrote is looked up as well and the rest is
+        written anew. An empty batch makes no version.
         """
-        unique = first_per_key(batch.select(*self.schema.names), self.keys, self.first, COPIES)
-        staged = self._write_files(unique)
-        rows, received, values = self._profile(staged)
-        for _ in range(ATTEMPTS):
-            entries = self.commits.entries()
-            seen = max((r["version"] for r in entries), default=0)
-            commit, inserted = staged, rows
-            if rows and entries:
-                stored = self._load([r["commit"] for r in entries])
-                commit = self._write_files(self.absent(self._load([staged]), stored, values if prune else None, rows))
+        unique = first_per_key(batch.select(*self.schema.names), self.keys, self.first, COPIES).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows, received, values = self._profile(unique)
+            for _ in range(ATTEMPTS):
+                seen = self.commits.version()
+                entries = self.commits.entries(seen) if rows else []
+                new = unique.drop(COPIES)
+                if entries:
+                    new = self.absent(new, self._load([r["commit"] for r in entries]), values if prune else None, rows)
+                    if new.isEmpty():
+                        rows = 0
+                if not rows:
+                    return Written(received, 0, seen)
+                commit = self._write_files(new)
                 inserted = self._rows(commit)
-            if inserted == 0:
-                return Written(received, 0, seen)
-            if self.commits.add(seen + 1, commit, False, received, inserted):
-                return Written(received, inserted, seen + 1)
+                if self.commits.add(seen + 1, commit, False, received, inserted):
+                    return Written(received, inserted, seen + 1)
+                self._drop(commit)
+        finally:
+            unique.unpersist()
         raise RuntimeError(f"{self.root}: another writer kept committing")
 
-    def _profile(self, staged: str) -> tuple[int, int, list]:
-        """Rows, copies and partition values (calendar months: few) of a staged batch."""
+    def _profile(self, unique: DataFrame) -> tuple[int, int, list]:
+        """Rows, copies and partition values (calendar months: few) of a batch."""
         by = [self.partition] if self.partition else []
-        columns = ", ".join([*(f"{c} string" for c in by), f"{COPIES} long"])
-        files = self.spark.read.schema(columns).option("basePath", f"{self.root}/data").parquet(self._folder(staged))
-        counts = files.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(COPIES).alias("copies")).collect()
+        counts = unique.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(COPIES).alias("copies")).collect()
         found = [r for r in counts if r["rows"]]
         return sum(r["rows"] for r in found), sum(r["copies"] for r in found), [r[c] for r in found for c in by]
 
+    def _drop(self, commit: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._folder(commit))
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def absent(self, batch: DataFrame, stored: DataFrame, values: list | None, rows: int) -> DataFrame:
         """Rows of a batch of unique keys that are not stored."""
         if values is not None and self.partition:
@@ -192,15 +276,19 @@ class VersionedTable:
         found = stored.select(*self.keys).join(wanted, self.keys, "left_semi")
         return batch.join(found, self.keys, "left_anti")
 
-    def vacuum(self) -> int:
-        """Delete the commit folders that no log entry names (failed or superseded writes)."""
+    def vacuum(self, retain_seconds: float = RETAIN_SECONDS) -> int:
+        """Delete commit folders older than ``retain_seconds`` that no retained version names.
+
+        A folder that a writer is still filling is younger than any sensible retention, so it stays.
+        """
         jvm = self.spark.sparkContext._jvm
         data = jvm.org.apache.hadoop.fs.Path(f"{self.root}/data")
         fs = data.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(data):
             return 0
-        named = {f"commit={r['commit']}" for r in self.log().collect()}
-        stale = [f.getPath() for f in fs.listStatus(data) if f.getPath().getName() not in named]
+        named = {f"commit={c}" for c in self.commits.forget(retain_seconds)}
+        before = (time.time() - retain_seconds) * 1000
+        stale = [f.getPath() for f in fs.listStatus(data) if f.getPath().getName() not in named and f.getModificationTime() <= before]
         for path in stale:
             fs.delete(path, True)
         return len(stale)
