@@ -116,9 +116,13 @@ def truncated(text: str | Column, limit: int) -> Column:
     return F.substring(col(text), 1, limit)
 
 
+#: Fixed value: form of an operational id.
+OPERATOR = "operador-[0-9]{2,6}"
+
+
 def valid_operator(operator: str | Column) -> Column:
     """Operational ids name no person: the word operador, a dash and two to six digits."""
-    return col(operator).rlike("^operador-[0-9]{2,6}$")
+    return col(operator).rlike(f"^{OPERATOR}$")
 
 
 def encode_items(mapping: str | Column, catalog: Sequence[str]) -> Column:

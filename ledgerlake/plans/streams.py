@@ -314,12 +314,17 @@ def streamed_telemetry(lake):
     return telemetry.read_range(tables.telemetry.read()).select("lsn_fim", "itens", "atualizacoes")
 
 
-@query("STR-09_drain_instants")
+@query("STR-09_drain_instants", "SELECT 1::BIGINT AS instantes, true AS depois_do_inicio, false AS no_futuro")
 def drain_instants(lake):
-    """The drain instant is the clock's, so only its presence can be checked."""
+    """The instant is the clock's: one is kept, not before the pass began and not after it was read."""
     tables = _table(lake)
+    began = run.utc_now()
     _delivered(lake, tables)
-    return run.drained_at(tables)
+    kept, ended = F.col("drenado_em"), run.utc_now()
+    return run.drained_at(tables).agg(
+        F.count("*").alias("instantes"), F.bool_and(kept >= F.lit(began).cast("timestamp_ntz")).alias("depois_do_inicio"),
+        F.bool_or(kept > F.lit(ended).cast("timestamp_ntz")).alias("no_futuro"),
+    )
 
 
 @query("STR-03_redelivery", "SELECT * FROM stored")

@@ -65,9 +65,10 @@ def publish_year(df: DataFrame, path: str) -> int:
     return year
 
 
-def reapply(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of a batch a log-less table does not hold yet."""
-    return batch.join(stored.select(*keys), list(keys), "left_anti")
+def reapply(batch: DataFrame, path: str, keys: Sequence[str], by: Sequence[str]) -> None:
+    """Append the rows of a batch that a log-less table does not hold yet."""
+    held = batch.sparkSession.read.parquet(path).select(*keys)
+    write(batch.join(held, list(keys), "left_anti"), path, by)
 
 
 def compact(spark: SparkSession, source: str, target: str, by: Sequence[str]) -> None:

@@ -86,6 +86,11 @@ def _null_columns() -> Column:
     ])), ", ")
 
 
+#: Bytes of a broadcast key, and of all keys of a batch that are broadcast at most.
+KEY_BYTES = 16
+BROADCAST_BYTES = 32 << 20
+
+
 def enrich(changes: DataFrame, headers: DataFrame) -> DataFrame:
     """Give each captured item insert its header; items without a readable one keep NULLs.
 
@@ -98,6 +103,16 @@ def enrich(changes: DataFrame, headers: DataFrame) -> DataFrame:
     return items.join(known, "vistoria_id", "left").withColumn("motivo", _rejection())
 
 
+def headers_of(changes: DataFrame, headers: DataFrame) -> DataFrame:
+    """The headers that a batch names. Its keys are counted first: few are sent to the stored headers, which
+    then are neither shuffled nor read by other ids; many are joined by a shuffle.
+    """
+    keys = changes.where((F.col("tabela") == ITEMS) & (F.col("op") == "insert")).select(inspection_id().alias("vistoria_id"))
+    keys = keys.where(F.col("vistoria_id").isNotNull()).distinct().persist()
+    few = keys.count() * KEY_BYTES <= BROADCAST_BYTES
+    return headers.join(F.broadcast(keys) if few else keys, "vistoria_id", "left_semi")
+
+
 def events_of(enriched: DataFrame) -> DataFrame:
     good = enriched.where(F.col("motivo").isNull()).withColumns({
         "item_codigo": value("item_codigo"), "situacao": value("situacao"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.contracts import DLQ_KEY, EVENT_CONTENT, EVENT_KEY, EVENT_REQUIRED
-from ledgerlake.functions.columns import NTZ, all_of, hash_number, row_text
+from ledgerlake.functions.columns import NTZ, OPERATOR, all_of, hash_number, row_text
 from ledgerlake.sources.tables import VersionedTable
 
 REPLAY, ACCEPT = "reprocessar", "aceitar_desvio"
@@ -76,12 +77,16 @@ def verified(candidates: DataFrame, stored: DataFrame) -> DataFrame:
 
 def replay(
     queue: DataFrame, receipts: VersionedTable, origin: DataFrame, events: VersionedTable,
-    operator: str, reason: str, at: str,
+    operator: str, reason: str, at: str, chosen: DataFrame | None = None,
 ) -> ReplayCounts:
     """Recover dead-letter inserts from the origin by key; the first receipt of an occurrence stays.
 
-    Insertion looks for the key in *any* month, because the stored row may lie in another one.
+    ``chosen`` (lsn_origem, chave) restricts the replay to some occurrences. Insertion looks for the key in
+    *any* month, because the stored row may lie in another one.
     """
+    checked_operator(operator, reason)
+    if chosen is not None:
+        queue = queue.join(chosen.select(*DLQ_KEY).distinct(), list(DLQ_KEY), "left_semi")
     known = receipts.read()
     inserts = occurrences(queue.where(F.col("operacao") == "insert"))
     total = inserts.count()
@@ -103,39 +108,61 @@ def replay(
     return ReplayCounts(recovered, total - waiting, waiting - recovered, read)
 
 
-def scope_of(entry: dict) -> Column:
-    """Rows an accepted deviation covers: the row, the whole header, or the whole table."""
-    if entry["tabela"] not in ("vistoria", "vistoria_item"):
-        raise ValueError("table outside the change contract")
-    if entry["operacao"] == "truncate":
-        return F.lit(True)
-    if entry["vistoria_id"] is None:
-        raise ValueError("occurrence without a key to treat it by")
-    header = F.col("vistoria_id") == F.lit(entry["vistoria_id"])
-    if entry["tabela"] == "vistoria":
-        return header
-    if entry["item_codigo"] is None:
-        raise ValueError("item occurrence without item_codigo")
-    return header & (F.col("item_codigo") == F.lit(entry["item_codigo"]))
+@dataclass(frozen=True)
+class Scope:
+    """What one kind of deviation covers: rows that agree with the entry in ``columns``."""
+
+    table: str
+    operation: str
+    columns: tuple[str, ...]
+
+
+# A truncate empties a whole table; other operations touch a header with its items, or one item.
+SCOPES = {
+    (s.table, s.operation): s
+    for s in (
+        Scope("vistoria", "update", ("vistoria_id",)),
+        Scope("vistoria", "delete", ("vistoria_id",)),
+        Scope("vistoria", "truncate", ()),
+        Scope("vistoria_item", "update", EVENT_KEY),
+        Scope("vistoria_item", "delete", EVENT_KEY),
+        Scope("vistoria_item", "truncate", ()),
+    )
+}
+
+
+def covered(entry: dict) -> Column:
+    """Condition for the rows that accepting ``entry`` covers."""
+    scope = SCOPES.get((entry["tabela"], entry["operacao"]))
+    if scope is None:
+        raise ValueError(f"a deviation of {entry['operacao']} on {entry['tabela']} can't be accepted")
+    unknown = [c for c in scope.columns if entry[c] is None]
+    if unknown:
+        raise ValueError(f"the entry names no {', '.join(unknown)}")
+    return all_of([F.lit(True), *(F.col(c) == F.lit(entry[c]) for c in scope.columns)])
+
+
+def checked_operator(operator: str, reason: str) -> None:
+    """Receipts name an operational id and say why."""
+    if not re.fullmatch(OPERATOR, operator):
+        raise ValueError(f"{operator!r} is no operational id")
+    if not reason.strip():
+        raise ValueError("a treatment needs a reason")
 
 
 def acceptance(entry: dict, origin: DataFrame, target: DataFrame, operator: str, reason: str, at: str) -> DataFrame:
-    """Receipt row that records the exact state of both sides within the entry's scope."""
-    if entry["operacao"] not in ("update", "delete", "truncate"):
-        raise ValueError("rejected items need a successful replay, not an acceptance")
-    inside = scope_of(entry)
-    state = origin.where(inside).agg(state_number().alias("estado_origem")).withColumn(
-        "estado_delta", target.where(inside).agg(state_number()).scalar()
-    )
-    return state.select(
-        F.lit(entry["lsn_origem"]).cast("bigint").alias("lsn_origem"), F.lit(entry["chave"]).alias("chave"),
-        F.lit(ACCEPT).alias("acao"), F.lit(operator).alias("responsavel"), F.lit(reason).alias("motivo"),
-        F.lit(at).cast(NTZ).alias("tratado_em"), "estado_origem", "estado_delta",
-    )
+    """Receipt row with the fingerprint of both sides within the entry's scope."""
+    checked_operator(operator, reason)
+    inside = covered(entry)
+    here = origin.where(inside).agg(state_number().alias("estado_origem"))
+    there = target.where(inside).agg(state_number()).scalar()
+    fixed = {"lsn_origem": F.lit(entry["lsn_origem"]).cast("bigint"), "chave": F.lit(entry["chave"]), "acao": F.lit(ACCEPT),
+             "responsavel": F.lit(operator), "motivo": F.lit(reason), "tratado_em": F.lit(at).cast(NTZ)}
+    return here.select(*[v.alias(k) for k, v in fixed.items()], "estado_origem", there.alias("estado_delta"))
 
 
 def reviewed_keys(entry: dict, origin: DataFrame, target: DataFrame) -> DataFrame:
-    inside = scope_of(entry)
+    inside = covered(entry)
     keys = origin.where(inside).select(*EVENT_KEY).unionByName(target.where(inside).select(*EVENT_KEY)).distinct()
     return keys.select(
         F.lit(entry["lsn_origem"]).cast("bigint").alias("lsn_origem"), F.lit(entry["chave"]).alias("chave"), *EVENT_KEY

@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,7 +72,7 @@ def deliver(
     start = read_start or utc_now()
     changes = changes.persist()
     try:
-        enriched = envelope.enrich(changes, headers).persist()
+        enriched = envelope.enrich(changes, envelope.headers_of(changes, headers)).persist()
         read_end = utc_now()
         events, rejected = envelope.events_of(enriched), envelope.rejections(enriched)
         converted = utc_now()
@@ -92,11 +93,15 @@ def deliver(
     return written
 
 
+#: What a store may fail with; a wrong schema or expression is no such failure and is raised.
+STORE_ERRORS = (Py4JJavaError, OSError)
+
+
 def _log_pass(changes, events, rejected, clock, tables: Tables, drifts) -> None:
-    """Failing to log never blocks delivery."""
+    """A store that fails to log never blocks delivery."""
     try:
         tables.telemetry.append(telemetry.transaction_rows(changes, events, rejected, clock, drifts))
-    except Exception:  # noqa: BLE001
+    except STORE_ERRORS:
         log.exception("telemetry of the pass was not logged")
 
 
@@ -106,7 +111,7 @@ def drained(tables: Tables, at: str) -> None:
     try:
         tables.freshness.replace(spark.createDataFrame([(at,)], "drenado_em string").select(
             F.col("drenado_em").cast("timestamp_ntz")))
-    except Exception:  # noqa: BLE001
+    except STORE_ERRORS:
         log.exception("drain instant was not logged")
 
 
@@ -124,40 +129,54 @@ def source(spark: SparkSession, path: str, max_files: int | None = None) -> Data
 
 def start(
     stream: DataFrame, headers: Callable[[], DataFrame], tables: Tables, checkpoint: str,
-    every: str | None = None, fail_after_write: bool = False,
+    every: str | None = None, fail_after_write: bool = False, drifts: DataFrame | None = None, limited: bool = False,
 ) -> StreamingQuery:
     """Start delivery: one bounded pass, or every ``every`` (for example ``2 seconds``) for ever.
 
-    ``headers`` is called per batch, so each batch joins the headers as they are then.
+    ``headers`` is called per batch, so each batch joins the headers as they are then. A query that goes on
+    renews the drain instant after each batch and while it idles: a batch takes what was there when the
+    one before it ended, unless the source is ``limited`` per batch.
     """
+    taken = {"at": utc_now()}
+
     def batch(changes: DataFrame, _: int) -> None:
-        deliver(changes, headers(), tables, fail_after_write=fail_after_write)
+        deliver(changes, headers(), tables, fail_after_write=fail_after_write, drifts=drifts)
+        if every and not limited:
+            drained(tables, taken["at"])
+        taken["at"] = utc_now()
 
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    if not every:
+        return writer.trigger(availableNow=True).start()
+    query = writer.trigger(processingTime=every).start()
+    tables.freshness.spark.streams.addListener(IdleFreshness(tables, str(query.id)))
+    return query
 
 
 def run_once(
     spark: SparkSession, path: str, headers: Callable[[], DataFrame], tables: Tables, checkpoint: str,
-    max_files: int | None = None, fail_after_write: bool = False,
+    max_files: int | None = None, fail_after_write: bool = False, drifts: DataFrame | None = None,
 ) -> None:
     """Deliver what is pending now, then stop. A pass that drained everything renews the freshness."""
     began = utc_now()
-    start(source(spark, path, max_files), headers, tables, checkpoint, fail_after_write=fail_after_write).awaitTermination()
+    start(source(spark, path, max_files), headers, tables, checkpoint, fail_after_write=fail_after_write, drifts=drifts).awaitTermination()
     drained(tables, began)
 
 
 class IdleFreshness(StreamingQueryListener):
-    """Renews the drain instant of a continuous query while nothing arrives."""
+    """Renews the drain instant of one continuous query while nothing arrives, until the query ends."""
 
-    def __init__(self, tables: Tables):
-        self.tables = tables
+    def __init__(self, tables: Tables, query: str):
+        self.tables, self.query = tables, query
 
     def onQueryStarted(self, event) -> None: ...
 
     def onQueryProgress(self, event) -> None: ...
 
     def onQueryIdle(self, event) -> None:
-        drained(self.tables, event.timestamp.replace("T", " ").rstrip("Z"))
+        if str(event.id) == self.query:
+            drained(self.tables, event.timestamp.replace("T", " ").rstrip("Z"))
 
-    def onQueryTerminated(self, event) -> None: ...
+    def onQueryTerminated(self, event) -> None:
+        if str(event.id) == self.query:
+            self.tables.freshness.spark.streams.removeListener(self)

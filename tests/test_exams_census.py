@@ -1,5 +1,8 @@
 """Census and exam preparation."""
 
+import random
+from collections import Counter
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -10,49 +13,80 @@ from ledgerlake.operators import census, exams
 from ledgerlake.sources import readers
 
 
-def exam_rows(spark):
-    def row(school, presence, scores, status, essay):
-        place = ("5300108", "DF", "2", "1", "1") if school else (None,) * 5
-        return ("2024", school, *place, *presence, *scores, status, essay)
+AREAS4 = ("cn", "ch", "lc", "mt")
 
-    empty = (None,) * 4
-    rows = [
-        row("53000001", "1111", ("500", "600", "550", "650"), "1", "700"),
-        row("53000001", "0110", (None, "400", "420", None), "2", "0"),
-        row("53000001", "0000", empty, None, None),
-        row("53000001", "1221", ("480", None, None, "520"), None, None),
-        row("53000001", "1111", (None, "0", "500", "600"), "1", "800"),
-        *[row("53000001", "0000", empty, None, None)] * 5,
-        row("60000001", "1111", ("400",) * 4, "1", "400"),
-        row(None, "1111", ("700",) * 4, "1", "900"),
-    ]
+
+def people(seed, schools=(41, 42, 43, None)):
+    """Random people: school, present on each day (cn and mt, ch and lc), scores, essay score."""
+    rng = random.Random(seed)
+    out = []
+    for n in range(60):
+        days = {"cn": rng.random() < 0.8, "ch": rng.random() < 0.7}
+        days |= {"mt": days["cn"], "lc": days["ch"]}
+        scores = {a: rng.choice([None, 0.0, *(float(rng.randrange(300, 900)) for _ in range(4))]) if days[a] or rng.random() < 0.1 else None for a in AREAS4}
+        essay = rng.choice([None, 0.0, 440.0, 520.0]) if days["ch"] else None
+        out.append((schools[min(n // 25, 2)] if n % 9 else None, days, scores, essay))
+    return out
+
+
+def exam_rows(spark, given):
+    text = lambda v: None if v is None else str(v)
+    rows = []
+    for school, days, scores, essay in given:
+        place = (f"{school}00", "MG", "3", "2", "1") if school else (None,) * 5
+        rows.append(("2019", text(school), *place, *("1" if days[a] else "0" for a in AREAS4), *(text(scores[a]) for a in AREAS4), text(essay and "1"), text(essay)))
     return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in EXAM_COLUMNS))
 
 
-def test_school_results(spark):
-    rows = exams.participants(exam_rows(spark))
-    got = {r.co_escola: r for r in exams.school_results(rows).collect()}
-    assert set(got) == {53000001, 60000001}
-    s = got[53000001]
-    assert (s.participantes, s.notas_validas_cn, s.media_cn, s.notas_validas_ch) == (10, 2, 490.0, 3)
-    assert s.media_ch == pytest.approx(1000 / 3) and s.media_lc == 490.0 and s.media_mt == 590.0
-    assert (s.notas_validas_redacao, s.media_redacao, s.redacoes_nota_zero) == (3, 500.0, 1)
-    assert (s.participantes_com_todas_as_notas, s.media_geral, s.participantes_sem_nota_valida) == (1, 600.0, 6)
-    assert not s.poucos_participantes and got[60000001].poucos_participantes
-    zero_free = exams.mean_without_zero_essays(exams.school_results(rows)).where("co_escola = 53000001").first()
-    assert zero_free.media_redacao_sem_zeros == 750.0
+def counted(person):
+    """Scores that count: those of a day the person came to, and the essay."""
+    _, days, scores, essay = person
+    return {**{a: scores[a] if days[a] else None for a in AREAS4}, "redacao": essay}
+
+
+def mean(values):
+    known = [v for v in values if v is not None]
+    return sum(known) / len(known) if known else None
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_school_results(spark, seed):
+    given = people(seed)
+    results = exams.school_results(exams.participants(exam_rows(spark, given)))
+    got = {r.co_escola: r for r in exams.mean_without_zero_essays(results).collect()}
+    assert set(got) == {p[0] for p in given if p[0]}
+    for school, r in got.items():
+        own = [counted(p) for p in given if p[0] == school]
+        whole = [c for c in own if None not in c.values()]
+        assert r.participantes == len(own) and r.poucos_participantes == (len(own) < 10)
+        assert r.participantes_com_todas_as_notas == len(whole)
+        assert r.participantes_sem_nota_valida == sum(not any(v is not None for v in c.values()) for c in own)
+        for area in (*AREAS4, "redacao"):
+            assert r[f"notas_validas_{area}"] == sum(c[area] is not None for c in own)
+            assert r[f"media_{area}"] == pytest.approx(mean([c[area] for c in own]))
+        assert r.media_geral == pytest.approx(mean([mean(c.values()) for c in whole]))
+        essays = [c["redacao"] for c in own if c["redacao"]]
+        assert r.redacoes_nota_zero == sum(c["redacao"] == 0 for c in own)
+        assert r.media_redacao_sem_zeros == pytest.approx(mean(essays))
 
 
 def test_summary_and_coverage(spark):
-    rows = exams.participants(exam_rows(spark))
+    given = people(3)
+    rows = exams.participants(exam_rows(spark, given))
     s = exams.file_summary(rows).first()
-    assert (s.participantes, s.participantes_com_escola, s.escolas) == (12, 11, 2)
-    assert (s.notas_objetivas_faltantes, s.notas_objetivas_zero, s.redacoes_nota_zero) == (1, 1, 1)
-    schools = spark.createDataFrame([(53000001,), (53000099,)], "co_entidade long")
+    with_school = [p for p in given if p[0]]
+    assert (s.participantes, s.participantes_com_escola, s.escolas) == (len(given), len(with_school), len({p[0] for p in with_school}))
+    came = [(days[a], scores[a]) for _, days, scores, _ in given for a in AREAS4]
+    assert s.notas_objetivas_faltantes == sum(c and v is None for c, v in came)
+    assert s.notas_objetivas_zero == sum(c and v == 0 for c, v in came)
+    schools = spark.createDataFrame([(41,), (77,)], "co_entidade long")
     matched = exams.census_match(exams.school_results(rows), schools)
     c = exams.coverage(matched, exams.file_summary(rows)).first()
-    assert (c.escolas, c.escolas_mascaradas, c.escolas_no_censo, c.participantes_no_censo) == (2, 1, 1, 10)
-    assert {(r.rotulo, r.escolas, r.no_censo) for r in exams.bands(matched).collect()} == {("1", 1, 0), ("10 a 29", 1, 1)}
+    size = Counter(p[0] for p in with_school)
+    assert (c.escolas, c.escolas_no_censo, c.participantes_no_censo) == (len(size), 1, size[41])
+    assert c.escolas_mascaradas == sum(n < 10 for n in size.values())
+    assert sum(r.escolas for r in exams.bands(matched).collect()) == len(size)
+    assert {r.rotulo for r in exams.bands(matched).collect() if r.no_censo} == {"10 a 29"}
 
 
 def census_frame(spark, rows):

@@ -75,7 +75,8 @@ def test_idle_stream_renews_the_drain_instant(spark, folder):
     tables = run.Tables.under(spark, folder)
 
     class Idle:
+        id = "q"
         timestamp = "2026-01-02T03:04:05.678Z"
 
-    run.IdleFreshness(tables).onQueryIdle(Idle())
+    run.IdleFreshness(tables, "q").onQueryIdle(Idle())
     assert run.drained_at(tables).select(F.col("drenado_em").cast("string")).first()[0] == "2026-01-02 03:04:05.678"

@@ -224,7 +224,10 @@ def test_replay_and_acceptance(spark, events, folder):
     assert {r.situacao for r in compared.collect()} == {"iguais", "diferentes"}
     assert {r.situacao for r in reconcile.without_accepted(compared, live(origin)).collect()} == {"iguais"}
     with pytest.raises(ValueError):
-        recovery.acceptance({**entry, "operacao": "insert"}, origin, origin, "o", "m", "2026-01-01")
+        recovery.acceptance({**entry, "operacao": "insert"}, origin, origin, "operador-01", "m", "2026-01-01")
+    for operator, reason in (("Ana", "m"), ("operador-1", "m"), ("operador-01", " ")):
+        with pytest.raises(ValueError):
+            recovery.acceptance(entry, origin, origin, operator, reason, "2026-01-01")
 
 
 def test_pseudonymization(spark):
