@@ -2,7 +2,7 @@
 
 Documents with the same shingle set form a class, represented by its smallest id. A class has ``bands`` times
 ``rows`` MinHash samples; classes that agree in a whole band share a bucket. The number of bands makes a
-linked pair miss all of them with a chance of at most ``MISS``. All samples of a class are also folded
+linked pair miss all of them with a chance of at most ``MISS``. ``FOLDED`` samples of a class are folded
 into a parity bitmap (an odd sketch): the set bits of two bitmaps' XOR estimate how many samples differ,
 finest where the sets are alike. A pair is read in full only if its sizes and its bitmaps allow a link,
 and linked only if the full sets meet the threshold.
@@ -23,6 +23,7 @@ empty result.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -36,9 +37,11 @@ SHINGLE = 5
 ROWS = 6
 #: Chance that a pair right at the threshold shares no bucket.
 MISS = 1e-6
-#: Bits of an odd sketch, and how far below the threshold its estimate may lie (over four deviations).
-BITS = 1024
-MARGIN = 0.13
+#: MinHash samples that are folded into an odd sketch, its bits, and how many standard deviations of the
+#: estimate a pair right at the threshold may lie below it.
+FOLDED = 512
+BITS = 4096
+DEVIATIONS = 5.0
 #: Members of a bucket that one task compares at once.
 CELL = 512
 
@@ -68,13 +71,17 @@ def samples(shingles: np.ndarray, n: int) -> np.ndarray:
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     turn, scale = _turns(n)
     best = np.full(n, 0xFFFFFFFF, np.uint32)
-    for low in range(0, len(short), 1024):
-        block = (short[low : low + 1024, None] ^ turn) * scale
-        block ^= block >> np.uint32(15)
-        np.minimum(best, (block * np.uint32(0x2C1B3C6D)).min(axis=0), out=best)
+    room = np.empty((min(len(short), 256), n), np.uint32)
+    for low in range(0, len(short), 256):
+        some = short[low : low + 256, None]
+        block = room[: len(some)]
+        np.bitwise_xor(some, turn, out=block)
+        np.multiply(block, scale, out=block)
+        np.minimum(best, block.min(axis=0), out=best)
     return best
 
 
+@functools.cache
 def _turns(n: int) -> tuple[np.ndarray, np.ndarray]:
     """One xor mask and one odd factor for each sample."""
     wide = mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -88,9 +95,10 @@ def odd_sketch(values: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8))
 
 
-def differing(estimate: float, n: int) -> float:
-    """Bits expected to differ between the sketches of two sets of similarity ``estimate``."""
-    return BITS / 2 * (1 - math.exp(-4 * n * (1 - estimate) / BITS))
+def differing_at_most(threshold: float) -> float:
+    """Bits that the sketches of a pair at the threshold differ in, with room for the estimate's error."""
+    least = threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / FOLDED) - 0.005
+    return BITS / 2 * (1 - math.exp(-4 * FOLDED * (1 - max(0.0, least)) / BITS))
 
 
 def _signatures(docs: DataFrame, key: str, text: str, k: int, bands: int, rows: int) -> DataFrame:
@@ -106,10 +114,10 @@ def _signatures(docs: DataFrame, key: str, text: str, k: int, bands: int, rows:
                     continue
                 ones.append(int(mix(s).sum().astype(np.int64)))
                 twos.append(int(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x452821E638D01377))).astype(np.int64)))
-                values = samples(s, bands * rows)
-                odds.append(odd_sketch(values).tobytes())
+                values = samples(s, max(FOLDED, bands * rows))
+                odds.append(odd_sketch(values[:FOLDED]).tobytes())
                 band = np.arange(1, bands + 1, dtype=np.uint64)
-                for column in values.reshape(bands, rows).T:
+                for column in values[: bands * rows].reshape(bands, rows).T:
                     band = mix(band * np.uint64(0x9FB21C651E98DF25) + column)
                 keys.append(band.astype(np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -212,7 +220,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
     prepare(docs.sparkSession)
     threshold = percent / 100
     bands = bands_for(threshold, rows)
-    most = differing(max(0.0, threshold - MARGIN), bands * rows)
+    most = differing_at_most(threshold)
     signed = stored(_signatures(docs, key, text, k, bands, rows), "signatures")
     usable = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
     # Every class once: its bands and sketch are those of any of its rows.
