@@ -1,21 +1,15 @@
-"""Item history, profiles and facts: scenarios, and properties against a plain Python fold."""
+"""Item history, profiles and facts held against plain Python folds of generated histories."""
 
 import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerlake.operators import facts, history, metrics, quality
-from tests.conftest import at, event
+from tests.conftest import event
 
-ITEMS = ["bib", "internet", "lab"]
-H1 = [
-    event(1, "bib", "2024-05-29", "existente"), event(1, "lab", "2024-05-29", "inexistente"),
-    event(1, "internet", "2024-05-29", "nao_informado"),
-    event(2, "bib", "2025-03-10", "existente"), event(2, "lab", "2025-03-10", "existente"),
-    event(3, "bib", "2025-06-01", "existente"), event(3, "lab", "2025-06-01", "existente"),
-]
+ITEMS = ["patio", "rampa", "forno"]
+END = dt.datetime.max
 
 
 def profiles(events, rows, hot_limit=None):
@@ -24,155 +18,6 @@ def profiles(events, rows, hot_limit=None):
     return history.dim_profile(history.item_change(df, hot), ITEMS, hot is not None)
 
 
-def versions(df):
-    return [(r.valid_from, r.n_existentes, r.is_current, r.itens) for r in df.orderBy("co_entidade", "valid_from").collect()]
-
-
-def keys(df):
-    return {r.valid_from: r.escola_infra_sk for r in df.collect()}
-
-
-@pytest.mark.parametrize("limit", [None, 1])
-def test_history_gives_two_versions_without_gap(events, limit):
-    df = profiles(events, H1, limit)
-    assert versions(df) == [
-        (at("2024-05-29"), 1, False, {"bib": "existente", "lab": "inexistente"}),
-        (at("2025-03-10"), 2, True, {"bib": "existente", "lab": "existente"}),
-    ]
-    rows = df.orderBy("valid_from").select("valid_from", F.col("valid_to").cast("string").alias("t")).collect()
-    assert rows[0].t == "2025-03-10 00:00:00" and rows[1].t == "9999-12-31 23:59:59.999999"
-    assert quality.overlaps(df, "co_entidade").isEmpty() and quality.current_count(df, "co_entidade").isEmpty()
-
-
-def test_profile_as_of(events):
-    df = profiles(events, H1).cache()
-    state = lambda t: [r.itens["lab"] for r in history.profile_at(df, t).collect()]
-    assert state("2025-01-01") == ["inexistente"]
-    assert state("2025-04-01") == ["existente"]
-    assert state("2024-01-01") == []
-
-
-def test_unknown_keeps_the_last_known_state(events):
-    df = profiles(events, [
-        event(1, "internet", "2024-05-29", "existente"), event(1, "bib", "2024-05-29", "existente"),
-        event(2, "internet", "2025-02-01", "nao_informado"), event(2, "bib", "2025-02-01", "inexistente"),
-    ])
-    assert [v[3] for v in versions(df)] == [
-        {"bib": "existente", "internet": "existente"}, {"bib": "inexistente", "internet": "existente"},
-    ]
-
-
-def test_late_event_adds_a_version_and_keeps_the_others(events):
-    before = keys(profiles(events, H1))
-    after = keys(profiles(events, [*H1, event(9, "lab", "2024-01-15", "existente")]))
-    assert sorted(after) == [at("2024-01-15"), at("2024-05-29"), at("2025-03-10")]
-    assert all(after[t] == k for t, k in before.items())
-
-
-def test_advancing_a_version_drops_its_key(events):
-    first = [event(1, "lab", "2024-05-29", "inexistente")]
-    before = keys(profiles(events, first))
-    after = keys(profiles(events, [*first, event(2, "lab", "2024-01-15", "inexistente")]))
-    assert list(after) == [at("2024-01-15")]
-    assert not set(before.values()) & set(after.values())
-
-
-def test_keys_do_not_depend_on_the_session_zone(spark, events):
-    here = keys(profiles(events, H1))
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-    try:
-        assert keys(profiles(events, H1)) == here
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
-
-
-@pytest.mark.parametrize("limit", [None, 1])
-def test_quantity_in_force(events, limit):
-    rows = [
-        event(1, "lab", "2024-05-29", "existente", 2), event(2, "lab", "2025-02-01", "existente"),
-        event(3, "lab", "2025-03-01", "existente", 3), event(4, "lab", "2025-04-01", "inexistente"),
-        event(5, "lab", "2025-05-01", "existente"),
-    ]
-    df = events(rows)
-    changes = history.item_change(df, history.hot_entities(df, limit) if limit else None)
-    got = [(r.desde, r.quantidade) for r in changes.orderBy("desde").collect()]
-    assert got == [
-        (at("2024-05-29"), 2), (at("2025-03-01"), 3), (at("2025-04-01"), None), (at("2025-05-01"), None),
-    ]
-    assert [r.quantidades for r in profiles(events, rows).orderBy("valid_from").collect()] == [{"lab": 2}, {"lab": 3}, {}, {}]
-
-
-def test_wide_fact(events):
-    df = events(H1)
-    rows = facts.fact_year(df, profiles(events, H1), ITEMS, "2026-01-01 00:00:00").orderBy("ano").collect()
-    assert [(r.ano, r.n_existentes, r.lab, r.internet, r.pct_existentes) for r in rows] == [
-        (2024, 1, False, None, 50.0), (2025, 2, True, None, 100.0),
-    ]
-
-
-def test_year_reference_never_passes_as_of(events):
-    df = events(H1)
-    rows = facts.fact_year(df, profiles(events, H1), ITEMS, "2025-01-01 00:00:00").where("ano = 2025").collect()
-    assert rows[0].lab is False
-
-
-def test_closed_year_is_stable(events):
-    first = [r for r in H1 if r[0] == 1]
-    year = lambda rows: facts.fact_year(events(rows), profiles(events, rows), ITEMS, "2026-01-01 00:00:00")
-    assert quality.closed_history_changes(year(first), year(H1), 2024).isEmpty()
-
-
-def test_same_day_order_beats_id_order(spark, events):
-    rows = [
-        event(1, "lab", "2024-05-29 15:00:00", "inexistente"), event(2, "lab", "2024-05-29 09:00:00", "existente"),
-    ]
-    assert [(r.situacao, r.vistoria_id) for r in history.latest_state(events(rows)).collect()] == [("inexistente", 1)]
-    fact = facts.fact_item(events(rows), profiles(events, rows))
-    schools = spark.createDataFrame([(1, "estadual", 7)], "co_entidade long, rede string, co_municipio int")
-    places = spark.createDataFrame([(7, "DF")], "co_municipio int, sg_uf string")
-    fine = metrics.fine_grain_share(fact, schools, places, "lab", 2024).collect()
-    wide = metrics.wide_grain_share(
-        facts.fact_year(events(rows), profiles(events, rows), ITEMS, "2026-01-01 00:00:00"), schools, places, "lab", 2024
-    ).collect()
-    assert fine == wide and fine[0].pct_com_item == 0.0
-
-
-def test_same_instant_higher_id_wins(events):
-    rows = [event(1, "lab", "2024-05-29", "existente"), event(2, "lab", "2024-05-29", "inexistente")]
-    df = profiles(events, rows)
-    assert versions(df) == [(at("2024-05-29"), 0, True, {"lab": "inexistente"})]
-    assert df.first().vistoria_origem_id == 2
-
-
-@pytest.mark.parametrize("limit", [None, 1])
-def test_fact_points_at_the_version_in_force(events, limit):
-    df = events([*H1, event(8, "internet", "2023-01-01", "nao_informado")])
-    hot = history.hot_entities(df, limit) if limit else None
-    p = profiles(events, H1).cache()
-    start = {r.escola_infra_sk: r.valid_from for r in p.collect()}
-    got = facts.fact_item(df, p, hot).orderBy("ocorrido_em", "item_codigo").collect()
-    assert len(got) == 8
-    assert got[0].escola_infra_sk is None
-    assert [start[r.escola_infra_sk] for r in got if r.item_codigo == "lab"] == [
-        at("2024-05-29"), at("2025-03-10"), at("2025-03-10"),
-    ]
-
-
-def test_latest_registration_and_conflicts(spark):
-    rows = [(1, "B", 10, 2000), (1, "A", 11, 2001), (2, "X", 10, 2000), (2, "W", 10, 2000)]
-    df = spark.createDataFrame(rows, "co_entidade long, no_entidade string, co_municipio int, ano_censo_referencia int")
-    assert {(r.co_entidade, r.no_entidade, r.co_municipio, r.ano_censo_referencia) for r in history.latest_registration(df).collect()} == {
-        (1, "A", 11, 2001), (2, "W", 10, 2000)}
-    assert [(r.co_entidade, r.n) for r in history.registration_conflicts(df).collect()] == [(2, 2)]
-
-
-def test_missing_profile_is_not_replaced_by_the_current_one(spark, events):
-    p = profiles(events, H1)
-    fact = spark.createDataFrame([(None, 1)], "escola_infra_sk long, co_entidade long")
-    assert facts.with_profile(fact, p).first().itens is None
-
-
 # -- properties ------------------------------------------------------------------------------------
 
 def random_events(seed, n, schools=4):
@@ -238,3 +83,134 @@ def test_profiles_and_facts_equal_the_interval_definition(events, limit):
     for r in facts.fact_item(df, p, hot).collect():
         earlier = [t for (s, t) in want if s == r.co_entidade and t <= r.ocorrido_em]
         assert start_of.get(r.escola_infra_sk) == max(earlier, default=None)
+
+
+# -- versions over time ----------------------------------------------------------------------------
+
+def starts(df):
+    return {(r.co_entidade, r.valid_from): r.escola_infra_sk for r in df.collect()}
+
+
+@pytest.mark.parametrize("limit", [None, 20])
+def test_versions_tile_time(events, limit):
+    df = profiles(events, random_events(5, 150), limit).cache()
+    by_school = {}
+    for r in df.collect():
+        by_school.setdefault(r.co_entidade, []).append((r.valid_from, r.valid_to, r.is_current))
+    for rows in by_school.values():
+        rows.sort()
+        assert all(x[1] == y[0] for x, y in zip(rows, rows[1:], strict=False))
+        assert [x[2] for x in rows] == [False] * (len(rows) - 1) + [True] and rows[-1][1] == END
+    assert quality.overlaps(df, "co_entidade").isEmpty() and quality.current_count(df, "co_entidade").isEmpty()
+
+
+def test_profile_as_of_any_instant(events):
+    rows = random_events(6, 120)
+    df, changes = profiles(events, rows).cache(), fold_changes(rows)
+    first, last = min(c[4] for c in changes), max(c[4] for c in changes)
+    for when in (first - dt.timedelta(days=1), first, first + (last - first) / 3, last, last + dt.timedelta(days=400)):
+        want = {}
+        for c in changes:
+            if c[4] <= when < c[6]:
+                want.setdefault(c[0], {})[c[1]] = c[2]
+        assert {r.co_entidade: r.itens for r in history.profile_at(df, str(when)).collect()} == want
+
+
+def test_an_event_between_two_versions_changes_no_other_key(events):
+    rows = random_events(7, 60, schools=2)
+    before = starts(profiles(events, rows))
+    known = sorted(t for s, t in before if s == 0)
+    when = known[0] + (known[1] - known[0]) / 2
+    extra = event(999, "patio", when, "inutilizavel", school=0)
+    after = starts(profiles(events, [*rows, extra]))
+    assert (0, when) in after and set(after) - set(before) <= {(0, when), *after} and all(after[k] == v for k, v in before.items() if k in after)
+
+
+def test_keys_do_not_depend_on_the_session_zone(spark, events):
+    rows = random_events(8, 40)
+    here = starts(profiles(events, rows))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+    try:
+        assert starts(profiles(events, rows)) == here
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+# -- facts ------------------------------------------------------------------------------------------
+
+def yearly(rows, as_of):
+    """Per school and year with an event: the items present at the year's end, or at ``as_of`` if that is earlier."""
+    out, changes = {}, fold_changes(rows)
+    for school, year in {(r[2], r[5].year) for r in rows}:
+        when = min(dt.datetime(year, 12, 31, 23, 59, 59, 999000), as_of)
+        held = {c[1]: c[2] for c in changes if c[0] == school and c[4] <= when < c[6]}
+        out[school, year] = tuple(None if i not in held else held[i] == "existente" for i in ITEMS)
+    return out
+
+
+@pytest.mark.parametrize("as_of", [dt.datetime(2030, 1, 1), dt.datetime(2024, 9, 1)])
+def test_yearly_fact(events, as_of):
+    rows = random_events(9, 1500, schools=6)
+    got = facts.fact_year(events(rows), profiles(events, rows), ITEMS, str(as_of)).collect()
+    assert {(r.co_entidade, r.ano): tuple(r[i] for i in ITEMS) for r in got} == yearly(rows, as_of)
+    for r in got:
+        assert r.pct_existentes == (round(100 * r.n_existentes / r.n_itens_conhecidos, 2) if r.n_itens_conhecidos else None)
+
+
+def test_events_of_later_years_leave_a_closed_year_alone(events):
+    rows = random_events(10, 1900)
+    closed = [r for r in rows if r[5].year == 2024]
+    year = lambda some: facts.fact_year(events(some), profiles(events, some), ITEMS, "2030-01-01 00:00:00")
+    assert len(closed) < len(rows) and quality.closed_history_changes(year(closed), year(rows), 2024).isEmpty()
+
+
+def test_both_grains_give_the_same_share(spark, events):
+    rows = random_events(11, 400, schools=9)
+    schools = spark.createDataFrame([(i, ("estadual", "federal")[i % 2], i % 3) for i in range(9)], "co_entidade long, rede string, co_municipio int")
+    places = spark.createDataFrame([(0, "MG"), (1, "BA"), (2, "BA")], "co_municipio int, sg_uf string")
+    last = {}
+    for r in sorted(rows, key=lambda r: (r[5], r[0])):
+        if r[1] == "forno" and r[7] != "nao_informado" and r[5].year == 2024:
+            last[r[2]] = r[7] == "existente"
+    want = {}
+    for school, has in last.items():
+        want.setdefault((("MG", "BA", "BA")[school % 3], ("estadual", "federal")[school % 2]), []).append(has)
+    want = {k: (len(v), round(100 * sum(v) / len(v), 1)) for k, v in want.items()}
+    df, p = events(rows), profiles(events, rows).cache()
+    fine = metrics.fine_grain_share(facts.fact_item(df, p), schools, places, "forno", 2024)
+    wide = metrics.wide_grain_share(facts.fact_year(df, p, ITEMS, "2030-01-01 00:00:00"), schools, places, "forno", 2024)
+    for share in (fine, wide):
+        assert {(r.sg_uf, r.rede): (r.escolas, r.pct_com_item) for r in share.collect()} == want
+
+
+def test_latest_state_is_the_last_known_by_time_then_id(events):
+    rows = random_events(12, 300)
+    want = {}
+    for r in sorted(rows, key=lambda r: (r[5], r[0])):
+        if r[7] != "nao_informado":
+            want[r[2], r[1]] = (r[7], r[0])
+    got = history.latest_state(events(rows)).collect()
+    assert {(r.co_entidade, r.item_codigo): (r.situacao, r.vistoria_id) for r in got} == want
+
+
+def test_latest_registration_and_conflicts(spark):
+    rng = random.Random(13)
+    rows = [(rng.randrange(12), rng.choice("PQRS"), rng.randrange(3), rng.randrange(2015, 2018)) for _ in range(60)]
+    df = spark.createDataFrame(rows, "co_entidade long, no_entidade string, co_municipio int, ano_censo_referencia int")
+    newest = {s: max(r[3] for r in rows if r[0] == s) for s, *_ in rows}
+    got = {r.co_entidade: r for r in history.latest_registration(df).collect()}
+    assert set(got) == set(newest)
+    for s, r in got.items():
+        assert (s, r.no_entidade, r.co_municipio, newest[s]) in rows and r.ano_censo_referencia == newest[s]
+        assert r.no_entidade == min(x[1] for x in rows if x[0] == s and x[3] == newest[s])
+    count = {}
+    for r in set(rows):
+        count[r[0], r[3]] = count.get((r[0], r[3]), 0) + 1
+    assert {(r.co_entidade, r.n) for r in history.registration_conflicts(df).collect()} == {(s, n) for (s, _), n in count.items() if n > 1}
+
+
+def test_missing_profile_is_not_replaced_by_the_current_one(spark, events):
+    p = profiles(events, random_events(14, 30))
+    fact = spark.createDataFrame([(None, 0)], "escola_infra_sk long, co_entidade long")
+    assert facts.with_profile(fact, p).first().itens is None
