@@ -12,7 +12,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.session import work_dir
 
@@ -193,3 +194,29 @@ def rolled(hashes: np.ndarray, k: int, salt: int) -> np.ndarray:
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum(mix(hashes ^ np.uint64(salt)) * up[:n], out=prefix[1:])
     return mix((prefix[k:] - prefix[: n - k + 1]) * down[: n - k + 1])
+
+
+#: Bits (as a power of two) of a sieve: 1 MB, whatever the input.
+SIEVE = 23
+
+
+def sieve_slot(hashed: Column) -> Column:
+    """Slot of a 64-bit hash in a sieve."""
+    return hashed.bitwiseAND((1 << SIEVE) - 1)
+
+
+def sieve(hashed: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of fixed size: it lets through the rows with the hashes in ``column``, and few others.
+
+    Where so many hashes go in that it fills, it lets everything through: more is moved, nothing is lost.
+    """
+    slot = hashed.select(sieve_slot(F.col(column)).alias("slot"))
+    bits = slot.select(F.shiftrightunsigned("slot", 5).cast("int").alias("word"), F.expr("shiftleft(1L, cast(slot & 31 AS int))").alias("bit"))
+    rows = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2 ** (SIEVE - 5) rows
+    out = np.zeros(1 << (SIEVE - 5), np.uint32)
+    out[np.asarray(rows["word"])] = np.asarray(rows["bits"]).astype(np.uint32)
+    return out
+
+
+def passes(bitmap: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bitmap[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1 == 1

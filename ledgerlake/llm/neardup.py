@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import grams, mix, prepare, stored, whole, words
+from ledgerlake.llm.common import grams, mix, passes, prepare, sieve, sieve_slot, stored, whole, words
 
 SHINGLE = 5
 ROWS = 6
@@ -42,8 +42,6 @@ MISS = 1e-6
 FOLDED = 512
 BITS = 4096
 DEVIATIONS = 5.0
-#: Bits (as a power of two) of the bitmap that keeps texts without candidates out of a shuffle: 1 MB.
-SIEVE = 23
 #: Members of a bucket that one task compares at once.
 CELL = 512
 
@@ -165,29 +163,15 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def _sieve(nodes: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size with the hashed ids of ``nodes``: it lets through those and few others."""
-    slot = F.xxhash64("node").bitwiseAND((1 << SIEVE) - 1)
-    bits = nodes.select(slot.alias("slot")).select(F.shiftrightunsigned("slot", 5).cast("int").alias("word"), F.expr("shiftleft(1L, cast(slot & 31 AS int))").alias("bit"))
-    words_ = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2 ** (SIEVE - 5) rows
-    out = np.zeros(1 << (SIEVE - 5), np.uint32)
-    out[np.asarray(words_["word"])] = np.asarray(words_["bits"]).astype(np.uint32)
-    return out
-
-
 def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, h, text`` of the given nodes, once each; the sieve keeps other texts out of the shuffle.
-
-    With so many nodes that the bitmap fills, it lets all texts through: more is moved, nothing changes.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(_sieve(nodes))
+    """``node, h, text`` of the given nodes, once each; a sieve keeps other texts out of the shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(sieve(nodes.select(F.xxhash64("node").alias("hashed")), "hashed"))
 
     def run(batches):
         for b in batches:
-            slot = np.asarray(b.column(2))
-            yield b.select(["node", "text"]).filter(pa.array((shared.value[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1 == 1))
+            yield b.select(["node", "text"]).filter(pa.array(passes(shared.value, np.asarray(b.column(2)))))
 
-    slotted = docs.filter("node IS NOT NULL").select("node", "text", F.xxhash64("node").bitwiseAND((1 << SIEVE) - 1).alias("slot"))
+    slotted = docs.filter("node IS NOT NULL").select("node", "text", sieve_slot(F.xxhash64("node")).alias("slot"))
     sieved = slotted.mapInArrow(run, "node long, text string")
     return sieved.join(nodes, "node", "left_semi").groupBy("node", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
 

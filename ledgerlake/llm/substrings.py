@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import batch, grams, mix, prepare, rolled, words
+from ledgerlake.llm.common import batch, grams, mix, passes, prepare, rolled, sieve, sieve_slot, stored, words
 
 WINDOW = 35
 MINIMISER = 5
@@ -207,30 +207,49 @@ def repeated_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return packed.groupBy("bucket").applyInArrow(lambda rows: _repeats(rows, window), "id long, text_hash long, low int, high int")
 
 
+_KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
+
+
+def _left(ids: pa.Array, texts: list, spans: list) -> pa.RecordBatch:
+    """What is left of some texts without the word ranges in ``spans``."""
+    out = []
+    for body, found in zip(texts, spans, strict=True):
+        own = (body or "").encode().split()
+        kept = own
+        if found:
+            cover = np.zeros(len(own) + 1, np.int64)
+            np.add.at(cover, [r["low"] for r in found], 1)
+            np.add.at(cover, [r["high"] for r in found], -1)
+            kept = [own[i] for i in np.flatnonzero(np.cumsum(cover[:-1]) == 0).tolist()]
+        out.append((len(own), len(own) - len(kept), b" ".join(kept)))
+    kept = pa.array([x[2] for x in out], pa.binary()).cast(pa.string())
+    return batch(_KEPT, ids, [x[0] for x in out], [x[1] for x in out], kept)
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, m: int = MINIMISER) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept``: what is left of each text, its words joined by one space."""
+    """``doc_id, n_words, n_removed, kept``: what is left of each text, its words joined by one space.
+
+    Only texts that may lose words meet their ranges in a shuffle; a sieve tells the others apart.
+    """
     ranges = repeated_ranges(docs, key, text, window, m).distinct()
-    spans = ranges.groupBy("id", "text_hash").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    joined = _keyed(docs, key, text).join(spans, ["id", "text_hash"], "left").select("doc_id", "text", "spans")
+    spans = stored(ranges.groupBy("id", "text_hash").agg(F.collect_list(F.struct("low", "high")).alias("spans")), "spans")
+    shared = docs.sparkSession.sparkContext.broadcast(sieve(spans, "text_hash"))
+    texts = _keyed(docs, key, text).withColumn("slot", sieve_slot(F.col("text_hash")))
+    shape = "doc_id long, n_words long, n_removed long, kept string"
 
-    def run(batches):
+    def whole_texts(batches):
         for b in batches:
-            out = []
-            for body, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                own = (body or "").encode().split()
-                gone = 0
-                kept = own
-                if found:
-                    cover = np.zeros(len(own) + 1, np.int64)
-                    np.add.at(cover, [r["low"] for r in found], 1)
-                    np.add.at(cover, [r["high"] for r in found], -1)
-                    left = np.cumsum(cover[:-1]) == 0
-                    gone = len(own) - int(left.sum())
-                    kept = [own[i] for i in np.flatnonzero(left).tolist()]
-                out.append((len(own), gone, b" ".join(kept)))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.binary()).cast(pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept"],
-            )
-
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+            some = b.filter(pa.array(~passes(shared.value, np.asarray(b.column(2)))))
+            yield _left(some.column(0), some.column(1).to_pylist(), [None] * len(some))
+
+    def touched(batches):
+        for b in batches:
+            yield b.filter(pa.array(passes(shared.value, np.asarray(b.column(4))))).select(["doc_id", "id", "text_hash", "text"])
+
+    def without_ranges(batches):
+        for b in batches:
+            yield _left(b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist())
+
+    some = texts.mapInArrow(touched, "doc_id long, id long, text_hash long, text string")
+    joined = some.join(spans, ["id", "text_hash"], "left").select("doc_id", "text", "spans").mapInArrow(without_ranges, shape)
+    return texts.select("doc_id", "text", "slot").mapInArrow(whole_texts, shape).union(joined)
