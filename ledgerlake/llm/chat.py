@@ -8,10 +8,11 @@ A message (``conv_id, turn, role, text``) is plain text, or a JSON object: from
   one identifier the first counts; later ones are marked ``repeated``. A call without a result and a
   result without a call are ``unlinked``.
 * Order: a result comes after its call, a call after the calls it names in ``after`` and their results.
-  Calls are settled in rounds, those first whose prerequisites are all settled. The order is given as
-  columns to sort by (``place_turn, place_part, depth, turn, part``), so no conversation has to be in one
-  task. Without violations it is the order of the turns. Calls in a cycle keep their own place and are
-  marked ``cyclic``; named calls that don't exist are ignored.
+  Calls that stand before something they need are moved behind it, and in rounds the calls that need a
+  moved one; the rounds are as many as such calls follow each other, none where all is in order. The
+  order is given as columns to sort by (``place_turn, place_part, depth, turn, part``), so no
+  conversation has to be in one task. Calls in a cycle, or behind one, keep their own place and are marked
+  ``cyclic``; named calls that don't exist are ignored.
 * Arguments are checked against the schema of the call's name (a stated subset of JSON Schema).
 
 Null text is empty content; text that is no such object is plain content. Rows with a null conversation or turn
@@ -172,37 +173,58 @@ def _parsed(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
 
 
 def _settled(calls: DataFrame) -> DataFrame:
-    """``conv_id, call_id, place, depth`` of the calls that are in no cycle.
+    """``conv_id, call_id, place, depth`` of the calls that can't keep their own place; ``cyclic`` marks the rest.
 
-    ``calls`` has ``own`` (its turn and part), ``done`` (the later of it and its result) and ``after``.
+    ``calls`` has ``own`` (its turn and part), ``done`` (the later of it and its result) and ``after``. Only
+    calls that stand before something they need are moved, and then those that need a moved call.
     """
-    needs = calls.select("conv_id", "call_id", F.explode("after").alias("needed")).join(
-        calls.select("conv_id", F.col("call_id").alias("needed")), ["conv_id", "needed"], "left_semi"
-    )
-    needs = stored(needs, "needs")
-    waiting = stored(calls.join(needs, ["conv_id", "call_id"], "left_semi").select("conv_id", "call_id", "own", "done"), "waiting")
-    free = calls.join(needs, ["conv_id", "call_id"], "left_anti")
-    ready = stored(free.select("conv_id", "call_id", F.col("own").alias("place"), "done", F.lit(0).cast("long").alias("depth")), "settled")
-    every = [ready]
-    while waiting.limit(1).count():
-        settled = every[0]
-        for more in every[1:]:
-            settled = settled.union(more)
-        seen = settled.select("conv_id", F.col("call_id").alias("needed"), F.greatest("place", "done").alias("end"), "depth", F.lit(1).alias("known"))
-        asked = needs.join(seen, ["conv_id", "needed"], "left").groupBy("conv_id", "call_id").agg(
-            F.count("*").alias("asked"), F.count("known").alias("known"), F.max("end").alias("end"), F.max("depth").alias("before")
+    ends = calls.select("conv_id", F.col("call_id").alias("needed"), "done")
+    asked = calls.select("conv_id", "call_id", "own", F.explode("after").alias("needed"))
+    needs = stored(asked.join(ends, ["conv_id", "needed"]), "needs")
+    best = F.max(F.struct(F.col("end").alias("place"), F.col("level").alias("depth"))).alias("best")
+
+    def moved(edges: DataFrame) -> DataFrame:
+        """The latest place, and then the greatest depth, that the edges ask of each call."""
+        late = edges.filter("end >= own").groupBy("conv_id", "call_id").agg(best)
+        return late.select("conv_id", "call_id", "best.place", "best.depth")
+
+    state = stored(moved(needs.withColumn("end", F.col("done")).withColumn("level", F.lit(1).cast("long"))), "moved")
+    if not state.limit(1).count():
+        return state.withColumn("cyclic", F.lit(False))
+    # What a moved call may move in turn: calls reachable from it, found by following the edges once.
+    changed, rounds = state, 1
+    while True:
+        last = changed.select("conv_id", F.col("call_id").alias("needed"), "place", "depth")
+        edges = needs.join(last, ["conv_id", "needed"]).withColumn("end", F.greatest("place", "done")).withColumn("level", F.col("depth") + 1)
+        asked = moved(edges.select("conv_id", "call_id", "own", "end", "level"))
+        old = state.select("conv_id", "call_id", F.col("place").alias("had_place"), F.col("depth").alias("had_depth"))
+        more = asked.join(old, ["conv_id", "call_id"], "left").filter(
+            "had_place IS NULL OR place > had_place OR (place = had_place AND depth > had_depth)"
         )
-        able = asked.filter("asked = known")
-        now = waiting.join(able, ["conv_id", "call_id"]).select("conv_id", "call_id", F.greatest("own", "end").alias("place"), "done", (F.col("before") + 1).alias("depth"))
-        now = stored(now, "settled")
-        if not now.limit(1).count():
-            break
-        every.append(now)
-        waiting = stored(waiting.join(now, ["conv_id", "call_id"], "left_anti"), "waiting")
-    out = every[0]
-    for more in every[1:]:
-        out = out.union(more)
-    return out.select("conv_id", "call_id", "place", "depth")
+        changed = stored(more.select("conv_id", "call_id", "place", "depth"), "changed")
+        if not changed.limit(1).count():
+            return state.withColumn("cyclic", F.lit(False))
+        kept = state.join(changed, ["conv_id", "call_id"], "left_anti")
+        state = stored(kept.unionByName(changed), "moved")
+        rounds += 1
+        # A chain has as many steps as moved calls at most; who still changes after them is in a cycle or behind one.
+        most = state.groupBy("conv_id").agg(F.count("*").alias("n"))
+        if (most.agg(F.max("n")).first()[0] or 0) < rounds:
+            endless = changed.select("conv_id", "call_id", F.lit(True).alias("endless"))
+            endless = stored(_reached(needs, endless), "endless")
+            marked = state.join(endless, ["conv_id", "call_id"], "left")
+            return marked.select("conv_id", "call_id", "place", "depth", F.coalesce("endless", F.lit(False)).alias("cyclic"))
+
+
+def _reached(needs: DataFrame, start: DataFrame) -> DataFrame:
+    """``start`` and every call that needs one of it, directly or not."""
+    found = stored(start.select("conv_id", "call_id").distinct(), "reached")
+    while True:
+        step = needs.join(found.select("conv_id", F.col("call_id").alias("needed")), ["conv_id", "needed"]).select("conv_id", "call_id")
+        new = stored(step.distinct().join(found, ["conv_id", "call_id"], "left_anti"), "reached")
+        if not new.limit(1).count():
+            return found.withColumn("endless", F.lit(True))
+        found = stored(found.union(new), "reached")
 
 
 def format_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -231,11 +253,14 @@ def format_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         .when(F.col("called").isNull() & F.col("answered").isNull(), F.lit("unlinked"))
         .when(~counts, F.lit("repeated"))
         .when(~linked, F.lit("unlinked"))
-        .when(F.col("place").isNull(), F.lit("cyclic"))
+        .when(F.col("cyclic"), F.lit("cyclic"))
     )
-    # Repeated and cyclic parts keep their own place.
-    place = F.when(counts & F.col("place").isNotNull(), F.when(is_call, F.col("place")).otherwise(F.greatest("place", "own"))).otherwise(F.col("own"))
-    depth = F.when(counts & F.col("place").isNotNull(), F.col("level") * 2 + is_result.cast("long")).otherwise(0)
+    # Repeated and cyclic parts keep their own place, and so do calls that nothing moves.
+    free = counts & ~F.coalesce("cyclic", F.lit(False))
+    at = F.when(free, F.coalesce("place", "called"))
+    place = F.when(is_result & F.col("called").isNotNull(), F.greatest(at, F.col("own"))).when(is_call, at)
+    place = F.coalesce(place, F.col("own"))
+    depth = F.when(free & F.col("called").isNotNull(), F.coalesce("level", F.lit(0)) * 2 + is_result.cast("long")).otherwise(0)
     return joined.select(
         "conv_id", "turn", "part", "kind", "call_id", linked.alias("linked"), F.when(is_call, F.col("error").isNull()).alias("valid"),
         F.nullif(F.concat_ws("; ", "error", marks), F.lit("")).alias("error"), place["turn"].alias("place_turn"), place["part"].alias("place_part"), depth.alias("depth"), "json",

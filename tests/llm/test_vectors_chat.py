@@ -115,13 +115,33 @@ def test_links_order_and_marks(spark):
     assert by[1, 1, 0].linked and by[1, 1, 1].linked and by[1, 2, 0].linked and by[1, 3, 0].linked and not by[1, 4, 0].linked
     marks = {k: r.error for k, r in by.items() if r.error}
     assert marks[1, 4, 0] == "repeated" and marks[1, 5, 0] == "unlinked" and marks[1, 6, 0] == "repeated" and marks[1, 6, 1] == "unlinked"
-    assert "cyclic" in marks[2, 2, 0] or "unlinked" in marks[2, 2, 0]
+    assert marks[2, 2, 0] == "unlinked" and order(2) == [(1, 0), (0, 0), (2, 0), (2, 1)]
     assert marks[3, 0, 0].startswith("no identifier") and marks[3, 0, 2] == "unlinked" and by[3, 0, 2].valid and not by[3, 0, 0].valid
     assert by[3, 2, 0].json == '{"content":"","role":"user"}' and by[None, 0, 0].error == "unlinked" and (1, 0, 0) not in marks
     empty = messages.filter("conv_id = -1")
     assert chat.format_calls(empty, schemas).collect() == []
 
 
+def test_long_chains_and_cycles(spark):
+    """A reversed chain is turned round, a long chain in order takes no rounds, cycles keep their place."""
+    n, rows = 6, []
+    for i in range(n):  # call i needs call i + 1, which comes later
+        rows.append((1, i, "assistant", call([f"c{i}", f"c{i + 1}"] if i < n - 1 else [f"c{i}"])))
+    for i in range(300):
+        rows += [(2, 2 * i, "assistant", call([f"d{i}", f"d{i - 1}"])), (2, 2 * i + 1, "tool", result(f"d{i}"))]
+    rows += [(3, 0, "assistant", call(["p", "q"], ["q", "p"], ["behind", "p"], ["free"]))]
+    rows += [(3, 1 + i, "tool", result(x)) for i, x in enumerate(["p", "q", "behind", "free"])]
+    found = chat.format_calls(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), {"f": {}}).collect()
+
+    def order(conv):
+        return [(r.kind, r.call_id) for r in sorted((r for r in found if r.conv_id == conv), key=lambda r: (r.place_turn, r.place_part, r.depth, r.turn, r.part))]
+
+    assert order(1) == [("call", f"c{i}") for i in reversed(range(n))]
+    assert order(2) == [(k, f"d{i}") for i in range(300) for k in ("call", "result")]
+    assert {r.call_id for r in found if r.conv_id == 3 and r.error == "cyclic"} == {"p", "q", "behind"}
+    assert order(3)[:4] == [("call", x) for x in ("p", "q", "behind", "free")]
+
+
 def test_query_links_each_question_to_its_answer(spark):
     folder = "/root/testdata/sf0.001"
     turns = {(r.conv_id, r.turn): r for r in spark.read.parquet(f"{folder}/conversations.parquet").collect()}
