@@ -19,6 +19,13 @@ from ledgerlake.operators import dashboard, exams, facts, history, ordered
 from ledgerlake.session import work_dir
 
 CATALOG = [f"item_{n}" for n in range(1, 8)]
+
+
+def census_column(code: str) -> str:
+    """Flag column of an item: the whole number of its code, so no two items share one."""
+    return f"IN_{code.removeprefix('item_')}"
+
+
 AS_OF = "2001-08-02 00:00:00"
 EXAM_YEAR = 2001
 EXAM_REFERENCE = "2001-06-01"
@@ -85,8 +92,8 @@ class Lake:
 
     @cached_property
     def catalog(self) -> DataFrame:
-        n = F.col("id").cast("int")
-        return self.spark.range(1, 8).select(
+        n = F.col("l_linenumber").cast("int")
+        return self.table("lineitem").select("l_linenumber").distinct().select(
             F.concat(F.lit("item_"), n).alias("codigo"), F.concat(F.lit("Item "), n).alias("descricao"),
             F.concat(F.lit("IN_"), n).alias("coluna_censo"),
             F.when(n % 2 == 1, "odd").otherwise("even").alias("categoria"),
@@ -327,7 +334,7 @@ VIEWS: dict[str, str] = {
     "school_files": f"""SELECT * REPLACE ({EXAM_YEAR - 1} AS ano_censo_referencia) FROM school
         UNION ALL SELECT * REPLACE (no_entidade||'-B' AS no_entidade) FROM school WHERE co_entidade % 3 = 0""",
     "catalog": """SELECT 'item_'||i AS codigo, 'Item '||i AS descricao, 'IN_'||i AS coluna_censo,
-        CASE WHEN i % 2 = 1 THEN 'odd' ELSE 'even' END AS categoria FROM range(1,8) t(i)""",
+        CASE WHEN i % 2 = 1 THEN 'odd' ELSE 'even' END AS categoria FROM (SELECT DISTINCT l_linenumber AS i FROM lineitem)""",
     "inspection": f"""SELECT o_orderkey AS vistoria_id, o_custkey AS co_entidade, o_orderdate AS ocorrido_em,
         o_orderdate + to_days(CAST(o_orderkey % 20 AS INT)) AS registrado_em,
         CASE o_orderstatus WHEN 'F' THEN '{ORIGIN_CENSUS}' WHEN 'O' THEN '{ORIGIN_ON_SITE}' ELSE '{ORIGIN_SELF}' END AS origem

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.contracts import AREAS
 from ledgerlake.operators import census, exams, metrics, ordered, quality, workload
-from ledgerlake.plans.adapter import CATALOG, EXAM_REFERENCE, EXAM_YEAR
+from ledgerlake.plans.adapter import CATALOG, EXAM_REFERENCE, EXAM_YEAR, census_column
 from ledgerlake.plans.registry import query
 
 _MEANS = [f"media_{a}" for a in AREAS] + ["media_geral"]
@@ -24,7 +24,7 @@ def census_raw(lake):
     k = F.col("co_entidade")
     flag = F.when(F.col("situacao") == "existente", "1").when(F.col("situacao") == "inexistente", "0")
     flags = lake.latest.groupBy("co_entidade").agg(*[
-        F.max(F.when(F.col("item_codigo") == c, flag)).alias(f"IN_{c[-1]}") for c in CATALOG
+        F.max(F.when(F.col("item_codigo") == c, flag)).alias(census_column(c)) for c in CATALOG
     ])
     return (
         lake.school.join(lake.municipality, "co_municipio").join(flags, "co_entidade", "left").select(
@@ -36,7 +36,7 @@ def census_raw(lake):
             F.when(k % 17 != 0, F.col("tp_dependencia")).cast("string").alias("TP_DEPENDENCIA"),
             F.col("tp_localizacao").cast("string").alias("TP_LOCALIZACAO"),
             F.when(k % 13 == 0, "2").otherwise("1").alias("TP_SITUACAO_FUNCIONAMENTO"),
-            *[f"IN_{c[-1]}" for c in CATALOG],
+            *[census_column(c) for c in CATALOG],
         )
     )
 
@@ -68,7 +68,7 @@ def schools(lake):
     FROM school s CROSS JOIN catalog c LEFT JOIN latest l ON l.co_entidade = s.co_entidade AND l.item_codigo = c.codigo
     WHERE {_LOCATED.replace('co_entidade', 's.co_entidade')}""")
 def unpivot_items(lake):
-    return census.item_states(census.active_schools(census_raw(lake)), {c: f"IN_{c[-1]}" for c in CATALOG})
+    return census.item_states(census.active_schools(census_raw(lake)), {c: census_column(c) for c in CATALOG})
 
 
 # -- exams ---------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.contracts import CENSUS_COLUMNS, EVENT_KEY, EVENT_SCHEMA, EXAM_COLUMNS
 from ledgerlake.operators import census, facts, metrics, quality
-from ledgerlake.plans.adapter import AS_OF, CATALOG, EXAM_REFERENCE, LAST_YEAR
+from ledgerlake.plans.adapter import AS_OF, CATALOG, EXAM_REFERENCE, LAST_YEAR, census_column
 from ledgerlake.plans.analytics import census_raw
 from ledgerlake.plans.registry import query
 from ledgerlake.session import work_dir
@@ -34,7 +34,7 @@ def raw_text_file(lake):
 @query("SRC-02_header_contract", "SELECT (SELECT count(*) FROM exam_row) AS linhas_enem, (SELECT count(*) FROM school) AS linhas_censo")
 def header_contract(lake):
     exam = census.require_columns(readers.raw_text(lake.spark, _raw_file(lake, lake.exam_raw)), EXAM_COLUMNS, "exam file", ordered=True)
-    wanted = [*CENSUS_COLUMNS, *[f"IN_{c[-1]}" for c in CATALOG]]
+    wanted = [*CENSUS_COLUMNS, *[census_column(c) for c in CATALOG]]
     schools = census.require_columns(readers.raw_text(lake.spark, _raw_file(lake, census_raw(lake))), wanted, "census file")
     return exam.agg(F.count("*").alias("linhas_enem")).withColumn("linhas_censo", schools.agg(F.count("*")).scalar())
 
@@ -284,7 +284,7 @@ def _staged(lake):
     active = census.active_schools(census_raw(lake))
     staged = {
         "municipality": census.municipalities(active), "school": census.schools(active),
-        "item": census.item_states(active, {c: f"IN_{c[-1]}" for c in CATALOG}),
+        "item": census.item_states(active, {c: census_column(c) for c in CATALOG}),
     }
     done = ingest.baseline_inspections(staged["school"].where(F.col("co_entidade") % 2 == 0), _REFERENCE)
     stored = {

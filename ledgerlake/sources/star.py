@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.contracts import EVENT_KEY
+from ledgerlake.contracts import EVENT_KEY, STATES
 from ledgerlake.operators import facts, history, quality
 from ledgerlake.sources.tables import CommitLog
 
@@ -63,7 +63,7 @@ class Star:
         build = uuid.uuid4().hex
         codes = [r[0] for r in inputs.catalog.select("codigo").collect()]  # the catalog is tiny
         facts.check_catalog(codes)
-        self._write(build, "dim_item", facts.dim_item(inputs.catalog))
+        items = self._write(build, "dim_item", facts.dim_item(inputs.catalog))
         places = self._write(build, "dim_municipio", facts.dim_municipality(inputs.municipalities))
         schools = self._write(build, "dim_escola", facts.dim_school(inputs.schools))
         changes = history.item_change(inputs.events, hot)
@@ -86,7 +86,7 @@ class Star:
                     facts.fact_performance(inputs.exam, inputs.schools, profiles, exam_reference, hot),
                 ).result()
             fine, wide = fine_job.result(), wide_job.result()
-        checks = self.checks(schools, places, profiles, fine, wide, hot)
+        checks = self.checks(items, schools, places, profiles, fine, wide, hot)
         failed = quality.run_checks(checks).where(F.col("falhas") > 0).collect()  # one row per check
         if failed:
             raise ValueError("build not published: " + ", ".join(f"{r['teste']} ({r['falhas']})" for r in failed))
@@ -94,7 +94,8 @@ class Star:
 
     @staticmethod
     def checks(
-        schools: DataFrame, places: DataFrame, profiles: DataFrame, fine: DataFrame, wide: DataFrame, hot: DataFrame | None = None
+        items: DataFrame, schools: DataFrame, places: DataFrame, profiles: DataFrame, fine: DataFrame, wide: DataFrame,
+        hot: DataFrame | None = None,
     ) -> dict:
         return {
             "escola_unica": quality.unique(schools, ["co_entidade"]),
@@ -102,6 +103,11 @@ class Star:
             "perfil_unico": quality.unique(profiles, ["co_entidade", "escola_infra_sk"]),
             "versoes_sem_sobreposicao": quality.overlaps(profiles, "co_entidade", hot),
             "uma_versao_atual": quality.current_count(profiles, "co_entidade"),
+            # An item outside the catalog would open versions that show nothing, so it is refused.
+            "item_conhecido": quality.orphans(fine, "item_codigo", items, "item_codigo"),
+            "situacao_aceita": quality.accepted_values(fine, "situacao", STATES),
+            "escola_do_fato_anual_conhecida": quality.orphans(wide, "co_entidade", schools, "co_entidade"),
+            "perfil_do_fato_anual_conhecido": quality.orphans(wide, "escola_infra_sk", profiles, "escola_infra_sk"),
             "fato_fino_unico": quality.unique(fine, EVENT_KEY),
             "escola_do_fato_conhecida": quality.orphans(fine, "co_entidade", schools, "co_entidade"),
             "perfil_do_fato_conhecido": quality.orphans(fine, "escola_infra_sk", profiles, "escola_infra_sk"),

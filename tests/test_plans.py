@@ -65,6 +65,10 @@ def test_star_build_is_published_whole_or_not_at_all(spark, events, inputs, fold
     stray = Inputs(events([event(2, "lab", "2024-01-01", "existente", school=99)]), inputs.schools, inputs.municipalities, inputs.catalog)
     with pytest.raises(ValueError, match="escola_do_fato_conhecida"):
         star.build(stray, "2025-01-01 00:00:00")
+    # So does an item that no catalog names.
+    unknown = Inputs(events([event(3, "sauna", "2024-01-01", "existente")]), inputs.schools, inputs.municipalities, inputs.catalog)
+    with pytest.raises(ValueError, match="item_conhecido"):
+        star.build(unknown, "2025-01-01 00:00:00")
     assert [r.vistoria_id for r in star.read("fato_vistoria_item").collect()] == [1]
     assert star.read("fato_infra_escola_ano").first().lab is True
     shares = metrics.wide_grain_share(star.read("fato_infra_escola_ano"), star.read("dim_escola"), star.read("dim_municipio"), "lab", 2024)
