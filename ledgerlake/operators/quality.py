@@ -201,8 +201,10 @@ def fingerprint(df: DataFrame, columns: Sequence[str] = EVENT_CONTENT, by: Seque
 
 
 def xor_fingerprint(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Cheaper per-group fingerprint from Spark's own 64-bit row hash."""
-    return df.groupBy(*by).agg(F.count("*").alias("linhas"), F.bit_xor(F.xxhash64(*columns)).alias("impressao"))
+    """Order-free fingerprint per group: xor of two 60-bit parts of each row's md5."""
+    digest = F.md5(row_text(columns))
+    parts = {n: F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint") for n, at in (("impressao_a", 1), ("impressao_b", 16))}
+    return df.groupBy(*by).agg(F.count("*").alias("linhas"), *[F.bit_xor(v).alias(n) for n, v in parts.items()])
 
 
 def rows_and_keys(df: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlake.contracts import EVENT_KEY
+from ledgerlake.contracts import EVENT_CONTENT, EVENT_KEY
 from ledgerlake.operators import privacy, quality, reconcile
 from ledgerlake.plans.adapter import CONTENT_TEXT, HASH64, LAST_YEAR
 from ledgerlake.plans.registry import query
@@ -85,15 +85,15 @@ def table_fingerprint(lake):
     return quality.fingerprint(lake.event).withColumn("impressao", F.col("impressao").cast("string"))
 
 
-@query("AGG-22_month_xor_fingerprint")
+@query("AGG-22_month_xor_fingerprint", f"""SELECT mes_ocorrencia, count(*) AS linhas, bit_xor(('0x'||substr(d, 1, 15))::BIGINT) AS impressao_a,
+    bit_xor(('0x'||substr(d, 16, 15))::BIGINT) AS impressao_b FROM (SELECT mes_ocorrencia, md5({CONTENT_TEXT}) AS d FROM event) GROUP BY 1""")
 def month_xor_fingerprint(lake):
-    """Spark's own row hash has no twin in another engine."""
-    return quality.xor_fingerprint(lake.event, list(_CONTENT), ["mes_ocorrencia"])
+    return quality.xor_fingerprint(lake.event, EVENT_CONTENT, ["mes_ocorrencia"])
 
 
-@query("DQ-10_insert_only_violations", """SELECT vistoria_id, item_codigo, CASE WHEN t.vistoria_id IS NULL THEN 'removida' ELSE 'alterada' END AS tipo
+@query("DQ-10_insert_only_violations", """SELECT vistoria_id, item_codigo, CASE WHEN t.situacao IS NULL THEN 'removida' ELSE 'alterada' END AS tipo
     FROM event e LEFT JOIN target t USING (vistoria_id, item_codigo)
-    WHERE t.situacao IS NULL OR t.quantidade IS DISTINCT FROM e.quantidade""".replace("t.vistoria_id IS NULL", "t.situacao IS NULL"))
+    WHERE t.situacao IS NULL OR t.quantidade IS DISTINCT FROM e.quantidade""")
 def insert_only(lake):
     return quality.not_insert_only(lake.event, lake.target, EVENT_KEY, _CONTENT)
 

@@ -80,12 +80,15 @@ def pinned_version(lake):
     return table.read(first)
 
 
-@query("SRC-08_file_hashes")
+@query("SRC-08_file_hashes", """SELECT mes, sha256(string_agg(o_orderkey, chr(10) ORDER BY o_orderkey) || chr(10)) AS hash_sha256,
+    CAST(sum(length(o_orderkey::VARCHAR) + 1) AS BIGINT) AS length FROM (SELECT *, strftime(o_orderdate, '%Y-%m') AS mes FROM orders) GROUP BY mes""")
 def file_hashes(lake):
-    """Bytes of the given files; SQL over the registered views cannot see them."""
-    return readers.file_hashes(lake.spark, lake.folder).select(
-        F.element_at(F.split("arquivo", "/"), -1).alias("arquivo"), "hash_sha256", "length"
-    )
+    """A text file for each month of inspections, its keys line by line, hashed as a file."""
+    path = f"{work_dir(lake.spark)}/meses"
+    keys = lake.table("orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("mes"), "o_orderkey")
+    sorted_keys = keys.repartition("mes").sortWithinPartitions("mes", "o_orderkey")
+    sorted_keys.select("mes", F.col("o_orderkey").cast("string").alias("value")).write.partitionBy("mes").text(path)
+    return readers.file_hashes(lake.spark, path).select(F.regexp_extract("arquivo", "mes=([0-9-]+)", 1).alias("mes"), "hash_sha256", "length")
 
 
 @query("SRC-08_large_file_digest", "SELECT count(*) AS linhas, CAST(sum(('0x'||substr(md5(l), 17, 16))::UBIGINT::DECIMAL(28,0)) AS VARCHAR) AS impressao FROM (SELECT o_orderkey||';'||o_orderstatus AS l FROM orders)")
