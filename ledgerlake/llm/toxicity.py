@@ -10,7 +10,8 @@ Scoring. One scan in linear time finds every maximal segment of a text, that is,
 score no prefix or suffix lowers. Under the clean model, scores of best segments follow an
 extreme-value law whose place grows with the logarithm of the length; its two parameters are
 estimated on clean labelled texts. A text's evidence is the sum of its significant segments, calibrated the
-same way, and a logistic curve fitted on the labelled sample turns it into a score.
+same way, and a logistic curve turns it into a score. Law and curve are fitted on the labelled sample in
+two halves, each scored by weights learnt from the other, so they know how unseen texts score.
 
 Null, empty and wordless texts have no segment and get the score of no evidence. Repeated rows are scored
 alike; other columns are not looked at. Without labelled rows of both classes the score is 0 for
@@ -44,6 +45,8 @@ SHOWN = 3
 DRIFT = 0.3
 #: Standard errors a weight must stand from zero to count in full.
 SUPPORT = 3.0
+#: Standardised score of a text without any segment.
+LOWEST = -5.0
 #: A segment is significant if as good a one is expected in fewer clean texts than this.
 SIGNIFICANCE = 0.05
 
@@ -120,38 +123,42 @@ def evidence(weights: np.ndarray, model: Model) -> tuple[float, float, list[tupl
     """(standardised best segment, standardised sum of significant ones, those segments)."""
     found = segments(weights)
     if not found:
-        return 0.0, 0.0, []
+        return LOWEST, 0.0, []
     shift = _shift(model, len(weights))
     scored = [(s, e, (score - shift) / model.spread) for s, e, score in found]
     significant = [x for x in scored if tail(x[2]) <= SIGNIFICANCE]
-    return max(0.0, max(x[2] for x in scored)), sum(x[2] for x in significant), significant
+    return max(LOWEST, max(x[2] for x in scored)), sum(x[2] for x in significant), significant
+
+
+#: Columns of the counts: labelled texts by half and label, and all uses of a word.
+_GROUPS = ("n00", "n01", "n10", "n11")
 
 
 def _counts(docs: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFrame:
-    """``bucket, n_clean, n_toxic, n``: labelled texts with the word, by label, and its uses in all documents."""
-    schema = pa.schema([("bucket", pa.int32()), ("n_clean", pa.int64()), ("n_toxic", pa.int64()), ("n", pa.int64())])
+    """``bucket``, labelled texts with the word by half of the sample and label, and its uses ``n`` in all documents."""
+    schema = pa.schema([("bucket", pa.int32()), *((c, pa.int64()) for c in (*_GROUPS, "n"))])
 
     def run(batches):
-        total = np.zeros((3, 2 * BUCKETS), np.int64)
+        total = np.zeros((5, 2 * BUCKETS), np.int32)
         for b in batches:
-            label = np.asarray(b.column(1).fill_null(2))
+            group = np.asarray(pc.add(pc.multiply(b.column(2), 2), b.column(1)).fill_null(4))
             for w, word, beginning in _buckets(b.column(0)):
-                of = label[w.first + w.row]
+                of = group[w.first + w.row]
                 for bucket in (word, beginning):
-                    np.add.at(total[2], bucket, 1)
-                    for c in (0, 1):
-                        own = of == c
+                    np.add.at(total[4], bucket, 1)
+                    for g in range(4):
+                        own = of == g
                         if own.any():
                             # A text counts once for a word, however often it repeats it.
-                            np.add.at(total[c], np.unique(w.row[own] * (2 * BUCKETS) + bucket[own]) % (2 * BUCKETS), 1)
-        used = np.flatnonzero(total[2])
+                            np.add.at(total[g], np.unique(w.row[own] * (2 * BUCKETS) + bucket[own]) % (2 * BUCKETS), 1)
+        used = np.flatnonzero(total[4])
         for low in range(0, len(used), 1 << 16):
             some = used[low : low + (1 << 16)]
             yield batch(schema, some, *total[:, some])
 
     marked = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), "id", "left")
-    rows = marked.select("text", "label").mapInArrow(run, "bucket int, n_clean long, n_toxic long, n long")
-    return rows.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("n_clean", "n_toxic", "n")))
+    rows = marked.select("text", "label", "half").mapInArrow(run, "bucket int, " + ", ".join(f"{c} long" for c in (*_GROUPS, "n")))
+    return rows.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in (*_GROUPS, "n")))
 
 
 def weights_of(clean: np.ndarray, toxic: np.ndarray, every: np.ndarray) -> np.ndarray:
@@ -167,14 +174,15 @@ def weights_of(clean: np.ndarray, toxic: np.ndarray, every: np.ndarray) -> np.nd
 
 
 def _best_segments(texts: DataFrame, shared) -> DataFrame:
-    """``label, n, scores``: the words and the segments' scores of every labelled text."""
+    """``label, n, scores``: the words and the segments' scores of every labelled text, by the model of the other half."""
 
     def run(batches):
         for b in batches:
-            labels = b.column(1).to_pylist()
+            labels, half = b.column(1).to_pylist(), np.asarray(b.column(2))
             out = []
             for w, word, beginning in _buckets(b.column(0)):
-                weights = shared.value.weights(w.row, word, beginning)
+                both = [m.weights(w.row, word, beginning) for m in shared.value]
+                weights = np.where(half[w.first + w.row] == 0, both[1], both[0])
                 for i in range(w.rows):
                     own = weights[w.of_row(i)]
                     out.append((labels[w.first + i], len(own), sorted((x[2] for x in segments(own)), reverse=True)[:64]))
@@ -211,8 +219,13 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return beta
 
 
+def _weighted(clean: np.ndarray, toxic: np.ndarray, every: np.ndarray) -> Model:
+    halves = (slice(0, BUCKETS), slice(BUCKETS, 2 * BUCKETS))
+    return Model(np.concatenate([weights_of(clean[h], toxic[h], every[h]) for h in halves]), clean + toxic >= SHOWN)
+
+
 def _squeezed(best, total) -> np.ndarray:
-    return np.log1p(np.column_stack([best, total]))
+    return np.column_stack([np.arcsinh(best), np.log1p(total)])
 
 
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "toxic", key: str = "doc_id", text: str = "text", rows: int = labelled.SAMPLE) -> Model:
@@ -220,15 +233,15 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "tox
     prepare(docs.sparkSession)
     chosen = labelled.sample(labels, label, learnable, key, rows)
     counts = _counts(docs, chosen, key, text).toArrow()  # at most 2 * BUCKETS rows
-    n = np.zeros((3, 2 * BUCKETS))
+    n = np.zeros((5, 2 * BUCKETS), np.int32)
     at = np.asarray(counts["bucket"])
-    for i, c in enumerate(("n_clean", "n_toxic", "n")):
+    for i, c in enumerate((*_GROUPS, "n")):
         n[i, at] = np.asarray(counts[c])
-    halves = (slice(0, BUCKETS), slice(BUCKETS, 2 * BUCKETS))
-    model = Model(np.concatenate([weights_of(*n[:, half]) for half in halves]), n[0] + n[1] >= SHOWN)
-    if not (n[0].any() and n[1].any()):
+    model = _weighted(n[0] + n[2], n[1] + n[3], n[4])
+    if not ((n[0] + n[2]).any() and (n[1] + n[3]).any()):
         return model
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # What the law and the curve are fitted on was scored by weights that had not seen it.
+    shared = docs.sparkSession.sparkContext.broadcast([_weighted(n[0], n[1], n[4]), _weighted(n[2], n[3], n[4])])
     seen = _best_segments(labelled.labelled_texts(docs, chosen, key, text), shared).toArrow()  # at most ``rows`` rows
     y, size, scores = np.asarray(seen["label"]), np.asarray(seen["n"]), seen["scores"].to_pylist()
     top = np.array([s[0] if s else 0.0 for s in scores])
@@ -237,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "tox
     x = []
     for words_in, s in zip(size, scores, strict=True):
         z = (np.array(s) - _shift(model, words_in)) / model.spread
-        x.append((max(0.0, z[0]) if len(z) else 0.0, float(sum(v for v in z if tail(v) <= SIGNIFICANCE))))
+        x.append((max(LOWEST, z[0]) if len(z) else LOWEST, float(sum(v for v in z if tail(v) <= SIGNIFICANCE))))
     curve = fit_curve(_squeezed(*np.array(x).T), y)
     model.bias, model.gain, model.known = float(curve[0]), (float(curve[1]), float(curve[2])), True
     return model
