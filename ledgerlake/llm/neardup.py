@@ -9,9 +9,10 @@ and linked only if the full sets meet the threshold.
 
 Components, without all pairs of a bucket:
 1. Each bucket is compared with one leader, the member that meets most others over all its buckets (of
-   copies of one text, that text). Links found so far are joined into components.
-2. In a bucket that still holds several components, members of different ones are compared by sizes and
+   copies of one text, that text). A member goes with the smallest leader it is linked to.
+2. In a bucket that still holds several such groups, members of different ones are compared by sizes and
    bitmaps, in blocks of bounded size spread over tasks; only pairs that pass go on to the full sets.
+3. All links are joined into components.
 So no candidate that could join two components is left out, at any bucket size.
 
 Words are runs without the bytes 09-0D and 20, with A-Z folded; a shingle is ``k`` of them. Null, empty and
@@ -184,14 +185,14 @@ def components(links: DataFrame) -> DataFrame:
     is an aggregation and a join, and its links are written to the shared folder.
     """
     state = None
-    now = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = stored(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "links")
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lower, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(lower.select("a", F.col("m").alias("b")))
-        now = stored(small.distinct(), "links")
+        ends = large.join(lower, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+        now = stored(ends.select("e.*").filter("a <> b").distinct(), "links")
         n, h = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if (n, h) == state:
             break
@@ -260,7 +261,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
 
     stars = shared.join(leaders, "bucket").filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     first = stored(linked(_possible(sided(stars), most).distinct()), "links")
-    joined = components(first)
+    # A member goes with its smallest confirmed leader, and with that one's: enough to skip most pairs below.
+    led = first.groupBy(F.col("b").alias("node")).agg(F.least(F.min("a"), F.col("b")).alias("component"))
+    above = led.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    joined = stored(led.join(above, "component", "left").select("node", F.coalesce("top", "component").alias("component")), "joined")
 
     member = shared.join(joined, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     mixed = member.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
