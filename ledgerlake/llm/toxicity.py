@@ -206,15 +206,25 @@ def fit_law(n: np.ndarray, best: np.ndarray) -> tuple[float, float, float]:
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Coefficients of a logistic curve (constant first), lightly held towards zero."""
+    """Coefficients of a logistic curve (constant first), lightly held towards zero; every step lowers the loss."""
     a = np.column_stack([np.ones(len(x)), x])
     beta = np.zeros(a.shape[1])
     hold = np.diag([1e-6] + [1e-2] * x.shape[1])
-    for _ in range(50):
+
+    def loss(b: np.ndarray) -> float:
+        margin = a @ b
+        return float(np.logaddexp(0, margin).sum() - y @ margin + b @ hold @ b / 2)
+
+    now = loss(beta)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
         step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + hold, a.T @ (y - p) - hold @ beta)
-        beta += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+        size = 1.0
+        while size > 1e-6 and loss(beta + size * step) > now:
+            size /= 2
+        beta = beta + size * step
+        before, now = now, loss(beta)
+        if size <= 1e-6 or before - now < 1e-9 * max(1.0, abs(now)):
             break
     return beta
 
