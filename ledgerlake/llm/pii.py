@@ -4,7 +4,8 @@ Plain identifiers are found on the text itself. Disguised ones are found on a no
 transducer reads the text once and writes ASCII for homoglyphs, nothing for invisible characters,
 digits for spelled digits, ``@`` and ``.`` for their disguises, keeping for every character written
 the stretch of source it came from. The same detectors run on the copy and their spans are mapped
-back; a span that touches a plain one of its kind is dropped.
+back; a span that a plain one of its kind contains is dropped. One that reaches beyond a plain span stays
+beside it: the plain pattern then saw only a piece of the identifier.
 
 Offsets are code points, ends exclusive. Null and empty texts have no spans. All detectors read a text
 once, so very long texts cost time in proportion. Rows are independent: repeated rows give repeated
@@ -186,8 +187,11 @@ def normalise(text: str) -> Copy | None:
     return None if copy.text is text else copy
 
 
-def disguised(text: str, plain: dict[str, list[tuple[int, int]]]) -> dict[str, list[tuple[int, int]]]:
-    """Spans of the source that only the rewritten copy shows, by kind."""
+def disguised(text: str, plain: dict[str, list[tuple[int, int]]], reaching: bool = False) -> dict[str, list[tuple[int, int]]]:
+    """Spans of the source that only the rewritten copy shows, by kind.
+
+    With ``reaching``, also those that overlap a plain span of their kind and are not contained in it.
+    """
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     copy = normalise(text)
     if copy is None:
@@ -199,7 +203,7 @@ def disguised(text: str, plain: dict[str, list[tuple[int, int]]]) -> dict[str, l
             span = (copy.first[low], copy.last[high - 1])
             while i < len(known) and known[i][1] <= span[0]:
                 i += 1
-            if i == len(known) or known[i][0] >= span[1]:
+            if i == len(known) or known[i][0] >= span[1] or (reaching and (span[0] < known[i][0] or known[i][1] < span[1])):
                 out[kind].append(span)
     return out
 
@@ -222,7 +226,7 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text")
             for t in b.column(1).to_pylist():
                 base = detect(t or "")
                 plain.append(_listed(base))
-                added.append(_listed(disguised(t or "", base)))
+                added.append(_listed(disguised(t or "", base, reaching=True)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(plain, _SPANS), pa.array(added, _SPANS)], names=[key, "plain", "added"])
 
     kind = docs.schema[key].dataType.simpleString()
@@ -234,7 +238,7 @@ def redact(text: str | None) -> str | None:
     if not text:
         return text
     plain = detect(text)
-    added = disguised(text, plain)
+    added = disguised(text, plain, reaching=True)
     spans = sorted((a, -b, k) for found in (plain, added) for k, each in found.items() for a, b in each)
     if not spans:
         return text

@@ -53,6 +53,24 @@ def test_disguised_spans_map_back():
             assert plain[kind] and not spans
 
 
+def test_disguise_inside_an_identifier(spark):
+    texts = [
+        ("j\u043ehn.smith@example.com", "email", "hn.smith@example.com"),
+        ("john@mail.ex\u0430mple.com", "email", "john@mail.ex"),
+        ("bob@example.c\u200bom", "email", "bob@example.c"),
+        ("+44 2079 46 \uff10958", "phone", "+44 2079 46"),
+        ("jo\u200bhn@mail.ex\u0430mple.com", "email", "hn@mail.ex"),
+    ]
+    rows = {r.doc_id: r for r in pii.find_personal_data(edge_docs(spark, [(i, f"x {t} y") for i, (t, _, _) in enumerate(texts)])).collect()}
+    for i, (t, kind, piece) in enumerate(texts):
+        assert [(s.kind, f"x {t} y"[s.start:s.end]) for s in rows[i].plain] == [(kind, piece)]
+        assert [(s.kind, f"x {t} y"[s.start:s.end]) for s in rows[i].added] == [(kind, t)]
+        assert pii.redact(f"x {t} y") == f"x [{kind.upper()}] y"
+    # Contained in the plain span: nothing to add.
+    t = "\u0430 b@c.de"
+    assert not any(pii.disguised(t, pii.detect(t), reaching=True).values()) and pii.redact(t) == "\u0430 [EMAIL]"
+
+
 def test_clean_text_has_no_spans():
     for text in ["look at example.com today", "one two three", "meet me at noon (at) home", "dot at dot", "seven eight nine ten dots"]:
         assert not any(pii.detect(text).values()) and not any(pii.disguised(text, pii.detect(text)).values())
