@@ -139,7 +139,7 @@ def _counts(docs: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFram
     schema = pa.schema([("bucket", pa.int32()), *((c, pa.int64()) for c in (*_GROUPS, "n"))])
 
     def run(batches):
-        total = np.zeros((5, 2 * BUCKETS), np.int32)
+        total = np.zeros((5, 2 * BUCKETS), np.int64)
         for b in batches:
             group = np.asarray(pc.add(pc.multiply(b.column(2), 2), b.column(1)).fill_null(4))
             for w, word, beginning in _buckets(b.column(0)):
@@ -243,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "tox
     prepare(docs.sparkSession)
     chosen = labelled.sample(labels, label, learnable, key, rows)
     counts = _counts(docs, chosen, key, text).toArrow()  # at most 2 * BUCKETS rows
-    n = np.zeros((5, 2 * BUCKETS), np.int32)
+    n = np.zeros((5, 2 * BUCKETS), np.int64)  # a common word of a large corpus is used more than 2**31 times
     at = np.asarray(counts["bucket"])
     for i, c in enumerate((*_GROUPS, "n")):
         n[i, at] = np.asarray(counts[c])

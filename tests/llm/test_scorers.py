@@ -67,6 +67,21 @@ def test_toxicity(spark):
     assert marked and all(r.passages for r in marked)
 
 
+def test_counts_beyond_32_bits(spark, monkeypatch):
+    few, many = np.array([3, 0, 5]), np.array([2**31 + 7, 2**33, 9])
+    assert np.isfinite(toxicity.weights_of(few, few[::-1], many)).all()
+    docs, labels = corpus()
+    frame = edge_docs(spark, docs)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    counts = toxicity._counts
+    monkeypatch.setattr(toxicity, "_counts", lambda *a: counts(*a).withColumn("n", F.col("n") * (2**31 + 1)))
+    model = toxicity.fit(frame, marks, F.lit(True))
+    assert np.isfinite(model.weight).all() and np.isfinite([model.place, model.slope, model.spread, model.bias, *model.gain]).all()
+    truth = {i: t for i, _, t in labels}
+    rows = toxicity.score(frame, model).collect()
+    assert np.mean([(r.score >= 0.7) == truth[r.doc_id] for r in rows]) > 0.95
+
+
 def test_quality(spark):
     rows, held = scored(spark, quality.quality_scores, 0)
     assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
