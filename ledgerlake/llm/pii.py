@@ -15,6 +15,7 @@ results, other columns are not looked at, an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -101,12 +102,18 @@ SPELLED = {
 _NUMBER = {w: str(d) for line in SPELLED.values() for d, w in enumerate(line.split())} | {"oh": "0"}
 _WORD = "|".join(sorted(_NUMBER, key=lambda w: (-len(w), w)))
 # A disguise in brackets is one wherever it stands; a bare word only between the parts of an address.
-_AT = r"[ ]*(?:\([ ]*at[ ]*\)|\[[ ]*at[ ]*\]|\{[ ]*at[ ]*\}|<[ ]*at[ ]*>|&#64;|&commat;)[ ]*"
-_DOT = r"[ ]*(?:\([ ]*(?:dot|punkt|punto|point)[ ]*\)|\[[ ]*(?:dot|punkt|punto|point|\.)[ ]*\]|\{[ ]*(?:dot|punkt|punto|point)[ ]*\}|<[ ]*dot[ ]*>|&#46;|&period;)[ ]*"
-_BARE = r"[A-Za-z0-9._%+-]++(?: at |@)(?:[A-Za-z0-9-]+(?: dot |\.))*?[A-Za-z0-9-]+ dot [A-Za-z0-9-]+"
+_AT = r"\(\s*at\s*\)|\[\s*at\s*\]|\{\s*at\s*\}|<\s*at\s*>|&#64;|&commat;"
+_DOT = r"\(\s*(?:dot|punkt|punto|point)\s*\)|\[\s*(?:dot|punkt|punto|point|\.)\s*\]|\{\s*(?:dot|punkt|punto|point)\s*\}|<\s*dot\s*>|&#46;|&period;"
+# The local part is consumed whether an address follows or not, so no chain of dots is read again.
+_SAID_DOT = r"\s++(?i:dot)\s++"
+_BARE = (
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:{_SAID_DOT}(?!(?i:at)\s)[A-Za-z0-9._%+-]++)*+"
+    rf"(?P<address>(?:\s++(?P<at>(?i:at))\s++|@)[A-Za-z0-9-]++(?:(?:{_SAID_DOT}|\.)[A-Za-z0-9-]++)++)?+"
+)
 _HIDDEN = re.compile("[" + re.escape("".join(_ONE) + _INVISIBLE) + "]")
 _BRACKETS = re.compile(f"(?P<at>{_AT})|(?P<dot>{_DOT})", re.I)
-_BARE_ADDRESS = re.compile(rf"(?<![A-Za-z0-9._%+-]){_BARE}(?: dot [A-Za-z0-9-]+)*", re.I)
+_BARE_ADDRESS = re.compile(_BARE)
+_SAID = re.compile(r"\s++(at|dot)\s++", re.I)
 _SPELLED_RUN = re.compile(rf"(?<![^\W_])(?:plus[ -]+)?(?:{_WORD})(?:[ -]+(?:dot[ ]+|(?:double|triple)[ ]+)?(?:{_WORD}|[0-9]+)(?![^\W_])){{3,}}", re.I)
 _SPELLED_PART = re.compile(rf"plus[ -]+|[ ]*\bdot\b[ ]*|\b(?P<times>double|triple)[ ]+(?P<many>{_WORD}|[0-9])|{_WORD}|[ -]+", re.I)
 
@@ -137,14 +144,32 @@ class Copy:
 
 
 def _brackets(text: str) -> list[tuple[int, int, str]]:
-    return [(m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETS.finditer(text)]
+    """Disguises in brackets, with the white space around them."""
+    edits: list[tuple[int, int, str]] = []
+    for m in _BRACKETS.finditer(text):
+        low, high = m.span()
+        done = edits[-1][1] if edits else 0
+        while low > done and text[low - 1].isspace():
+            low -= 1
+        while high < len(text) and text[high].isspace():
+            high += 1
+        edits.append((low, high, "@" if m["at"] else "."))
+    return edits
 
 
-def _bare(text: str) -> list[tuple[int, int, str]]:
+def _bare(text: str, dots: list[int]) -> list[tuple[int, int, str]]:
+    """Bare words in addresses; ``dots`` are the places in ``text`` of dots that stood in brackets.
+
+    A bare "at" is one only if a dot of its address is disguised too.
+    """
     edits = []
     for m in _BARE_ADDRESS.finditer(text):
-        for part in re.finditer(r" (at|dot) ", m[0], re.I):
-            edits.append((m.start() + part.start(), m.start() + part.end(), "@" if part[1].lower() == "at" else "."))
+        if not m["address"]:
+            continue
+        parts = [(m.start() + p.start(), m.start() + p.end(), "@" if p[1].lower() == "at" else ".") for p in _SAID.finditer(m[0])]
+        i = bisect_left(dots, m.start())
+        if not m["at"] or any(new == "." for _, _, new in parts) or (i < len(dots) and dots[i] < m.end()):
+            edits += parts
     return edits
 
 
@@ -176,11 +201,18 @@ def normalise(text: str) -> Copy | None:
     copy = Copy(text)
     if not text.isascii() and _HIDDEN.search(text):
         copy.rewrite([(m.start(), m.end(), _ONE.get(m[0], "")) for m in _HIDDEN.finditer(text)])
+    dots: list[int] = []
     if any(c in copy.text for c in "([{<&"):
-        copy.rewrite(_brackets(copy.text))
+        edits, gone = _brackets(copy.text), 0
+        for low, high, new in edits:
+            if new == ".":
+                dots.append(low - gone)
+            gone += high - low - 1
+        copy.rewrite(edits)
     lowered = copy.text.lower()
-    if " dot " in lowered:
-        copy.rewrite(_bare(copy.text))
+    words = set(lowered.split())
+    if "dot" in words or (dots and "at" in words):
+        copy.rewrite(_bare(copy.text, dots))
     said = lowered.replace("-", " ").split()
     if not _NUMBER.keys().isdisjoint(said) and sum(map(_NUMBER.__contains__, said)) >= 3:
         copy.rewrite(_spelled(copy.text))

@@ -71,6 +71,21 @@ def test_disguise_inside_an_identifier(spark):
     assert not any(pii.disguised(t, pii.detect(t), reaching=True).values()) and pii.redact(t) == "\u0430 [EMAIL]"
 
 
+def test_mixed_at_and_dot():
+    for t in [
+        "jane at example [dot] com", "jane at example (dot) com", "jane (at) example dot com", "jane dot doe at example dot com", "jane  at  example\ndot com",
+        "jane (dot) doe at example.com", "jane [dot] doe at mail dot example (dot) com", "jane dot doe@example.com", "jane\n(at)\nexample.com",
+        "Jane DOT Doe AT Example DOT Com", "jane at mail.example dot com", "jane@example dot com", "jane\u00a0at example &#46; com",
+    ]:
+        assert pii.redact(f"- {t}, thanks") == "- [EMAIL], thanks", t
+    for t in ["look at example.com", "a (dot) b, look at example.com, c (dot) d", "connect the dot at example.com", "a dot at noon", "dot dot dot"]:
+        assert pii.redact(t) == t
+    began = time.perf_counter()
+    for t in ["a dot " * 60_000, "a dot at " * 60_000, "a dot b at c " * 40_000, "a" + " " * 300_000 + "dot", " (dot" * 60_000, "(dot) at " * 40_000, "(" + " " * 300_000 + " dot b"]:
+        pii.disguised(t, pii.detect(t))
+    assert time.perf_counter() - began < 20
+
+
 def test_clean_text_has_no_spans():
     for text in ["look at example.com today", "one two three", "meet me at noon (at) home", "dot at dot", "seven eight nine ten dots"]:
         assert not any(pii.detect(text).values()) and not any(pii.disguised(text, pii.detect(text)).values())
