@@ -105,9 +105,14 @@ def ratio_to_total(grouped: DataFrame, count: str, name: str, digits: int) -> Da
     return grouped.withColumn(name, pct(F.col(count), total, digits))
 
 
-def exam_coverage(exam: DataFrame, schools: DataFrame, year: int | None = None) -> DataFrame:
-    asked = exam if year is None else exam.where(F.col("ano") == year)
-    rows = asked.join(schools.select("co_entidade", F.lit(True).alias("_known")), "co_entidade", "left")
+def exam_coverage(exam: DataFrame, schools: DataFrame, year: int, where: Column | None = None) -> DataFrame:
+    """Schools with results of a year that are registered for that year.
+
+    A school counts once, however many registrations of the year it has; those of other years do not count.
+    """
+    results, known = of_year(exam, schools, year, where)
+    registered = known.groupBy("co_entidade").agg(F.lit(True).alias("_known"))
+    rows = results.join(registered, "co_entidade", "left")
     known = F.coalesce("_known", F.lit(False))
     return rows.agg(
         F.count("*").alias("escolas_enem"),

@@ -212,6 +212,19 @@ class Lake:
         before = self.dim_school.withColumns({"ano_censo_referencia": F.col("ano_censo_referencia") - 1, "rede": F.lit("estadual")})
         return self.dim_school.unionByName(before)
 
+    @cached_property
+    def exam_years(self) -> DataFrame:
+        """Exam schools of two years: half of them also the year before."""
+        before = self.exam_input.where(F.col("co_entidade") % 2 == 0).withColumn("ano", (F.col("ano") - 1).cast("smallint"))
+        return self.exam_input.unionByName(before)
+
+    @cached_property
+    def census_years(self) -> DataFrame:
+        """Registrations of two years, of different schools; some schools are registered twice for one year."""
+        before = self.school.where(F.col("co_entidade") % 5 != 0).withColumn("ano_censo_referencia", F.col("ano_censo_referencia") - 1)
+        again = self.census_for_exam.where(F.col("co_entidade") % 11 == 0)
+        return self.census_for_exam.unionByName(before).unionByName(again)
+
     @cached_property
     def latest(self) -> DataFrame:
         return history.latest_state(self.event)

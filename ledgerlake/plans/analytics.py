@@ -217,12 +217,18 @@ def state_share(lake):
     return metric(lake.school_years, lake.performance_years, lake.profile, item="item_2", year=EXAM_YEAR)
 
 
-@query("AGG-13_exam_coverage", """SELECT count(*) AS escolas_enem, count(c.co_entidade) AS encontradas,
-    count(*) - count(c.co_entidade) AS nao_encontradas, count(*) FILTER (c.co_entidade IS NULL AND poucos_participantes) AS mascaradas,
-    round(100.0::DOUBLE * count(c.co_entidade) / count(*), 1) AS percentual
-    FROM exam_school e LEFT JOIN census_for_exam c ON c.co_entidade = e.co_escola""")
+def _covered(year: int, registered: str, has_results: str) -> str:
+    """Coverage of a year from the sets of ids: ``registered`` and ``has_results`` are conditions on a school's number."""
+    return f"""SELECT n AS escolas_enem, f AS encontradas, n - f AS nao_encontradas, m AS mascaradas, round(100.0::DOUBLE * f / n, 1) AS percentual,
+        {year} AS ano FROM (SELECT count(*) AS n, count(*) FILTER (in_year) AS f, count(*) FILTER (NOT in_year AND poucos_participantes) AS m
+        FROM (SELECT poucos_participantes, co_escola IN (SELECT co_entidade FROM school WHERE {registered}) AS in_year FROM exam_school WHERE {has_results}))"""
+
+
+@query("AGG-13_exam_coverage", _covered(EXAM_YEAR, "co_entidade % 7 <> 0", "true") + " UNION ALL " + _covered(EXAM_YEAR - 1, "co_entidade % 5 <> 0", "co_escola % 2 = 0"))
 def exam_coverage(lake):
-    return metrics.METRICS["cobertura_enem_censo"](lake.exam_input, lake.census_for_exam)
+    metric = metrics.METRICS["cobertura_enem_censo"]
+    each = [metric(lake.exam_years, lake.census_years, year=y).withColumn("ano", F.lit(y)) for y in (EXAM_YEAR, EXAM_YEAR - 1)]
+    return each[0].unionByName(each[1])
 
 
 @query("MET-01_metric_registry", f"SELECT n_com + n_sem AS n, rede FROM ({_sides('item_1', 'media_cn', EXAM_YEAR - 1, 50)})")

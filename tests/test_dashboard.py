@@ -102,11 +102,12 @@ def test_checks(spark):
 def test_metric_slices_and_minimum(spark, census, exam):
     from ledgerlake.operators.metrics import METRICS
 
-    schools = census.withColumn("rede", F.lit("estadual"))
+    schools = census.withColumns({"rede": F.lit("estadual"), "ano_censo_referencia": F.lit(2024)})
+    results = exam.withColumn("ano", F.lit(2024))
     mean = METRICS["media_enem_escolas"]
-    assert mean(exam, schools, where=F.col("sg_uf") == "DF").first().media == 505.5
-    assert mean(exam, schools, where=F.col("co_entidade") < 5).isEmpty()
-    assert mean(exam, schools, where=F.col("co_entidade") < 5, minimum=2).first().n_escolas == 4
+    assert mean(results, schools, year=2024, where=F.col("sg_uf") == "DF").first().media == 505.5
+    assert mean(results, schools, year=2024, where=F.col("co_entidade") < 5).isEmpty()
+    assert mean(results, schools, year=2024, where=F.col("co_entidade") < 5, minimum=2).first().n_escolas == 4
 
 
 def test_partitions_grow_with_the_input():

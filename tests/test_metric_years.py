@@ -41,6 +41,16 @@ def test_shares_are_of_the_schools_of_the_year(two_years):
     assert {(r.situacao, r.n_escolas) for r in rows} == {("existente", 3), ("inexistente", 4), ("nao_informado", 2)}
 
 
+def test_coverage_is_of_one_year(spark):
+    exam = spark.createDataFrame([(1, 2029, False), (2, 2029, True), (1, 2030, False), (3, 2030, True), (4, 2030, False)], "co_entidade long, ano int, poucos_participantes boolean")
+    schools = spark.createDataFrame([(1, 2029), (1, 2030), (1, 2030), (2, 2030), (3, 2029)], "co_entidade long, ano_censo_referencia int")
+    metric = metrics.METRICS["cobertura_enem_censo"]
+    assert tuple(metric(exam, schools, year=2029).first()) == (2, 1, 1, 1, 50.0)
+    assert tuple(metric(exam, schools, year=2030).first()) == (3, 1, 2, 1, 33.3)
+    with pytest.raises(TypeError):
+        metric(exam, schools)
+
+
 def test_unnamed_groups_are_ranked_like_others(spark):
     rows = spark.createDataFrame([(1, None, 3.0), (2, None, 1.0), (3, None, 2.0), (4, "a", 5.0), (5, "a", 5.0)], "id long, g string, v double")
     got = {r.id: (r.percentil, r.n_grupo) for r in metrics.percent_ranks(rows, ["g"], "v").collect()}
