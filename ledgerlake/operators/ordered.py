@@ -243,3 +243,47 @@ def expand_ranges(df: DataFrame, groups: Sequence[str], id_col: str, piece: int
     starts = df.select(*groups, "lo", "hi", F.explode(F.sequence("lo", "hi", F.lit(piece))).alias("_from"))
     last = F.least(F.col("_from") + (piece - 1), F.col("hi"))
     return starts.select(*groups, F.explode(F.sequence("_from", last)).alias(id_col))
+
+
+#: Blocks of ids by the power of two of their size.
+LEVELS = 63
+
+
+def range_blocks(ranges: DataFrame) -> DataFrame:
+    """``level, block`` of the blocks of 2**level aligned ids that closed ranges ``lo..hi`` consist of.
+
+    A range is cut into at most two blocks a level, so it takes at most 126 rows however many ids it holds.
+    """
+    level = F.col("level")
+
+    def shifted(c: Column) -> Column:
+        return F.call_function("shiftright", c, level.cast("int"))
+
+    # Blocks that start at or after lo, and blocks that end at or before hi.
+    cut = (
+        ranges.where(F.col("lo") <= F.col("hi"))
+        .select("lo", (F.col("hi") + 1).alias("end"), F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level"))
+        .select("level", (-shifted(-F.col("lo"))).alias("first"), shifted(F.col("end")).alias("stop"))
+        .where(F.col("first") < F.col("stop"))
+    )
+    left = F.when(F.col("first") % 2 != 0, F.col("first"))
+    right = F.when(F.col("stop") % 2 != 0, F.col("stop") - 1)
+    both = F.filter(F.array(left, right), lambda x: x.isNotNull())
+    return cut.select("level", F.explode(both).alias("block")).distinct()
+
+
+def ids_in_ranges(ids: DataFrame, id_col: str, ranges: DataFrame) -> DataFrame:
+    """Distinct ids (the column ``id_col``) that lie in one of the closed ranges ``lo..hi``.
+
+    An interval index: ranges become blocks of 2**level ids, an id looks up the one block that could hold it at each
+    level in use (63 at most), an equal join. No range is expanded into its ids.
+    """
+    blocks = range_blocks(ranges)
+    levels = sorted(r["level"] for r in blocks.select("level").distinct().collect())
+    asked = ids.select(id_col).where(F.col(id_col).isNotNull()).distinct()
+    if not levels:
+        return asked.where(F.lit(False))
+    looked = asked.select(id_col, F.explode(F.array(*[F.lit(x) for x in levels])).alias("level"))
+    looked = looked.withColumn("block", F.call_function("shiftright", F.col(id_col), F.col("level")))
+    # Blocks are disjoint wherever ranges are; ranges that overlap may hold an id twice.
+    return looked.join(blocks, ["level", "block"], "left_semi").select(id_col).distinct()

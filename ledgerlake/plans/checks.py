@@ -52,19 +52,29 @@ def accepted_range(lake):
     return quality.in_range(lake.fact_year, "pct_existentes", 10, 90).select("co_entidade", "ano", "pct_existentes")
 
 
-@query("DQ-06_versions_are_sound", "SELECT 'sobreposicao' AS teste, 0::BIGINT AS falhas UNION ALL SELECT 'uma_atual', 0::BIGINT")
+@query("DQ-06_versions_are_sound", """SELECT 'sobreposicao' AS teste, count(*) AS falhas FROM profile WHERE valid_from < TIMESTAMP '2000-01-01' AND co_entidade % 3 = 0
+      AND (co_entidade, valid_from) NOT IN (SELECT co_entidade, max(valid_from) FROM profile GROUP BY 1)
+    UNION ALL SELECT 'uma_atual', count(DISTINCT co_entidade) FROM profile WHERE co_entidade % 5 = 0""")
 def versions_are_sound(lake):
+    """Versions with planted faults: some end a moment after the next one starts, some schools have no current one."""
+    closed = F.col("valid_to") < F.lit("9999-01-01").cast("timestamp_ntz")
+    longer = (F.col("valid_from") < F.lit("2000-01-01").cast("timestamp_ntz")) & (F.col("co_entidade") % 3 == 0) & closed
+    faulty = lake.profile.withColumns({
+        "valid_to": F.when(longer, F.col("valid_to") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0.000001).cast("decimal(18,6)"))).otherwise(F.col("valid_to")),
+        "is_current": F.col("is_current") & (F.col("co_entidade") % 5 != 0),
+    })
     return quality.run_checks({
-        "sobreposicao": quality.overlaps(lake.profile, "co_entidade", lake.hot),
-        "uma_atual": quality.current_count(lake.profile, "co_entidade"),
+        "sobreposicao": quality.overlaps(faulty, "co_entidade", lake.hot), "uma_atual": quality.current_count(faulty, "co_entidade"),
     })
 
 
 @query("DQ-07_volume", """SELECT 'colunas_e_volume' AS teste, CASE WHEN (SELECT count(*) FROM target) <> (SELECT count(*) FROM event) THEN 1 ELSE 0 END::BIGINT AS falhas
-    UNION ALL SELECT 'volume_igual', 0::BIGINT""")
+    UNION ALL SELECT 'volume_igual', CASE WHEN (SELECT count(*) FROM item) = (SELECT count(*) FROM event) THEN 0 ELSE 1 END::BIGINT
+    UNION ALL SELECT 'sem_um_item', CASE WHEN (SELECT count(*) FROM item WHERE item_codigo <> 'item_1') = (SELECT count(*) FROM event) THEN 0 ELSE 1 END::BIGINT""")
 def volume(lake):
     return quality.run_checks({
         "colunas_e_volume": quality.volume(lake.target, lake.event), "volume_igual": quality.volume(lake.event, lake.item),
+        "sem_um_item": quality.volume(lake.event, lake.item.where(F.col("item_codigo") != "item_1")),
     })
 
 

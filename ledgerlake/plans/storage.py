@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
-from ledgerlake.contracts import CENSUS_COLUMNS, EVENT_KEY, EVENT_SCHEMA, EXAM_COLUMNS
+from ledgerlake.contracts import CENSUS_COLUMNS, EVENT_CONTENT, EVENT_KEY, EVENT_SCHEMA, EXAM_COLUMNS
 from ledgerlake.operators import census, facts, metrics, quality
-from ledgerlake.plans.adapter import AS_OF, CATALOG, EXAM_REFERENCE, LAST_YEAR, census_column
+from ledgerlake.plans.adapter import AS_OF, CATALOG, CONTENT_TEXT, EXAM_REFERENCE, EXAM_YEAR, HASH64, LAST_YEAR, census_column
 from ledgerlake.plans.analytics import census_raw
 from ledgerlake.plans.registry import query
 from ledgerlake.session import work_dir
 from ledgerlake.sources import ingest, layouts, readers
+from ledgerlake.sources.publication import Publication
 from ledgerlake.sources.star import TABLES, Inputs, Star
 from ledgerlake.sources.tables import VersionedTable
 
 
 def events_table(lake) -> VersionedTable:
-    return VersionedTable(lake.spark, work_dir(lake.spark), EVENT_SCHEMA, EVENT_KEY, "mes_ocorrencia", ["lsn_origem"])
+    return VersionedTable(lake.spark, work_dir(lake.spark), EVENT_SCHEMA, EVENT_KEY, "mes_ocorrencia", ["lsn_origem"], ["co_entidade"], EVENT_CONTENT)
 
 
 def _raw_file(lake, df) -> str:
@@ -155,10 +158,31 @@ def zstd_parquet(lake):
 @query("SNK-02_replace_one_partition", """SELECT co_entidade, no_entidade, ano_censo_referencia FROM school_files WHERE ano_censo_referencia = 2000
     UNION ALL SELECT co_entidade, no_entidade||'-novo', ano_censo_referencia FROM school_files WHERE ano_censo_referencia = 2001""")
 def replace_one_partition(lake):
-    path = _school_years(lake)
-    newer = lake.school_files.where(F.col("ano_censo_referencia") == 2001).withColumn("no_entidade", F.concat("no_entidade", F.lit("-novo")))
-    layouts.replace_partitions(newer, path, ["ano_censo_referencia"])
-    return readers.partitioned(lake.spark, path).select("co_entidade", "no_entidade", "ano_censo_referencia")
+    year = "ano_censo_referencia"
+    published = Publication(lake.spark, work_dir(lake.spark), year)
+    for y in (2000, 2001):
+        published.publish({"escola": lake.school_files.where(F.col(year) == y).drop(year)}, y)
+    newer = lake.school_files.where(F.col(year) == 2001).withColumn("no_entidade", F.concat("no_entidade", F.lit("-novo")))
+    published.publish({"escola": newer.drop(year)}, 2001)
+    return published.read("escola").select("co_entidade", "no_entidade", year)
+
+
+_CENSUS_ROWS = """SELECT 'municipio' AS tabela, count(DISTINCT co_municipio) AS linhas FROM school WHERE co_entidade % 13 <> 0 AND co_entidade % 31 <> 0
+    UNION ALL SELECT 'escola', count(*) FROM school WHERE {located} UNION ALL SELECT 'vistoria_item', 7 * count(*) FROM school WHERE {located}"""
+
+
+@query("SNK-02_census_as_one_unit", f"SELECT *, 'b' AS hash_publicado FROM ({_CENSUS_ROWS.format(located='co_entidade % 13 <> 0 AND co_entidade % 31 <> 0 AND co_entidade % 17 <> 0')})")
+def census_as_one_unit(lake):
+    """Half of a census file published, the same hash again, a run that stopped before publishing, then the whole file."""
+    published = Publication(lake.spark, work_dir(lake.spark), "ano_censo")
+    raw, columns = census_raw(lake), {c: census_column(c) for c in CATALOG}
+    half = raw.where(F.col("CO_ENTIDADE").cast("bigint") % 2 == 0)
+    ingest.publish_census(published, half, columns, EXAM_YEAR, "a")
+    ingest.publish_census(published, raw, columns, EXAM_YEAR, "a")
+    published.draft().write("escola", census.schools(half).drop("ano_censo_referencia").limit(1), EXAM_YEAR)
+    ingest.publish_census(published, raw, columns, EXAM_YEAR, "b")
+    rows = quality.run_checks({t: published.read(t) for t in ("municipio", "escola", "vistoria_item")}).withColumnsRenamed({"teste": "tabela", "falhas": "linhas"})
+    return rows.withColumn("hash_publicado", published.markers().select("hash_publicado").scalar())
 
 
 @query("SNK-03_publish_year", """SELECT ano_censo, sg_uf, item_codigo, situacao, count(*) AS linhas FROM wide GROUP BY ALL
@@ -169,7 +193,7 @@ def publish_year(lake):
     older = _wide(lake).withColumn("ano_censo", F.col("ano_censo") - 1)
     for year in (older, _wide(lake), older.where(F.col("sg_uf") != "ASIA")):
         layouts.publish_year(year, path)
-    return readers.partitioned(lake.spark, path).groupBy("ano_censo", "sg_uf", "item_codigo", "situacao").agg(F.count("*").alias("linhas"))
+    return layouts.read_years(lake.spark, path).groupBy("ano_censo", "sg_uf", "item_codigo", "situacao").agg(F.count("*").alias("linhas"))
 
 
 @query("SNK-04_insert_if_absent", "SELECT * FROM event")
@@ -219,23 +243,52 @@ def append_batches(lake):
     return readers.partitioned(lake.spark, path).groupBy("sg_uf").agg(F.count("*").alias("linhas"))
 
 
-@query("SNK-07_compaction", "SELECT 0::BIGINT AS diferencas")
+@query("SNK-07_compaction", "SELECT sg_uf, count(*) AS linhas, -count(*) FILTER (co_entidade % 4 = 3) AS excedente FROM wide GROUP BY sg_uf")
 def compaction(lake):
-    """Many small appends rewritten as few files: the answer does not change."""
+    """Many small appends rewritten as few files: rows and, against the rows with one batch twice, the difference."""
     folder = work_dir(lake.spark)
     for batch in range(4):
         layouts.write(_wide(lake).where(F.col("co_entidade") % 4 == batch), f"{folder}/lotes", ["ano_censo", "sg_uf"])
     layouts.compact(lake.spark, f"{folder}/lotes", f"{folder}/compacta", ["ano_censo", "sg_uf"])
-    return quality.difference_count(lake.spark.read.parquet(f"{folder}/lotes"), lake.spark.read.parquet(f"{folder}/compacta"))
+    compacted = readers.partitioned(lake.spark, f"{folder}/compacta")
+    doubled = _wide(lake).unionByName(_wide(lake).where(F.col("co_entidade") % 4 == 3))
+    surplus = quality.table_difference(compacted.select(*doubled.columns), doubled).groupBy("sg_uf").agg(F.sum("excedente").alias("excedente"))
+    return compacted.groupBy("sg_uf").agg(F.count("*").alias("linhas")).join(surplus, "sg_uf", "left").fillna(0, ["excedente"])
 
 
 @query("SNK-07_table_compaction", "SELECT mes_ocorrencia, count(*) AS linhas FROM event GROUP BY 1")
 def table_compaction(lake):
+    """A compaction while another writer inserts the last third: nothing is lost and nothing is doubled."""
+    table, writer = events_table(lake), lake.stored("event")
+    other = events_table(lake)
+    other.root, other.commits = table.root, table.commits
+    for batch in range(2):
+        table.append(writer.where(F.col("vistoria_id") % 3 == batch))
+    with ThreadPoolExecutor(2) as pool:
+        jobs = [pool.submit(table.compact), pool.submit(other.insert_if_absent, writer.where(F.col("vistoria_id") % 3 != 0))]
+        for job in jobs:
+            job.result()
+    return table.read().groupBy("mes_ocorrencia").agg(F.count("*").alias("linhas"))
+
+
+@query("AGG-22_stored_fingerprint", f"SELECT mes_ocorrencia, count(*) AS linhas, CAST(sum({HASH64.format(CONTENT_TEXT)}) AS VARCHAR) AS impressao FROM event GROUP BY 1")
+def stored_fingerprint(lake):
+    """Sums kept with two commits, their compaction and one more commit; no row is read for the answer."""
     table = events_table(lake)
-    for batch in range(3):
+    for batch in range(2):
         table.append(lake.stored("event").where(F.col("vistoria_id") % 3 == batch))
     table.compact()
-    return table.read().groupBy("mes_ocorrencia").agg(F.count("*").alias("linhas"))
+    table.insert_if_absent(lake.stored("event").where(F.col("vistoria_id") % 3 != 1))
+    return table.fingerprint(by_partition=True).withColumn("impressao", F.col("impressao").cast("string"))
+
+
+@query("PRJ-18_stored_school", "SELECT vistoria_id, item_codigo, situacao, quantidade FROM event WHERE co_entidade BETWEEN 5 AND 8")
+def stored_school(lake):
+    """Some schools' events of a stored table, from the files that can hold them."""
+    table = events_table(lake)
+    for low in (0, 40, 80):
+        table.append(lake.stored("event").where((F.col("co_entidade") >= low) & (F.col("co_entidade") < (low + 40 if low < 80 else 1 << 40))))
+    return table.read(only={"co_entidade": (5, 8)}).select("vistoria_id", "item_codigo", "situacao", "quantidade")
 
 
 @query("SNK-08_schema_evolution", "SELECT item_codigo, count(*) AS linhas, count(CASE WHEN co_entidade % 2 = 1 THEN vistoria_id END) AS com_posicao FROM latest GROUP BY 1")
@@ -335,9 +388,9 @@ def star_build(lake):
     return quality.run_checks({t: star.read(t) for t in TABLES}).withColumnsRenamed({"teste": "tabela", "falhas": "linhas"})
 
 
-@query("DQ-11_stored_wide_grain_share", f"""SELECT m.sg_uf, e.rede, count(*) AS escolas,
-    round(100.0::DOUBLE * count(*) FILTER (item_3) / count(*), 1) AS pct_com_item FROM fact_year JOIN dim_school e USING (co_entidade)
-    JOIN municipality m USING (co_municipio) WHERE ano = {LAST_YEAR} AND item_3 IS NOT NULL GROUP BY m.sg_uf, e.rede""")
+@query("DQ-11_stored_wide_grain_share", f"""SELECT (SELECT sg_uf FROM municipality WHERE co_municipio = p.co_municipio) AS sg_uf, p.rede, CAST(sum(p.n) AS BIGINT) AS escolas,
+    round(sum(p.n * p.tem) * 100 / sum(p.n), 1) AS pct_com_item FROM (SELECT co_municipio, rede, item_3::INT::DOUBLE AS tem, count(*) AS n FROM dim_school, fact_year
+    WHERE fact_year.co_entidade = dim_school.co_entidade AND ano = {LAST_YEAR} GROUP BY ALL) p WHERE p.tem IS NOT NULL GROUP BY 1, 2""")
 def stored_wide_grain_share(lake):
     """A question answered from the stored tables instead of from the events."""
     star = build_star(lake)

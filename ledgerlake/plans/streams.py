@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlake.contracts import EVENT_KEY
-from ledgerlake.operators import reconcile
+from ledgerlake.operators import ordered, reconcile
 from ledgerlake.plans.adapter import CONTENT_TEXT, HASH64
 from ledgerlake.plans.registry import query
 from ledgerlake.session import work_dir
@@ -166,8 +166,8 @@ def _plan(lake):
     """Mark set in the last year; half of the margin was seen, every 13th header was remembered as empty."""
     ids = lake.inspection.select("vistoria_id")
     return windows.plan(
-        lake.inspection, lake.item, seen=ids.where(F.col("vistoria_id") % 2 == 0),
-        waiting=ids.where(F.col("vistoria_id") % 13 == 0), mark=_MARK, limit="2001-12-31 00:00:00", margin_s=30 * 86400,
+        lake.inspection, lake.item, seen=ordered.id_ranges(ids.where(F.col("vistoria_id") % 2 == 0), [], "vistoria_id"),
+        waiting=ordered.id_ranges(ids.where(F.col("vistoria_id") % 13 == 0), [], "vistoria_id"), mark=_MARK, limit="2001-12-31 00:00:00", margin_s=30 * 86400,
     )
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.contracts import ORIGIN_CENSUS
+from ledgerlake.contracts import CENSUS_COLUMNS, ORIGIN_CENSUS
 from ledgerlake.functions.columns import NTZ, instant_text, surrogate_key
+from ledgerlake.operators import census
+from ledgerlake.sources.publication import Publication
 
 SKIP, REPUBLISH, INGEST = "ignorar", "republicar_silver", "ingerir"
 
@@ -42,6 +44,38 @@ def manifest_row(decided: DataFrame, force: bool, counters: dict[str, Column], s
     )
 
 
+CENSUS = "censo"
+
+
+def census_marker(year: int) -> str:
+    return f"{CENSUS}/{year}"
+
+
+def publish_census(
+    published: Publication, raw: DataFrame, column_by_item: Mapping[str, str], year: int, source_hash: str, force: bool = False
+) -> bool:
+    """Municipalities, schools and item states of a census year as one unit, marked with the file's hash.
+
+    Nothing is written if that hash is published already (False). Schools of another year are refused.
+    """
+    if not force and published.marker(census_marker(year)) == source_hash:
+        return False
+    census.require_columns(raw, [*CENSUS_COLUMNS, *column_by_item.values()], "census file")
+    active = census.active_schools(raw).persist()
+    try:
+        others = active.where(~F.col("NU_ANO_CENSO").eqNullSafe(str(year))).limit(1)
+        if not others.isEmpty():
+            raise ValueError(f"the census file is not of {year} alone")
+        tables = {
+            "municipio": census.municipalities(active), "escola": census.schools(active).drop("ano_censo_referencia"),
+            "vistoria_item": census.item_states(active, column_by_item),
+        }
+        published.publish(tables, year, markers={census_marker(year): source_hash})
+    finally:
+        active.unpersist()
+    return True
+
+
 def absent_rows(staged: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows a consolidation would insert: keys not stored yet."""
     return staged.join(stored.select(*keys), list(keys), "left_anti")

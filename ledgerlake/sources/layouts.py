@@ -1,13 +1,14 @@
-"""Table layouts: partitioned writes, whole-partition replacement, compaction, evolution."""
+"""Table layouts: partitioned writes, published years, compaction, evolution."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.sources.publication import Publication
+
 LAYOUTS: dict[str, tuple[str, ...]] = {"nenhum": (), "ano": ("ano_censo",), "ano_uf": ("ano_censo", "sg_uf")}
 CODECS = ("none", "snappy", "zstd")
 
@@ -19,14 +20,6 @@ def write(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "append"
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: Sequence[str], codec: str = "zstd") -> None:
-    """Replace exactly the partitions present in ``df``, as one job; the others are untouched."""
-    (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", codec).partitionBy(*by).parquet(path)
-    )
-
-
 def require_one_year(df: DataFrame, year: str = "ano_censo") -> int:
     """The single year of a yearly folder; a folder mixing years is refused."""
     bounds = df.agg(F.min(year), F.max(year)).first()
@@ -44,27 +37,33 @@ def clustered(df: DataFrame, by: Sequence[str], sort: Sequence[str]) -> DataFram
     return df.repartitionByRange(*[F.col(c) for c in (*by, *sort)]).sortWithinPartitions(*by, *sort)
 
 
+WIDE = "larga"
+
+
+def wide_years(spark: SparkSession, path: str) -> Publication:
+    """The wide analytic table: one part a census year."""
+    return Publication(spark, path, "ano_censo")
+
+
 def publish_year(df: DataFrame, path: str) -> int:
     """Wide analytic table: replace one census year as a whole, partitioned by (year, state).
 
-    The year is written aside (a folder that readers skip) and then takes the old one's place, so a
-    failed write changes nothing and states that are gone leave no partition behind.
+    The year is written to a folder of its own and then named by one log entry, so a stop at any step leaves the old
+    year or the new one, and states that are gone leave no partition behind.
     """
     year = require_one_year(df)
-    spark = df.sparkSession
-    by, sort = ("ano_censo", "sg_uf"), ("co_municipio", "co_entidade", "item_codigo")
-    aside = f"{path}/_aside-{uuid.uuid4().hex}"
-    clustered(df, by, sort).write.option("compression", "zstd").partitionBy(*by).parquet(aside)
-    jvm = spark.sparkContext._jvm
-    new, old = (jvm.org.apache.hadoop.fs.Path(f"{at}/ano_censo={year}") for at in (aside, path))
-    fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise RuntimeError(f"the new year stays in {new}")
-    fs.delete(new.getParent(), True)
+    by, sort = ["sg_uf"], ["co_municipio", "co_entidade", "item_codigo"]
+    draft = wide_years(df.sparkSession, path).draft()
+    draft.write(WIDE, clustered(df.drop("ano_censo"), by, sort), year, by, spread=False)
+    draft.publish()
     return year
 
 
+def read_years(spark: SparkSession, path: str, only: Sequence[int] | None = None) -> DataFrame:
+    """The published years of the wide table, or some of them."""
+    return wide_years(spark, path).read(WIDE, only=only)
+
+
 def reapply(batch: DataFrame, path: str, keys: Sequence[str], by: Sequence[str]) -> None:
     """Append the rows of a batch that a log-less table does not hold yet."""
     held = batch.sparkSession.read.parquet(path).select(*keys)

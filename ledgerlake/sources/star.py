@@ -1,13 +1,11 @@
 """Stored star schema: built aside, checked, then published as one unit.
 
 Readers always see one whole build. A build that fails, or whose checks fail, is never published and
-the previous one stays in place.
+the previous one stays in place; ``vacuum`` removes refused and superseded builds.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -16,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.contracts import EVENT_KEY, STATES
 from ledgerlake.operators import facts, history, quality
-from ledgerlake.sources.tables import CommitLog
+from ledgerlake.sources.log import RETAIN_SECONDS
+from ledgerlake.sources.publication import Publication
 
 TABLES = (
     "dim_item", "dim_municipio", "dim_escola", "dim_escola_infraestrutura", "fato_vistoria_item",
@@ -36,68 +35,52 @@ class Inputs:
 class Star:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.commits = CommitLog(spark, self.root)
+        self.published = Publication(spark, self.root)
 
-    def _path(self, build: str, table: str) -> str:
-        return f"{self.root}/build={build}/{table}"
+    def version(self) -> int:
+        return self.published.version()
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
-        entries = self.commits.entries(version)
-        if not entries:
-            raise ValueError("the star schema was never built")
-        return self.spark.read.parquet(self._path(entries[-1]["commit"], table))
+        return self.published.read(table, version)
 
-    def _write(self, build: str, table: str, df: DataFrame, sort: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
-        """Write one table and hand back the stored copy, so later steps start from files."""
-        if by:
-            df = df.hint("rebalance", *by)
-        if sort:
-            df = df.sortWithinPartitions(*by, *sort)
-        df.write.option("compression", "zstd").partitionBy(*by).parquet(self._path(build, table))
-        return self.spark.read.parquet(self._path(build, table))
+    def vacuum(self, retain_seconds: float = RETAIN_SECONDS) -> int:
+        return self.published.vacuum(retain_seconds)
 
     def build(
         self, inputs: Inputs, as_of: str, exam_reference: str | None = None, hot: DataFrame | None = None
     ) -> int:
         """Build every table from one set of inputs; returns the published version."""
-        build = uuid.uuid4().hex
+        draft = self.published.draft()
         codes = [r[0] for r in inputs.catalog.select("codigo").collect()]  # the catalog is tiny
         facts.check_catalog(codes)
-        items = self._write(build, "dim_item", facts.dim_item(inputs.catalog))
-        places = self._write(build, "dim_municipio", facts.dim_municipality(inputs.municipalities))
-        schools = self._write(build, "dim_escola", facts.dim_school(inputs.schools))
+        items = draft.write("dim_item", facts.dim_item(inputs.catalog))
+        places = draft.write("dim_municipio", facts.dim_municipality(inputs.municipalities))
+        schools = draft.write("dim_escola", facts.dim_school(inputs.schools))
         changes = history.item_change(inputs.events, hot)
-        profiles = self._write(
-            build, "dim_escola_infraestrutura", history.dim_profile(changes, codes, hot is not None), ["co_entidade"]
-        )
+        profiles = draft.write("dim_escola_infraestrutura", history.dim_profile(changes, codes, hot is not None), sort=["co_entidade"])
+        results = None
         # The facts need nothing from each other, so their jobs run side by side.
         with ThreadPoolExecutor(3) as pool:
-            fine_job = pool.submit(
-                self._write, build, "fato_vistoria_item", facts.fact_item(inputs.events, profiles, hot),
-                ["item_codigo", "ocorrido_em"],
-            )
+            fine_job = pool.submit(draft.write, "fato_vistoria_item", facts.fact_item(inputs.events, profiles, hot), sort=["item_codigo", "ocorrido_em"])
             wide_job = pool.submit(
-                self._write, build, "fato_infra_escola_ano", facts.fact_year(inputs.events, profiles, codes, as_of, hot),
-                ["co_entidade"], ["ano"],
+                draft.write, "fato_infra_escola_ano", facts.fact_year(inputs.events, profiles, codes, as_of, hot), by=["ano"], sort=["co_entidade"]
             )
             if inputs.exam is not None and exam_reference is not None:
-                pool.submit(
-                    self._write, build, "fato_desempenho_escola_ano",
-                    facts.fact_performance(inputs.exam, inputs.schools, profiles, exam_reference, hot),
+                results = pool.submit(
+                    draft.write, "fato_desempenho_escola_ano", facts.fact_performance(inputs.exam, inputs.schools, profiles, exam_reference, hot)
                 ).result()
             fine, wide = fine_job.result(), wide_job.result()
-        checks = self.checks(items, schools, places, profiles, fine, wide, hot)
-        failed = quality.run_checks(checks).where(F.col("falhas") > 0).collect()  # one row per check
+        failed = quality.run_checks(self.checks(items, schools, places, profiles, fine, wide, results, hot)).where(F.col("falhas") > 0).collect()  # one row per check
         if failed:
             raise ValueError("build not published: " + ", ".join(f"{r['teste']} ({r['falhas']})" for r in failed))
-        return self.commits.publish(build, True, fine.count())
+        return draft.publish()
 
     @staticmethod
     def checks(
         items: DataFrame, schools: DataFrame, places: DataFrame, profiles: DataFrame, fine: DataFrame, wide: DataFrame,
-        hot: DataFrame | None = None,
+        results: DataFrame | None = None, hot: DataFrame | None = None,
     ) -> dict:
-        return {
+        checks = {
             "escola_unica": quality.unique(schools, ["co_entidade"]),
             "municipio_conhecido": quality.orphans(schools, "co_municipio", places, "co_municipio"),
             "perfil_unico": quality.unique(profiles, ["co_entidade", "escola_infra_sk"]),
@@ -114,3 +97,11 @@ class Star:
             "fato_anual_unico": quality.unique(wide, ["co_entidade", "ano"]),
             "percentual_entre_0_e_100": quality.in_range(wide, "pct_existentes", 0, 100),
         }
+        if results is not None:
+            checks |= {
+                "desempenho_unico": quality.unique(results, ["co_entidade", "ano"]),
+                "escola_do_desempenho_conhecida": quality.orphans(results, "co_entidade", schools, "co_entidade"),
+                # A school that was never inspected has results without a profile.
+                "perfil_do_desempenho_conhecido": quality.orphans(results.where(F.col("escola_infra_sk").isNotNull()), "escola_infra_sk", profiles, "escola_infra_sk"),
+            }
+        return checks

@@ -6,6 +6,9 @@ maps column names to captured text. A column that was not captured is absent fro
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,14 +106,18 @@ def enrich(changes: DataFrame, headers: DataFrame) -> DataFrame:
     return items.join(known, "vistoria_id", "left").withColumn("motivo", _rejection())
 
 
-def headers_of(changes: DataFrame, headers: DataFrame) -> DataFrame:
+@contextmanager
+def headers_of(changes: DataFrame, headers: DataFrame) -> Iterator[DataFrame]:
     """The headers that a batch names. Its keys are counted first: few are sent to the stored headers, which
-    then are neither shuffled nor read by other ids; many are joined by a shuffle.
+    then are neither shuffled nor read by other ids; many are joined by a shuffle. The keys are held until the block ends.
     """
     keys = changes.where((F.col("tabela") == ITEMS) & (F.col("op") == "insert")).select(inspection_id().alias("vistoria_id"))
     keys = keys.where(F.col("vistoria_id").isNotNull()).distinct().persist()
-    few = keys.count() * KEY_BYTES <= BROADCAST_BYTES
-    return headers.join(F.broadcast(keys) if few else keys, "vistoria_id", "left_semi")
+    try:
+        few = keys.count() * KEY_BYTES <= BROADCAST_BYTES
+        yield headers.join(F.broadcast(keys) if few else keys, "vistoria_id", "left_semi")
+    finally:
+        keys.unpersist()
 
 
 def events_of(enriched: DataFrame) -> DataFrame:

@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from ledgerlake.contracts import DLQ_KEY, EVENT_KEY, EVENT_SCHEMA
+from ledgerlake.contracts import DLQ_KEY, EVENT_CONTENT, EVENT_KEY, EVENT_SCHEMA
+from ledgerlake.sources.log import ATTEMPTS, Conflict
 from ledgerlake.sources.tables import VersionedTable, Written
 from ledgerlake.streaming import envelope, telemetry
 from ledgerlake.streaming.recovery import RECEIPT_SCHEMA, REVIEWED_SCHEMA
@@ -44,7 +45,9 @@ class Tables:
     @classmethod
     def under(cls, spark: SparkSession, root: str) -> Tables:
         return cls(
-            events=VersionedTable(spark, f"{root}/events", EVENT_SCHEMA, EVENT_KEY, "mes_ocorrencia", ["lsn_origem"]),
+            events=VersionedTable(
+                spark, f"{root}/events", EVENT_SCHEMA, EVENT_KEY, "mes_ocorrencia", ["lsn_origem"], ["co_entidade"], EVENT_CONTENT
+            ),
             queue=VersionedTable(spark, f"{root}/queue", envelope.DLQ_SCHEMA, DLQ_KEY),
             telemetry=VersionedTable(spark, f"{root}/telemetry", telemetry.TELEMETRY_SCHEMA, ["passada_em", "lsn_fim"]),
             freshness=VersionedTable(spark, f"{root}/freshness", FRESHNESS_SCHEMA, ["drenado_em"]),
@@ -71,22 +74,25 @@ def deliver(
     """Deliver one batch of captured changes."""
     start = read_start or utc_now()
     changes = changes.persist()
+    enriched = None
     try:
-        enriched = envelope.enrich(changes, envelope.headers_of(changes, headers)).persist()
-        read_end = utc_now()
-        events, rejected = envelope.events_of(enriched), envelope.rejections(enriched)
-        converted = utc_now()
-        letters = rejected.unionByName(envelope.insert_only_violations(changes))
-        # Two independent tables: their jobs run side by side, and both must be done to go on.
-        with ThreadPoolExecutor(2) as pool:
-            inserting = pool.submit(tables.events.insert_if_absent, events)
-            queueing = pool.submit(tables.queue.insert_if_absent, letters)
-            written = inserting.result()
-            queueing.result()
-        clock = telemetry.Clock(start, read_end, converted, utc_now())
-        _log_pass(changes, events, rejected, clock, tables, drifts)
-        enriched.unpersist()
+        with envelope.headers_of(changes, headers) as named:
+            enriched = envelope.enrich(changes, named).persist()
+            read_end = utc_now()
+            events, rejected = envelope.events_of(enriched), envelope.rejections(enriched)
+            converted = utc_now()
+            letters = rejected.unionByName(envelope.insert_only_violations(changes))
+            # Two independent tables: their jobs run side by side, and both must be done to go on.
+            with ThreadPoolExecutor(2) as pool:
+                inserting = pool.submit(tables.events.insert_if_absent, events)
+                queueing = pool.submit(tables.queue.insert_if_absent, letters)
+                written = inserting.result()
+                queueing.result()
+            clock = telemetry.Clock(start, read_end, converted, utc_now())
+            _log_pass(changes, events, rejected, clock, tables, drifts)
     finally:
+        if enriched is not None:
+            enriched.unpersist()
         changes.unpersist()
     if fail_after_write:
         raise RuntimeError("stopped after writing and before the position advanced")
@@ -106,11 +112,20 @@ def _log_pass(changes, events, rejected, clock, tables: Tables, drifts) -> None:
 
 
 def drained(tables: Tables, at: str) -> None:
-    """Everything committed before ``at`` is readable; an idle pass renews it too."""
+    """Everything committed before ``at`` is readable; an idle pass renews it too. An earlier instant never
+    takes the place of a later one.
+    """
     spark = tables.freshness.spark
+    given = spark.createDataFrame([(at,)], "drenado_em string").select(F.col("drenado_em").cast("timestamp_ntz"))
     try:
-        tables.freshness.replace(spark.createDataFrame([(at,)], "drenado_em string").select(
-            F.col("drenado_em").cast("timestamp_ntz")))
+        for _ in range(ATTEMPTS):
+            seen = tables.freshness.version()
+            newest = tables.freshness.read(seen).unionByName(given).agg(F.max("drenado_em").alias("drenado_em"))
+            try:
+                tables.freshness.replace(newest, read=seen)
+                return
+            except Conflict:
+                continue  # another pass renewed it meanwhile
     except STORE_ERRORS:
         log.exception("drain instant was not logged")
 

@@ -1,7 +1,7 @@
 """Monthly windows: late data is found, reconciled and logged, never dropped.
 
 The control state (mark, ids seen in the margin, headers still without items) is small: ids are kept
-as closed ranges. ``plan`` and ``reconcile`` are plain DataFrame steps; ``MonthlyWindows`` strings
+as closed ranges, and looked up in them without expanding them. ``plan`` and ``reconcile`` are plain DataFrame steps; ``MonthlyWindows`` strings
 them together over stored tables.
 """
 
@@ -18,11 +18,9 @@ from pyspark.sql import types as T
 from ledgerlake.contracts import MARK_MARGIN_SECONDS
 from ledgerlake.functions.columns import NTZ, month_close, month_of, month_start, seconds_between
 from ledgerlake.operators import ordered, quality
+from ledgerlake.sources.log import ATTEMPTS, Conflict
 from ledgerlake.sources.tables import VersionedTable
 
-NO_RANGES = "lo long, hi long"
-
-
 def check_month(month: str) -> str:
     if not re.fullmatch(r"\d{4}-(0[1-9]|1[0-2])", month):
         raise ValueError(f"expected a month as AAAA-MM, got {month!r}")
@@ -52,6 +50,10 @@ class Plan:
     seen_in_margin: DataFrame
 
 
+#: Ids of one run that are sent to every task at most; above it they are joined by a shuffle.
+FEW_IDS = 1_000_000
+
+
 def plan(
     headers: DataFrame,
     items: DataFrame,
@@ -65,7 +67,8 @@ def plan(
 
     Records in ``(mark - margin, limit]`` are read again; those at or before the mark that the
     previous run had already seen are not new. Headers remembered as empty are new once they have
-    items, however late. ``seen`` and ``waiting`` hold ``vistoria_id``.
+    items, however late. ``seen`` and ``waiting`` are closed ranges ``lo..hi`` of ids. Items are looked up only for
+    headers in the margin or waiting; these are counted first, and few are sent to the stored items.
     """
     top = F.lit(limit).cast(NTZ)
     at = F.lit(mark).cast(NTZ)
@@ -73,16 +76,23 @@ def plan(
     read = headers.where(record <= top)
     if mark is not None:
         read = read.where(record > _margin(at, margin_s))
-    with_items = items.select("vistoria_id").distinct()
+    span = waiting.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+    around = headers.where(F.col("vistoria_id").between(span["lo"], span["hi"])) if span["lo"] is not None else headers.where(F.lit(False))
+    held = around.join(ordered.ids_in_ranges(around, "vistoria_id", waiting), "vistoria_id", "left_semi")
+    asked = read.select("vistoria_id").unionByName(held.select("vistoria_id")).distinct()
+    if mark is not None and asked.limit(FEW_IDS + 1).count() <= FEW_IDS:
+        asked = F.broadcast(asked)
+    with_items = items.select("vistoria_id").join(asked, "vistoria_id", "left_semi").distinct()
     filled = read.join(with_items, "vistoria_id", "left_semi")
     empty = read.join(with_items, "vistoria_id", "left_anti").select("vistoria_id")
     if mark is None:
         fresh = filled
     else:
-        again = filled.where(record <= at).join(seen, "vistoria_id", "left_anti")
+        before = filled.where(record <= at)
+        again = before.join(ordered.ids_in_ranges(before, "vistoria_id", seen), "vistoria_id", "left_anti")
         fresh = filled.where(record > at).unionByName(again)
-    completed = headers.join(waiting, "vistoria_id", "left_semi").join(with_items, "vistoria_id", "left_semi")
-    still = waiting.join(completed.select("vistoria_id"), "vistoria_id", "left_anti").unionByName(empty).distinct()
+    completed = held.join(with_items, "vistoria_id", "left_semi")
+    still = held.select("vistoria_id").join(with_items, "vistoria_id", "left_anti").unionByName(empty).distinct()
     return Plan(
         new=fresh.unionByName(completed).distinct(),
         completed=completed,
@@ -101,12 +111,23 @@ def reopened(new: DataFrame, limit: str) -> DataFrame:
 
 def compare_months(origin: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows and fingerprint of every month on both sides, in one pass over each."""
+    return _compared(origin, quality.fingerprint(stored, by=["mes_ocorrencia"]))
+
+
+def compare_with_table(origin: DataFrame, table: VersionedTable, months: Sequence[str] | None = None) -> DataFrame:
+    """The same against a stored table, whose kept fingerprints are merged instead of reading it."""
+    if not table.summed:
+        stored = table.read()
+        return compare_months(origin, stored if months is None else in_months(stored, months))
+    return _compared(origin, table.fingerprint(by_partition=True, values=months))
+
+
+def _compared(origin: DataFrame, stored: DataFrame) -> DataFrame:
     a = quality.fingerprint(origin, by=["mes_ocorrencia"]).select(
         "mes_ocorrencia", F.col("linhas").alias("linhas_na_origem"), F.col("impressao").alias("_a")
     )
-    b = quality.fingerprint(stored, by=["mes_ocorrencia"])
     zero = F.lit(0).cast("decimal(38,0)")
-    both = a.join(b, "mes_ocorrencia", "full_outer")
+    both = a.join(stored, "mes_ocorrencia", "full_outer")
     return both.select(
         F.col("mes_ocorrencia").alias("mes"),
         F.coalesce("linhas", F.lit(0).cast("bigint")).alias("linhas"),
@@ -124,15 +145,15 @@ def reconcile(origin: DataFrame, table: VersionedTable, months: Sequence[str]) -
     """Insert what the stored months lack, in one job for all months; equal months are not touched.
 
     Returns the windows after the repair and the number of rows inserted. The list of months is
-    calendar-sized.
+    calendar-sized; the stored side is never scanned where its fingerprints are kept.
     """
     wanted = in_months(origin, months)
-    before = compare_months(wanted, in_months(table.read(), months))
+    before = compare_with_table(wanted, table, months)
     unequal = [r["mes"] for r in before.where(~F.col("confere_com_a_origem")).select("mes").collect()]
     inserted = 0
     if unequal:
         inserted = table.insert_if_absent(in_months(wanted, unequal)).inserted
-    return compare_months(wanted, in_months(table.read(), months)), inserted
+    return compare_with_table(wanted, table, months), inserted
 
 
 def reprocess(origin: DataFrame, table: VersionedTable, months: Sequence[str]) -> tuple[DataFrame, int]:
@@ -165,11 +186,11 @@ class MonthlyWindows:
         self.spark, self.events, self.margin_s = spark, events, margin_s
         self.control = VersionedTable(spark, control_root, CONTROL_SCHEMA, ["kind"])
 
-    def state(self, kind: str) -> DataFrame:
-        return self.control.read().where(F.col("kind") == kind)
+    def state(self, kind: str, version: int | None = None) -> DataFrame:
+        return self.control.read(version).where(F.col("kind") == kind)
 
-    def mark(self) -> str | None:
-        row = self.state("mark").select(F.col("instante").cast("string")).first()
+    def mark(self, version: int | None = None) -> str | None:
+        row = self.state("mark", version).select(F.col("instante").cast("string")).first()
         return row[0] if row else None
 
     def _ids(self, kind: str) -> DataFrame:
@@ -189,35 +210,56 @@ class MonthlyWindows:
         return self._row(windows.withColumn("kind", F.lit("window")).withColumn("confere", F.col("confere_com_a_origem")))
 
     def run(self, headers: DataFrame, items: DataFrame, origin_events: DataFrame) -> RunReport:
-        previous = self.mark()
+        """One run. If another one replaces the control state meanwhile, it is done again from that state."""
+        return self._retried(lambda: self._run(headers, items, origin_events))
+
+    def _retried(self, work):
+        for _ in range(ATTEMPTS):
+            try:
+                return work()
+            except Conflict:
+                continue
+        raise Conflict(f"{self.control.root}: other runs kept replacing the control state")
+
+    def _run(self, headers: DataFrame, items: DataFrame, origin_events: DataFrame) -> RunReport:
+        at = self.control.version()
+        previous = self.mark(at)
         # The upper bound is read first: what is recorded during this run belongs to the next one.
         limit = headers.agg(F.max("registrado_em").cast("string")).first()[0]
         if limit is None:
             return RunReport(previous, previous, 0, [], 0)
-        todo = plan(headers, items, self._ids("seen"), self._ids("waiting"), previous, limit, self.margin_s)
+        if previous is not None and limit < previous:
+            limit = previous  # another run may have read later headers; the mark never goes back
+        todo = plan(headers, items, self.state("seen", at), self.state("waiting", at), previous, limit, self.margin_s)
         new = todo.new.persist()
-        per_month = lateness(new).groupBy("mes").count().collect()  # calendar months
-        months = sorted(r["mes"] for r in per_month)
-        windows, inserted = reconcile(origin_events, self.events, months) if months else (None, 0)
-        state = self._row(self.spark.createDataFrame([("mark", limit)], "kind string, instante string"))
-        state = state.unionByName(self._ranges(todo.seen_in_margin, "seen"))
-        state = state.unionByName(self._ranges(todo.still_without_items, "waiting"))
-        state = state.unionByName(self.state("reopened"))
-        if previous is not None:
-            log = reopened(new, limit).withColumnRenamed("reaberta_em", "instante")
-            state = state.unionByName(self._row(log.withColumn("kind", F.lit("reopened"))))
-        kept = self.state("window")
-        if windows is not None:
-            kept = kept.where(~F.col("mes").isin(months)).unionByName(self._window_rows(windows))
-        self.control.replace(state.unionByName(kept))
-        new.unpersist()
+        try:
+            per_month = lateness(new).groupBy("mes").count().collect()  # calendar months
+            months = sorted(r["mes"] for r in per_month)
+            windows, inserted = reconcile(origin_events, self.events, months) if months else (None, 0)
+            state = self._row(self.spark.createDataFrame([("mark", limit)], "kind string, instante string"))
+            state = state.unionByName(self._ranges(todo.seen_in_margin, "seen"))
+            state = state.unionByName(self._ranges(todo.still_without_items, "waiting"))
+            state = state.unionByName(self.state("reopened", at))
+            if previous is not None:
+                log = reopened(new, limit).withColumnRenamed("reaberta_em", "instante")
+                state = state.unionByName(self._row(log.withColumn("kind", F.lit("reopened"))))
+            kept = self.state("window", at)
+            if windows is not None:
+                kept = kept.where(~F.col("mes").isin(months)).unionByName(self._window_rows(windows))
+            self.control.replace(state.unionByName(kept), read=at)
+        finally:
+            new.unpersist()
         return RunReport(previous, limit, sum(r["count"] for r in per_month), months, inserted)
 
     def reprocess(self, origin_events: DataFrame, months: Sequence[str]) -> DataFrame:
-        windows, _ = reprocess(origin_events, self.events, months)
-        others = self.control.read().where(~((F.col("kind") == "window") & F.col("mes").isin(list(months))))
-        self.control.replace(others.unionByName(self._window_rows(windows)))
-        return windows
+        def work() -> DataFrame:
+            at = self.control.version()
+            windows, _ = reprocess(origin_events, self.events, months)
+            others = self.control.read(at).where(~((F.col("kind") == "window") & F.col("mes").isin(list(months))))
+            self.control.replace(others.unionByName(self._window_rows(windows)), read=at)
+            return windows
+
+        return self._retried(work)
 
     def windows(self) -> DataFrame:
         return self.state("window").select("mes", "linhas", "impressao", F.col("confere").alias("confere_com_a_origem"))

@@ -5,17 +5,17 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.contracts import EVENT_KEY, EVENT_SCHEMA
+from ledgerlake.contracts import EVENT_CONTENT, EVENT_KEY, EVENT_SCHEMA
 from ledgerlake.operators import quality
 from ledgerlake.sources import ingest, layouts, readers
-from ledgerlake.sources.tables import CommitLog, VersionedTable, first_per_key
+from ledgerlake.sources.tables import VersionedTable, first_per_key
 from ledgerlake.streaming import windows
 from tests.conftest import at, event
 
 
 @pytest.fixture
 def table(spark, folder):
-    return VersionedTable(spark, folder, EVENT_SCHEMA, EVENT_KEY, "mes_ocorrencia", ["lsn_origem"])
+    return VersionedTable(spark, folder, EVENT_SCHEMA, EVENT_KEY, "mes_ocorrencia", ["lsn_origem"], ["co_entidade"], EVENT_CONTENT)
 
 
 BATCH = [event(1, "lab", "2024-05-29", "existente"), event(2, "lab", "2024-05-30", "inexistente", 3)]
@@ -68,38 +68,6 @@ def test_failed_replacement_is_invisible_and_vacuumed(events, table):
     assert table.read().count() == 1 and table.read(1).count() == 2
 
 
-def test_two_writers_lose_and_double_nothing(spark, events, table):
-    """Both insert overlapping keys; every version number is taken once and every key is stored once."""
-    def writer(n):
-        mine = VersionedTable(spark, table.root, EVENT_SCHEMA, EVENT_KEY, "mes_ocorrencia", ["lsn_origem"])
-        return [mine.insert_if_absent(events([event(k, "lab", "2024-05-29", "existente", lsn=n) for k in range(i, i + 4)])) for i in range(0, 8, 2)]
-
-    with ThreadPoolExecutor(2) as pool:
-        done = [w for part in pool.map(writer, (1, 2)) for w in part]
-    assert sorted(r.vistoria_id for r in table.read().collect()) == list(range(10))
-    assert sum(w.inserted for w in done) == 10
-    assert [r.version for r in table.commits.history()] == list(range(1, table.version() + 1))
-
-
-def test_one_version_is_one_commit(spark, folder):
-    """Of many writers that want one version number exactly one gets it."""
-    log = CommitLog(spark, folder)
-    for version in range(1, 51):
-        with ThreadPoolExecutor(2) as pool:
-            won = list(pool.map(lambda w, v=version: CommitLog(spark, folder).add(v, f"{v}-{w}", False, 1, 1), range(2)))
-        assert sorted(won) == [False, True]
-    assert len(log.entries()) == 50 == log.version() and len(log.entries(33)) == 33
-
-
-def test_vacuum_spares_commits_in_flight_and_retained_versions(events, table):
-    table.append(events(BATCH))
-    flight = table._write_files(events(BATCH[:1]))
-    assert table.vacuum() == 0 and table._rows(flight) == 1
-    table.replace(events(BATCH[:1]))
-    assert table.vacuum() == 0 and table.read(1).count() == 2
-    assert table.vacuum(0) == 2 and table.read().count() == 1 and [r.version for r in table.commits.history()] == [2]
-
-
 def test_compaction_keeps_the_answer(events, table):
     for row in BATCH:
         table.append(events([row]))
@@ -125,11 +93,14 @@ def test_wide_table_years(spark, folder):
     df = spark.createDataFrame(rows, schema)
     for _ in range(2):
         layouts.publish_year(df, folder)
-    assert spark.read.parquet(folder).count() == 2
+    assert layouts.read_years(spark, folder).count() == 2
     older = df.withColumn("ano_censo", F.lit(2023))
     layouts.publish_year(older, folder)
-    assert readers.partitioned(spark, folder).groupBy("ano_censo").count().count() == 2
-    assert readers.latest_year(readers.partitioned(spark, folder), "ano_censo").count() == 2
+    every = layouts.read_years(spark, folder)
+    assert every.groupBy("ano_censo").count().count() == 2 and readers.latest_year(every, "ano_censo").count() == 2
+    layouts.publish_year(older.where("sg_uf = 'SP'"), folder)
+    assert {(r.ano_censo, r.sg_uf) for r in layouts.read_years(spark, folder).collect()} == {(2024, "DF"), (2024, "SP"), (2023, "SP")}
+    assert [r.sg_uf for r in layouts.read_years(spark, folder, [2023]).collect()] == ["SP"]
     with pytest.raises(ValueError):
         layouts.publish_year(df.unionByName(older), folder)
 
