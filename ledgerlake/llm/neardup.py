@@ -2,18 +2,22 @@
 
 Documents with the same shingle set form a class, represented by its smallest id. A class has ``bands`` times
 ``rows`` MinHash samples; classes that agree in a whole band share a bucket. The number of bands makes a
-linked pair miss all of them with a chance of at most ``MISS``. ``FOLDED`` samples of a class are folded
-into a parity bitmap (an odd sketch): the set bits of two bitmaps' XOR estimate how many samples differ,
-finest where the sets are alike. A pair is read in full only if its sizes and its bitmaps allow a link,
-and linked only if the full sets meet the threshold.
+linked pair miss all of them with a chance of at most ``MISS``. ``FOLDED`` samples of a class that shares a bucket
+are folded into a parity bitmap (an odd sketch): the set bits of two bitmaps' XOR estimate how many samples differ,
+finest where the sets are alike. Only pairs whose sizes and bitmaps allow a link are compared in full, and linked are
+only those whose full sets meet the threshold.
 
-Components, without all pairs of a bucket:
+Components, without putting out the pairs of a bucket:
 1. Each bucket is compared with one leader, the member that meets most others over all its buckets (of
    copies of one text, that text). A member goes with the smallest leader it is linked to.
-2. In a bucket that still holds several such groups, members of different ones are compared by sizes and
-   bitmaps, in blocks of bounded size spread over tasks; only pairs that pass go on to the full sets.
-3. All links are joined into components.
-So no candidate that could join two components is left out, at any bucket size.
+2. In a bucket that still holds several such groups, their members are compared by sizes and bitmaps, and put out
+   is a forest: at most one pair for each member, enough to see which groups may be linked at all, directly or
+   over others. What hangs together so is a crowd; no pair that could be linked lies across two crowds.
+3. Each member of a crowd is sent there once with its full set; members of different groups are compared and a
+   forest of the links is put out.
+4. All links are joined into components.
+Steps 2 and 3 work in cells, pairs of blocks of at most about ``CELL`` members. A group of more members has blocks of
+its own, which are not compared with each other. So no pair that could join two components is left out, at any size.
 
 Words are runs without the bytes 09-0D and 20, with A-Z folded; a shingle is ``k`` of them. Null, empty and
 wordless texts have no shingles and are linked with nothing; a text of fewer than ``k`` words is one
@@ -28,6 +32,7 @@ import functools
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +48,10 @@ MISS = 1e-6
 FOLDED = 512
 BITS = 4096
 DEVIATIONS = 5.0
-#: Members of a bucket that one task compares at once.
+#: Members of a block; a task compares two blocks at once.
 CELL = 512
+#: Rows of one class that are joined by one task; classes of more are sent to every task (at most 100 000 of them).
+CLASS_ROWS = 2048
 
 
 def bands_for(threshold: float, rows: int = ROWS) -> int:
@@ -103,39 +110,63 @@ def differing_at_most(threshold: float) -> float:
 
 
 def _signatures(docs: DataFrame, key: str, text: str, k: int, bands: int, rows: int) -> DataFrame:
-    shape = "doc_id long, n_shingles long, set1 long, set2 long, bands array<long>, odd binary"
+    """Size, 128-bit hash and bands of every text's set; a task puts out the bands of a set once."""
+    shape = "doc_id long, n_shingles long, set1 long, set2 long, bands array<long>"
 
     def run(batches):
+        known = set()
         for b in batches:
-            sizes, ones, twos, keys, odds = [], [], [], [], []
+            sizes, ones, twos, keys = [], [], [], []
             for s in shingle_sets(b.column(1), k):
                 sizes.append(len(s))
                 if not len(s):
-                    ones.append(None), twos.append(None), keys.append(None), odds.append(None)
+                    ones.append(None), twos.append(None), keys.append(None)
                     continue
-                ones.append(int(mix(s).sum().astype(np.int64)))
-                twos.append(int(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x452821E638D01377))).astype(np.int64)))
-                values = samples(s, max(FOLDED, bands * rows))
-                odds.append(odd_sketch(values[:FOLDED]).tobytes())
+                one = int(mix(s).sum().astype(np.int64))
+                two = int(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x452821E638D01377))).astype(np.int64))
+                ones.append(one), twos.append(two)
+                if (one, two) in known:
+                    keys.append(None)
+                    continue
+                known.add((one, two))
                 band = np.arange(1, bands + 1, dtype=np.uint64)
-                for column in values[: bands * rows].reshape(bands, rows).T:
+                for column in samples(s, bands * rows).reshape(bands, rows).T:
                     band = mix(band * np.uint64(0x9FB21C651E98DF25) + column)
                 keys.append(band.astype(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(odds, pa.binary())],
-                names=["doc_id", "n_shingles", "set1", "set2", "bands", "odd"],
+                [b.column(0), pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "set1", "set2", "bands"],
             )
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, shape)
 
 
-def _alike(odd_a: pa.Array, odd_b: pa.Array, most: float) -> np.ndarray:
-    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, BITS // 8) for x in (odd_a, odd_b))
-    return _set_bits(a ^ b) <= most
+def _features(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """``node, size_of, odd, shingles`` of the texts of the given nodes; a sieve keeps other rows out of the shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(sieve(nodes.select(F.xxhash64("node").alias("hashed")), "hashed"))
+
+    def run(batches):
+        for b in batches:
+            b = b.filter(pa.array(passes(shared.value, np.asarray(b.column(2)))))
+            sets = shingle_sets(b.column(1), k)
+            odds = [odd_sketch(samples(x, FOLDED)).tobytes() if len(x) else b"" for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(odds, pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())],
+                names=["node", "size_of", "odd", "shingles"],
+            )
 
+    slotted = docs.filter("node IS NOT NULL").select("node", "text", sieve_slot(F.xxhash64("node")).alias("slot"))
+    made = slotted.mapInArrow(run, "node long, size_of long, odd binary, shingles binary").filter("size_of > 0")
+    kept = made.join(nodes, "node", "left_semi").groupBy("node", F.xxhash64("shingles").alias("h"))
+    return kept.agg(*(F.first(c).alias(c) for c in ("size_of", "odd", "shingles"))).drop("h")
 
-def _set_bits(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x.view(np.uint64)).sum(axis=-1)
+
+def _hashes(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+
+
+def _bitmaps(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
 
 
 def _possible(pairs: DataFrame, most: float) -> DataFrame:
@@ -143,38 +174,26 @@ def _possible(pairs: DataFrame, most: float) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            yield b.select(["a", "b"]).filter(pa.array(_alike(b.column("odd_a"), b.column("odd_b"), most))) if len(b) else b.select(["a", "b"])
+            differing = np.bitwise_count(_bitmaps(b.column("odd_a")) ^ _bitmaps(b.column("odd_b"))).sum(axis=1)
+            yield b.select(["a", "b"]).filter(pa.array(differing <= most))
 
     return pairs.select("a", "b", "odd_a", "odd_b").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, features: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets meet the threshold."""
 
     def run(batches):
         for b in batches:
             keep = []
-            for x, y in zip(shingle_sets(b.column(2), k), shingle_sets(b.column(3), k), strict=True):
+            for x, y in zip(_hashes(b.column(2)), _hashes(b.column(3)), strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
-
-
-def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, h, text`` of the given nodes, once each; a sieve keeps other texts out of the shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(sieve(nodes.select(F.xxhash64("node").alias("hashed")), "hashed"))
-
-    def run(batches):
-        for b in batches:
-            yield b.select(["node", "text"]).filter(pa.array(passes(shared.value, np.asarray(b.column(2)))))
-
-    slotted = docs.filter("node IS NOT NULL").select("node", "text", sieve_slot(F.xxhash64("node")).alias("slot"))
-    sieved = slotted.mapInArrow(run, "node long, text string")
-    return sieved.join(nodes, "node", "left_semi").groupBy("node", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
+    one = features.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    two = features.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -201,32 +220,107 @@ def components(links: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-def _cells(members: DataFrame, cell: int) -> DataFrame:
-    """Members of each bucket dealt to cells: pairs of blocks of about ``cell`` members."""
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
-    blocks = members.join(sizes, "bucket").withColumn("n", F.ceil(F.col("size") / cell)).withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.col("n")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other")
-    return blocks.select("bucket", "node", "component", "size_of", "odd", "block", other).select(
-        "bucket", "node", "component", "size_of", "odd", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+def _cells(members: DataFrame, by: str, cell: int) -> DataFrame:
+    """The rows of ``members`` (``by, node, component, ...``) dealt to cells: ``own`` block, ``low`` and ``high`` block.
+
+    Members of small components share blocks; a component of ``cell`` members or more has blocks of its own. A
+    member goes to a cell with each block but those of its own large component.
+    """
+    parts = F.ceil(F.col("n") / cell).cast("long")
+    sizes = members.groupBy(by, "component").agg(F.count("*").alias("n"))
+    large = F.when(F.col("n") >= cell, F.struct("component", parts.alias("parts")))
+    all_of = sizes.groupBy(by).agg(F.sum(F.when(F.col("n") < cell, F.col("n")).otherwise(0)).alias("few"), F.collect_list(large).alias("large"))
+    few_parts = F.ceil(F.col("few") / cell).cast("long")
+    numbered = lambda owner, n: F.transform(F.filter(F.sequence(F.lit(0).cast("long"), n), lambda i: i < n), lambda i: F.struct(owner.alias("owner"), i.alias("part")))
+    nobody = F.lit(None).cast("long")
+    blocks = all_of.select(
+        by, few_parts.alias("few_parts"),
+        F.concat(numbered(nobody, few_parts), F.flatten(F.transform("large", lambda x: numbered(x["component"], x["parts"])))).alias("blocks"),
     )
+    name = lambda owner, part: F.concat_ws("/", F.coalesce(owner.cast("string"), F.lit("few")), part.cast("string"))
+    dealt = members.join(sizes, [by, "component"]).join(blocks, by)
+    owner = F.when(F.col("n") >= cell, F.col("component"))
+    part = F.pmod(F.xxhash64("node", by), F.when(F.col("n") >= cell, parts).otherwise(F.col("few_parts")))
+    dealt = dealt.withColumns({"owner": owner, "own": name(owner, part)})
+    other = F.explode(F.filter("blocks", lambda x: x["owner"].isNull() | ~x["owner"].eqNullSafe(F.col("owner")))).alias("other")
+    paired = dealt.select(*members.columns, "own", other).withColumn("other", name(F.col("other.owner"), F.col("other.part")))
+    return paired.select(*members.columns, "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+
+
+class _Forest:
+    """Groups of a cell's members that grow together."""
 
+    def __init__(self, rows: pa.Table):
+        self.component = np.asarray(rows["component"])
+        self.root = np.unique(self.component, return_inverse=True)[1]
+        whole = len(rows) == 0 or rows["low"][0] == rows["high"][0]
+        self.block = None if whole else np.asarray(rows["own"].combine_chunks().dictionary_encode().indices)
 
-def _cross(rows: pa.Table, ratio: float, most: float) -> pa.Table:
-    """Pairs of a cell in different components that sizes and sketches allow."""
-    component, size, node, block = (np.asarray(rows[c]) for c in ("component", "size_of", "node", "block"))
-    odd = np.frombuffer(b"".join(rows["odd"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
-    apart = rows["low"][0].as_py() != rows["high"][0].as_py() if len(node) else False
+    def apart(self, i: int) -> np.ndarray:
+        """Members after ``i`` that belong to another group, and to the other block of a cell of two."""
+        out = self.root[i + 1 :] != self.root[i]
+        return out if self.block is None else out & (self.block[i + 1 :] != self.block[i])
+
+    def join(self, i: int, others: np.ndarray) -> list[int]:
+        """One of ``others`` for each group that is new to ``i``'s; these groups become one."""
+        roots, first = np.unique(self.root[others], return_index=True)
+        self.root[np.isin(self.root, roots)] = self.root[i]
+        return others[first].tolist()
+
+
+def _edges(a: list[int], b: list[int]) -> pa.Table:
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _alike(rows: pa.Table, ratio: float, most: float) -> pa.Table:
+    """Components of a cell that may be linked by sizes and sketches: a forest of them."""
+    size, odd, forest = np.asarray(rows["size_of"]), _bitmaps(rows["odd"]), _Forest(rows)
     a, b = [], []
-    for i in range(len(node)):
-        others = (component != component[i]) & (node > node[i]) & (np.minimum(size, size[i]) >= ratio * np.maximum(size, size[i]))
-        if apart:
-            others &= block != block[i]
-        at = np.flatnonzero(others)
+    for i in range(len(size) - 1):
+        others = forest.apart(i) & (np.minimum(size[i + 1 :], size[i]) >= ratio * np.maximum(size[i + 1 :], size[i]))
+        at = i + 1 + np.flatnonzero(others)
         at = at[np.bitwise_count(odd[at] ^ odd[i]).sum(axis=1) <= most]
-        a.append(np.full(len(at), node[i]))
-        b.append(node[at])
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    return pa.table([np.concatenate(a), np.concatenate(b)], schema=schema) if a else schema.empty_table()
+        if len(at):
+            own = forest.component[i]
+            for j in forest.join(i, at):
+                a.append(own), b.append(forest.component[j])
+    return _edges(a, b)
+
+
+def _linked(rows: pa.Table, percent: int) -> pa.Table:
+    """Links of a cell's members by their full sets: a forest of them."""
+    sets, node, forest = _hashes(rows["shingles"]), np.asarray(rows["node"]), _Forest(rows)
+    size = np.array([len(x) for x in sets], np.int64)
+    begin = np.concatenate(([0], np.cumsum(size)))
+    known, flat = np.unique(np.concatenate(sets), return_inverse=True) if sets else (np.zeros(0), np.zeros(0, np.int64))
+    mine = np.zeros(len(known), bool)
+    a, b = [], []
+    for i in range(len(sets) - 1):
+        others = forest.apart(i) & (100 * np.minimum(size[i + 1 :], size[i]) >= percent * np.maximum(size[i + 1 :], size[i]))
+        if not others.any():
+            continue
+        own = flat[begin[i] : begin[i + 1]]
+        mine[own] = True
+        both = np.add.reduceat(mine[flat[begin[i + 1] :]].astype(np.int64), begin[i + 1 : -1] - begin[i + 1])
+        mine[own] = False
+        at = i + 1 + np.flatnonzero(others & (100 * both >= percent * (size[i + 1 :] + size[i] - both)) & (both > 0))
+        if len(at):
+            for j in forest.join(i, at):
+                a.append(node[i]), b.append(node[j])
+    return _edges(a, b)
+
+
+def _placed(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component`` of every row; classes of very many rows do not meet in one task."""
+    rows = signed.select("doc_id", "n_shingles", "set1", "set2")
+    limit = max(CLASS_ROWS, signed.count() // 100_000)
+    # Classes of more rows than that are fewer than 100 000.
+    many = classes.filter(F.col("times") > limit).select("set1", "set2", F.col("component").alias("found"))
+    few = classes.filter(F.col("times") <= limit).select("set1", "set2", "component")
+    marked = rows.join(F.broadcast(many), ["set1", "set2"], "left")
+    met = marked.filter("found IS NULL").join(few, ["set1", "set2"], "left")
+    columns = ["doc_id", "n_shingles", "component"]
+    return met.select(*columns).union(marked.filter("found IS NOT NULL").select("doc_id", "n_shingles", "found"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text", k: int = SHINGLE, rows: int = ROWS, cell: int = CELL) -> DataFrame:
@@ -237,22 +331,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
     most = differing_at_most(threshold)
     signed = stored(_signatures(docs, key, text, k, bands, rows), "signatures")
     usable = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    # Every class once: its bands and sketch are those of any of its rows.
-    facts = (F.first(c).alias(c) for c in ("n_shingles", "bands", "odd"))
-    once = usable.groupBy("set1", "set2").agg(F.min("doc_id").alias("node"), *facts).withColumnRenamed("n_shingles", "size_of")
-    classes = once.select("set1", "set2", "node")
-    buckets = once.select("node", F.explode("bands").alias("bucket"))
-    met = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = stored(buckets.join(met, "bucket"), "buckets")
+    classes = stored(usable.groupBy("set1", "set2").agg(F.min("doc_id").alias("node"), F.count("*").alias("times")), "classes")
+    # One layout by bucket serves the copies of a set, the buckets' sizes and the join of both.
+    in_bucket = usable.filter("bands IS NOT NULL").select("set1", "set2", F.explode("bands").alias("bucket")).repartition("bucket").distinct()
+    met = in_bucket.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = stored(in_bucket.join(met, "bucket").join(classes, ["set1", "set2"]).select("bucket", "node", "size"), "buckets")
     crowd = shared.groupBy("node").agg(F.sum("size").alias("crowd"))
     leaders = shared.join(crowd, "node").groupBy("bucket").agg((-F.max(F.struct("crowd", -F.col("node")))["col2"]).alias("leader"))
-    features = stored(once.join(crowd, "node").select("node", "size_of", "odd"), "features")
 
     chosen = docs.select(F.col(key).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
-    texts = stored(_texts_of(chosen, features.select("node").distinct()), "texts")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        return _confirmed(pairs, texts, k, percent)
+    features = stored(_features(chosen, crowd.select("node"), k), "features")
 
     def sided(pairs: DataFrame) -> DataFrame:
         for side in ("a", "b"):
@@ -260,7 +348,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
         return pairs.filter(F.least("size_a", "size_b") * 100 >= percent * F.greatest("size_a", "size_b"))
 
     stars = shared.join(leaders, "bucket").filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    first = stored(linked(_possible(sided(stars), most).distinct()), "links")
+    first = stored(_confirmed(_possible(sided(stars), most).distinct(), features, percent), "links")
     # A member goes with its smallest confirmed leader, and with that one's: enough to skip most pairs below.
     led = first.groupBy(F.col("b").alias("node")).agg(F.least(F.min("a"), F.col("b")).alias("component"))
     above = led.select(F.col("node").alias("component"), F.col("component").alias("top"))
@@ -268,18 +356,22 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
 
     member = shared.join(joined, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     mixed = member.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
-    left = stored(member.join(mixed, "bucket").join(features, "node"), "left")
-    cells = _cells(left, cell).groupBy("bucket", "low", "high")
-    more = cells.applyInArrow(lambda t: _cross(t, threshold, most), "a long, b long").distinct()
-    second = linked(more)
-
-    placed = signed.select("doc_id", "n_shingles", "set1", "set2").join(classes, ["set1", "set2"], "left")
-    own = placed.filter("node IS NOT NULL").groupBy("doc_id", "node").agg(F.count("*").alias("n"))
-    several = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a <> last")
-    same = own.join(several, "doc_id").select("a", F.col("node").alias("b"))
+    left = stored(member.join(mixed, "bucket"), "left")
+    sketched = left.join(features.select("node", "size_of", "odd"), "node")
+    alike = _cells(sketched, "bucket", cell).groupBy("bucket", "low", "high").applyInArrow(lambda t: _alike(t, threshold, most), "a long, b long")
+    crowds = components(alike).select(F.col("node").alias("component"), F.col("component").alias("crowd"))
+    crowded = left.select("node", "component").distinct().join(crowds, "component").join(features.select("node", "shingles"), "node")
+    second = _cells(crowded, "crowd", cell).groupBy("crowd", "low", "high").applyInArrow(lambda t: _linked(t, percent), "a long, b long")
+
+    # Ids with several sets join the classes of these.
+    sets = F.struct("set1", "set2")
+    several = usable.groupBy("doc_id").agg(F.min(sets).alias("x"), F.max(sets).alias("y")).filter("x <> y").select("doc_id")
+    own = usable.join(several, "doc_id", "left_semi").join(classes, ["set1", "set2"]).select("doc_id", "node").distinct()
+    same = own.join(own.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b"))
     final = components(first.union(second).union(same))
-    found = placed.join(final, "node", "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("component", "node", "doc_id").alias("component_id"))
+    located = classes.join(final, "node", "left").select("set1", "set2", "times", F.coalesce("component", "node").alias("component"))
+    found = _placed(signed, located)
+    return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text", k: int = SHINGLE) -> DataFrame:
@@ -288,11 +380,20 @@ def one_of_each(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: s
     Of rows that repeat a kept id one stays; rows without an id all stay.
     """
     found = stored(near_duplicates(docs, percent, key, text, k).select("doc_id", "component_id"), "groups")
-    name = "_gone_id"
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
-    repeated = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(name)).agg(F.count("*").alias("_times")).filter("_times > 1").select(name)
-    kept = docs.join(gone, docs[key] == gone[name], "left_anti")
-    if not repeated.limit(1).count():
-        return kept
-    again = kept.join(repeated, kept[key] == repeated[name], "left_semi").groupBy(key).agg(F.first(F.struct(*docs.columns)).alias("_row"))
-    return kept.join(repeated, kept[key] == repeated[name], "left_anti").union(again.select("_row.*"))
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("times")).filter("times > 1").select("doc_id")
+    # Rows whose ids are in neither list, by a bitmap of fixed size, stay without being shuffled.
+    spark = docs.sparkSession
+    listed = spark.sparkContext.broadcast(sieve(gone.union(repeated).select(F.xxhash64("doc_id").alias("hashed")), "hashed"))
+
+    @F.pandas_udf("boolean")
+    def may_be_listed(slot: pd.Series) -> pd.Series:
+        return pd.Series(passes(listed.value, slot.to_numpy()))
+
+    asked = F.col(key).cast("long")
+    marked = docs.select(F.struct(*docs.columns).alias("row"), asked.alias("doc_id"), may_be_listed(sieve_slot(F.xxhash64(asked))).alias("_listed"))
+    free = marked.filter("NOT _listed OR doc_id IS NULL")
+    rest = marked.filter("_listed AND doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
+    again = rest.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("row").alias("row"))
+    once = rest.join(repeated, "doc_id", "left_anti")
+    return free.select("row.*").union(once.select("row.*")).union(again.select("row.*"))

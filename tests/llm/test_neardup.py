@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from cases import EDGE, edge_docs
 
@@ -13,8 +14,14 @@ from ledgerlake.llm import neardup
 FOLDER = "/root/testdata/sf0.001"
 
 
+def plain_set(text, k=5):
+    """The shingles themselves: words in ASCII lower case, split at ASCII white space."""
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
 def brute(docs, percent):
-    sets = [(i, set(s.tolist())) for (i, _), s in zip(docs, neardup.shingle_sets(pa.array([t for _, t in docs], pa.string()), 5), strict=True)]
+    sets = [(i, plain_set(t)) for i, t in docs]
     root = {i: i for i, _ in sets if i is not None}
 
     def find(i):
@@ -70,6 +77,57 @@ def test_given_documents(spark):
     assert got(frame, 85) == brute(docs, 85)
 
 
+def crowd(seed=9, n=120, size=150):
+    """Texts around a base that is not among them: alike, most of them not linked, some linked over others."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    base = [word() for _ in range(size)]
+    docs = []
+    for i in range(n):
+        some = list(base)
+        for _ in range(rng.choice([1, 3, 3, 4, 6])):
+            some[rng.randrange(size)] = word()
+        docs.append((i, " ".join(some)))
+    return docs
+
+
+@pytest.mark.parametrize("percent, cell", [(85, 16), (80, 7)])
+def test_crowd_of_alike_texts(spark, percent, cell):
+    docs = crowd()
+    want = brute(docs, percent)
+    assert 1 < len({c for _, _, c in want})
+    assert got(edge_docs(spark, docs), percent, cell=cell) == want
+
+
+def test_forests_are_small_and_join_what_all_pairs_join(spark):
+    """Of a crowd every cell puts out at most one pair a member, and together they connect what all pairs connect."""
+    docs = crowd(n=90)
+    sets = neardup.shingle_sets(pa.array([t for _, t in docs]), 5)
+    rows = [(1, i, i if i % 3 else 0, len(s), bytearray(neardup.odd_sketch(neardup.samples(s, neardup.FOLDED))), bytearray(s.tobytes())) for (i, _), s in zip(docs, sets, strict=True)]
+    frame = spark.createDataFrame(rows, "bucket long, node long, component long, size_of long, odd binary, shingles binary")
+    cells = neardup._cells(frame, "bucket", 16)
+    tables = {}
+    for r in cells.collect():
+        tables.setdefault((r.low, r.high), []).append(r)
+    seen = set()
+    for own in tables.values():
+        table = pa.Table.from_pylist([r.asDict() for r in own], schema=pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("component", pa.int64()), ("size_of", pa.int64()), ("odd", pa.binary()), ("shingles", pa.binary()), ("own", pa.string()), ("low", pa.string()), ("high", pa.string())]))
+        for found in (neardup._alike(table, 0.85, neardup.differing_at_most(0.85)), neardup._linked(table, 85)):
+            assert len(found) < max(1, len(own))
+        for i in range(len(own)):
+            seen |= {frozenset((own[i].node, x.node)) for x in own[:i] if own[i].own != x.own or own[i].low == own[i].high}
+    owner = {r[1]: r[2] for r in rows}
+    assert {frozenset((i, j)) for i in owner for j in owner if i < j and owner[i] != owner[j]} <= seen
+    # The large component's 30 members are not repeated for each other.
+    assert pc.sum(pa.array([len(x) for x in tables.values()])).as_py() < 8 * len(rows)
+
+
+def test_hot_classes_are_placed_like_others(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "CLASS_ROWS", 3)
+    docs = [(i, "one two three four five six") for i in range(8)] + [(20, "a b c d e f"), (21, "a b c d e f"), (22, None)]
+    assert got(edge_docs(spark, docs), 85) == brute(docs, 85)
+
+
 def test_one_id_with_two_texts(spark):
     a, b = "a b c d e f g h", "k l m n o p q r"
     assert got(edge_docs(spark, [(1, a), (2, a), (2, b), (3, b), (4, "z")]), 85) == [(1, 4, 1), (2, 4, 1), (2, 4, 1), (3, 4, 1), (4, 1, 4)]
