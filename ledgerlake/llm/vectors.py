@@ -1,7 +1,7 @@
 """Exact top-k search by integer inner product: tiled matrix products, merged top lists.
 
 Queries are dealt evenly into tiles of bounded size in the shared folder; one tile at a time is
-broadcast. A task multiplies the tile with blocks of its shard, keeps the ``k`` best of each block by
+broadcast, its finished lists are written and the broadcast is destroyed. A task multiplies the tile with blocks of its shard, keeps the ``k`` best of each block by
 partial selection, and the lists of tasks are merged in a tree: by (query, slot), then by query.
 
 Vectors that are null, or hold a null or a non-finite component, take no part, and neither do rows
@@ -151,31 +151,28 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, key
     tiles = -(-n // tile)
     out_schema = "query_id long, vec_id long, score long, slot int"
     arrow = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("slot", pa.int32())])
-    found = spark.createDataFrame([], out_schema)
-    if tiles:
-        dealt = stored(asked.repartition(tiles).withColumn("tile", F.spark_partition_id()), "queries")
-        candidates = rows.select(*picked)
-        parts = []
-        for i in range(tiles):
-            shared = spark.sparkContext.broadcast(_tile(dealt.filter(F.col("tile") == i).select("id", "v").toArrow(), scale))
-
-            def search(batches, shared=shared):
-                yield from _search(batches, shared.value, k, scale, arrow)
-
-            parts.append(candidates.mapInArrow(search, out_schema))
-        found = parts[0]
-        for p in parts[1:]:
-            found = found.union(p)
+    result = "query_id long, rank int, vec_id long, score long"
+    if not tiles:
+        return spark.createDataFrame([], result)
+    dealt = stored(asked.repartition(tiles).withColumn("tile", F.spark_partition_id()), "queries")
+    candidates = rows.select(*picked)
     order = [F.col("score").desc(), F.col("vec_id")]
     some = Window.partitionBy("query_id", "slot").orderBy(*order)
     every = Window.partitionBy("query_id").orderBy(*order)
-    return (
-        found.withColumn("rank", F.row_number().over(some))
-        .filter(F.col("rank") <= k)
-        .withColumn("rank", F.row_number().over(every))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    found = None
+    for i in range(tiles):
+        # One tile is on the driver and in the tasks at a time; its lists are in the shared folder when the next one comes.
+        shared = spark.sparkContext.broadcast(_tile(dealt.filter(F.col("tile") == i).select("id", "v").toArrow(), scale))
+
+        def search(batches, shared=shared):
+            yield from _search(batches, shared.value, k, scale, arrow)
+
+        lists = candidates.mapInArrow(search, out_schema).withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= k)
+        lists = lists.withColumn("rank", F.row_number().over(every)).filter(F.col("rank") <= k)
+        done = stored(lists.select("query_id", "rank", "vec_id", "score"), "lists")
+        shared.destroy()
+        found = done if found is None else found.union(done)
+    return found
 
 
 def _tile(rows: pa.Table, scale: int) -> list[tuple[np.ndarray, np.ndarray]]:
