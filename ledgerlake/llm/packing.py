@@ -4,8 +4,8 @@ A task tokenises its texts, cuts only documents that are longer than a sequence,
 as it comes: the open bins, at most ``open_bins`` of them, are keyed by free space in a bitset, the
 piece goes to the bin with the least free space that holds it, and when a bin too many is open the
 fullest one closes. What a task still has open at its end (a bounded number of bins) is packed on
-in a tree: the open bins of ``FAN_IN`` tasks are placed into each other as if they were pieces, until
-one group is left. Texts are read and tokenised once; only rows about pieces are written and shuffled.
+in a tree: the open bins of ``FAN_IN`` tasks are placed into each other as if they were pieces, again with at
+most ``open_bins`` of them open, until one group is left. So no group has more than FAN_IN * open_bins bins. Texts are read and tokenised once; only rows about pieces are written and shuffled.
 
 Null and empty texts are documents of the end token alone. Every row is a document, repeated rows too;
 other columns are not looked at; an empty table gives an empty result.
@@ -21,6 +21,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import batch, prepare, stored
+from ledgerlake.llm.common import batch, mix, prepare, stored
 from ledgerlake.llm.token_counts import merged_ids, special_strings, tokenizer
 
 TOKENIZER = "word_bpe_49k.json"
@@ -171,15 +172,19 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, length: int, open_bins:
     yield flushed(True)
 
 
-def _join_bins(key, bins: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Place the bins of some tasks into each other, the fullest first."""
-    bins = bins.sort_values(["used", "bin"], ascending=[False, True])
-    fit, first, into, shift = BestFit(length, len(bins)), {}, [], []
+def _join_bins(key, bins: pd.DataFrame, length: int, open_bins: int) -> pd.DataFrame:
+    """Place the bins of some tasks into each other; at most ``open_bins`` are open at a time.
+
+    They come in an order by a hash: sorted by size, the full ones would be closed before those that fill them up.
+    """
+    bins = bins.iloc[np.argsort(mix(bins.bin.to_numpy().astype(np.uint64)), kind="stable")]
+    fit, first, into, shift = BestFit(length, open_bins), {}, [], []
     for name, used in zip(bins.bin, bins.used, strict=True):
         chosen, offset, _ = fit.place(int(used))
         into.append(first.setdefault(chosen, name))
         shift.append(offset)
-    return pd.DataFrame({"bin": bins.bin, "into": into, "shift": shift, "task": int(key[0]), "used": bins.used})
+    still = {first[b] for b in fit.still_open()}
+    return pd.DataFrame({"bin": bins.bin, "into": into, "shift": shift, "task": int(key[0]), "used": bins.used, "open": [i in still for i in into]})
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, length: int = LENGTH, open_bins: int = OPEN_BINS) -> DataFrame:
@@ -193,15 +198,16 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
     moved = None
     while True:
         grouped = level.withColumn("task", F.floor(F.col("task") / FAN_IN)).groupBy("task")
-        steps = stored(grouped.applyInPandas(lambda k, bins: _join_bins(k, bins, length), "bin long, into long, shift long, task long, used long"), "bins")
+        steps = stored(grouped.applyInPandas(lambda k, bins: _join_bins(k, bins, length, open_bins), "bin long, into long, shift long, task long, used long, open boolean"), "bins")
         if moved is None:
             moved = steps.select("bin", "into", "shift")
         else:
             later = steps.select(F.col("bin").alias("into"), F.col("into").alias("last"), F.col("shift").alias("more"))
-            moved = stored(moved.join(later, "into").select("bin", F.col("last").alias("into"), (F.col("shift") + F.col("more")).alias("shift")), "moved")
+            onward = (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift")  # closed bins stay where they are
+            moved = stored(moved.join(later, "into", "left").select("bin", F.coalesce("last", "into").alias("into"), onward), "moved")
         if (steps.agg(F.max("task")).first()[0] or 0) == 0:
             break
-        level = steps.groupBy(F.col("into").alias("bin"), "task").agg(F.sum("used").alias("used"))
+        level = steps.filter("open").groupBy(F.col("into").alias("bin"), "task").agg(F.sum("used").alias("used"))
     out = ["doc_id", "piece", "start", "length", "ids_crc32"]
     merged = unfilled.join(moved, unfilled["sequence_id"] == moved["bin"]).select(*out, F.col("into").alias("sequence_id"), (F.col("offset") + F.col("shift")).alias("offset"))
     return placed.filter("NOT unfilled").select(*out, "sequence_id", "offset").unionByName(merged)
