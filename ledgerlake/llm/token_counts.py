@@ -7,9 +7,9 @@ the pre-tokens of the corpus) are merged in a tree, and the result of fixed size
 Tier two encodes what is left with the tokenizer and keeps it in a bounded cache of the worker.
 The table decides only how fast an answer is found, not the answer.
 
-Null and empty texts have 0 bytes and 0 tokens. Texts with a special string, or with characters
-outside the alphabet for which the split is reproduced here, go to the tokenizer whole. Repeated rows
-are counted each; other columns of the input are not looked at; an empty table gives an empty result.
+Null and empty texts have 0 bytes and 0 tokens. Texts with characters outside the alphabet for which the split is
+reproduced here are split by the tokenizer's own pre-tokenizer, and their pieces go through the same two tiers; only
+texts with a special string go to the tokenizer whole. Repeated rows are counted each; other columns of the input are not looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from ledgerlake.llm.common import batch, prepare, stored, words
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Entries of the broadcast table, and of a task's summary.
-FREQUENT = 1 << 17
+FREQUENT = 1 << 15
 #: Entries of a worker's own cache; once it is full, what it lacks is encoded each time.
 CACHE = 1 << 18
 #: Summaries merged by one task.
@@ -178,7 +178,7 @@ class _Cache(dict):
     def __init__(self, path: str, frequent: dict[str, int]):
         super().__init__(frequent)
         self.most, self.encode = len(frequent) + CACHE, tokenizer(path)
-        self.model = self.encode.model
+        self.model, self.split = self.encode.model, self.encode.pre_tokenizer.pre_tokenize_str
 
     def __missing__(self, piece: str) -> int:
         n = len(merged_ids(self.model, piece))
@@ -191,21 +191,27 @@ _CACHES: dict = {}
 
 
 def _count(text: str, cache: _Cache, special: re.Pattern) -> int:
-    if special.search(text) or _UNSAFE.search(text):
+    if special.search(text):
         return len(cache.encode.encode(text, add_special_tokens=False).ids)
     get = cache.__getitem__
+    if _UNSAFE.search(text):
+        return sum(get(text[a:b]) for _, (a, b) in cache.split(text))
     return sum(sum(map(get, some)) for some in pieces(text))
 
 
+def _is_pretoken(encode: Tokenizer, piece: str) -> bool:
+    return len(encode.pre_tokenizer.pre_tokenize_str(piece)) == 1 if _UNSAFE.search(piece) else _SPLIT.fullmatch(piece) is not None
+
+
 def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, frequent: int = FREQUENT) -> DataFrame:
     """``key``, UTF-8 length ``n_bytes`` and ``n_tokens`` of every row's whole text."""
     spark = docs.sparkSession
     prepare(spark)
     path = path or public_tokenizers.path(TOKENIZER)
     special = special_strings(path)
-    top = [p for p in frequent_pretokens(docs, text, frequent) if not _UNSAFE.search(p)]
-    model = tokenizer(path).model
-    shared = spark.sparkContext.broadcast({p: len(merged_ids(model, p)) for p in top if _SPLIT.fullmatch(p)})
+    encode = tokenizer(path)
+    top = [p for p in frequent_pretokens(docs, text, frequent) if _is_pretoken(encode, p)]
+    shared = spark.sparkContext.broadcast({p: len(merged_ids(encode.model, p)) for p in top})
     name = uuid.uuid4().hex
 
     def run(batches):

@@ -63,7 +63,8 @@ def test_edge_rows_and_empty_tables(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql_twins(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{FOLDER}/embeddings.parquet'")
+    for name_of in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {name_of} AS SELECT * FROM '{FOLDER}/{name_of}.parquet'")
     cursor = con.execute(queries.ORACLES[name])
     columns = [d[0] for d in cursor.description]
     frame = queries.QUERIES[name](spark, FOLDER)

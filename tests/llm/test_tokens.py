@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from cases import EDGE, edge_docs
@@ -36,6 +37,17 @@ def test_counts(spark):
     assert token_counts.count_tokens(edge_docs(spark, [])).collect() == []
 
 
+def test_other_scripts_go_through_the_table_and_the_cache(spark):
+    texts = ["“Привет” — мир, привет мир", "漢字 かな 漢字", "naïve “quotes” and 𝔘nicode … don’t", "a <|endoftext|> “b”"]
+    cache = token_counts._Cache(BYTES, {" мир": len(ids(BYTES, " мир"))})
+    before = len(cache)
+    for t in texts:
+        assert token_counts._count(t, cache, token_counts.special_strings(BYTES)) == len(ids(BYTES, t))
+    assert len(cache) > before and " привет" in cache
+    docs = spark.createDataFrame([(i, t * 3) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs).collect()} == {i: len(ids(BYTES, t * 3)) for i, t in enumerate(texts)}
+
+
 def test_frequent_table_keeps_the_heaviest(spark):
     docs = spark.createDataFrame([(i, "common common rare%d" % i) for i in range(60)], "doc_id long, text string").repartition(20)
     top = token_counts.frequent_pretokens(docs, size=2)
@@ -95,3 +107,13 @@ def test_packing_levels(spark, monkeypatch):
     bins, tokens = check_packed(packing.pack(edge_docs(spark, docs).repartition(9), length=64).collect(), docs, 64)
     assert bins <= 1.1 * tokens / 64 + 2
     assert packing.pack(edge_docs(spark, [])).collect() == []
+
+
+def test_merged_bins_stay_few():
+    rng = np.random.default_rng(2)
+    bins = pd.DataFrame({"bin": np.arange(600), "used": rng.integers(1, 64, 600)})
+    out = packing._join_bins((3,), bins, 64, 8)
+    assert set(out.bin) == set(range(600)) and set(out.task) == {3}
+    assert out[out.open].into.nunique() <= 8
+    per = out.groupby("into").used.sum()
+    assert per.max() <= 64 and per.size <= 1.1 * bins.used.sum() / 64 + 8
