@@ -46,14 +46,11 @@ def state_runs(known: DataFrame, hot: bool = False) -> DataFrame:
     return out.withColumn("inicia_trecho", differs("situacao", "_before").cast("int")).drop("_before")
 
 
-def numbered_runs(runs: DataFrame) -> DataFrame:
-    """Run number inside (entity, item), for runs found without chunks."""
-    scan = (
-        W.partitionBy("co_entidade", "item_codigo")
-        .orderBy("desde", "vistoria_id")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    return runs.withColumn("trecho", F.sum("inicia_trecho").over(scan).cast("bigint"))
+def numbered_runs(runs: DataFrame, hot: bool = False) -> DataFrame:
+    """Run number inside (entity, item); the runs of a hot entity are numbered chunk by chunk."""
+    keys, order = ["co_entidade", "item_codigo"], ["desde", "vistoria_id"]
+    out = ordered.running_sum(runs, keys, order, {"trecho": "inicia_trecho"}, hot)
+    return out.withColumn("trecho", F.col("trecho").cast("bigint"))
 
 
 def quantity_in_force(runs: DataFrame, hot: bool = False) -> DataFrame:

@@ -136,6 +136,54 @@ def running_max(
     return out.drop(*[f"_in_{o}" for o in values])
 
 
+def running_sum(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], hot: bool
+) -> DataFrame:
+    """Sum over all rows of the key up to and with this one: ``{output: input}``."""
+    scan = W.partitionBy(*part(keys, hot)).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    out = df.withColumns({o: F.sum(i).over(scan) for o, i in values.items()})
+    if not hot:
+        return out
+    summary = (
+        df.where(F.col(CHUNK).isNotNull())
+        .groupBy(*keys, CHUNK)
+        .agg(*[F.sum(i).alias(f"_in_{o}") for o, i in values.items()])
+    )
+    before = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    edges = summary.withColumns({f"_in_{o}": F.sum(f"_in_{o}").over(before) for o in values})
+    out = _attach(out, keys, edges).withColumns(
+        {o: F.coalesce(F.col(o) + F.col(f"_in_{o}"), F.col(o), F.col(f"_in_{o}")) for o in values}
+    )
+    return out.drop(*[f"_in_{o}" for o in values])
+
+
+#: Consecutive positions that are counted together when a hot key is cut by rows.
+UNIT = 10_000
+
+
+def with_counted_chunks(
+    df: DataFrame, keys: Sequence[str], hot: DataFrame | None, unit: dict[str, Column], limit: int = HOT_ROWS
+) -> DataFrame:
+    """Add the chunk column of hot keys: about ``limit`` consecutive rows each, however they lie in time.
+
+    ``unit`` names expressions that rise with the order and hold few rows for each value; these units are
+    counted, and a chunk is the units whose first row has the same ``limit`` before it. So no chunk has more than
+    ``limit`` rows and one unit.
+    """
+    if hot is None:
+        return df
+    marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), list(keys), "left").withColumns(unit)
+    counted = marked.where("_hot").groupBy(*keys, *unit).agg(F.count("*").alias("_rows"))
+    before = W.partitionBy(*keys).orderBy(*unit).rowsBetween(W.unboundedPreceding, -1)
+    cut = counted.withColumn(CHUNK, F.floor(F.coalesce(F.sum("_rows").over(before), F.lit(0)) / limit).cast("long")).drop("_rows")
+    # Chunks are needed twice by every scan, so they are fixed once.
+    return settle(null_safe_join(marked, cut, [*keys, *unit], "left").drop("_hot", *unit), True)
+
+
+#: Buckets whose sizes one window adds up.
+BLOCK = 1 << 20
+
+
 def value_ranks(df: DataFrame, groups: Sequence[str], value: str, bucket: Callable[[Column], Column]) -> DataFrame:
     """Distinct values of each group with ``n`` rows, ``before`` smaller rows and group ``total``.
 
@@ -147,14 +195,19 @@ def value_ranks(df: DataFrame, groups: Sequence[str], value: str, bucket: Callab
     inside = W.partitionBy(*groups, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     local = counted.withColumn("_local", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     # The input is read once: bucket sizes come from the counted values.
-    sizes = counted.groupBy(*groups, "_bucket").agg(F.sum("n").alias("_size"))
-    # One row per (group, bucket): the ordered part of the work is this small table.
-    across = W.partitionBy(*groups).orderBy("_bucket")
-    offsets = sizes.select(
-        *groups,
-        "_bucket",
-        F.coalesce(F.sum("_size").over(across.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-        F.sum("_size").over(W.partitionBy(*groups)).alias("total"),
+    sizes = counted.groupBy(*groups, "_bucket").agg(F.sum("n").alias("_size")).withColumn("_block", F.floor(F.col("_bucket") / BLOCK))
+    # Prefix sums in two levels: over the buckets of a block, and over the blocks, so that neither window holds all
+    # the buckets of a group.
+    inner = W.partitionBy(*groups, "_block").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    blocks = sizes.groupBy(*groups, "_block").agg(F.sum("_size").alias("_held"))
+    outer = W.partitionBy(*(groups or [F.lit(0)]))
+    edges = blocks.select(
+        *groups, "_block",
+        F.coalesce(F.sum("_held").over(outer.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"),
+        F.sum("_held").over(outer).alias("total"),
+    )
+    offsets = null_safe_join(sizes.withColumn("_inside", F.coalesce(F.sum("_size").over(inner), F.lit(0))), edges, [*groups, "_block"]).select(
+        *groups, "_bucket", (F.col("_inside") + F.col("_ahead")).alias("_offset"), "total"
     )
     return null_safe_join(local, offsets, [*groups, "_bucket"]).select(
         *groups, value, "n", (F.col("_local") + F.col("_offset")).alias("before"), "total"

@@ -35,8 +35,9 @@ def run_detection(lake):
 
 @query("WIN-01_run_number", "SELECT co_entidade, item_codigo, desde, vistoria_id, trecho FROM runs")
 def run_number(lake):
-    known = history.known_states(lake.event)
-    return history.numbered_runs(history.state_runs(known)).select(
+    hot = lake.hot is not None
+    known = history.known_states(lake.event, lake.hot)
+    return history.numbered_runs(history.state_runs(known, hot), hot).select(
         "co_entidade", "item_codigo", "desde", "vistoria_id", "trecho"
     )
 

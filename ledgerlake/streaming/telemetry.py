@@ -124,14 +124,13 @@ def order_quality(
     rows: DataFrame,
     stream: str = "fluxo",
     arrival: tuple[str, ...] = ("passada_em", "posicao_na_passada"),
-    chunk: Column | None = None,
     limit: int = ordered.HOT_ROWS,
     tolerance_days: int = TOLERANCE_DAYS,
 ) -> DataFrame:
     """Delivery order of a stream: re-deliveries, inversions, disorder and lateness.
 
-    Only the first sight of an LSN counts. A long stream is one hot key, so it is scanned in chunks
-    of its arrival time.
+    Only the first sight of an LSN counts. A long stream is one hot key, so it is scanned in chunks of counted
+    rows, whether it arrived in one pass or over years.
     """
     at = F.struct(*arrival)
     firsts = rows.groupBy(stream, "lsn_fim").agg(
@@ -143,9 +142,8 @@ def order_quality(
         F.when(F.col("_t.registrado_em").isNotNull(), F.col("_t.ocorrido_em")).alias("ocorrido_em"),
     )
     hot = ordered.hot_keys(rows, [stream], limit)
-    lined = ordered.with_chunks(
-        firsts, [stream], hot, chunk if chunk is not None else F.col(arrival[0]).cast("date")
-    )
+    unit = {"_pass": F.col(arrival[0]), "_piece": F.floor(F.col(arrival[-1]) / min(ordered.UNIT, limit))}
+    lined = ordered.with_counted_chunks(firsts, [stream], hot, unit, limit)
     seen = {"_lsn": "lsn_fim", "_reg": "registrado_em", "_occ": "ocorrido_em"}
     scanned = ordered.running_max(lined, [stream], list(arrival), seen, hot is not None)
     back = F.col("registrado_em") < F.col("_reg")

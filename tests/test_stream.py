@@ -116,7 +116,7 @@ def order_fold(rows, tolerance):
     return {"n": len(firsts), **out}
 
 
-@pytest.mark.parametrize("limit", [10**6, 1])
+@pytest.mark.parametrize("limit", [10**6, 1, 7])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_order_quality_equals_the_fold(spark, limit, seed):
     rng = random.Random(seed)
@@ -128,7 +128,7 @@ def test_order_quality_equals_the_fold(spark, limit, seed):
     data = [("f", begin, i, *r) for i, r in enumerate(rows)]
     df = spark.createDataFrame(data, "fluxo string, passada_em timestamp_ntz, posicao_na_passada long, lsn_fim long, "
                                      "registrado_em timestamp_ntz, ocorrido_em timestamp_ntz")
-    r = telemetry.order_quality(df, chunk=F.floor(F.col("posicao_na_passada") / 2), limit=limit, tolerance_days=7).first()
+    r = telemetry.order_quality(df, limit=limit, tolerance_days=7).first()
     got = {"n": r.transacoes, "again": r.reentregas, "lsn": r.inversoes_de_lsn, "recorded": r.inversoes_de_registro,
            "widest": r.maior_inversao_de_registro_s, "occurred": r.fora_de_ordem_no_evento, "late": r.alem_da_tolerancia}
     assert got == order_fold(rows, dt.timedelta(days=7))
