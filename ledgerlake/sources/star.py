@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlake.contracts import EVENT_KEY, STATES
 from ledgerlake.operators import facts, history, quality
 from ledgerlake.sources.log import RETAIN_SECONDS
-from ledgerlake.sources.publication import Publication
+from ledgerlake.sources.publication import Buckets, Publication
 
 TABLES = (
     "dim_item", "dim_municipio", "dim_escola", "dim_escola_infraestrutura", "fato_vistoria_item",
@@ -49,25 +49,35 @@ class Star:
     def build(
         self, inputs: Inputs, as_of: str, exam_reference: str | None = None, hot: DataFrame | None = None
     ) -> int:
-        """Build every table from one set of inputs; returns the published version."""
+        """Build every table from one set of inputs; returns the published version.
+
+        Tables with schools are dealt into the same buckets by school, as many as a shuffle has partitions, so that
+        joins and aggregates by school read them in place. With very large schools they are not: a bucket is read
+        by one task.
+        """
         draft = self.published.draft()
+        by_school = None if hot is not None else Buckets("co_entidade", int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         codes = [r[0] for r in inputs.catalog.select("codigo").collect()]  # the catalog is tiny
         facts.check_catalog(codes)
         items = draft.write("dim_item", facts.dim_item(inputs.catalog))
         places = draft.write("dim_municipio", facts.dim_municipality(inputs.municipalities))
-        schools = draft.write("dim_escola", facts.dim_school(inputs.schools))
+        schools = draft.write("dim_escola", facts.dim_school(inputs.schools), buckets=by_school)
         changes = history.item_change(inputs.events, hot)
-        profiles = draft.write("dim_escola_infraestrutura", history.dim_profile(changes, codes, hot is not None), sort=["co_entidade"])
+        profiles = draft.write("dim_escola_infraestrutura", history.dim_profile(changes, codes, hot is not None), sort=["co_entidade"], buckets=by_school)
         results = None
         # The facts need nothing from each other, so their jobs run side by side.
         with ThreadPoolExecutor(3) as pool:
-            fine_job = pool.submit(draft.write, "fato_vistoria_item", facts.fact_item(inputs.events, profiles, hot), sort=["item_codigo", "ocorrido_em"])
+            fine_job = pool.submit(
+                draft.write, "fato_vistoria_item", facts.fact_item(inputs.events, profiles, hot), sort=["item_codigo", "ocorrido_em"], buckets=by_school
+            )
             wide_job = pool.submit(
-                draft.write, "fato_infra_escola_ano", facts.fact_year(inputs.events, profiles, codes, as_of, hot), by=["ano"], sort=["co_entidade"]
+                draft.write, "fato_infra_escola_ano", facts.fact_year(inputs.events, profiles, codes, as_of, hot), by=["ano"], sort=["co_entidade"],
+                buckets=by_school,
             )
             if inputs.exam is not None and exam_reference is not None:
                 results = pool.submit(
-                    draft.write, "fato_desempenho_escola_ano", facts.fact_performance(inputs.exam, inputs.schools, profiles, exam_reference, hot)
+                    draft.write, "fato_desempenho_escola_ano", facts.fact_performance(inputs.exam, inputs.schools, profiles, exam_reference, hot),
+                    buckets=by_school,
                 ).result()
             fine, wide = fine_job.result(), wide_job.result()
         failed = quality.run_checks(self.checks(items, schools, places, profiles, fine, wide, results, hot)).where(F.col("falhas") > 0).collect()  # one row per check

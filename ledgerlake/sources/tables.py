@@ -353,7 +353,7 @@ class VersionedTable:
     def vacuum(self, retain_seconds: float = RETAIN_SECONDS) -> int:
         """Delete commit folders older than ``retain_seconds`` that no retained version names."""
         named = {f"commit={c['commit']}" for state in self.commits.forget(retain_seconds) for c in state}
-        return delete_stale(self.spark, f"{self.root}/data", named, retain_seconds)
+        return len(delete_stale(self.spark, f"{self.root}/data", named, retain_seconds))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], first: Sequence[str] = (), copies: str | None = None) -> DataFrame:

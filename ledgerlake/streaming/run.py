@@ -134,11 +134,19 @@ def drained_at(tables: Tables) -> DataFrame:
     return tables.freshness.read()
 
 
-def source(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Envelope files as a stream; ``max_files`` limits how much one micro-batch takes."""
+def source(spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Envelope files as a stream; ``max_files`` or ``max_bytes`` limits how much one micro-batch takes.
+
+    A limit in bytes admits files in the order of their arrival until it is reached, one at least: a thousand small
+    files or one large one make a pass of about the same work.
+    """
+    if max_files is not None and max_bytes is not None:
+        raise ValueError("limit a pass by files or by bytes, not by both")
     reader = spark.readStream.schema(envelope.ENVELOPE_SCHEMA)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(path)
 
 
@@ -170,11 +178,11 @@ def start(
 
 def run_once(
     spark: SparkSession, path: str, headers: Callable[[], DataFrame], tables: Tables, checkpoint: str,
-    max_files: int | None = None, fail_after_write: bool = False, drifts: DataFrame | None = None,
+    max_files: int | None = None, fail_after_write: bool = False, drifts: DataFrame | None = None, max_bytes: int | None = None,
 ) -> None:
     """Deliver what is pending now, then stop. A pass that drained everything renews the freshness."""
     began = utc_now()
-    start(source(spark, path, max_files), headers, tables, checkpoint, fail_after_write=fail_after_write, drifts=drifts).awaitTermination()
+    start(source(spark, path, max_files, max_bytes), headers, tables, checkpoint, fail_after_write=fail_after_write, drifts=drifts).awaitTermination()
     drained(tables, began)
 
 

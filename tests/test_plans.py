@@ -84,3 +84,41 @@ def test_idle_stream_renews_the_drain_instant(spark, folder):
 
     run.IdleFreshness(tables, "q").onQueryIdle(Idle())
     assert run.drained_at(tables).select(F.col("drenado_em").cast("string")).first()[0] == "2026-01-02 03:04:05.678"
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_stored_star_is_read_in_place(spark, events, inputs, folder, no_broadcast):
+    """Joins and aggregates by school over the stored tables exchange nothing by school; neither after the catalog forgot them."""
+    rows = [event(i, "lab", f"20{20 + i % 4}-01-{1 + i % 28:02d}", "inexistente" if i % 3 else "existente", school=i % 7) for i in range(60)]
+    schools = spark.range(7).selectExpr("id AS co_entidade", "'E' AS no_entidade", "7 AS co_municipio", "2 AS tp_dependencia", "1 AS tp_localizacao", "2024 AS ano_censo_referencia")
+    star = Star(spark, folder)
+    star.build(Inputs(events(rows), schools, inputs.municipalities, inputs.catalog), "2024-12-31 00:00:00")
+
+    def asked():
+        fine, wide, dim = star.read("fato_vistoria_item"), star.read("fato_infra_escola_ano"), star.read("dim_escola")
+        return {
+            "last": facts.last_year_rows(wide, ["lab"]), "lacking": metrics.lacking_last_year(facts.last_year_rows(wide, ["lab"]), dim, "lab"),
+            "now": metrics.lacking_now(history.latest_state(fine), dim, "lab"), "year": metrics.lacking_in_year(wide, dim, "lab", 2023),
+            "intervals": star.read("dim_escola_infraestrutura").groupBy("co_entidade").agg(F.max("valid_from")),
+        }
+
+    before = {}
+    for name, df in asked().items():
+        text = plan(df)
+        assert "hashpartitioning(co_entidade" not in text, name
+        before[name] = sorted(map(str, df.collect()))
+    assert "PartitionFilters: [isnotnull(ano" in plan(asked()["year"])
+    for table in spark.sql("SHOW TABLES").where("NOT isTemporary").collect():
+        if table.tableName.startswith(("dim_", "fato_")):
+            spark.sql(f"DROP TABLE {table.tableName}")
+    for name, df in asked().items():
+        assert "hashpartitioning(co_entidade" not in plan(df), name
+        assert sorted(map(str, df.collect())) == before[name]
+    assert star.read("fato_infra_escola_ano").count() == len({(r[2], r[5].year) for r in rows})

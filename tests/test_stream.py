@@ -1,6 +1,7 @@
 """Change stream: conversion, quarantine, delivery, telemetry, audit and recovery."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -79,6 +80,56 @@ def test_streamed_delivery_survives_a_crash(spark, headers, folder):
     assert tables.events.read().count() == 2
 
 
+def test_passes_are_bounded_by_bytes(spark, headers, folder):
+    """A thousand small files and one large one: no pass takes much more than the limit, nothing is lost."""
+    import pyarrow.parquet as pq
+
+    path = folder.removeprefix("file:")
+    one = spark.createDataFrame([change(1, item())], envelope.ENVELOPE_SCHEMA).coalesce(1)
+    one.write.parquet(f"{folder}/one")
+    table = pq.read_table(f"{path}/one")
+    os.makedirs(f"{path}/in")
+    for n in range(1000):
+        lsn = table.schema.get_field_index("lsn")
+        pq.write_table(table.set_column(lsn, table.schema.field("lsn"), [[n]]), f"{path}/in/small{n:04d}.parquet")
+    small = os.path.getsize(f"{path}/in/small0000.parquet")
+    spark.range(20_000).selectExpr("id + 1000 AS lsn").createOrReplaceTempView("_many")
+    big = spark.sql("SELECT lsn, 0L AS seq, timestamp_ntz'2026-01-01' AS commit_ts, 'vistoria' AS tabela, 'update' AS op, map('id', uuid()) AS valores FROM _many")
+    big.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    sizes = []
+    query = run.source(spark, f"{folder}/in", max_bytes=250 * small).writeStream.foreachBatch(lambda df, _: sizes.append(df.count()))
+    query.option("checkpointLocation", f"{folder}/ck").trigger(availableNow=True).start().awaitTermination()
+    assert sum(sizes) == 21_000 and len(sizes) >= 5
+    assert sorted(x for x in sizes if x < 20_000)[-1] <= 251 and sum(x >= 20_000 for x in sizes) == 1
+    with pytest.raises(ValueError):
+        run.source(spark, folder, 1, 1)
+
+
+def test_nothing_stays_cached_after_many_batches(spark, headers, folder, monkeypatch):
+    """Twenty batches, one of them failing while it writes: every frame that a batch held is released."""
+    held = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    tables, before = run.Tables.under(spark, folder), held()
+    cached = lambda: spark._jsparkSession.sharedState().cacheManager().isEmpty()
+    was = cached()
+    for n in range(20):
+        changes = spark.createDataFrame([change(n, item())], envelope.ENVELOPE_SCHEMA)
+        if n == 7:
+            with monkeypatch.context() as m:
+                m.setattr(type(tables.events), "_write", lambda *a: (_ for _ in ()).throw(OSError("disk")))
+                with pytest.raises(OSError):
+                    run.deliver(changes, headers, tables)
+        else:
+            run.deliver(changes, headers, tables)
+    assert held() <= before and cached() == was
+
+
+def test_the_drain_instant_never_goes_back(spark, folder):
+    tables = run.Tables.under(spark, folder)
+    for instant in ("2026-01-02 00:00:00", "2026-01-01 00:00:00"):
+        run.drained(tables, instant)
+    assert run.drained_at(tables).collect() == [(at("2026-01-02"),)]
+
+
 def test_telemetry_failure_does_not_block(spark, headers, folder, monkeypatch):
     tables = run.Tables.under(spark, folder)
     monkeypatch.setattr(telemetry, "transaction_rows", lambda *a: (_ for _ in ()).throw(OSError("disk")))
