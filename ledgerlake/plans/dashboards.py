@@ -146,8 +146,8 @@ def coverage_consistency(lake):
     return reconcile.key_set_difference(covered, lake.exam_at, "co_entidade")
 
 
-@query("AGG-13_dashboard_coverage", """SELECT count(*) AS entrada, count(c.co_entidade) AS identificadas, count(*) - count(c.co_entidade) AS sem_juncao,
-    count(*) FILTER (c.co_entidade IS NULL AND poucos_participantes) AS mascaradas
-    FROM exam_school e LEFT JOIN census_for_exam c ON c.co_entidade = e.co_escola""")
+@query("AGG-13_dashboard_coverage", """SELECT CAST(sum(n) AS BIGINT) AS entrada, CAST(sum(n * conhecida::INT) AS BIGINT) AS identificadas,
+    CAST(sum(n * (NOT conhecida)::INT) AS BIGINT) AS sem_juncao, CAST(sum(n * (poucos AND NOT conhecida)::INT) AS BIGINT) AS mascaradas FROM
+    (SELECT co_escola IN (SELECT co_entidade FROM school WHERE co_entidade % 7 <> 0) AS conhecida, poucos_participantes AS poucos, count(*) AS n FROM exam_school GROUP BY ALL)""")
 def dashboard_coverage(lake):
     return dashboard.coverage(lake.exam_input, lake.census_for_exam)

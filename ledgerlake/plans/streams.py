@@ -10,6 +10,7 @@ from ledgerlake.plans.adapter import CONTENT_TEXT, HASH64
 from ledgerlake.plans.registry import query
 from ledgerlake.session import work_dir
 from ledgerlake.streaming import audit, drift, envelope, recovery, run, telemetry, windows
+from ledgerlake.streaming.live import LiveWindows
 
 _MARK = "2000-12-31 00:00:00"
 _CLOCK = telemetry.Clock("2024-02-01 00:00:00", "2024-02-01 00:00:01.5", "2024-02-01 00:00:03", "2024-02-01 00:00:07.25")
@@ -264,6 +265,17 @@ def streamed_events(lake):
     return tables.events.read()
 
 
+@query("STR-17_live_windows", """SELECT strftime(ocorrido_em, '%Y-%m') AS mes, count(*) AS linhas,
+    count(*) FILTER (registrado_em > date_trunc('month', ocorrido_em) + INTERVAL 1 MONTH + INTERVAL 7 DAY) AS atrasadas FROM stored GROUP BY 1""")
+def live_windows(lake):
+    """Windows kept up while a stream delivers in several passes, the first of which stops before they are."""
+    tables, headers, folder = _table(lake), lake.stream_headers, work_dir(lake.spark)
+    live = LiveWindows(lake.spark, tables.events, f"{folder}/live")
+    run.deliver(lake.changes.where(F.col("lsn") % 3 == 0), headers, tables)
+    run.run_once(lake.spark, _files_by_position(lake), lambda: headers, tables, f"{folder}/checkpoint", live=live)
+    return live.windows().drop("maior_atraso_dias")
+
+
 def _files_by_position(lake, parts: int = 4) -> str:
     """The envelope as successive groups of files of rising position, as a capture would drop them."""
     path = f"{work_dir(lake.spark)}/envelope"

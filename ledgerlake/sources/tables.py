@@ -132,6 +132,10 @@ class VersionedTable:
         """
         return self._load(self.commits.current(version)[1], only or {})
 
+    def added(self, entries: Sequence[dict]) -> DataFrame:
+        """The rows that some log entries added (not those that they took the place of)."""
+        return self._load([{"commit": e["commit"], "files": e["files"]} for e in entries])
+
     def _load(self, live: Sequence[dict], only: Ranges = {}, holds: Callable[[dict], bool] = lambda f: True) -> DataFrame:  # noqa: B006
         ranges = {c: r for c, r in only.items() if c != self.partition}
         values = only.get(self.partition)

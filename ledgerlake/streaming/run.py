@@ -24,6 +24,7 @@ from ledgerlake.contracts import DLQ_KEY, EVENT_CONTENT, EVENT_KEY, EVENT_SCHEMA
 from ledgerlake.sources.log import ATTEMPTS, Conflict
 from ledgerlake.sources.tables import VersionedTable, Written
 from ledgerlake.streaming import envelope, telemetry
+from ledgerlake.streaming.live import LiveWindows
 from ledgerlake.streaming.recovery import RECEIPT_SCHEMA, REVIEWED_SCHEMA
 
 log = logging.getLogger(__name__)
@@ -69,9 +70,9 @@ def publish_baseline(tables: Tables, origin: DataFrame, force: bool = False) ->
 
 def deliver(
     changes: DataFrame, headers: DataFrame, tables: Tables, read_start: str | None = None,
-    fail_after_write: bool = False, drifts: DataFrame | None = None,
+    fail_after_write: bool = False, drifts: DataFrame | None = None, live: LiveWindows | None = None,
 ) -> Written:
-    """Deliver one batch of captured changes."""
+    """Deliver one batch of captured changes; ``live`` month windows then take in what was written."""
     start = read_start or utc_now()
     changes = changes.persist()
     enriched = None
@@ -96,6 +97,8 @@ def deliver(
         changes.unpersist()
     if fail_after_write:
         raise RuntimeError("stopped after writing and before the position advanced")
+    if live is not None:
+        live.catch_up()
     return written
 
 
@@ -153,6 +156,7 @@ def source(spark: SparkSession, path: str, max_files: int | None = None, max_byt
 def start(
     stream: DataFrame, headers: Callable[[], DataFrame], tables: Tables, checkpoint: str,
     every: str | None = None, fail_after_write: bool = False, drifts: DataFrame | None = None, limited: bool = False,
+    live: LiveWindows | None = None,
 ) -> StreamingQuery:
     """Start delivery: one bounded pass, or every ``every`` (for example ``2 seconds``) for ever.
 
@@ -163,7 +167,7 @@ def start(
     taken = {"at": utc_now()}
 
     def batch(changes: DataFrame, _: int) -> None:
-        deliver(changes, headers(), tables, fail_after_write=fail_after_write, drifts=drifts)
+        deliver(changes, headers(), tables, fail_after_write=fail_after_write, drifts=drifts, live=live)
         if every and not limited:
             drained(tables, taken["at"])
         taken["at"] = utc_now()
@@ -179,10 +183,11 @@ def start(
 def run_once(
     spark: SparkSession, path: str, headers: Callable[[], DataFrame], tables: Tables, checkpoint: str,
     max_files: int | None = None, fail_after_write: bool = False, drifts: DataFrame | None = None, max_bytes: int | None = None,
+    live: LiveWindows | None = None,
 ) -> None:
     """Deliver what is pending now, then stop. A pass that drained everything renews the freshness."""
     began = utc_now()
-    start(source(spark, path, max_files, max_bytes), headers, tables, checkpoint, fail_after_write=fail_after_write, drifts=drifts).awaitTermination()
+    start(source(spark, path, max_files, max_bytes), headers, tables, checkpoint, fail_after_write=fail_after_write, drifts=drifts, live=live).awaitTermination()
     drained(tables, began)
 
 

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlake.contracts import INSERT_ONLY_REASON
 from ledgerlake.operators import privacy, quality, reconcile
 from ledgerlake.streaming import audit, drift, envelope, freshness, recovery, run, telemetry
+from ledgerlake.streaming.live import LiveWindows
 from tests.conftest import at, event
 
 HEADERS = "vistoria_id long, co_entidade long, sg_uf string, origem string, ocorrido_em timestamp_ntz, registrado_em timestamp_ntz"
@@ -123,6 +125,54 @@ def test_nothing_stays_cached_after_many_batches(spark, headers, folder, monkeyp
     assert held() <= before and cached() == was
 
 
+def test_live_windows_over_crashes_late_rows_and_repeats(spark, folder):
+    """A crash before the windows moved, a late row, a repeated file and a compaction, each followed by a restart."""
+    headers = spark.createDataFrame(
+        [(9, 1, "DF", "vistoria_presencial", at("2026-01-10"), at("2026-01-11")), (10, 1, "DF", "vistoria_presencial", at("2026-01-20"), at("2026-01-21")),
+         (11, 1, "DF", "vistoria_presencial", at("2026-01-05"), at("2026-04-05"))], HEADERS)
+    tables = run.Tables.under(spark, f"{folder}/lake")
+
+    def drop(*changes):
+        spark.createDataFrame(list(changes), envelope.ENVELOPE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    def go(**how):
+        live = LiveWindows(spark, run.Tables.under(spark, f"{folder}/lake").events, f"{folder}/live")
+        run.run_once(spark, f"{folder}/in", lambda: headers, tables, f"{folder}/ck", live=live, **how)
+        return live
+
+    drop(change(1, item()))
+    with pytest.raises(Exception):
+        go(fail_after_write=True)
+    assert LiveWindows(spark, tables.events, f"{folder}/live").mark() == 0 and tables.events.read().count() == 1
+    live = go()
+    assert [tuple(r) for r in live.windows().collect()] == [("2026-01", 1, 0, None)] and live.reopenings().isEmpty()
+    drop(change(2, item(id="10")), change(3, item(id="11")))
+    live = go()
+    assert [tuple(r) for r in live.windows().collect()] == [("2026-01", 3, 1, 90.0)]
+    again = [("2026-01", 1, 90.0, at("2026-04-05"))]
+    assert [tuple(r)[1:] for r in live.reopenings().collect()] == again
+    drop(change(2, item(id="10")), change(3, item(id="11")))  # delivered again: nothing is written, nothing moves
+    before = tables.events.version()
+    live = go()
+    assert tables.events.version() == before and [tuple(r) for r in live.windows().collect()] == [("2026-01", 3, 1, 90.0)]
+    tables.events.compact()
+    assert live.catch_up().after == before + 1 and live.catch_up().before == before + 1
+    assert [tuple(r) for r in live.windows().collect()] == [("2026-01", 3, 1, 90.0)] and [tuple(r)[1:] for r in live.reopenings().collect()] == again
+    # A replaced content, or entries that retention dropped, are counted anew.
+    tables.events.replace(tables.events.read().where("vistoria_id < 11"))
+    assert live.catch_up().rebuilt and [r.linhas for r in live.windows().collect()] == [2]
+
+
+def test_two_processes_take_in_each_commit_once(spark, events, folder):
+    tables = run.Tables.under(spark, f"{folder}/lake")
+    for n in range(3):
+        tables.events.append(events([event(n, "lab", f"2026-0{n + 1}-10", "existente")]))
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda _: LiveWindows(spark, tables.events, f"{folder}/live").catch_up(), range(2)))
+    live = LiveWindows(spark, tables.events, f"{folder}/live")
+    assert sorted((r.mes, r.linhas) for r in live.windows().collect()) == [(f"2026-0{n}", 1) for n in (1, 2, 3)] and live.mark() == 3
+
+
 def test_the_drain_instant_never_goes_back(spark, folder):
     tables = run.Tables.under(spark, folder)
     for instant in ("2026-01-02 00:00:00", "2026-01-01 00:00:00"):
