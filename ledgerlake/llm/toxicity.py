@@ -45,6 +45,8 @@ SHOWN = 3
 DRIFT = 0.3
 #: Standard errors a weight must stand from zero to count in full.
 SUPPORT = 3.0
+#: Words of the stretches in which a word that is used again counts less.
+STRETCH = 256
 #: Standardised score of a text without any segment.
 LOWEST = -5.0
 #: A segment is significant if as good a one is expected in fewer clean texts than this.
@@ -75,11 +77,12 @@ class Model:
     gain: tuple[float, float] = (0.0, 0.0)
     known: bool = False
 
-    def weights(self, row: np.ndarray, word: np.ndarray, beginning: np.ndarray) -> np.ndarray:
-        """Weights of the words of some texts; a word's n-th use in a text counts n * n times less."""
+    def weights(self, w: Words, word: np.ndarray, beginning: np.ndarray) -> np.ndarray:
+        """Weights of the words of some texts; a word's n-th use in a stretch of a text counts n * n times less."""
         weights = self.weight[np.where(self.shown[word], word, beginning)]
         at = np.flatnonzero(weights > 0)
-        key = row[at] * BUCKETS + word[at]
+        stretch = (at - w.begin[w.row[at]]) // STRETCH
+        key = (w.row[at] * (stretch.max(initial=0) + 1) + stretch) * BUCKETS + word[at]
         order = np.argsort(key, kind="stable")
         first = np.searchsorted(key[order], key[order], side="left")
         weights[at[order]] /= (np.arange(len(at)) - first + 1) ** 2
@@ -119,12 +122,11 @@ def tail(z: float) -> float:
     return float(-np.expm1(-np.exp(-min(max(z, -30.0), 700.0))))
 
 
-def evidence(weights: np.ndarray, model: Model) -> tuple[float, float, list[tuple[int, int, float]]]:
-    """(standardised best segment, standardised sum of significant ones, those segments)."""
-    found = segments(weights)
+def evidence(found: list[tuple[int, int, float]], n: int, model: Model) -> tuple[float, float, list[tuple[int, int, float]]]:
+    """(standardised best segment, standardised sum of significant ones, those segments) of a text of ``n`` words."""
     if not found:
         return LOWEST, 0.0, []
-    shift = _shift(model, len(weights))
+    shift = _shift(model, n)
     scored = [(s, e, (score - shift) / model.spread) for s, e, score in found]
     significant = [x for x in scored if tail(x[2]) <= SIGNIFICANCE]
     return max(LOWEST, max(x[2] for x in scored)), sum(x[2] for x in significant), significant
@@ -173,25 +175,30 @@ def weights_of(clean: np.ndarray, toxic: np.ndarray, every: np.ndarray) -> np.nd
     return (odds * np.minimum(1.0, (support / SUPPORT) ** 2) - DRIFT).astype(np.float32)
 
 
-def _best_segments(texts: DataFrame, shared) -> DataFrame:
-    """``label, n, scores``: the words and the segments' scores of every labelled text, by the model of the other half."""
+def _evidence_of(texts: DataFrame, shared) -> DataFrame:
+    """``label, n, raw, best, total``: words, best segment's score, and evidence of every labelled text.
+
+    Each text is scored by the model of the half that it is not in.
+    """
 
     def run(batches):
         for b in batches:
             labels, half = b.column(1).to_pylist(), np.asarray(b.column(2))
             out = []
             for w, word, beginning in _buckets(b.column(0)):
-                both = [m.weights(w.row, word, beginning) for m in shared.value]
+                both = [m.weights(w, word, beginning) for m in shared.value]
                 weights = np.where(half[w.first + w.row] == 0, both[1], both[0])
                 for i in range(w.rows):
                     own = weights[w.of_row(i)]
-                    out.append((labels[w.first + i], len(own), sorted((x[2] for x in segments(own)), reverse=True)[:64]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.list_(pa.float64()))],
-                names=["label", "n", "scores"],
-            )
+                    found = segments(own)
+                    best, total, _ = evidence(found, len(own), shared.value[0])
+                    out.append((labels[w.first + i], len(own), max((x[2] for x in found), default=0.0), best, total))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, _EVIDENCE.types, strict=True)], schema=_EVIDENCE)
+
+    return texts.mapInArrow(run, "label int, n long, raw double, best double, total double")
 
-    return texts.mapInArrow(run, "label int, n long, scores array<double>")
+
+_EVIDENCE = pa.schema([("label", pa.int32()), ("n", pa.int64()), ("raw", pa.float64()), ("best", pa.float64()), ("total", pa.float64())])
 
 
 def fit_law(n: np.ndarray, best: np.ndarray) -> tuple[float, float, float]:
@@ -250,18 +257,23 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "tox
     model = _weighted(n[0] + n[2], n[1] + n[3], n[4])
     if not ((n[0] + n[2]).any() and (n[1] + n[3]).any()):
         return model
-    # What the law and the curve are fitted on was scored by weights that had not seen it.
-    shared = docs.sparkSession.sparkContext.broadcast([_weighted(n[0], n[1], n[4]), _weighted(n[2], n[3], n[4])])
-    seen = _best_segments(labelled.labelled_texts(docs, chosen, key, text), shared).toArrow()  # at most ``rows`` rows
-    y, size, scores = np.asarray(seen["label"]), np.asarray(seen["n"]), seen["scores"].to_pylist()
-    top = np.array([s[0] if s else 0.0 for s in scores])
+    # What the law and the curve are fitted on was scored by weights that had not seen it; first the law, then, by
+    # that law, the evidence for the curve: all segments of a text count in both, as they do in scoring.
+    texts = labelled.labelled_texts(docs, chosen, key, text)
+    halves = [_weighted(n[0], n[1], n[4]), _weighted(n[2], n[3], n[4])]
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(halves)
+    seen = _evidence_of(texts, shared).select("label", "n", "raw").toArrow()  # at most ``rows`` rows
+    shared.destroy()
+    y, size, top = (np.asarray(seen[c]) for c in ("label", "n", "raw"))
     clean = (y == 0) & (size > 0)
-    model.place, model.slope, model.spread = fit_law(size[clean], top[clean])
-    x = []
-    for words_in, s in zip(size, scores, strict=True):
-        z = (np.array(s) - _shift(model, words_in)) / model.spread
-        x.append((max(LOWEST, z[0]) if len(z) else LOWEST, float(sum(v for v in z if tail(v) <= SIGNIFICANCE))))
-    curve = fit_curve(_squeezed(*np.array(x).T), y)
+    law = fit_law(size[clean], top[clean])
+    for m in (model, *halves):
+        m.place, m.slope, m.spread = law
+    shared = spark.sparkContext.broadcast(halves)
+    seen = _evidence_of(texts, shared).select("label", "best", "total").toArrow()  # at most ``rows`` rows
+    shared.destroy()
+    curve = fit_curve(_squeezed(np.asarray(seen["best"]), np.asarray(seen["total"])), np.asarray(seen["label"]))
     model.bias, model.gain, model.known = float(curve[0]), (float(curve[1]), float(curve[2])), True
     return model
 
@@ -274,9 +286,10 @@ def _scored(text: pa.Array, model: Model) -> tuple[np.ndarray, list[list[dict]]]
     """Scores and significant passages of some texts."""
     xs, passages = [], []
     for w, word, beginning in _buckets(text):
-        weights = model.weights(w.row, word, beginning)
+        weights = model.weights(w, word, beginning)
         for i in range(w.rows):
-            best, total, found = evidence(weights[w.of_row(i)], model)
+            own = weights[w.of_row(i)]
+            best, total, found = evidence(segments(own), len(own), model)
             xs.append((best, total))
             passages.append([{"start": s, "end": e, "z": z} for s, e, z in found])
     x = _squeezed(*np.array(xs, float).reshape(-1, 2).T)

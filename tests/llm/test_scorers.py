@@ -4,6 +4,8 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from cases import EDGE, edge_docs
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -82,6 +84,21 @@ def test_counts_beyond_32_bits(spark, monkeypatch):
     assert np.mean([(r.score >= 0.7) == truth[r.doc_id] for r in rows]) > 0.95
 
 
+def test_a_passage_that_comes_again_is_listed_again(spark):
+    """Toxic, clean, toxic: both passages are found, each with the weight that one alone has."""
+    docs, labels = corpus()
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), F.lit(True))
+    rng = random.Random(1)
+    clean = [t.split() for (i, t), (_, _, toxic) in zip(docs, labels, strict=True) if not toxic]
+    for n in range(20):
+        between = [w for t in rng.sample(clean, 12) for w in t][: 4 * toxicity.STRETCH]
+        passage = [f"vile{(n + k) % 10}!" for k in range(5)]
+        texts = [" ".join(passage + between), " ".join(passage + between + passage)]
+        scores, passages = toxicity._scored(pa.array(texts), model)
+        assert len(passages[0]) == 1 and len(passages[1]) == 2 and scores[1] >= scores[0] >= 0.7
+        assert passages[1][1]["z"] == pytest.approx(passages[1][0]["z"], abs=1.0)
+
+
 def test_quality(spark):
     rows, held = scored(spark, quality.quality_scores, 0)
     assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
