@@ -19,9 +19,11 @@ from ledgerlake.session import work_dir
 
 #: Bytes of text that are looked at together inside a task; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 18
-#: Upper bound for an Arrow batch sent to a Python worker.
-BATCH_BYTES = 16 << 20
-BATCH_ROWS = 4096
+#: Upper bound for an Arrow batch sent to a Python worker; it is held on both sides, by every running task.
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 1024
+#: Settings of the workers: one thread a task for matrix products, and large arrays returned to the system when freed.
+WORKER = {"OPENBLAS_NUM_THREADS": "1", "MALLOC_MMAP_THRESHOLD_": str(2 << 20), "MALLOC_TRIM_THRESHOLD_": str(4 << 20), "MALLOC_ARENA_MAX": "2"}
 
 
 def prepare(spark: SparkSession) -> None:
@@ -30,6 +32,7 @@ def prepare(spark: SparkSession) -> None:
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+    spark.sparkContext.environment.update(WORKER)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
