@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +58,46 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: Bytes of a block of ``block_hashes``.
+HASH_BLOCK = 64 << 20
+_PIECE = 4 << 20
+
+
+def block_hashes(spark: SparkSession, path: str, block: int = HASH_BLOCK) -> DataFrame:
+    """``arquivo, blocos, hash_blocos, length`` of every file under a path, of any size.
+
+    The hash is the SHA-256 of the SHA-256 digests of the file's blocks of ``block`` bytes, in their order. Files
+    without a byte are not listed, as in every Spark source. Blocks are read by tasks of their own, a piece at a time, through the file system that
+    the path's scheme names; no task and no column holds a file.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("arquivo"), "length")
+    last = F.floor((F.col("length") - 1) / block)
+    blocks = files.select("arquivo", "length", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("bloco"))
+
+    def digests(batches):
+        for b in batches:
+            hexes = [_block_digest(name, n * block, block) for name, n in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hexes, pa.string())], names=["arquivo", "length", "bloco", "digest"])
+
+    read = blocks.repartition(F.col("arquivo"), F.col("bloco")).mapInArrow(digests, "arquivo string, length long, bloco long, digest string")
+    ordered = F.array_sort(F.collect_list(F.struct("bloco", "digest")))
+    joined = read.groupBy("arquivo").agg(F.count("*").alias("blocos"), ordered.alias("_d"), F.max("length").alias("length"))
+    return joined.select("arquivo", "blocos", F.sha2(F.unhex(F.array_join(F.transform("_d", lambda d: d["digest"]), "")), 256).alias("hash_blocos"), "length")
+
+
+def _block_digest(name: str, start: int, length: int) -> str:
+    """SHA-256 of a part of a file, read in pieces."""
+    uri = "file://" + name.removeprefix("file:") if name.startswith("file:/") and not name.startswith("file://") else name
+    system, inside = fs.FileSystem.from_uri(uri)
+    digest = hashlib.sha256()
+    with system.open_input_file(inside) as stream:
+        stream.seek(min(start, stream.size()))
+        while length and (piece := stream.read(min(length, _PIECE))):
+            digest.update(piece)
+            length -= len(piece)
+    return digest.hexdigest()
+
+
 def large_file_digest(spark: SparkSession, path: str) -> DataFrame:
     """Order-free digest of a text file of any size: lines and sum of line hashes."""
     line = F.col("value")

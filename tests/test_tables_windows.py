@@ -105,6 +105,26 @@ def test_wide_table_years(spark, folder):
         layouts.publish_year(df.unionByName(older), folder)
 
 
+def test_block_hashes_of_any_size(spark, tmp_path):
+    """Files under a block, of exactly one, of several with a rest: one definition, as plain Python has it."""
+    import hashlib
+    import random
+
+    block = 1000
+    content = {f"f{n}": random.Random(n).randbytes(n) for n in (1, 999, 1000, 1001, 5000, 12_345)}
+    for name, data in content.items():
+        (tmp_path / name).write_bytes(data)
+
+    def plain(data):
+        parts = [data[i : i + block] for i in range(0, len(data), block)]
+        return len(parts), hashlib.sha256(b"".join(hashlib.sha256(p).digest() for p in parts)).hexdigest(), len(data)
+
+    got = {r.arquivo.rsplit("/", 1)[1]: (r.blocos, r.hash_blocos, r.length) for r in readers.block_hashes(spark, str(tmp_path), block).collect()}
+    assert got == {name: plain(data) for name, data in content.items()}
+    whole = {r.arquivo.rsplit("/", 1)[1]: r.hash_sha256 for r in readers.file_hashes(spark, str(tmp_path)).collect()}
+    assert whole == {name: hashlib.sha256(data).hexdigest() for name, data in content.items()}
+
+
 def test_going_back_to_an_older_file_ingests_again(spark):
     files = spark.createDataFrame([("censo", 2024, "A")], "fonte string, ano int, hash_sha256 string")
 
