@@ -254,6 +254,8 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "tox
     at = np.asarray(counts["bucket"])
     for i, c in enumerate((*_GROUPS, "n")):
         n[i, at] = np.asarray(counts[c])
+    del counts, at
+    pa.default_memory_pool().release_unused()
     model = _weighted(n[0] + n[2], n[1] + n[3], n[4])
     if not ((n[0] + n[2]).any() and (n[1] + n[3]).any()):
         return model
@@ -261,6 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "tox
     # that law, the evidence for the curve: all segments of a text count in both, as they do in scoring.
     texts = labelled.labelled_texts(docs, chosen, key, text)
     halves = [_weighted(n[0], n[1], n[4]), _weighted(n[2], n[3], n[4])]
+    del n
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(halves)
     seen = _evidence_of(texts, shared).select("label", "n", "raw").toArrow()  # at most ``rows`` rows
