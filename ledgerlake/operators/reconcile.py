@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.contracts import EVENT_CONTENT, EVENT_KEY
 from ledgerlake.functions.columns import row_text
+from ledgerlake.session import spread
 
 ONLY_ORIGIN, ONLY_TARGET, EQUAL, DIFFERENT = "so_na_origem", "so_no_destino", "iguais", "diferentes"
 
@@ -25,7 +26,7 @@ def compare(origin: DataFrame, target: DataFrame, keys: Sequence[str] = EVENT_KE
         F.when(F.col("_a").isNull(), ONLY_TARGET).when(F.col("_b").isNull(), ONLY_ORIGIN)
         .when(F.col("_a") == F.col("_b"), EQUAL).otherwise(DIFFERENT)
     )
-    return a.join(b, list(keys), "full_outer").select(
+    return spread(a, *keys).join(spread(b, *keys).hint("merge"), list(keys), "full_outer").select(
         *keys, F.coalesce("_da", "_db").alias("dia"),
         F.coalesce("_cdc", F.lit(False)).alias("veio_do_cdc"), kind.alias("situacao"),
     )
@@ -57,13 +58,13 @@ def by_day(comparison: DataFrame) -> DataFrame:
 
 def explain_missing(comparison: DataFrame, pending: DataFrame, queued: DataFrame) -> DataFrame:
     """Why origin rows are not in the target: still pending, in the error queue, or unexplained."""
-    p = pending.select(*EVENT_KEY).distinct().withColumn("_p", F.lit(True))
+    p = spread(pending.select(*EVENT_KEY), *EVENT_KEY).distinct().withColumn("_p", F.lit(True))
     q = (
-        queued.where(F.col("operacao") == "insert").select(*EVENT_KEY).distinct()
+        spread(queued.where(F.col("operacao") == "insert").select(*EVENT_KEY), *EVENT_KEY).distinct()
         .withColumn("_q", F.lit(True))
     )
     rows = (
-        comparison.where(F.col("situacao") == ONLY_ORIGIN)
+        spread(comparison.where(F.col("situacao") == ONLY_ORIGIN), *EVENT_KEY)
         .join(p, list(EVENT_KEY), "left").join(q, list(EVENT_KEY), "left")
     )
     is_p, is_q = F.col("_p").isNotNull(), F.col("_q").isNotNull()
@@ -77,14 +78,15 @@ def explain_missing(comparison: DataFrame, pending: DataFrame, queued: DataFrame
 def confirm_extras(comparison: DataFrame, later_origin: DataFrame) -> DataFrame:
     """Target-only keys that a later read of the origin still does not know."""
     extra = comparison.where(F.col("situacao") == ONLY_TARGET).select(*EVENT_KEY)
-    return extra.join(later_origin.select(*EVENT_KEY), list(EVENT_KEY), "left_anti")
+    known = spread(later_origin.select(*EVENT_KEY), *EVENT_KEY).hint("merge")
+    return spread(extra, *EVENT_KEY).join(known, list(EVENT_KEY), "left_anti")
 
 
 def missing_and_unknown(target: DataFrame, origin: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame:
     """Counts of origin rows the target lacks and of target rows the origin does not know."""
+    both = origin.select(*keys, F.lit(1).alias("_side")).unionByName(target.select(*keys, F.lit(2).alias("_side")))
     sides = (
-        origin.select(*keys, F.lit(1).alias("_side"))
-        .unionByName(target.select(*keys, F.lit(2).alias("_side")))
+        spread(both, *keys)
         .groupBy(*keys).agg(F.bit_or("_side").alias("_sides"))
     )
     return sides.agg(
