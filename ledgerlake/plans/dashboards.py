@@ -15,8 +15,8 @@ _SUMMARY = """CASE WHEN n >= 10 THEN round(media, 6) END AS media, CASE WHEN n >
 _AGGS = """count(media_geral) AS n, avg(media_geral) AS media, coalesce(stddev_samp(media_geral), 0) AS desvio"""
 
 
-def _slice(lake):
-    return lake.census_at.where(dashboard.slice_filter(uf="ASIA", network="publica"))
+def _slice(census):
+    return census.where(dashboard.slice_filter(uf="ASIA", network="publica"))
 
 
 def _round(df):
@@ -33,7 +33,7 @@ def slice_filter(lake):
     (SELECT count(*) AS enem, CAST(coalesce(sum(participantes), 0) AS BIGINT) AS participantes, count(perfil) AS perfis_enem,
       count(*) FILTER (media_geral IS NULL) AS escolas_sem_nota FROM exam_slice WHERE {_SLICE}) e""")
 def slice_kpis(lake):
-    here = _slice(lake)
+    here = _slice(lake.census_beside_exam)
     return dashboard.kpis(here, dashboard.exam_slice(lake.exam_at, here))
 
 
@@ -41,7 +41,7 @@ def slice_kpis(lake):
     f"count(*) FILTER (coalesce(m[c.codigo], 'nao_informado') = '{s}') AS {s}" for s in STATES)
     + f" FROM census_at, catalog c WHERE {_SLICE} GROUP BY c.codigo")
 def item_state_matrix(lake):
-    return dashboard.item_matrix(_slice(lake), CATALOG)
+    return dashboard.item_matrix(_slice(lake.census_at), CATALOG)
 
 
 _REGION = "SELECT sg_uf, count(*) AS total, " + ", ".join(
@@ -130,8 +130,8 @@ def school_rows(lake):
     {', '.join(f'round({c}, 6) AS {c}' for c in dashboard.SCORES)}, participantes AS n_participantes, perfil IS NOT NULL AS tem_perfil
     FROM exam_at e JOIN (SELECT co_entidade, row_number() OVER (ORDER BY co_entidade) - 1 AS posicao FROM census_at) s ON s.co_entidade = e.co_escola""")
 def exam_rows(lake):
-    municipalities = dashboard.municipality_rows(lake.census_at)
-    rows = dashboard.exam_rows(lake.exam_at, dashboard.school_rows(lake.census_at, municipalities, CATALOG), CATALOG)
+    census = lake.census_beside_exam
+    rows = dashboard.exam_rows(lake.exam_at, dashboard.school_rows(census, dashboard.municipality_rows(census), CATALOG), CATALOG)
     return rows.withColumns({c: F.round(c, 6) for c in dashboard.SCORES})
 
 
@@ -142,7 +142,7 @@ def coverage_consistency(lake):
     """Keys on one side only: here the exam schools that the census given to the facts left out."""
     from ledgerlake.operators import reconcile
 
-    covered = lake.exam_input.join(lake.census_at.select("co_entidade"), "co_entidade", "left_semi")
+    covered = lake.exam_input.join(lake.census_beside_exam.select("co_entidade"), "co_entidade", "left_semi")
     return reconcile.key_set_difference(covered, lake.exam_at, "co_entidade")
 
 
